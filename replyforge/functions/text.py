@@ -39,9 +39,28 @@ def coalesce_falsy(*cols: Column | str, default: Column | str | None = None) ->
     return F.coalesce(*usable)
 
 
+# Beyond this size a double has no digits left that could be rounded off exactly.
+_ROUNDABLE = 1e11
+
+
 def round_even(c: Column | str, digits: int) -> Column:
-    """Round half to even. Works on the shortest decimal form of a double."""
-    return F.bround(_col(c), digits)
+    """Round a double to the nearest decimal, ties to even, judged by its exact binary value.
+
+    ``bround`` looks at the shortest decimal form instead and moves 2.675, which is a little less than it
+    prints, up to 2.68. Here ``x * 2 * 10**digits`` is taken as a product plus its exact error (the first
+    half of ``x`` has 26 bits, so both partial products are exact), and compared with the odd number in
+    the middle of the two candidates.
+    """
+    x = _col(c).cast("double")
+    scale = float(10**digits)
+    low = F.floor(x * scale).cast("double")
+    head = x * 134217729.0 - (x * 134217729.0 - x)
+    product = x * (2 * scale)
+    error = (head * (2 * scale) - product) + (x - head) * (2 * scale)
+    side = (product - (low * 2 + 1)) + error
+    up = (side > 0) | ((side == 0) & (F.pmod(low, F.lit(2.0)) == 1.0))
+    exact = F.when(up, low + 1).otherwise(low) / scale
+    return F.when(F.abs(x) < _ROUNDABLE, exact).otherwise(F.bround(x, digits))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -115,10 +115,10 @@ def lookup_idx(df: DataFrame, idx=None, order: str | None = None) -> DataFrame:
     return hit
 
 
-def scan_dir(spark: SparkSession, path: str) -> DataFrame:
+def scan_dir(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """Raw lines of every ``*.jsonl`` directly in a folder, with the file name of each line.
 
     A folder without such files gives an empty table.
     """
-    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(path)
+    lines = spark.read.option("pathGlobFilter", pattern).text(path)
     return lines.select("value", F.col("_metadata.file_name").alias("source_file"))
