@@ -29,18 +29,19 @@ def base_id(c: Column | str) -> Column:
     return F.substring_index(_col(c), "_", 1)
 
 
-def _index_or_null(text: Column) -> Column:
-    trimmed = strip(text)
-    return F.when(trimmed.rlike("^[+-]?[0-9]+$"), trimmed.try_cast("bigint"))
-
-
 def parse_attempt_id(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Add ``query_id`` and ``response_idx``; both are null unless the id is ``<query>_<integer>``."""
-    parts = F.split(F.col(id_col), "_")
-    two = F.size(parts) == 2
-    idx = F.when(two, _index_or_null(parts[1]))
-    return df.withColumn("response_idx", idx).withColumn(
-        "query_id", F.when(F.col("response_idx").isNotNull(), parts[0])
+    """Add ``query_id`` and ``response_idx``; both are null unless the id is ``<query>_<integer>``.
+
+    Whitespace around the integer and a sign are allowed.
+    """
+    whole = F.col(id_col)
+    head, tail = F.substring_index(whole, "_", 1), F.substring_index(whole, "_", -1)
+    # Equal only when there is exactly one underscore.
+    two = F.concat_ws("_", head, tail) == whole
+    # The plain cast already trims blanks; other whitespace is looked at only where it fails.
+    number = F.coalesce(tail.try_cast("bigint"), strip(tail).try_cast("bigint"))
+    return df.withColumn("response_idx", F.when(two, number)).withColumn(
+        "query_id", F.when(F.col("response_idx").isNotNull(), head)
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from replyforge.functions.jsontext import OBJECT_START, is_json_object, strict_json
 from replyforge.functions.text import WHITESPACE, _col
 
 _SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*"
@@ -15,11 +16,6 @@ _SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*"
 FENCED_JSON = r"(?s)```json" + _SPACE + r"(\{.*?\})" + _SPACE + "```"
 FENCED_ANY = r"(?s)```" + _SPACE + r"(\{.*?\})" + _SPACE + "```"
 OUTERMOST_BRACES = r"(?s)(\{.*\})"
-OBJECT_START = r"^[ \t\r\n]*\{"
-
-
-def _parses(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
 
 
 def has_keys(record: Column, keys: Sequence[str]) -> Column:
@@ -46,23 +42,19 @@ def extract_json(text: Column | str, keys: Sequence[str] | None = None) -> Colum
     not looked at here, :func:`valid_prediction` does that later.
     """
     text = _col(text)
-    whole = F.try_parse_json(text)
+    whole = strict_json(text)
     is_object = F.regexp_like(text, F.lit(OBJECT_START))
-    embedded = F.try_element_at(F.filter(candidate_objects(text), _parses), F.lit(1))
+    embedded = F.try_element_at(F.filter(candidate_objects(text), lambda x: strict_json(x).isNotNull()), F.lit(1))
     whole_ok = ~is_object | has_keys(whole, keys) if keys else F.lit(True)
     return F.when(whole.isNotNull(), F.when(whole_ok, text)).otherwise(embedded)
 
 
-def is_json_object(text: Column) -> Column:
-    return _parses(text) & F.regexp_like(text, F.lit(OBJECT_START))
-
-
 def valid_prediction(status: Column | str = "status", data: Column | str = "data") -> Column:
     """Call succeeded and the JSON is an object with a ``Difficulty`` key; its range is not checked."""
     data = _col(data)
     ok = (
         (_col(status) == "success")
         & is_json_object(data)
-        & F.try_variant_get(F.try_parse_json(data), "$.Difficulty", "variant").isNotNull()
+        & F.try_variant_get(strict_json(data), "$.Difficulty", "variant").isNotNull()
     )
     return F.coalesce(ok, F.lit(False))

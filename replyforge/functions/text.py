@@ -39,10 +39,6 @@ def coalesce_falsy(*cols: Column | str, default: Column | str | None = None) ->
     return F.coalesce(*usable)
 
 
-# Beyond this size a double has no digits left that could be rounded off exactly.
-_ROUNDABLE = 1e11
-
-
 def round_even(c: Column | str, digits: int) -> Column:
     """Round a double to the nearest decimal, ties to even, judged by its exact binary value.
 
@@ -60,7 +56,8 @@ def round_even(c: Column | str, digits: int) -> Column:
     side = (product - (low * 2 + 1)) + error
     up = (side > 0) | ((side == 0) & (F.pmod(low, F.lit(2.0)) == 1.0))
     exact = F.when(up, low + 1).otherwise(low) / scale
-    return F.when(F.abs(x) < _ROUNDABLE, exact).otherwise(F.bround(x, digits))
+    # Beyond this size the scaled number is no longer a whole number of its own.
+    return F.when(F.abs(x) < 2.0**52 / scale / 2, exact).otherwise(F.bround(x, digits))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replyforge.functions.text import _col, one_line, percent, round_even
+from replyforge.functions.text import _col, percent, round_even
 from replyforge.operators.skew import lookup_join, with_running
 
 # A weight table up to this many numbers is copied to the executors; above it tokens are shuffled to it.
@@ -19,9 +19,13 @@ def label_number(label: Column | str) -> Column:
     return F.replace(_col(label).cast("string"), F.lit("__label__")).try_cast("int")
 
 
-def tokens(text: Column | str) -> Column:
-    """Words between blanks, newlines counting as blanks."""
-    return F.filter(F.split(one_line(text), " "), lambda t: t != "")
+# What ends a word: NUL, tab to carriage return (newline included), blank (fixed values).
+WORD_END = r"[\x00\t-\r ]"
+
+
+def explode_tokens(docs: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
+    """One row per word of the text."""
+    return docs.select(*ids, F.explode(F.split(F.col(text), WORD_END)).alias("token")).where(F.col("token") != "")
 
 
 def label_scores(
@@ -43,8 +47,9 @@ def label_scores(
     wide = model.groupBy("token").agg(
         *[F.coalesce(F.sum(F.when(F.col("label") == lab, F.col("weight"))), F.lit(0.0)).alias(f"_w{i}") for i, lab in enumerate(labels)]
     )
-    words = docs.select(*ids, F.explode(tokens(text)).alias("token"))
-    if wide.count() * len(labels) <= broadcast_weights:
+    words = explode_tokens(docs, ids, text)
+    # The table has at most one row per token, so this bounds what is copied without building it first.
+    if model.count() * len(labels) <= broadcast_weights:
         hits = words.join(F.broadcast(wide), "token")
     else:
         counted = words.groupBy(*ids, "token").agg(F.count("*").alias("_tf"))

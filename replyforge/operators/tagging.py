@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyforge.functions.flags import is_complete
-from replyforge.functions.replies import is_json_object
+from replyforge.functions.jsontext import is_json_object, strict_json
 from replyforge.functions.text import coalesce_falsy, is_blank, strip
 from replyforge.operators.checkpoints import last_wins
 from replyforge.operators.skew import lookup_join
@@ -29,7 +29,7 @@ def prepare_statements(df: DataFrame, statement: str = "formal_statement") -> Da
 
 
 def _data_field(data: Column, name: str, kind: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(data), f"$.{name}", kind)
+    return F.try_variant_get(strict_json(data), f"$.{name}", kind)
 
 
 def has_data(status: Column | str = "status", data: Column | str = "data") -> Column:

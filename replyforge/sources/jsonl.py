@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyforge.functions.flags import variant_boolean, variant_string
-from replyforge.functions.replies import OBJECT_START
+from replyforge.functions.jsontext import OBJECT_START, strict_json
 from replyforge.functions.text import is_blank
 from replyforge.operators.checkpoints import last_wins
 from replyforge.sources.storage import path_exists
@@ -28,7 +28,7 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     One narrow projection, so it also runs on a stream. A line that is no JSON, or JSON but not an
     object, keeps ``is_object = false``.
     """
-    kept = lines.where(~is_blank(column)).withColumn("record", F.try_parse_json(F.col(column)))
+    kept = lines.where(~is_blank(column)).withColumn("record", strict_json(column))
     return kept.withColumn(
         "is_object", F.col("record").isNotNull() & F.regexp_like(F.col(column), F.lit(OBJECT_START))
     )

@@ -37,6 +37,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.written: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.sf_dir}/{table}.parquet"
@@ -44,6 +45,8 @@ class Inputs:
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(self.path(name))
+        if name in self.written:
+            return self.written[name]
         sql = _text(name, 0)
         return self.spark.sql(sql, **{n: self[n] for n in _names(sql)})
 

@@ -19,6 +19,8 @@ _LINES = _SCORED.format(key="doc_id", src="(SELECT doc_id, text FROM {line_facts
 
 
 def _model(t):
+    """The weight table, its word counts and itself written once because they are read several times."""
+    t.written["token_counts"] = materialize(t["token_counts"], "counts")
     return materialize(t["class_model"], "model")
 
 

@@ -54,13 +54,14 @@ INPUTS: dict[str, str | tuple[str, str]] = {
                     WHEN 3 THEN '  ' || chr(9) || ' '
                     WHEN 4 THEN '[' || {_ID} || ']'
                     WHEN 5 THEN '{{{{"doc_id": ' || {_ID} || ', "text": 5, "source": "' || source || '"}}}}'
+                    WHEN 6 THEN '{{{{"doc_id": ' || {_ID} || ', "text": "' || {_ESCAPED} || '"}}}} and more'
                     ELSE '{{{{"doc_id": ' || {_ID} || ', "text": "' || {_ESCAPED} || '", "source": "' || source || '"}}}}' END AS value
         FROM {{documents}}""",
     # What a reader of raw_lines should find, stated without any JSON.
     "line_facts": """
-        SELECT doc_id, source || '.jsonl' AS source_file, doc_id % 20 NOT IN (0, 4) AS is_object,
-               CASE WHEN doc_id % 20 NOT IN (0, 1, 2, 4, 5) THEN text END AS text,
-               CASE WHEN doc_id % 20 NOT IN (0, 2, 4) THEN source END AS source
+        SELECT doc_id, source || '.jsonl' AS source_file, doc_id % 20 NOT IN (0, 4, 6) AS is_object,
+               CASE WHEN doc_id % 20 NOT IN (0, 1, 2, 4, 5, 6) THEN text END AS text,
+               CASE WHEN doc_id % 20 NOT IN (0, 2, 4, 6) THEN source END AS source
         FROM {documents} WHERE doc_id % 20 <> 3""",
     # ---- classifier: smoothed log-odds counted from labelled documents
     "token_counts": (
@@ -103,7 +104,7 @@ INPUTS: dict[str, str | tuple[str, str]] = {
     # ---- model replies in every shape the extractor knows
     "replies": f"""
         SELECT doc_id, source,
-               CASE doc_id % 9
+               CASE doc_id % 10
                     WHEN 0 THEN '{{{{"Difficulty": ' || cast(doc_id % 10 AS string) || '.5, "Rationale": "' || {_ESCAPED} || '"}}}}'
                     WHEN 1 THEN text || ' ```json' || chr(10) || '{{{{"Difficulty": ' || cast(doc_id % 10 AS string) || ', "Rationale": "é ' || source || '"}}}}' || chr(10) || '```'
                     WHEN 2 THEN '```' || chr(10) || ' {{{{"Difficulty": ' || cast(doc_id % 10 AS string) || ', "Rationale": "' || lang || '"}}}} ```'
@@ -112,6 +113,7 @@ INPUTS: dict[str, str | tuple[str, str]] = {
                     WHEN 5 THEN '{{{{"Rationale": "' || source || '"}}}}'
                     WHEN 6 THEN '[' || cast(doc_id AS string) || ']'
                     WHEN 7 THEN 'so {{{{"Rationale": "' || source || '"}}}} it is'
+                    WHEN 8 THEN '{{{{"Difficulty": ' || cast(doc_id % 10 AS string) || ', "Rationale": "' || lang || '"}}}} and more'
                     ELSE 'broken {{{{"Difficulty": ' || cast(doc_id AS string) || ' ' END AS reply
         FROM {{documents}}""",
     # ---- checkpoint records

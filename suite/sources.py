@@ -27,7 +27,7 @@ def read_jsonl(t):
 
 
 @query(
-    """SELECT count(*) AS rejects, cast(sum(length(value)) AS bigint) AS chars FROM {raw_lines} WHERE doc_id % 20 IN (0, 4)"""
+    """SELECT count(*) AS rejects, cast(sum(length(value)) AS bigint) AS chars FROM {raw_lines} WHERE doc_id % 20 IN (0, 4, 6)"""
 )
 def read_jsonl_rejects(t):
     rejects = jsonl.read_jsonl(t.spark, _raw_folder(t)).rejects

@@ -11,9 +11,11 @@ KEYS = ["Difficulty", "Rationale"]
 
 
 @query(
-    """SELECT doc_id, CASE WHEN doc_id % 9 IN (0, 1, 2, 3, 7) THEN 'object' WHEN doc_id % 9 = 6 THEN 'other' END AS kind,
-              CASE doc_id % 9 WHEN 0 THEN doc_id % 10 + 0.5 WHEN 1 THEN doc_id % 10 WHEN 2 THEN doc_id % 10 WHEN 3 THEN doc_id % 10 END AS difficulty,
-              CASE doc_id % 9 WHEN 1 THEN ' ' || source WHEN 7 THEN source END AS rationale FROM {replies}"""
+    """SELECT doc_id, CASE WHEN doc_id % 10 IN (0, 1, 2, 3, 7, 8) THEN 'object' WHEN doc_id % 10 = 6 THEN 'other' END AS kind,
+              CASE doc_id % 10 WHEN 0 THEN 0.5 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 8 THEN 8 END AS difficulty,
+              CASE doc_id % 10 WHEN 1 THEN ' ' || source WHEN 7 THEN source WHEN 8 THEN lang END AS rationale,
+              CASE WHEN doc_id % 10 = 0 THEN md5(reply) END AS whole
+       FROM {replies} JOIN {documents} USING (doc_id, source)"""
 )
 def extract_json(t):
     found = t["replies"].withColumn("json", extract("reply", KEYS))
@@ -22,14 +24,15 @@ def extract_json(t):
         "doc_id",
         F.when(F.col("json").startswith("["), F.lit("other")).when(F.col("json").isNotNull(), F.lit("object")).alias("kind"),
         F.try_variant_get(value, "$.Difficulty", "double").alias("difficulty"),
-        F.when((F.col("doc_id") % 9).isin(1, 7), F.try_variant_get(value, "$.Rationale", "string")).alias("rationale"),
+        F.when((F.col("doc_id") % 10).isin(1, 7, 8), F.try_variant_get(value, "$.Rationale", "string")).alias("rationale"),
+        F.when(F.col("doc_id") % 10 == 0, F.md5("json")).alias("whole"),
     )
 
 
-@query("SELECT doc_id % 9 AS shape, count(*) AS n FROM {replies} WHERE doc_id % 9 NOT IN (4, 8) GROUP BY 1")
+@query("SELECT doc_id % 10 AS shape, count(*) AS n FROM {replies} WHERE doc_id % 10 NOT IN (4, 9) GROUP BY 1")
 def extract_json_any_keys(t):
     found = t["replies"].where(extract("reply").isNotNull())
-    return found.groupBy((F.col("doc_id") % 9).alias("shape")).agg(F.count("*").alias("n"))
+    return found.groupBy((F.col("doc_id") % 10).alias("shape")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT doc_id, doc_id % 5 <> 0 AND doc_id % 4 IN (2, 3) AS valid FROM {predictions}")
