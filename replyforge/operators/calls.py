@@ -10,9 +10,11 @@ and keep speculative execution off.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as LateError
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,14 +22,27 @@ from pyspark.sql import types as T
 
 from replyforge.operators.reply_text import find_json
 
+# Driver side: a name for each factory, so that a worker knows it again in later tasks and jobs.
+_NAMES: WeakKeyDictionary = WeakKeyDictionary()
+# Worker side: what the last few factories built.
 _BUILT: dict = {}
+_KEPT = 4
 
 
-def _build_once(factory: Callable):
-    """The callable of a factory, built at most once per worker process."""
-    if factory not in _BUILT:
-        _BUILT[factory] = factory()
-    return _BUILT[factory]
+def _name_of(factory: Callable) -> str:
+    try:
+        return _NAMES.setdefault(factory, uuid.uuid4().hex)
+    except TypeError:  # not hashable: known for this one call only
+        return uuid.uuid4().hex
+
+
+def _build_once(name: str, factory: Callable):
+    """The callable of a factory, built once per worker process."""
+    if name not in _BUILT:
+        while len(_BUILT) >= _KEPT:
+            _BUILT.pop(next(iter(_BUILT)))
+        _BUILT[name] = factory()
+    return _BUILT[name]
 
 
 def _with_columns(df: DataFrame, added: list[tuple[str, T.DataType]]) -> tuple[DataFrame, T.StructType]:
@@ -64,8 +79,10 @@ def infer_batch(
         df, [("response", T.StringType()), ("error", T.StringType()), ("meta_response", T.StringType())]
     )
 
+    name = _name_of(predictor)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(predictor)
+        call = _build_once(name, predictor)
         for batch in _slices(batches, batch_size):
             prompts = batch.column(prompt).to_pylist()
             past = batch.column(history).to_pylist() if has_history else [None] * len(prompts)
@@ -122,8 +139,10 @@ def ask_for_json(
                     time.sleep(delay)
         return "failed", None, None, problem
 
+    name = _name_of(predictor)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(predictor)
+        call = _build_once(name, predictor)
         with ThreadPoolExecutor(threads) as pool:
             for batch in _slices(batches, 1000):
                 results = list(pool.map(lambda text: attempt(call, text), batch.column(prompt).to_pylist()))
@@ -159,8 +178,10 @@ def fetch(
         except Exception as failure:  # noqa: BLE001
             return False, False, 0, str(failure)
 
+    name = _name_of(fetcher)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(fetcher)
+        call = _build_once(name, fetcher)
         pool = ThreadPoolExecutor(threads)
         for batch in _slices(batches, threads):
             # One wave holds at most as many items as there are threads, so waiting starts when work does.
@@ -196,8 +217,10 @@ def verify(
     names = ["success", "error_messages"]
     base, schema = _with_columns(df, [("success", T.BooleanType()), ("error_messages", T.StringType())])
 
+    name = _name_of(verifier)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(verifier)
+        call = _build_once(name, verifier)
         for batch in _slices(batches, batch_size):
             verdicts = call(batch.column(code).to_pylist(), batch.column(proof).to_pylist())
             if len(verdicts) != batch.num_rows:
