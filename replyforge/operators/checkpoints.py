@@ -51,32 +51,41 @@ def skip_done(df: DataFrame, done: DataFrame, id_col: str = "uuid", success: str
     return lookup_join(df, finished.select(id_col).distinct(), [id_col], "left_anti")
 
 
-def reuse_completed(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
-    """The saved record stands in for every input row whose id is completed; other rows are unchanged.
+def resume_inputs(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
+    """Every input row with the saved record in its place where there is one, and the ``action`` to take.
 
-    ``checkpoint`` is the result of :func:`merge_checkpoints`. ``reused`` marks the replaced rows.
+    ``checkpoint`` is the result of :func:`merge_checkpoints`. ``reuse``: the id is completed. ``resume``: it is
+    unfinished, its record goes on with status ``resume``. ``fresh``: nothing is saved. A saved record
+    replaces the whole row, so input columns it does not have become null. One join serves all three.
     """
-    saved = checkpoint.where(F.col("bucket") == "completed")
-    columns = [c for c in saved.columns if c not in (id_col, "bucket", "seq")]
-    packed = saved.select(id_col, F.struct(*columns).alias("_saved"))
+    columns = [c for c in checkpoint.columns if c not in (id_col, "bucket", "seq")]
+    packed = checkpoint.select(id_col, F.struct("bucket", *columns).alias("_saved"))
     joined = lookup_join(df, packed, [id_col], "left")
     found = F.col("_saved").isNotNull()
-    own = [c for c in df.columns if c not in columns and c != id_col]
-    out = [F.col(id_col)]
-    # A saved record replaces the whole row, so columns it does not have become null.
-    out += [F.when(~found, F.col(c)).alias(c) for c in own]
-    out += [
-        F.when(found, F.col("_saved")[c]).otherwise(F.col(c) if c in df.columns else F.lit(None)).alias(c)
-        for c in columns
-    ]
-    return joined.select(*out, found.alias("reused"))
+    done = F.col("_saved.bucket") == "completed"
+    out = {c: F.when(~found, F.col(c)) for c in df.columns if c != id_col and c not in columns}
+    for c in columns:
+        own = F.col(c) if c in df.columns else F.lit(None)
+        out[c] = F.when(found, F.col("_saved")[c]).otherwise(own)
+    status = out.get("status", F.lit(None).cast("string"))
+    out["status"] = F.when(found & ~done, F.lit("resume")).otherwise(status)
+    action = F.when(~found, F.lit("fresh")).when(done, F.lit("reuse")).otherwise(F.lit("resume"))
+    return joined.select(id_col, *[c.alias(n) for n, c in out.items()], action.alias("action"))
+
+
+def reuse_completed(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
+    """The saved record stands in for every input row whose id is completed; other rows are unchanged.
+
+    ``reused`` marks the replaced rows.
+    """
+    rows = resume_inputs(df, checkpoint.where(F.col("bucket") == "completed"), id_col)
+    return rows.withColumn("reused", F.col("action") == "reuse").drop("action")
 
 
 def requeue_processing(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
     """Saved records of the input's unfinished ids, with status ``resume``: to be sent again."""
     saved = checkpoint.where(F.col("bucket") == "processing").drop("bucket")
-    inputs = df.select(id_col)
-    return lookup_join(inputs, saved, [id_col], "inner").withColumn("status", F.lit("resume"))
+    return lookup_join(df.select(id_col), saved, [id_col], "inner").withColumn("status", F.lit("resume"))
 
 
 def fresh_rows(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:

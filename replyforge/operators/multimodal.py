@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import _col
+from replyforge.operators.skew import lookup_join
 
 IMAGE_MARKS = ("<|image|>", "<image> ")
 ITEM = "struct<type:string,text:string,image:string,detail:string>"
@@ -36,7 +37,7 @@ def build_multimodal(df: DataFrame, images: DataFrame, id_col: str, parts: str =
         F.regexp_replace("path", "^file:/+", "/").alias("_path"),
         F.concat(F.lit("data:image/jpeg;base64,"), F.replace(F.base64("content"), F.lit("\r\n"), F.lit(""))).alias("_url"),
     )
-    shown = spread.where(F.col("_path").isNotNull()).join(urls, "_path", "left")
+    shown = lookup_join(spread.where(F.col("_path").isNotNull()), urls, ["_path"], "left")
     checked = F.when(F.col("_url").isNull(), F.raise_error(F.concat(F.lit("no image "), F.col("_path")))).otherwise(F.col("_url"))
     image_items = shown.select(id_col, "_pos", _item("image_url", image=checked, detail=F.lit("low")).alias("_item"))
     text_items = spread.where(F.col("_path").isNull()).select(id_col, "_pos", _item("text", text=F.col("_part")).alias("_item"))

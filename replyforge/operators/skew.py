@@ -11,20 +11,24 @@ from pyspark.sql.window import Window
 
 from replyforge.sources.storage import materialize
 
-# A key is hot from this many rows on; at most MAX_HOT keys are looked at, so that a key outside
-# the list owns at most 1/MAX_HOT of the rows.
+# A key is hot from this many rows on. At most MAX_HOT keys are treated as hot, the hottest first, so a key
+# outside the list owns less than 1/MAX_HOT of the rows.
 HOT_ROWS = 2_000_000
-MAX_HOT = 1024
+MAX_HOT = 4096
+# Right-hand rows of hot keys are copied to the executors up to this many bytes.
+BROADCAST_BYTES = 256 * 1024 * 1024
+# Upper limit for the ranges a table is cut into.
+MAX_RANGES = 20_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The hottest keys as a small local table (at most ``MAX_HOT`` rows), or None.
+    """The hottest keys with their ``_rows`` as a small local table (at most ``MAX_HOT`` rows), or None.
 
     Counting is pre-aggregated before its shuffle and reads the key columns only.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= hot_rows)
-    top = counts.orderBy(F.desc("_rows")).limit(MAX_HOT).drop("_rows").collect()
-    return df.sparkSession.createDataFrame(top, counts.drop("_rows").schema) if top else None
+    top = counts.orderBy(F.desc("_rows")).limit(MAX_HOT).collect()
+    return df.sparkSession.createDataFrame(top, counts.schema) if top else None
 
 
 def lookup_join(
@@ -32,26 +36,48 @@ def lookup_join(
 ) -> DataFrame:
     """Join a big side to a table with at most one row per key.
 
-    Rows of hot keys never travel: they meet the few matching right rows by broadcast, whose number is
-    bounded by ``MAX_HOT``. All other rows take Spark's own join, where each key is small enough.
-    Null keys match nothing and skip the join when they are hot. ``how``: inner, left, left_semi or
-    left_anti.
+    Rows of hot keys never travel: they meet the few matching right rows by broadcast, bounded in number by
+    ``MAX_HOT`` and in size by ``BROADCAST_BYTES``. All other rows take Spark's own join, where each key is
+    small. Null keys match nothing and skip the join once there are hot keys. ``how``: inner, left,
+    left_semi or left_anti.
     """
     keys = list(keys)
     hot = hot_keys(left, keys, hot_rows)
     if hot is None:
         return left.join(right, keys, how)
     hot = hot.dropna(subset=keys)
-    hot_right = right.join(F.broadcast(hot), keys, "left_semi")
-    hot_part = left.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_right), keys, how)
-    has_null = ~F.coalesce(*[F.when(F.col(k).isNull(), F.lit(False)) for k in keys], F.lit(True))
-    cold_part = left.where(~has_null).join(F.broadcast(hot), keys, "left_anti").join(right, keys, how)
+    if how in ("inner", "left"):
+        hot = _within_budget(right, hot, keys)
+    hot = F.broadcast(hot.select(*keys))
+    hot_right = F.broadcast(right.join(hot, keys, "left_semi"))
+    hot_part = left.join(hot, keys, "left_semi").join(hot_right, keys, how)
+    has_null = F.lit(False)
+    for key in keys:
+        has_null = has_null | F.col(key).isNull()
+    cold_part = left.where(~has_null).join(hot, keys, "left_anti").join(right, keys, how)
     joined = hot_part.unionByName(cold_part)
     if how in ("inner", "left_semi"):
         return joined
     return joined.unionByName(left.where(has_null), allowMissingColumns=True).select(joined.columns)
 
 
+def _within_budget(right: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """The hottest keys whose right rows together fit into ``BROADCAST_BYTES``."""
+    size = F.octet_length(F.to_json(F.struct(*right.columns)))
+    sized = right.select(*keys, size.alias("_bytes")).join(F.broadcast(hot), keys)
+    fitting, used = [], 0
+    # One number per hot key comes to the driver.
+    for row in sized.orderBy(F.desc("_rows")).limit(MAX_HOT).collect():
+        used += row["_bytes"]
+        if used > BROADCAST_BYTES:
+            break
+        fitting.append(tuple(row[k] for k in keys))
+    # Hot keys without a right row cost nothing and stay hot.
+    absent = hot.join(sized.select(*keys), keys, "left_anti").select(*keys)
+    schema = hot.select(*keys).schema
+    return absent.unionByName(hot.sparkSession.createDataFrame(fitting, schema))
+
+
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group with their rank as ``rank``.
 
@@ -72,26 +98,34 @@ def with_running(
 ) -> DataFrame:
     """Exact running sums (current row included) and row numbers per group, in the order of ``order``.
 
-    Groups up to ``max_group`` rows use a plain window. When a larger one is found, rows are cut into
-    ranges of the whole order, each range is numbered on its own, and the totals of the ranges
-    before it are added; no task then sees more than about ``max_group`` rows.
+    Groups up to ``max_group`` rows use a plain window. The rows of larger groups are cut into ranges of the
+    whole order, each range is numbered on its own, and the totals of the ranges before it are added,
+    so that no task holds a whole large group. Without ``keys`` the table is one group.
     """
     keys, order = list(keys), list(order)
     columns = {name: F.col(c) if isinstance(c, str) else c for name, c in (sums or {}).items()}
     if row_number:
         columns[row_number] = F.lit(1)
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    seen = counts.agg(F.max("_rows").alias("widest"), F.sum("_rows").alias("total")).first()
-    if (seen["widest"] or 0) <= max_group:
+    # A struct compares its nulls as equal, so a group with a null key is a group like any other.
+    grouped = df.withColumn("_group", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    hot = hot_keys(grouped, ["_group"], max_group + 1)
+    if hot is None:
         return _running(df, [F.col(k) for k in keys] or [F.lit(0)], order, columns)
 
-    parts = math.ceil(seen["total"] / max_group) + 1
+    total = hot.agg(F.sum("_rows")).first()[0]
+    hot = F.broadcast(hot.select("_group"))
+    large = _running_in_ranges(grouped.join(hot, ["_group"], "left_semi"), order, columns, total, max_group)
+    if not keys:
+        return large.drop("_group")
+    others = _running(grouped.join(hot, ["_group"], "left_anti"), [F.col("_group")], order, columns)
+    return large.unionByName(others).drop("_group")
+
+
+def _running_in_ranges(df: DataFrame, order: list[str], columns: dict[str, Column], total: int, width: int) -> DataFrame:
+    parts = min(math.ceil(total / width) + 1, MAX_RANGES)
     # The range number is part of the data from here on, so it must not change when a task is run again.
     cut = materialize(
-        df.repartitionByRange(parts, *keys, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_group", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))),
-        "ranges",
+        df.repartitionByRange(parts, "_group", *order).withColumn("_part", F.spark_partition_id()), "ranges"
     )
     totals = cut.groupBy("_group", "_part").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in columns.items()])
     before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

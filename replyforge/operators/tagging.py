@@ -97,18 +97,15 @@ def merge_results(
     Statements are compared after stripping; empty ones are dropped, processed rows without an original
     are ignored. Overlay columns are taken with their nulls, because a typed column cannot tell an
     absent field from a null one. Both sides shrink to one row per statement, map-side first, before
-    they meet; the join compares a hash before the text itself.
+    they meet; a hash is compared before the text itself.
     """
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key", strip(statement)).where(F.coalesce("_key", F.lit("")) != "")
-
-    base = last_wins(keyed(original), ["_key"], [seq]).withColumn("_hash", F.xxhash64("_key"))
-    news = (
-        keyed(processed)
-        .groupBy("_key")
-        .agg(F.max_by(F.struct(*overlay), F.col(seq)).alias("_new"))
-        .withColumn("_hash", F.xxhash64("_key"))
-    )
+        rows = df.withColumn("_key", strip(statement)).where(F.coalesce("_key", F.lit("")) != "")
+        return rows.withColumn("_hash", F.xxhash64("_key"))
+
+    # Grouping and joining use the same two columns, so each side is shuffled once.
+    base = last_wins(keyed(original), ["_hash", "_key"], [seq])
+    news = keyed(processed).groupBy("_hash", "_key").agg(F.max_by(F.struct(*overlay), F.col(seq)).alias("_new"))
     joined = base.join(news, ["_hash", "_key"], "left")
     found = F.col("_new").isNotNull()
     out = {

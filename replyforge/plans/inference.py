@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from replyforge.operators.bestofn import MODES
 from replyforge.operators.checkpoints import (
     finalize_output,
-    fresh_rows,
     limit_inputs,
     merge_checkpoints,
-    requeue_processing,
-    reuse_completed,
+    resume_inputs,
     split_empty_prompts,
 )
 from replyforge.plans.collect import collect_responses
@@ -42,12 +40,11 @@ def run_inference(
     done: list[DataFrame] = []
     todo = inputs
     if checkpoints:
-        # Read several times below, and small next to the inputs: one row per id.
-        saved = materialize(merge_checkpoints(checkpoints, id_col, has_processor=has_processor), "checkpoint")
-        completed = saved.where(F.col("bucket") == "completed")
-        done.append(reuse_completed(inputs.join(completed.select(id_col), id_col, "left_semi"), saved, id_col).drop("reused"))
-        again = requeue_processing(inputs, saved, id_col).drop("seq")
-        todo = fresh_rows(inputs, saved, id_col).unionByName(again, allowMissingColumns=True)
+        saved = merge_checkpoints(checkpoints, id_col, has_processor=has_processor)
+        # Read once for the finished rows and once per model round, so the join runs only here.
+        rows = materialize(resume_inputs(inputs, saved, id_col), "resume")
+        done.append(rows.where(F.col("action") == "reuse").drop("action"))
+        todo = rows.where(F.col("action") != "reuse").drop("action")
     todo, empty = split_empty_prompts(todo)
     done.append(empty)
     todo = limit_inputs(todo, infer_limit, [id_col])

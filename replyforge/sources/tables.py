@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import basename
+from replyforge.operators.skew import lookup_join, with_running
 
 
 def read_statements(spark: SparkSession, path: str) -> DataFrame:
@@ -54,17 +55,14 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", name_col:
 
 
 def _with_parquet_row_id(table: DataFrame) -> DataFrame:
-    files = sorted(table.inputFiles())
-    if len(files) <= 1:
+    if len(table.inputFiles()) <= 1:
         return table.withColumn("_rowid", F.col("_metadata.row_index"))
-    # One row per file of a listing the driver already holds; Spark decides whether it is small
-    # enough to broadcast.
-    listing = table.sparkSession.createDataFrame(
-        [(f.rsplit("/", 1)[-1], i) for i, f in enumerate(files)], "_file string, _ordinal bigint"
-    )
-    marked = table.select("*", F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_name").alias("_file"))
+    # One row per file; no data column is read for it, and Spark decides whether to broadcast it.
+    files = table.select(F.col("_metadata.file_path").alias("_file")).distinct()
+    listing = with_running(files, [], ["_file"], row_number="_ordinal")
+    marked = table.select("*", F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_path").alias("_file"))
     return (
-        marked.join(listing, "_file")
-        .withColumn("_rowid", F.shiftleft("_ordinal", 32) + F.col("_row"))
-        .drop("_file", "_ordinal", "_row")
+        lookup_join(marked, listing, ["_file"], "inner")
+        .withColumn("_rowid", F.shiftleft(F.col("_ordinal") - 1, 32) + F.col("_row"))
+        .select(*table.columns, "_rowid")
     )

@@ -310,3 +310,15 @@ def test_profile_is_one_pass(spark):
     assert profile.column_profile(frame, 2).count() == 2
     assert profile.sample_rows(frame, max_total=1) is None
     assert profile.sample_rows(frame, rows=1).count() == 1
+
+
+def test_hot_rows_too_large_to_copy_are_joined_by_shuffle(spark, monkeypatch):
+    from replyforge.operators import skew
+
+    _, frame = skewed(spark)
+    right = spark.createDataFrame([("hot", "x" * 500), ("k1", "y"), ("k2", "z" * 90)], "query_id string, v string")
+    plain = frame.join(right, "query_id", "left")
+    for budget in (0, 100, 10_000):
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", budget)
+        got = lookup_join(frame, right, ["query_id"], "left", hot_rows=3)
+        assert rows(got, *plain.columns) == rows(plain, *plain.columns)
