@@ -17,8 +17,10 @@ def last_wins(df: DataFrame, ids: Sequence[str], seq: Sequence[str]) -> DataFram
 
     ``max_by`` combines map-side: a hot id sends one row per task. Rows with a null id are one group.
     """
-    picked = df.groupBy(*ids).agg(F.max_by(F.struct(*df.columns), F.struct(*seq)).alias("_row"))
-    return picked.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+    others = [c for c in df.columns if c not in ids]
+    # The id columns stay the grouping columns, so that a later join on them needs no second shuffle.
+    picked = df.groupBy(*ids).agg(F.max_by(F.struct(*others), F.struct(*seq)).alias("_row"))
+    return picked.select(*[F.col(c) if c in ids else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def classify_checkpoint(df: DataFrame, has_processor: bool, sets: StatusSets = STATUSES) -> DataFrame:

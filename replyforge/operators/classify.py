@@ -68,7 +68,7 @@ def classify_text(docs: DataFrame, model: DataFrame, ids: Sequence[str], text: s
     Documents without text or without any known token get no row here; they still count in the
     retention figures, which start from the raw lines. Equal probabilities go to the greater label.
     """
-    scored = label_scores(docs.where(F.col(text).isNotNull()), model, ids, text)
+    scored = label_scores(docs, model, ids, text)
     top = F.array_max(F.transform("logits", lambda x: F.struct(x["z"].alias("z"), x["label"].alias("label"))))
     total = F.aggregate("logits", F.lit(0.0), lambda acc, x: acc + F.exp(x["z"] - F.col("_top")["z"]))
     return (

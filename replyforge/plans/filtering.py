@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.flags import variant_string
+from replyforge.functions.text import is_blank
 from replyforge.operators.classify import classify_text, keep_positive, retention_by_file, write_filter_report
 from replyforge.operators.skew import lookup_join
 from replyforge.sources.jsonl import parse_lines, scan_dir
@@ -22,15 +23,19 @@ def filter_lines(lines: DataFrame, model: DataFrame, min_confidence: float = 0.0
     """Retained lines (``source_file``, ``value`` with its new ``score``) and retention per file.
 
     ``lines`` has ``value`` and ``source_file``. Equal lines get equal scores, so a line is known by a pair
-    of hashes: copies are scored once, and only hashes and scores travel to find them.
+    of hashes. Copies need not be removed first: their words only repeat in a mean. The texts are not
+    shuffled for scoring, each line sends one small row.
     """
-    parsed = parse_lines(lines).withColumn("text", variant_string("record", "text"))
-    keyed = parsed.withColumns({"_h1": F.xxhash64("value"), "_h2": F.xxhash64(F.reverse("value"), F.length("value"))})
-    texts = keyed.where(F.col("text").isNotNull()).groupBy("_h1", "_h2").agg(F.first("text").alias("text"))
+    keyed = lines.where(~is_blank("value")).withColumns(
+        {"_h1": F.xxhash64("value"), "_h2": F.xxhash64(F.lit(1), "value")}
+    )
+    texts = parse_lines(keyed).withColumn("text", variant_string("record", "text"))
     scores = keep_positive(classify_text(texts, model, ["_h1", "_h2"]), 1, min_confidence)
     marked = lookup_join(keyed, scores, ["_h1", "_h2"], "left")
     found = F.col("score").isNotNull()
-    kept = marked.where(found).select("source_file", with_score(F.col("record"), F.col("score")).alias("value"))
+    kept = parse_lines(marked.where(found)).select(
+        "source_file", with_score(F.col("record"), F.col("score")).alias("value")
+    )
     return kept, retention_by_file(marked, found)
 
 
