@@ -6,22 +6,29 @@ from replyforge.operators import checkpoints as C
 from replyforge.operators.skew import lookup_join
 from suite.base import query
 
-_SLICES = ((2, 0), (3, 0), (5, 0), (7, 0))  # every n-th document, from lowest to highest precedence
+# Four checkpoint files from lowest to highest precedence; each holds a record for every document, of which
+# only each n-th has a response.
+_ANSWERED = (2, 3, 5, 7)
 
 
 def _sources(t):
     saved = t["saved"]
-    out = []
-    for rank, (n, r) in enumerate(_SLICES):
-        part = saved.where(f"doc_id % {n} = {r}")
-        out.append(part.withColumn("status", F.when(F.col("doc_id") % 4 == rank, F.lit("processing")).otherwise(F.col("status"))))
-    return out
+    return [
+        saved.withColumns(
+            {
+                "response": F.when(F.col("doc_id") % n == 0, F.concat(F.lit(f"{rank}:"), "lang")),
+                "status": F.when(F.col("doc_id") % 4 == rank, F.lit("processing")).otherwise(F.col("status")),
+            }
+        )
+        for rank, n in enumerate(_ANSWERED)
+    ]
 
 
 _UNION = " UNION ALL ".join(
-    f"""SELECT doc_id, id, seq, prompt, response, error, CASE WHEN doc_id % 4 = {rank} THEN 'processing' ELSE status END AS status, {rank} AS rank
-        FROM {{saved}} WHERE doc_id % {n} = {r}"""
-    for rank, (n, r) in enumerate(_SLICES)
+    f"""SELECT doc_id, id, seq, prompt, CASE WHEN doc_id % {n} = 0 THEN '{rank}:' || lang END AS response, error,
+               CASE WHEN doc_id % 4 = {rank} THEN 'processing' ELSE status END AS status, {rank} AS rank
+        FROM {{saved}}"""
+    for rank, n in enumerate(_ANSWERED)
 )
 _MERGED = f"""
     SELECT id, rank, prompt, response, status, bucket FROM (

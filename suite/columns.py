@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from replyforge.functions import flags, ids, text
+from replyforge.config import FieldNames
+from replyforge.functions import flags, ids, names, text
 from replyforge.operators.checkpoints import finalize_output as finalize
 from replyforge.operators.checkpoints import missing_responses as missing
 from replyforge.operators.checkpoints import shard as take_shard
 from replyforge.operators.checkpoints import split_empty_prompts
+from replyforge.sources.jsonl import parse_lines
 from suite.base import query
 
 
@@ -164,8 +166,6 @@ def shards_by_id(t):
 )
 def json_field_kinds(t):
     """Absent key, JSON null, number and text are told apart."""
-    from replyforge.sources.jsonl import parse_lines
-
     rows = parse_lines(t["raw_lines"]).where("is_object")
     value = flags.variant_string("record", "text")
     return rows.select(
@@ -177,3 +177,32 @@ def json_field_kinds(t):
         .otherwise(F.lit("text"))
         .alias("kind"),
     )
+
+
+@query(
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN true WHEN 1 THEN false END AS success,
+              CASE event_type WHEN 'view' THEN '' WHEN 'purchase' THEN 'r purchase' WHEN 'signup' THEN 'r signup' END AS response,
+              CASE event_type WHEN 'error' THEN 'e' || cast(event_id % 7 AS string) END AS error,
+              event_type IN ('purchase', 'signup') AS answered
+       FROM {verdict_lines}"""
+)
+def union_response_and_truth(t):
+    """A response that is text or an error object; only real booleans are verdicts."""
+    rows = flags.split_response(parse_lines(t["verdict_lines"]))
+    return rows.select(
+        "event_id",
+        flags.variant_boolean("record", "success").alias("success"),
+        "response",
+        "error",
+        flags.is_answered().alias("answered"),
+    )
+
+
+@query(
+    """SELECT cast(l_orderkey AS string) || '_' || cast(l_linenumber AS string) AS sample_id, l_comment AS response, l_partkey
+       FROM (SELECT *, l_returnflag || l_linestatus AS l_comment FROM {lineitem})"""
+)
+def configured_names(t):
+    config = FieldNames(response_key="answer", id_key=("l_orderkey", "l_linenumber"))
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", F.concat("l_returnflag", "l_linestatus").alias("answer"))
+    return names.use_operator_names(lines, config).select("sample_id", "response", "l_partkey")

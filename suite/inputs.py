@@ -63,6 +63,13 @@ INPUTS: dict[str, str | tuple[str, str]] = {
                CASE WHEN doc_id % 20 NOT IN (0, 1, 2, 4, 5, 6) THEN text END AS text,
                CASE WHEN doc_id % 20 NOT IN (0, 2, 4, 6) THEN source END AS source
         FROM {documents} WHERE doc_id % 20 <> 3""",
+    # ---- the union field and the truth values of verdict lines
+    "verdict_lines": """
+        SELECT event_id, '{{"id": "' || cast(user_id AS string) || '_' || cast(event_id AS string) || '", "response": ' ||
+               CASE event_type WHEN 'error' THEN '{{"error": "e' || cast(event_id % 7 AS string) || '"}}' WHEN 'view' THEN '""' WHEN 'click' THEN 'null' ELSE '"r ' || event_type || '"' END ||
+               CASE event_id % 6 WHEN 0 THEN ', "success": true' WHEN 1 THEN ', "success": false' WHEN 2 THEN ', "success": "false"' WHEN 3 THEN ', "success": 1' WHEN 4 THEN ', "success": null' ELSE '' END || '}}' AS value,
+               event_type
+        FROM {events}""",
     # ---- classifier: smoothed log-odds counted from labelled documents
     "token_counts": (
         """SELECT quality, token, count(*) AS n
@@ -124,7 +131,7 @@ INPUTS: dict[str, str | tuple[str, str]] = {
                CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'completed' WHEN 2 THEN 'processing' WHEN 3 THEN 'max_rounds' ELSE 'odd' END AS status
         FROM {documents}""",
     "saved": """
-        SELECT doc_id, cast(doc_id AS string) AS id, doc_id AS seq, 'saved ' || source AS prompt,
+        SELECT doc_id, lang, cast(doc_id AS string) AS id, doc_id AS seq, 'saved ' || source AS prompt,
                CASE doc_id % 4 WHEN 0 THEN NULL ELSE lang || ' reply' END AS response,
                CASE doc_id % 11 WHEN 0 THEN 'call failed' END AS error,
                CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'completed' WHEN 2 THEN 'processing' WHEN 3 THEN 'max_rounds' ELSE 'odd' END AS status

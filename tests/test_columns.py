@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from replyforge.config import FieldNames, load_config
-from replyforge.functions import flags, ids, text
+from replyforge.functions import flags, ids, names, text
 from replyforge.functions import render as R
 from replyforge.functions.replies import extract_json, valid_prediction
 from replyforge.operators.classify import label_number
@@ -223,3 +223,12 @@ def test_completeness(spark):
     frame = spark.createDataFrame(rows, "difficulty double, difficulty_rationale string")
     assert flags.filter_complete(frame).count() == 1
     assert flags.filter_incomplete(frame).count() == 4
+
+
+def test_names_there_and_back(spark):
+    config = FieldNames(response_key="answer", prompt_key="ask", id_key=("a", "b", "gone"), save_prompt=False)
+    frame = spark.createDataFrame([("x", 1, "r", "p", "keep")], "a string, b int, answer string, ask string, other string")
+    inside = names.use_operator_names(frame, config)
+    assert inside.columns == ["a", "b", "response", "prompt", "other", "sample_id"]
+    assert inside.first()["sample_id"] == "x_1"
+    assert names.use_configured_names(inside, config).columns == ["a", "b", "answer", "other"]
