@@ -84,7 +84,20 @@ def variant_has(record: Column | str, name: str) -> Column:
 
 
 def split_response(df: DataFrame, record: str = "record", response: str = "response", error: str = "error") -> DataFrame:
-    """Split the union field ``response`` (text or ``{"error": ...}``) into two text columns."""
-    return df.withColumn(error, F.try_variant_get(F.col(record), f"$.{response}.{error}", "string")).withColumn(
-        response, variant_string(record, response)
+    """Split the union field ``response`` (text or ``{"error": ...}``) into two text columns.
+
+    An object that has the error key, even with a null in it, is an error; any other object is an answer and kept
+    as JSON text (an empty one as empty text). Numbers and lists are no answer.
+    """
+    value = variant_field(record, response)
+    is_object = variant_kind(value).startswith("OBJECT")
+    failed = F.try_variant_get(value, f"$.{error}", "variant").isNotNull()
+    as_text = F.try_variant_get(value, "$", "string")
+    return df.withColumns(
+        {
+            error: F.when(failed, F.coalesce(F.try_variant_get(value, f"$.{error}", "string"), F.lit("null"))),
+            response: F.when(variant_kind(value) == "STRING", as_text).when(
+                is_object & ~F.coalesce(failed, F.lit(False)), F.when(F.to_json(value) == "{}", "").otherwise(F.to_json(value))
+            ),
+        }
     )

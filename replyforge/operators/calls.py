@@ -157,11 +157,14 @@ def fetch(
     partitions: int | None = None,
     threads: int = 32,
     timeout: float = 30.0,
+    tries: int = 1,
+    delay: float = 1.5,
+    backoff: float = 1.5,
 ) -> DataFrame:
     """Add ``success``, ``skipped``, ``size`` and ``error`` to a plan with ``url`` and ``target``.
 
     ``fetcher()`` returns ``call(url, target) -> size``. A row never raises; an item slower than
-    ``timeout`` seconds counts as failed. Rows are spread by the hash of their target, so the files of
+    ``timeout`` seconds, all its tries together, counts as failed. Rows are spread by the hash of their target, so the files of
     one large repository do not end up in one task.
     """
     names = ["success", "skipped", "size", "error"]
@@ -169,6 +172,14 @@ def fetch(
     spread = plan.repartition(partitions, "target") if partitions else plan.repartition("target")
     base, schema = _with_columns(spread, list(zip(names, kinds)))
 
+    def try_call(call: Callable[[str, str], int], url: str, target: str) -> int:
+        for turn in range(tries - 1):
+            try:
+                return call(url, target)
+            except Exception:  # noqa: BLE001
+                time.sleep(delay * backoff**turn)
+        return call(url, target)
+
     def outcome(waiting) -> tuple:
         try:
             return True, False, int(waiting.result(timeout=timeout)), None
@@ -186,7 +197,7 @@ def fetch(
         for batch in _slices(batches, threads):
             # One wave holds at most as many items as there are threads, so waiting starts when work does.
             pairs = zip(batch.column("url").to_pylist(), batch.column("target").to_pylist())
-            waiting = [pool.submit(call, url, target) for url, target in pairs]
+            waiting = [pool.submit(try_call, call, url, target) for url, target in pairs]
             results = [outcome(w) for w in waiting]
             if any(r[3] and r[3].startswith("no answer") for r in results):
                 pool.shutdown(wait=False)

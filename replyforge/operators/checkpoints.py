@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyforge.config import StatusSets
 from replyforge.functions.flags import STATUSES, checkpoint_bucket, has_status, is_answered
-from replyforge.operators.skew import lookup_join
+from replyforge.operators.skew import lookup_join, with_running
 
 
 def last_wins(df: DataFrame, ids: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -113,11 +113,18 @@ def split_empty_prompts(df: DataFrame, prompt: str = "prompt") -> tuple[DataFram
     return df.where(~empty), df.where(empty).withColumn("response", F.lit(""))
 
 
-def limit_inputs(df: DataFrame, n: int | None, order: Sequence[str], zero_means_all: bool = False) -> DataFrame:
-    """First ``n`` rows in a stated order, taken after finished rows were skipped."""
+def limit_inputs(
+    df: DataFrame, n: int | None, order: Sequence[str], zero_means_all: bool = False, top_n: int = 100_000
+) -> DataFrame:
+    """First ``n`` rows in a stated order, taken after finished rows were skipped.
+
+    A small limit is a top-n; a large one numbers the rows, as a top-n would bring them all into one task.
+    """
     if n is None or (zero_means_all and n == 0):
         return df
-    return df.orderBy(*order).limit(n)
+    if n <= top_n:
+        return df.orderBy(*order).limit(n)
+    return with_running(df, [], order, row_number="_n").where(F.col("_n") <= n).drop("_n")
 
 
 def shard(df: DataFrame, index: int, world_size: int, id_col: str | None = None) -> DataFrame:

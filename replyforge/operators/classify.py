@@ -92,28 +92,43 @@ def filter_documents(
     return docs.drop("score").join(scores, list(ids))
 
 
-def retention_by_file(lines: DataFrame, retained: Column | str = "retained", source: str = "source_file") -> DataFrame:
+def retention_by_file(
+    lines: DataFrame,
+    retained: Column | str = "retained",
+    source: str = "source_file",
+    files: DataFrame | None = None,
+) -> DataFrame:
     """Lines, retained lines and rate per file.
 
-    ``lines`` holds every non-blank line, malformed ones and those without text included.
+    ``lines`` holds every non-blank line, malformed ones and those without text included. ``files`` lists the file
+    names, so that a file without any line is reported too.
     """
     counted = lines.groupBy(source).agg(
         F.count("*").alias("total"), F.count_if(F.coalesce(_col(retained), F.lit(False))).alias("retained")
     )
+    if files is not None:
+        zero = F.lit(0).cast("bigint")
+        empty = files.select(F.col(source), zero.alias("total"), zero.alias("retained"))
+        counted = counted.unionByName(empty).groupBy(source).agg(F.sum("total").alias("total"), F.sum("retained").alias("retained"))
     return counted.withColumn("retention_rate", percent(F.col("retained"), F.col("total")))
 
 
-def retention_summary(per_file: DataFrame, failed_files: int = 0) -> DataFrame:
-    """One row over all files; the rate is rounded to two digits."""
-    sums = per_file.agg(
-        F.count("*").alias("successful_files"),
+def retention_summary(per_file: DataFrame, failed: DataFrame | None = None, source: str = "source_file") -> DataFrame:
+    """One row over all files; ``failed`` names those that could not be read. The rate is rounded to two digits."""
+    done = per_file.select("total", "retained", F.lit(1).alias("ok"))
+    if failed is not None:
+        none = F.lit(None).cast("bigint")
+        done = done.unionByName(failed.select(none.alias("total"), none.alias("retained"), F.lit(0).alias("ok")))
+    sums = done.agg(
+        F.count("*").alias("total_files"),
+        F.coalesce(F.sum("ok"), F.lit(0)).alias("successful_files"),
         F.coalesce(F.sum("total"), F.lit(0)).alias("total_lines"),
         F.coalesce(F.sum("retained"), F.lit(0)).alias("retained_lines"),
     )
     return sums.select(
-        (F.col("successful_files") + failed_files).alias("total_files"),
+        "total_files",
         "successful_files",
-        F.lit(failed_files).alias("failed_files"),
+        (F.col("total_files") - F.col("successful_files")).alias("failed_files"),
         "total_lines",
         "retained_lines",
         round_even(percent(F.col("retained_lines"), F.col("total_lines")), 2).alias("overall_retention_rate"),
@@ -129,9 +144,12 @@ def cumulative_retention(per_file: DataFrame, source: str = "source_file", max_g
     )
 
 
-def filter_report(per_file: DataFrame, failed_files: int = 0, source: str = "source_file") -> DataFrame:
-    """Flat report: one ``summary`` row plus one ``file`` row per file, so that it grows as a table."""
-    summary = retention_summary(per_file, failed_files).select(
+def filter_report(per_file: DataFrame, failed: DataFrame | None = None, source: str = "source_file") -> DataFrame:
+    """Flat report: a ``summary`` row, a ``file`` row per file and a ``failed`` row per unreadable file.
+
+    Rows instead of one nested value, so that it grows as a table.
+    """
+    summary = retention_summary(per_file, failed, source).select(
         F.lit("summary").alias("section"),
         F.lit(None).cast("string").alias("filename"),
         F.col("total_lines").alias("total"),
@@ -147,10 +165,16 @@ def filter_report(per_file: DataFrame, failed_files: int = 0, source: str = "sou
         "retention_rate",
         F.lit(1).cast("bigint").alias("files"),
     )
-    return summary.unionByName(details)
+    report = summary.unionByName(details)
+    if failed is None:
+        return report
+    names = failed.select(F.lit("failed").alias("section"), F.col(source).alias("filename"))
+    return report.unionByName(names, allowMissingColumns=True)
 
 
-def write_filter_report(per_file: DataFrame, path: str, failed_files: int = 0) -> None:
-    """``summary`` as one JSON row, ``file_details`` as JSON lines next to it."""
-    retention_summary(per_file, failed_files).write.mode("overwrite").json(f"{path}/summary")
+def write_filter_report(per_file: DataFrame, path: str, failed: DataFrame | None = None) -> None:
+    """``summary`` as one JSON row, ``file_details`` and ``failed_files`` as JSON lines next to it."""
+    retention_summary(per_file, failed).write.mode("overwrite").json(f"{path}/summary")
     per_file.write.mode("overwrite").json(f"{path}/file_details")
+    if failed is not None:
+        failed.write.mode("overwrite").json(f"{path}/failed_files")

@@ -69,18 +69,25 @@ def skip_fetched(plan: DataFrame, existing: DataFrame, keys: Sequence[str] = KEY
     return lookup_join(plan, have.drop("size"), keys, "left_anti").select(plan.columns), there
 
 
-def fetch_stats(outcomes: DataFrame, source: str = "manifest") -> DataFrame:
-    """Figures per manifest; ``success`` only when nothing failed."""
+def fetch_stats(outcomes: DataFrame, source: str = "manifest", manifests: DataFrame | None = None) -> DataFrame:
+    """Figures per manifest; ``success`` only when nothing failed.
+
+    ``manifests`` lists the manifests of the run: one without rows is done as well.
+    """
     ok = F.coalesce(F.col("success"), F.lit(False))
     skipped = F.coalesce(F.col("skipped"), F.lit(False))
+    rows = outcomes.withColumn("_row", F.lit(1))
+    if manifests is not None:
+        rows = rows.unionByName(manifests.select(source), allowMissingColumns=True)
+    ok, skipped, row = ok & F.col("_row").isNotNull(), skipped & F.col("_row").isNotNull(), F.col("_row").isNotNull()
     return (
-        outcomes.groupBy(source)
+        rows.groupBy(source)
         .agg(
-            F.count("*").alias("total_files"),
+            F.count("_row").alias("total_files"),
             F.count_if(ok).alias("successful"),
             F.count_if(ok & ~skipped).alias("new_files"),
             F.count_if(ok & skipped).alias("skipped_files"),
-            F.count_if(~ok).alias("failed"),
+            F.count_if(row & ~ok).alias("failed"),
             F.coalesce(F.sum(F.when(ok, F.col("size"))), F.lit(0)).alias("total_size"),
         )
         .withColumn("success", F.col("failed") == 0)

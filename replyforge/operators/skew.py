@@ -17,6 +17,8 @@ HOT_ROWS = 2_000_000
 MAX_HOT = 4096
 # Right-hand rows of hot keys are copied to the executors up to this many bytes.
 BROADCAST_BYTES = 256 * 1024 * 1024
+# Largest limit Spark applies before the shuffle (default of spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
 # Upper limit for the ranges a table is cut into.
 MAX_RANGES = 20_000
 
@@ -78,12 +80,15 @@ def _within_budget(right: DataFrame, hot: DataFrame, keys: list[str]) -> DataFra
     return absent.unionByName(hot.sparkSession.createDataFrame(fitting, schema))
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], limit: int) -> DataFrame:
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group with their rank as ``rank``.
 
     Spark cuts each group to ``limit`` rows inside every map task before the shuffle, so a hot group
-    sends ``limit`` rows per task and no more.
+    sends ``limit`` rows per task and no more. It does so up to ``GROUP_LIMIT`` rows; beyond that, rows are
+    ranked in full.
     """
+    if limit > GROUP_LIMIT:
+        return with_running(df, keys, order, row_number="rank").where(F.col("rank") <= limit)
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("rank") <= limit)
 

@@ -34,6 +34,7 @@ def acquire(
     fetcher: Callable[[], Callable[[str, str], int]],
     existing: DataFrame | None = None,
     partitions: int | None = None,
+    manifests: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Outcome rows, figures per manifest and the ledger entries of the manifests that are done."""
     plan = fetch_plan(manifest, root)
@@ -42,7 +43,7 @@ def acquire(
         plan, there = skip_fetched(plan, existing)
     fetched = fetch(plan, fetcher, partitions)
     outcomes = materialize(fetched if there is None else fetched.unionByName(there), "fetched")
-    stats = fetch_stats(outcomes)
+    stats = fetch_stats(outcomes, manifests=manifests)
     return outcomes, stats, ledger_entries(stats)
 
 
@@ -56,4 +57,4 @@ def acquire_group(
     wanted = chosen.select(basename("file").alias("manifest"))
     # A group holds at most 50 files, so this table is small by construction.
     rows = read_manifest(spark, folder).join(F.broadcast(wanted), "manifest", "left_semi")
-    return acquire(rows, root, fetcher, **options)
+    return acquire(rows, root, fetcher, manifests=wanted, **options)

@@ -85,14 +85,14 @@ def _summarise(spark, path, schema, finished_early, id_col, carried) -> DataFram
     """Join nothing: a sample's rounds are grouped once, its last round holds its final state."""
     others = [c for c in carried if c != id_col]
     parts = finished_early.select(
-        id_col, F.struct(*others).alias("_sample"), "_kept", "round", "status", F.lit(0).alias("turn"), F.lit(None).cast("string").alias("response")
+        id_col, F.struct(*others).alias("_sample"), "_kept", "round", "status", F.lit(0).alias("turn"), F.lit(None).cast("string").alias("response"), F.lit(False).alias("_got")
     )
     if schema is not None:
         log = spark.read.schema(T.StructType([*schema.fields, T.StructField("turn", T.IntegerType())])).parquet(path)
         parts = parts.unionByName(
-            log.select(id_col, F.struct(*others).alias("_sample"), "_kept", "round", "status", "turn", "response")
+            log.select(id_col, F.struct(*others).alias("_sample"), "_kept", "round", "status", "turn", "response", F.col("error").isNull().alias("_got"))
         )
-    got = F.array_sort(F.collect_list(F.when(F.col("response").isNotNull(), F.struct("turn", "response"))))
+    got = F.array_sort(F.collect_list(F.when(F.col("_got"), F.struct("turn", "response"))))
     last = F.max_by(F.struct("_sample", "_kept", "round", "status"), F.col("turn")).alias("_last")
     grouped = parts.groupBy(id_col).agg(last, F.transform(got, lambda g: g["response"]).alias("_new"))
     return grouped.select(

@@ -9,7 +9,7 @@ from replyforge.functions.flags import variant_string
 from replyforge.functions.text import is_blank
 from replyforge.operators.classify import classify_text, keep_positive, retention_by_file, write_filter_report
 from replyforge.operators.skew import lookup_join
-from replyforge.sources.jsonl import parse_lines, scan_dir
+from replyforge.sources.jsonl import list_files, parse_lines, scan_dir
 from replyforge.sources.storage import materialize
 
 
@@ -19,10 +19,12 @@ def with_score(record: Column, score: Column) -> Column:
     return F.to_json(F.map_concat(fields, F.create_map(F.lit("score"), F.parse_json(score.cast("string")))))
 
 
-def filter_lines(lines: DataFrame, model: DataFrame, min_confidence: float = 0.0) -> tuple[DataFrame, DataFrame]:
+def filter_lines(
+    lines: DataFrame, model: DataFrame, min_confidence: float = 0.0, files: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Retained lines (``source_file``, ``value`` with its new ``score``) and retention per file.
 
-    ``lines`` has ``value`` and ``source_file``. Equal lines get equal scores, so a line is known by a pair
+    ``lines`` has ``value`` and ``source_file``; ``files`` adds the files without lines to the figures. Equal lines get equal scores, so a line is known by a pair
     of hashes. Copies need not be removed first: their words only repeat in a mean. The texts are not
     shuffled for scoring, each line sends one small row.
     """
@@ -36,12 +38,12 @@ def filter_lines(lines: DataFrame, model: DataFrame, min_confidence: float = 0.0
     kept = parse_lines(marked.where(found)).select(
         "source_file", with_score(F.col("record"), F.col("score")).alias("value")
     )
-    return kept, retention_by_file(marked, found)
+    return kept, retention_by_file(marked, found, files=files)
 
 
 def filter_folder(spark: SparkSession, src: str, out: str, model: DataFrame, min_confidence: float = 0.0) -> DataFrame:
     """Filter every ``*.jsonl`` of a folder; write the lines by source and the report; return the figures."""
-    kept, per_file = filter_lines(scan_dir(spark, src), model, min_confidence)
+    kept, per_file = filter_lines(scan_dir(spark, src), model, min_confidence, list_files(spark, src))
     kept.write.mode("overwrite").partitionBy("source_file").text(f"{out}/records")
     figures = materialize(per_file, "retention")
     write_filter_report(figures, f"{out}/report")

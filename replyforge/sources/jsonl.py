@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyforge.functions.flags import variant_boolean, variant_string
+from replyforge.functions.ids import parse_attempt_id
 from replyforge.functions.jsontext import OBJECT_START, strict_json
 from replyforge.functions.text import is_blank
 from replyforge.operators.checkpoints import last_wins
@@ -62,6 +64,25 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
     return Lines(rows, parsed.where("NOT is_object").select("value"))
 
 
+def read_verdicts(spark: SparkSession, path: str) -> Lines:
+    """Attempt verdicts: ``query_id``, ``response_idx``, ``success``.
+
+    A line is rejected when it is no object, its id is no text of the form ``<query>_<integer>``, or its success is no
+    boolean.
+    """
+    return verdict_rows(parse_lines(spark.read.text(path)))
+
+
+def verdict_rows(parsed: DataFrame, column: str = "value") -> Lines:
+    """:func:`read_verdicts` over lines that :func:`parse_lines` has seen."""
+    record = F.col("record")
+    typed = parsed.select("*", variant_string(record, "id").alias("id"), variant_boolean(record, "success").alias("success"))
+    marked = parse_attempt_id(typed)
+    good = F.col("is_object") & F.col("response_idx").isNotNull() & F.col("success").isNotNull()
+    rows = marked.where(good).select("query_id", "response_idx", "success")
+    return Lines(rows, marked.where(~F.coalesce(good, F.lit(False))).select(column))
+
+
 def resolve_json_path(spark: SparkSession, path: str) -> str:
     """``<path>.json``, then ``<path>.jsonl``, then the path itself if it has such an ending."""
     for ending in (".json", ".jsonl"):
@@ -116,6 +137,15 @@ def lookup_idx(df: DataFrame, idx=None, order: str | None = None) -> DataFrame:
     return hit
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
+    """``source_file`` of every matching file directly in a folder, files of no bytes included.
+
+    The names come from the listing Spark's driver makes for any read of the folder; nothing is read.
+    """
+    found = spark.read.option("pathGlobFilter", pattern).text(path).inputFiles()
+    return spark.createDataFrame([(unquote(f.rsplit("/", 1)[-1]),) for f in found], "source_file string")
+
+
 def scan_dir(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """Raw lines of every ``*.jsonl`` directly in a folder, with the file name of each line.
 

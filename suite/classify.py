@@ -58,6 +58,11 @@ _PER_FILE = f"""
     FROM {{line_facts}} LEFT JOIN ({_LINES}) USING (doc_id) GROUP BY source_file"""
 
 
+def _failed(t):
+    """Files nobody could read, one per region."""
+    return t["region"].select(F.concat(F.lower("r_name"), F.lit(".jsonl")).alias("source_file"))
+
+
 def _per_file(t):
     return filter_lines(t["raw_lines"].select("value", "source_file"), _model(t))[1]
 
@@ -76,14 +81,14 @@ def retention_by_file(t):
 
 
 _SUMMARY = f"""
-    SELECT count(*) + 2 AS total_files, count(*) AS successful_files, 2 AS failed_files, cast(sum(total) AS bigint) AS total_lines,
+    SELECT count(*) + (SELECT count(*) FROM {{region}}) AS total_files, count(*) AS successful_files, (SELECT count(*) FROM {{region}}) AS failed_files, cast(sum(total) AS bigint) AS total_lines,
            cast(sum(retained) AS bigint) AS retained_lines, cast(printf('%.2f', sum(retained) / sum(total) * 100) AS double) AS overall_retention_rate
     FROM ({_PER_FILE})"""
 
 
 @query(_SUMMARY)
 def retention_summary(t):
-    return K.retention_summary(_per_file(t), failed_files=2)
+    return K.retention_summary(_per_file(t), _failed(t))
 
 
 _RUNNING = f"""
@@ -99,7 +104,8 @@ def cumulative_retention(t):
 
 @query(
     f"""SELECT 'summary' AS section, NULL AS filename, total_lines AS total, retained_lines AS retained, overall_retention_rate AS retention_rate, total_files AS files
-        FROM ({_SUMMARY}) UNION ALL SELECT 'file', source_file, total, retained, retention_rate, 1 FROM ({_PER_FILE})"""
+        FROM ({_SUMMARY}) UNION ALL SELECT 'file', source_file, total, retained, retention_rate, 1 FROM ({_PER_FILE})
+        UNION ALL SELECT 'failed', lower(r_name) || '.jsonl', NULL, NULL, NULL, NULL FROM {{region}}"""
 )
 def filter_report(t):
-    return K.filter_report(materialize(_per_file(t), "retention"), failed_files=2)
+    return K.filter_report(materialize(_per_file(t), "retention"), _failed(t))

@@ -162,3 +162,18 @@ def preview(t):
 def materialize_table(t):
     """A written intermediate table gives back what went in."""
     return materialize(t["turns"], "turns")
+
+
+_VERDICT = "event_id % 6 IN (0, 1)"
+
+
+@query(f"SELECT split_part(id, '_', 1) AS query_id, event_id AS response_idx, event_id % 6 = 0 AS success FROM {{verdict_lines}} JOIN {{attempts}} ON event_id = response_idx WHERE {_VERDICT}")
+def read_verdicts(t):
+    path = new_path(t.spark, "verdicts")
+    t["verdict_lines"].select("value").write.text(path)
+    return jsonl.read_verdicts(t.spark, path).rows
+
+
+@query(f"SELECT count(*) AS rejects FROM {{verdict_lines}} WHERE NOT ({_VERDICT})")
+def read_verdicts_rejects(t):
+    return jsonl.verdict_rows(jsonl.parse_lines(t["verdict_lines"])).rejects.agg(F.count("*").alias("rejects"))

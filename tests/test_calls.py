@@ -159,8 +159,8 @@ def test_acquire_group_reads_only_open_manifests(spark, tmp_path):
         return call
 
     outcomes, stats, done = acquire_group(spark, str(folder), 0, "/out", factory, ledger)
-    assert rows(stats, "manifest", "total_files", "failed") == [("a.parquet", 2, 0), ("c.parquet", 2, 2)]
-    assert rows(done, "parquet_filename") == [("a.parquet",)]
+    assert rows(stats, "manifest", "total_files", "failed") == [("a.parquet", 2, 0), ("c.parquet", 2, 2), ("empty.parquet", 0, 0)]
+    assert rows(done, "parquet_filename") == [("a.parquet",), ("empty.parquet",)]
     # Equal paths of two repositories have targets of their own.
     assert outcomes.select("target").distinct().count() == 4
 

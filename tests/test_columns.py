@@ -11,7 +11,7 @@ from replyforge.functions import render as R
 from replyforge.functions.replies import extract_json, valid_prediction
 from replyforge.operators.classify import label_number
 from replyforge.operators.reply_text import find_json
-from replyforge.sources.jsonl import parse_lines, typed_rows
+from replyforge.sources.jsonl import parse_lines, typed_rows, verdict_rows
 
 
 def column(spark, values, expression, kind="string"):
@@ -77,12 +77,21 @@ def test_response_union_and_truth(spark):
         '{"id": "4", "response": null}',
         '{"id": 5, "success": 1}',
         '{"id": "6", "response": "{\\"error\\": 1}"}',
+        '{"id": "7", "response": {"error": null}}',
+        '{"id": "8", "response": {"text": "t"}}',
+        '{"id": "9", "response": {}}',
+        '{"id": "10", "response": ["x"]}',
+        '{"id": "11", "response": 5}',
     ]
     frame = parse_lines(spark.createDataFrame([(v,) for v in lines], "value string"))
     rows = flags.split_response(frame).withColumn("answered", flags.is_answered()).collect()
-    assert [r["answered"] for r in rows] == [True, False, False, False, False, True]
+    assert [r["answered"] for r in rows] == [True, False, False, False, False, True, False, True, False, False, False]
     assert rows[1]["error"] == "boom"
-    typed = typed_rows(frame, "id string, success boolean").collect()
+    assert rows[6]["error"] == "null" and rows[7]["response"] == '{"text":"t"}'
+    good = verdict_rows(frame.withColumn("record", F.parse_json(F.lit('{"id": "3_4", "success": true}'))))
+    assert good.rows.count() == 11 and good.rejects.count() == 0
+    assert verdict_rows(frame).rejects.count() == 11
+    typed = typed_rows(frame, "id string, success boolean").collect()[:6]
     assert [(r["id"], r["success"]) for r in typed] == [
         ("1", True), ("2", None), ("3", False), ("4", None), (None, None), ("6", None),
     ]

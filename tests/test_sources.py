@@ -143,9 +143,11 @@ def test_folder_filter(spark, tmp_path):
     src.mkdir()
     (src / "a.jsonl").write_text('{"text": "good good", "score": 7}\n{"text": "bad"}\nbroken\n\n{"x": 1}\n{"text": 5}\n')
     (src / "b.jsonl").write_text('{"text": "good good", "score": 7}\n' * 3)
+    (src / "c.jsonl").write_text("\n \n")
+    (src / "d é.jsonl").write_text("")
     model = spark.createDataFrame([("__label__1", "good", 1.0), ("__label__0", "good", -1.0), ("__label__1", "bad", -1.0), ("__label__0", "bad", 1.0)], "label string, token string, weight double")
     figures = filter_folder(spark, str(src), out, model)
-    assert rows(figures, "source_file", "total", "retained", "retention_rate") == [("a.jsonl", 5, 1, 20.0), ("b.jsonl", 3, 3, 100.0)]
+    assert rows(figures, "source_file", "total", "retained", "retention_rate") == [("a.jsonl", 5, 1, 20.0), ("b.jsonl", 3, 3, 100.0), ("c.jsonl", 0, 0, 0.0), ("d é.jsonl", 0, 0, 0.0)]
     kept = spark.read.schema("text string, score double, source_file string").json(out + "/records")
     assert rows(kept, "source_file", "text", "score") == [("a.jsonl", "good good", 0.8808)] + [("b.jsonl", "good good", 0.8808)] * 3
     assert spark.read.json(out + "/report/summary").first()["overall_retention_rate"] == 50.0
