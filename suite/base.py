@@ -12,6 +12,7 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from replyforge.shipping import ship
 from suite.inputs import INPUTS
 
 TABLES = (
@@ -80,7 +81,12 @@ def query(oracle: str | None = None):
         name = fn.__name__
         if name in QUERIES:
             raise ValueError(f"query {name} exists")
-        QUERIES[name] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark, "replyforge", "suite")
+            return fn(Inputs(spark, sf_dir))
+
+        QUERIES[name] = run
         if oracle:
             ORACLES[name] = duckdb_sql(oracle)
         return fn
