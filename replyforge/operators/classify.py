@@ -50,7 +50,11 @@ def label_scores(
     words = explode_tokens(docs, ids, text)
     # The table has at most one row per token, so this bounds what is copied without building it first.
     if model.count() * len(labels) <= broadcast_weights:
-        hits = words.join(F.broadcast(wide), "token")
+        # A number is looked up much faster than a word. Words that start with each other are equal; written like
+        # this, the check stays a check behind the lookup and does not become a second join key.
+        table = wide.withColumnRenamed("token", "_word").withColumn("_hash", F.xxhash64("_word"))
+        found = words.withColumn("_hash", F.xxhash64("token")).join(F.broadcast(table), "_hash")
+        hits = found.where(F.startswith("token", "_word") & F.startswith("_word", "token"))
     else:
         counted = words.groupBy(*ids, "token").agg(F.count("*").alias("_tf"))
         hits = lookup_join(counted, wide, ["token"], "inner")
