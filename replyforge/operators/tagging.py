@@ -137,7 +137,7 @@ def difficulty_distribution(items: DataFrame) -> DataFrame:
 def tagging_stats(total: int | Column, tagged: DataFrame) -> DataFrame:
     """Rows asked for, rows processed, successes and their share (0 when nothing was processed)."""
     ok = F.coalesce(F.col("success"), F.lit(False))
-    total = F.lit(total) if isinstance(total, int) else total
+    total = F.lit(total).cast("bigint") if isinstance(total, int) else total
     return tagged.agg(F.count("*").alias("processed"), F.count_if(ok).alias("success")).select(
         total.alias("total"),
         "processed",

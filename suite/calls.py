@@ -56,7 +56,7 @@ def difficulty_model():
 
 
 @query(
-    """SELECT uuid, formal_statement, CASE WHEN n % 5 < 3 THEN n % 10 + 0.5 END AS difficulty_score, coalesce(n % 5 < 3, false) AS success,
+    """SELECT uuid, formal_statement, cast(CASE WHEN n % 5 < 3 THEN n % 10 + 0.5 END AS double) AS difficulty_score, coalesce(n % 5 < 3, false) AS success,
               CASE WHEN n IS NULL THEN 'Empty formal statement' WHEN n % 5 = 3 THEN 'No valid JSON found in response' WHEN n % 5 = 4 THEN 'Missing expected key: Difficulty' END AS error
        FROM (SELECT cast(doc_id AS string) AS uuid, CASE WHEN doc_id % 9 = 0 THEN '' ELSE trim(text, ' ' || chr(10)) END AS formal_statement,
                     CASE WHEN doc_id % 9 <> 0 THEN length('Rate: ' || trim(text, ' ' || chr(10))) END AS n FROM {documents})"""

@@ -12,7 +12,7 @@ KEYS = ["Difficulty", "Rationale"]
 
 @query(
     """SELECT doc_id, CASE WHEN doc_id % 10 IN (0, 1, 2, 3, 7, 8) THEN 'object' WHEN doc_id % 10 = 6 THEN 'other' END AS kind,
-              CASE doc_id % 10 WHEN 0 THEN 0.5 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 8 THEN 8 END AS difficulty,
+              cast(CASE doc_id % 10 WHEN 0 THEN 0.5 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 8 THEN 8 END AS double) AS difficulty,
               CASE doc_id % 10 WHEN 1 THEN ' ' || source WHEN 7 THEN source WHEN 8 THEN lang END AS rationale,
               CASE WHEN doc_id % 10 = 0 THEN md5(reply) END AS whole
        FROM {replies} JOIN {documents} USING (doc_id, source)"""
@@ -46,7 +46,7 @@ _GOOD = "status = 'success' AND doc_id % 4 IN (2, 3)"
 @query(
     f"""SELECT uuid, CASE WHEN formal_statement = '   ' THEN '' ELSE formal_statement END AS formal_statement,
                CASE WHEN formal_statement <> '   ' THEN response END AS model_output,
-               CASE WHEN formal_statement <> '   ' AND {_GOOD} THEN quality * 3 + toxic + 0.5 END AS difficulty_score,
+               cast(CASE WHEN formal_statement <> '   ' AND {_GOOD} THEN quality * 3 + toxic + 0.5 END AS double) AS difficulty_score,
                coalesce(formal_statement <> '   ' AND {_GOOD}, false) AS success,
                CASE WHEN formal_statement = '   ' THEN 'Empty formal statement' WHEN coalesce({_GOOD}, false) THEN NULL ELSE coalesce(error, 'Prediction failed') END AS error
         FROM {{tag_asked}}"""
