@@ -127,12 +127,14 @@ def limit_inputs(
     return with_running(df, [], order, row_number="_n").where(F.col("_n") <= n).drop("_n")
 
 
-def shard(df: DataFrame, index: int, world_size: int, id_col: str | None = None) -> DataFrame:
-    """A reproducible subset: by row position of a one-file Parquet, or by the hash of an id.
+def shard(
+    df: DataFrame, index: int, world_size: int, id_col: str | None = None, position: str = "_position"
+) -> DataFrame:
+    """A reproducible subset: by a row position (``sources.tables.with_position``), or by the hash of an id.
 
     Not needed for parallel work, which comes from partitions.
     """
     if not 0 <= index < world_size:
         raise ValueError(f"shard {index} of {world_size}")
-    place = F.col("_metadata.row_index") if id_col is None else F.xxhash64(id_col)
+    place = F.col(position) if id_col is None else F.xxhash64(id_col)
     return df.where(F.pmod(place, F.lit(world_size)) == index)

@@ -25,27 +25,37 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def build_multimodal(df: DataFrame, images: DataFrame, id_col: str, parts: str = "parts") -> DataFrame:
-    """``items`` per id: image parts as base64 data URLs with low detail, the others as text, in order.
+def build_multimodal(df: DataFrame, images: DataFrame, parts: str = "parts") -> DataFrame:
+    """Add ``items``: image parts as base64 data URLs with low detail, the others as text, in order.
 
-    ``images`` has ``path`` and ``content``. A missing image fails the job, as nothing may be left out of a
-    prompt unnoticed. Only the items of one prompt come together in one row.
+    ``images`` has ``path`` and ``content``, one row per path. A missing image fails the job, as nothing may be left
+    out of a prompt unnoticed. Items depend on the part list alone: each distinct list, known by a pair of hashes,
+    is put together once, and only its own parts ever meet in one row.
     """
-    spread = df.select(id_col, F.posexplode_outer(parts).alias("_pos", "_part")).withColumn("_path", image_path("_part"))
+    lists = ["_p1", "_p2"]
+    keyed = df.withColumns({"_p1": F.xxhash64(parts), "_p2": F.xxhash64(F.lit(1), parts)})
+    distinct = keyed.groupBy(*lists).agg(F.first(parts).alias("_parts"))
+    spread = distinct.select(*lists, F.posexplode_outer("_parts").alias("_pos", "_part")).withColumn(
+        "_path", image_path("_part")
+    )
     # Each image is encoded once per file, however many prompts show it.
     urls = images.select(
         F.regexp_replace("path", "^file:/+", "/").alias("_path"),
         F.concat(F.lit("data:image/jpeg;base64,"), F.replace(F.base64("content"), F.lit("\r\n"), F.lit(""))).alias("_url"),
     )
     shown = lookup_join(spread.where(F.col("_path").isNotNull()), urls, ["_path"], "left")
-    checked = F.when(F.col("_url").isNull(), F.raise_error(F.concat(F.lit("no image "), F.col("_path")))).otherwise(F.col("_url"))
-    image_items = shown.select(id_col, "_pos", _item("image_url", image=checked, detail=F.lit("low")).alias("_item"))
-    text_items = spread.where(F.col("_path").isNull()).select(id_col, "_pos", _item("text", text=F.col("_part")).alias("_item"))
-    # A prompt without parts keeps its row, with no items.
+    missing = F.raise_error(F.concat(F.lit("no image "), F.col("_path")))
+    url = F.when(F.col("_url").isNull(), missing).otherwise(F.col("_url"))
+    image_items = shown.select(*lists, "_pos", _item("image_url", image=url, detail=F.lit("low")).alias("_item"))
+    text_items = spread.where(F.col("_path").isNull()).select(
+        *lists, "_pos", _item("text", text=F.col("_part")).alias("_item")
+    )
+    # An empty list keeps its row, with no items.
     ordered = F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_item"))))
-    return image_items.unionByName(text_items).groupBy(id_col).agg(
+    built = image_items.unionByName(text_items).groupBy(*lists).agg(
         F.transform(ordered, lambda x: x["_item"]).alias("items")
     )
+    return lookup_join(keyed, built, lists, "left").select(*df.columns, "items")
 
 
 def _item(kind: str, text: Column | None = None, image: Column | None = None, detail: Column | None = None) -> Column:

@@ -18,18 +18,18 @@ def best_of_n_loop(
     predictor: Callable[[], Callable],
     n: int,
     max_rounds: int,
-    id_col: str = "id",
     batch_size: int = 1500,
     run_path: str | None = None,
 ) -> DataFrame:
     """Call the model until every sample has ``n`` responses or gives up.
 
-    ``samples`` has one row per id with ``prompt``, optionally ``history``, ``status`` and the ``response_n`` of an
-    earlier run; a missing status or ``resume`` starts the error count at 0, kept responses stay.
-    Result: one row per id with ``response_n``, ``round`` and ``status``.
+    ``samples`` has ``prompt``, optionally ``history``, ``status`` and the ``response_n`` of an earlier run; a
+    missing status or ``resume`` starts the error count at 0, kept responses stay.
+    Result: every sample row with ``response_n``, ``round`` and ``status``. Rows need no id of their own: the first
+    round gives each a number, which from then on is part of the written data.
 
     Each round is a narrow job over the open rows only: it reads the round before, calls the model, and
-    writes its rows once. Nothing is shuffled until the end, when the at most ``n`` responses of an id
+    writes its rows once. Nothing is shuffled until the end, when the at most ``n`` responses of a sample
     meet. The extra call whose answer the rules would throw away in any case is not made. With a
     ``run_path`` of its own a run that was cut off goes on after its last complete round.
     """
@@ -38,15 +38,17 @@ def best_of_n_loop(
     start = _starting_state(samples)
     open_rows = _with_status(start, n, max_rounds)
     carried = [c for c in samples.columns if c not in ("response_n", "round", "status", "response", "error", "meta_response")]
-    state = [*carried, "_kept", "_ok", "round"]
+    state = [*carried, "_sample", "_kept", "_ok", "round"]
     schema = None
     turn = 0
     finished_early = open_rows.where(F.col("status") != "processing")
-    pending = open_rows.where(F.col("status") == "processing").select(*state)
+    pending = open_rows.where(F.col("status") == "processing")
     while not pending.isEmpty():
         turn += 1
         called = infer_batch(pending, predictor, batch_size)
-        stepped = _with_status(_step(called), n, max_rounds)
+        if turn == 1:
+            called = called.withColumn("_sample", F.monotonically_increasing_id())
+        stepped = _with_status(_step(called.select(*state, "response", "error")), n, max_rounds)
         target = f"{path}/turn={turn}"
         schema = stepped.schema
         if not path_exists(spark, f"{target}/_SUCCESS"):
@@ -54,7 +56,8 @@ def best_of_n_loop(
         pending = (
             spark.read.schema(schema).parquet(target).where(F.col("status") == "processing").select(*state)
         )
-    return _summarise(spark, path, schema, finished_early, id_col, carried)
+    early = finished_early.select(*carried, F.col("_kept").alias("response_n"), "round", "status")
+    return early if schema is None else _summarise(spark, path, schema, carried).unionByName(early)
 
 
 def _starting_state(samples: DataFrame) -> DataFrame:
@@ -81,23 +84,14 @@ def _with_status(df: DataFrame, n: int, max_rounds: int) -> DataFrame:
     )
 
 
-def _summarise(spark, path, schema, finished_early, id_col, carried) -> DataFrame:
+def _summarise(spark, path, schema, carried) -> DataFrame:
     """Join nothing: a sample's rounds are grouped once, its last round holds its final state."""
-    others = [c for c in carried if c != id_col]
-    parts = finished_early.select(
-        id_col, F.struct(*others).alias("_sample"), "_kept", "round", "status", F.lit(0).alias("turn"), F.lit(None).cast("string").alias("response"), F.lit(False).alias("_got")
-    )
-    if schema is not None:
-        log = spark.read.schema(T.StructType([*schema.fields, T.StructField("turn", T.IntegerType())])).parquet(path)
-        parts = parts.unionByName(
-            log.select(id_col, F.struct(*others).alias("_sample"), "_kept", "round", "status", "turn", "response", F.col("error").isNull().alias("_got"))
-        )
-    got = F.array_sort(F.collect_list(F.when(F.col("_got"), F.struct("turn", "response"))))
-    last = F.max_by(F.struct("_sample", "_kept", "round", "status"), F.col("turn")).alias("_last")
-    grouped = parts.groupBy(id_col).agg(last, F.transform(got, lambda g: g["response"]).alias("_new"))
+    log = spark.read.schema(T.StructType([*schema.fields, T.StructField("turn", T.IntegerType())])).parquet(path)
+    got = F.array_sort(F.collect_list(F.when(F.col("error").isNull(), F.struct("turn", "response"))))
+    last = F.max_by(F.struct(F.struct(*carried).alias("row"), "_kept", "round", "status"), F.col("turn")).alias("_last")
+    grouped = log.groupBy("_sample").agg(last, F.transform(got, lambda g: g["response"]).alias("_new"))
     return grouped.select(
-        id_col,
-        "_last._sample.*",
+        "_last.row.*",
         F.concat("_last._kept", "_new").alias("response_n"),
         F.col("_last.round").alias("round"),
         F.col("_last.status").alias("status"),
@@ -110,5 +104,4 @@ def collect_responses(
     """Best-of-N for the modes that keep state, a single call per row for all others."""
     if mode in MODES:
         return best_of_n_loop(samples, predictor, n, max_rounds, **options)
-    options.pop("id_col", None)
     return infer_batch(samples, predictor, **options)

@@ -51,7 +51,7 @@ def feedback_rounds(
     for turn in range(1, max_rounds + 1):
         target = f"{path}/round={turn}"
         asked = render_feedback(current, template).select("sample", "id", "lean_code", "prompt")
-        answered = best_of_n_loop(asked, predictor, n, max_errors, "sample", run_path=f"{path}-calls/round={turn}")
+        answered = best_of_n_loop(asked, predictor, n, max_errors, run_path=f"{path}-calls/round={turn}")
         tried = answered.select("id", "sample", "lean_code", F.posexplode("response_n").alias("_pos", "response"))
         verdicts = verify(tried, verifier).withColumnRenamed("response", "proof_of_last_round")
         silent = answered.where(F.size("response_n") == 0).select(

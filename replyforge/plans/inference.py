@@ -30,7 +30,7 @@ def run_inference(
     id_col: str = "id",
     batch_size: int = 1500,
 ) -> DataFrame:
-    """``inputs`` has one row per id with ``prompt``; ``checkpoints`` come from lowest to highest precedence.
+    """``inputs`` has the id and ``prompt``; ``checkpoints`` come from lowest to highest precedence.
 
     Completed ids give their saved record, unfinished ones go on from theirs, empty prompts are answered
     with an empty response, and only the rest reaches the model. The limit counts model rows; finished
@@ -48,7 +48,7 @@ def run_inference(
     todo, empty = split_empty_prompts(todo)
     done.append(empty)
     todo = limit_inputs(todo, infer_limit, [id_col])
-    result = collect_responses(todo, predictor, mode, n, max_rounds, id_col=id_col, batch_size=batch_size)
+    result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size)
     if not has_processor:
         result = materialize(result, "inference")
     for part in done:

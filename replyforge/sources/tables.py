@@ -66,3 +66,21 @@ def _with_parquet_row_id(table: DataFrame) -> DataFrame:
         .withColumn("_rowid", F.shiftleft(F.col("_ordinal") - 1, 32) + F.col("_row"))
         .select(*table.columns, "_rowid")
     )
+
+
+def with_position(table: DataFrame, name: str = "_position") -> DataFrame:
+    """Number the rows of a Parquet table from 0, file after file in the order of the paths.
+
+    Counting the rows of each file reads no data column; the rows themselves are not shuffled to be numbered.
+    """
+    if len(table.inputFiles()) <= 1:
+        return table.withColumn(name, F.col("_metadata.row_index"))
+    sizes = table.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count("*").alias("_n"))
+    upto = with_running(sizes, [], ["_file"], {"_upto": "_n"})
+    before = upto.select("_file", (F.col("_upto") - F.col("_n")).alias("_before"))
+    marked = table.select("*", F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_path").alias("_file"))
+    return (
+        lookup_join(marked, before, ["_file"], "inner")
+        .withColumn(name, F.col("_before") + F.col("_row"))
+        .select(*table.columns, name)
+    )

@@ -133,7 +133,7 @@ def moody_model():
 )
 def best_of_n_loop(t):
     samples = t["documents"].select("doc_id", F.col("text").alias("prompt"))
-    out = collect(samples, moody_model, 3, 2, "doc_id")
+    out = collect(samples, moody_model, 3, 2)
     return out.select(
         "doc_id",
         F.size("response_n").alias("accepted"),
@@ -212,7 +212,7 @@ def build_multimodal(t):
     name = F.concat(F.lit("/img/"), F.col("page_id").cast("string"))
     prompts = pages.select("page_id", F.array("url", F.concat(F.lit("<image> "), name), F.lit("end")).alias("parts"))
     images = pages.select(name.alias("path"), F.encode("html", "UTF-8").alias("content"))
-    items = multimodal(prompts, images, "page_id").select("page_id", F.posexplode("items").alias("pos", "i"))
+    items = multimodal(prompts, images).select("page_id", F.posexplode("items").alias("pos", "i"))
     return items.select(
         "page_id", "pos", F.col("i.type").alias("kind"), F.md5(F.coalesce("i.text", "i.image")).alias("content_md5")
     )

@@ -9,6 +9,7 @@ from replyforge.operators.checkpoints import missing_responses as missing
 from replyforge.operators.checkpoints import shard as take_shard
 from replyforge.operators.checkpoints import split_empty_prompts
 from replyforge.sources.jsonl import parse_lines
+from replyforge.sources.tables import with_position
 from suite.base import query
 
 
@@ -147,7 +148,7 @@ def empty_prompt_passthrough(t):
 
 @query("SELECT doc_id, lang FROM {documents} WHERE doc_id % 7 = 3")
 def shard_by_position(t):
-    return take_shard(t.spark.read.parquet(t.path("documents")), 3, 7).select("doc_id", "lang")
+    return take_shard(with_position(t.spark.read.parquet(t.path("documents"))), 3, 7).select("doc_id", "lang")
 
 
 @query("SELECT doc_id, lang, source FROM {documents}")

@@ -112,8 +112,10 @@ def write_by_source(t):
 def ingest_stream_twice(t):
     """A second run over the same folder adds nothing."""
     base = new_path(t.spark, "stream")
+    # A pattern that matches the table whether it is one file or a folder of files.
+    src = f"{t.sf_dir}/events.parque[t]"
     for _ in range(2):
-        rows = open_stream(t.spark, t.sf_dir, "parquet", t["events"].schema, "events.parquet")
+        rows = open_stream(t.spark, src, "parquet", t["events"].schema, "*.parquet")
         ingest_stream(rows, f"{base}/sink", f"{base}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{base}/sink").select("event_id", "user_id", "event_type", "value")
 

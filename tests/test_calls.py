@@ -223,6 +223,13 @@ def test_loop_keeps_responses_of_a_resumed_sample(spark):
     ]
 
 
+def test_loop_keeps_rows_with_equal_or_missing_ids_apart(spark):
+    frame = spark.createDataFrame([("a", "p"), ("a", "q"), (None, "r"), (None, "r")], "id string, prompt string")
+    echo = lambda: lambda texts, _: ([t + "!" for t in texts], [None] * len(texts))
+    out = best_of_n_loop(frame, echo, 2, 2)
+    assert rows(out, "id", "response_n") == [("a", ["p!", "p!"]), ("a", ["q!", "q!"]), (None, ["r!", "r!"]), (None, ["r!", "r!"])]
+
+
 def test_modes_without_state_call_once(spark):
     echo = lambda: lambda texts, _: (texts, [None] * len(texts))
     assert "response_n" not in collect_responses(prompts(spark), echo, "proof").columns
@@ -274,18 +281,18 @@ def test_feedback_stops_when_all_is_solved(spark):
 def test_images_from_files(spark, tmp_path):
     (tmp_path / "a.jpg").write_bytes(b"\xff\xd8" + bytes(range(256)) * 2)
     parts = ["look", f"<|image|>{tmp_path}/a.jpg", "<image> " + f"{tmp_path}/a.jpg", "<image>no blank"]
-    frame = spark.createDataFrame([(1, parts), (2, [])], "id int, parts array<string>")
+    frame = spark.createDataFrame([(1, parts), (2, []), (1, ["again"])], "id int, parts array<string>")
     import base64
 
     url = "data:image/jpeg;base64," + base64.b64encode((tmp_path / "a.jpg").read_bytes()).decode()
-    out = {r["id"]: r["items"] for r in build_multimodal(frame, read_images(spark, str(tmp_path)), "id").collect()}
-    assert [(i["type"], i["text"], i["image"], i["detail"]) for i in out[1]] == [
+    out = {(r["id"], len(r["parts"])): r["items"] for r in build_multimodal(frame, read_images(spark, str(tmp_path))).collect()}
+    assert [(i["type"], i["text"], i["image"], i["detail"]) for i in out[1, 4]] == [
         ("text", "look", None, None), ("image_url", None, url, "low"), ("image_url", None, url, "low"), ("text", "<image>no blank", None, None),
     ]
-    assert out[2] == []
+    assert out[2, 0] == [] and out[1, 1][0]["text"] == "again"
     missing = spark.createDataFrame([(1, ["<|image|>/nowhere.jpg"])], "id int, parts array<string>")
     with pytest.raises(Exception, match="no image /nowhere.jpg"):
-        build_multimodal(missing, read_images(spark, str(tmp_path)), "id").collect()
+        build_multimodal(missing, read_images(spark, str(tmp_path))).collect()
 
 
 def test_image_positions(spark):

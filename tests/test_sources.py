@@ -72,6 +72,11 @@ def test_dataset_names_and_row_ids(spark, tmp_path):
     assert table.select("lance_dataset").distinct().first()[0] == "set.lance"
     assert table.select("_rowid").distinct().count() == 100
     assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    placed = tables.with_position(spark.read.parquet(path))
+    assert sorted(r["_position"] for r in placed.collect()) == list(range(100))
+    one = spark.read.parquet(path).coalesce(1)
+    one.write.parquet(str(tmp_path / "one"))
+    assert sorted(r["_position"] for r in tables.with_position(spark.read.parquet(str(tmp_path / "one"))).collect()) == list(range(100))
 
 
 def test_scan_dir_takes_jsonl_files_only(spark, tmp_path):
