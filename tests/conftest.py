@@ -7,13 +7,15 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+from replyforge.session import configure  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder.master("local[8]"))
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

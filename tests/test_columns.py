@@ -241,3 +241,18 @@ def test_names_there_and_back(spark):
     assert inside.columns == ["a", "b", "response", "prompt", "other", "sample_id"]
     assert inside.first()["sample_id"] == "x_1"
     assert names.use_configured_names(inside, config).columns == ["a", "b", "answer", "other"]
+
+
+def test_both_forms_agree_on_random_replies(spark):
+    rng = random.Random(11)
+    pieces = ["{", "}", "[", "]", '"Difficulty"', '"Rationale"', ":", ",", " 1", " 2.5", '"x"', "```json", "```", "\n", " ", "é", "null", '{"Difficulty": 3, "Rationale": "r"}', "text", "\\", "\x0b", "{}"]
+    replies = list(dict.fromkeys("".join(rng.choices(pieces, k=rng.randrange(1, 12))) for _ in range(4000)))
+
+    def plain(reply, keys):
+        try:
+            return find_json(reply, keys)
+        except ValueError:
+            return None
+
+    for keys in (KEYS, ()):
+        assert column(spark, replies, extract_json("v", list(keys))) == [plain(r, keys) for r in replies]

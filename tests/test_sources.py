@@ -161,3 +161,21 @@ def test_folder_filter(spark, tmp_path):
 def test_work_dir_is_the_named_one(spark):
     assert storage.work_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert storage.new_path(spark, "x") != storage.new_path(spark, "x")
+
+
+def test_stateless_operators_run_on_a_stream(spark, tmp_path):
+    """Parsing, rendering, reply extraction and the model call, all in one streaming query."""
+    from replyforge.functions.render import render
+    from replyforge.functions.replies import extract_json
+    from replyforge.operators.calls import infer_batch
+
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.jsonl").write_text('{"id": "1", "lean_code": "c"}\nbroken\n{"id": "2", "lean_code": null}\n')
+    model = lambda: lambda texts, _: ([f'so {{"n": {len(t)}}} it is' for t in texts], [None] * len(texts))
+    rows_in = jsonl_stream(spark, str(src), "id string, lean_code string")
+    asked = rows_in.withColumn("prompt", render("do {}", "lean_code"))
+    answered = infer_batch(asked, model).withColumn("json", extract_json("response"))
+    sink = str(tmp_path / "sink")
+    ingest_stream(answered, sink, str(tmp_path / "checkpoint")).awaitTermination()
+    assert rows(spark.read.parquet(sink), "id", "prompt", "json") == [("1", "do c", '{"n": 4}'), ("2", "do None", '{"n": 7}')]
