@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyforge.operators.bestofn import MODES
 from replyforge.operators.calls import infer_batch
-from replyforge.sources.storage import new_path, path_exists
+from replyforge.sources.storage import new_path, path_exists, spread
 
 
 def best_of_n_loop(
@@ -25,39 +25,38 @@ def best_of_n_loop(
 
     ``samples`` has ``prompt``, optionally ``history``, ``status`` and the ``response_n`` of an earlier run; a
     missing status or ``resume`` starts the error count at 0, kept responses stay.
-    Result: every sample row with ``response_n``, ``round`` and ``status``. Rows need no id of their own: the first
-    round gives each a number, which from then on is part of the written data.
+    Result: every sample row with ``response_n``, ``round`` and ``status``.
 
-    Each round is a narrow job over the open rows only: it reads the round before, calls the model, and
-    writes its rows once. Nothing is shuffled until the end, when the at most ``n`` responses of a sample
-    meet. The extra call whose answer the rules would throw away in any case is not made. With a
-    ``run_path`` of its own a run that was cut off goes on after its last complete round.
+    The samples are written once as turn 0, which gives each row a number; rows need no id of their own. Each turn
+    is a narrow job over the open rows only: it reads the turn before, calls the model, and writes its rows
+    once. Nothing is shuffled until the end, when the at most ``n`` responses of a sample meet its last row.
+    The extra call whose answer the rules would throw away in any case is not made. With a ``run_path`` of its
+    own a run that was cut off goes on after its last complete turn.
     """
     spark = samples.sparkSession
     path = run_path or new_path(spark, "bestofn")
-    start = _starting_state(samples)
-    open_rows = _with_status(start, n, max_rounds)
     carried = [c for c in samples.columns if c not in ("response_n", "round", "status", "response", "error", "meta_response")]
     state = [*carried, "_sample", "_kept", "_ok", "round"]
-    schema = None
+    none = F.lit(None).cast("string")
+    start = _starting_state(samples).withColumn("_sample", F.monotonically_increasing_id()).select(*state)
+    rows = _with_status(start.withColumns({"response": none, "error": none}), n, max_rounds)
     turn = 0
-    finished_early = open_rows.where(F.col("status") != "processing")
-    pending = open_rows.where(F.col("status") == "processing")
-    while not pending.isEmpty():
+    while True:
+        written = _write_turn(rows, path, turn)
+        pending = written.where(F.col("status") == "processing").select(*state)
+        if pending.isEmpty():
+            return _summarise(spark, path, rows.schema, carried)
         turn += 1
-        called = infer_batch(pending, predictor, batch_size)
-        if turn == 1:
-            called = called.withColumn("_sample", F.monotonically_increasing_id())
-        stepped = _with_status(_step(called.select(*state, "response", "error")), n, max_rounds)
-        target = f"{path}/turn={turn}"
-        schema = stepped.schema
-        if not path_exists(spark, f"{target}/_SUCCESS"):
-            stepped.write.mode("overwrite").parquet(target)
-        pending = (
-            spark.read.schema(schema).parquet(target).where(F.col("status") == "processing").select(*state)
-        )
-    early = finished_early.select(*carried, F.col("_kept").alias("response_n"), "round", "status")
-    return early if schema is None else _summarise(spark, path, schema, carried).unionByName(early)
+        called = infer_batch(spread(pending), predictor, batch_size)
+        rows = _with_status(_step(called.select(*state, "response", "error")), n, max_rounds)
+
+
+def _write_turn(rows: DataFrame, path: str, turn: int) -> DataFrame:
+    """Write a turn unless it is there already, and read it back."""
+    spark, target = rows.sparkSession, f"{path}/turn={turn}"
+    if not path_exists(spark, f"{target}/_SUCCESS"):
+        rows.write.mode("overwrite").parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
 
 
 def _starting_state(samples: DataFrame) -> DataFrame:
@@ -84,17 +83,16 @@ def _with_status(df: DataFrame, n: int, max_rounds: int) -> DataFrame:
     )
 
 
-def _summarise(spark, path, schema, carried) -> DataFrame:
-    """Join nothing: a sample's rounds are grouped once, its last round holds its final state."""
+def _summarise(spark: SparkSession, path: str, schema: T.StructType, carried: list[str]) -> DataFrame:
+    """The row in which a sample stopped being open, with the responses of all its turns."""
     log = spark.read.schema(T.StructType([*schema.fields, T.StructField("turn", T.IntegerType())])).parquet(path)
-    got = F.array_sort(F.collect_list(F.when(F.col("error").isNull(), F.struct("turn", "response"))))
-    last = F.max_by(F.struct(F.struct(*carried).alias("row"), "_kept", "round", "status"), F.col("turn")).alias("_last")
-    grouped = log.groupBy("_sample").agg(last, F.transform(got, lambda g: g["response"]).alias("_new"))
-    return grouped.select(
-        "_last.row.*",
-        F.concat("_last._kept", "_new").alias("response_n"),
-        F.col("_last.round").alias("round"),
-        F.col("_last.status").alias("status"),
+    last = log.where(F.col("status") != "processing").select(*carried, "_sample", "_kept", "round", "status")
+    answers = log.where((F.col("turn") > 0) & F.col("error").isNull()).groupBy("_sample").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "response"))).alias("_new")
+    )
+    new = F.transform(F.coalesce("_new", F.array().cast("array<struct<turn:int,response:string>>")), lambda g: g["response"])
+    return last.join(answers, "_sample", "left").select(
+        *carried, F.concat("_kept", new).alias("response_n"), "round", "status"
     )
 
 

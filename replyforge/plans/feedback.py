@@ -12,7 +12,7 @@ from replyforge.functions.render import render_feedback
 from replyforge.operators.attempts import round_summary
 from replyforge.operators.calls import verify
 from replyforge.plans.collect import best_of_n_loop
-from replyforge.sources.storage import new_path
+from replyforge.sources.storage import new_path, path_exists
 
 # ``sample`` is unique per row: a failed attempt is a sample of its own in the next round, while ``id`` goes
 # back to the base id of its statement.
@@ -34,7 +34,8 @@ def feedback_rounds(
     ``statements`` has ``id`` and ``lean_code``. Round r takes the failed verdicts of round r-1; the loop ends
     when none is left. Every round is one written folder, which is also the input of the next.
     A statement the model gave no response for stays open as a failed verdict without a proof.
-    The accuracy of a round is over the rows that were still open.
+    The accuracy of a round is over the rows that were still open. With a ``run_path`` of its own a run that was cut
+    off goes on after its last complete step.
     """
     spark = statements.sparkSession
     path = run_path or new_path(spark, "feedback")
@@ -66,7 +67,8 @@ def feedback_rounds(
         numbered = verdicts.unionByName(silent).withColumns(
             {c: F.concat_ws("_", F.col(c), F.col("_pos").cast("string")) for c in ("id", "sample")}
         )
-        numbered.select(*names).write.mode("overwrite").parquet(target)
+        if not path_exists(spark, f"{target}/_SUCCESS"):
+            numbered.select(*names).write.mode("overwrite").parquet(target)
         current = spark.read.schema(VERDICT).parquet(target)
         if unsolved(current).isEmpty():
             break

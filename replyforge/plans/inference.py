@@ -16,7 +16,7 @@ from replyforge.operators.checkpoints import (
     split_empty_prompts,
 )
 from replyforge.plans.collect import collect_responses
-from replyforge.sources.storage import materialize
+from replyforge.sources.storage import materialize, spread
 
 
 def run_inference(
@@ -48,6 +48,8 @@ def run_inference(
     todo, empty = split_empty_prompts(todo)
     done.append(empty)
     todo = limit_inputs(todo, infer_limit, [id_col])
+    if checkpoints:
+        todo = spread(todo)
     result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size)
     if not has_processor:
         result = materialize(result, "inference")

@@ -50,3 +50,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a piece of a table that comes in fewer pieces than there are cores.
+
+    For costly work per row, such as a model call, on a table as it was read. What is shuffled is bounded by one
+    input split per core; a table with enough pieces is left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, *keys)

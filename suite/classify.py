@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from replyforge.functions.text import round_even
 from replyforge.operators import classify as K
 from replyforge.plans.filtering import filter_lines
-from replyforge.sources.storage import materialize
+from replyforge.sources.storage import materialize, spread
 from suite.base import query
 
 # Scores of the documents named by ``src``: mean weight per label, softmax over the two labels.
@@ -26,7 +26,7 @@ def _model(t):
 
 @query(f"SELECT doc_id, CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS label, cast(printf('%.4f', greatest(p1, 1 - p1)) AS double) AS confidence FROM ({_DOCS})")
 def classify_text(t):
-    out = K.classify_text(t["documents"], _model(t), ["doc_id"])
+    out = K.classify_text(spread(t["documents"], "doc_id"), _model(t), ["doc_id"])
     return out.withColumn("confidence", round_even("confidence", 4))
 
 
@@ -43,13 +43,13 @@ def classify_text_large_model(t):
 
 @query(f"SELECT doc_id, lang, cast(printf('%.4f', p1) AS double) AS score FROM ({_DOCS}) JOIN {{documents}} USING (doc_id) WHERE p1 >= 0.5")
 def keep_positive(t):
-    docs = t["documents"].withColumn("score", F.lit(9.0))
+    docs = spread(t["documents"], "doc_id").withColumn("score", F.lit(9.0))
     return K.filter_documents(docs, _model(t), ["doc_id"]).select("doc_id", "lang", "score")
 
 
 @query(f"SELECT doc_id, cast(printf('%.4f', p1) AS double) AS score FROM ({_DOCS}) WHERE p1 >= 0.6")
 def keep_positive_min_confidence(t):
-    return K.keep_positive(K.classify_text(t["documents"], _model(t), ["doc_id"]), 1, 0.6).select("doc_id", "score")
+    return K.keep_positive(K.classify_text(spread(t["documents"], "doc_id"), _model(t), ["doc_id"]), 1, 0.6).select("doc_id", "score")
 
 
 _PER_FILE = f"""

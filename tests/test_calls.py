@@ -278,6 +278,27 @@ def test_feedback_stops_when_all_is_solved(spark):
     assert rows(summary, "round", "accuracy") == [(1, 100.0)]
 
 
+def test_feedback_goes_on_where_it_stopped(spark, tmp_path):
+    mark = str(tmp_path / "verified")
+
+    def verifier():
+        def call(codes, proofs):
+            with open(mark, "a") as handle:
+                handle.write("x" * len(codes))
+            return [(False, "no")] * len(codes)
+
+        return call
+
+    model = lambda: lambda texts, _: (["p"] * len(texts), [None] * len(texts))
+    statements = spark.createDataFrame([("1", "c"), ("2", "d")], "id string, lean_code string")
+    run = str(tmp_path / "run")
+    feedback_rounds(statements, model, verifier, "{}{}{}", max_rounds=1, run_path=run)
+    assert os.path.getsize(mark) == 2
+    _, summary = feedback_rounds(statements, model, verifier, "{}{}{}", max_rounds=2, run_path=run)
+    assert os.path.getsize(mark) == 4
+    assert rows(summary, "round", "failed") == [(1, 2), (2, 2)]
+
+
 def test_images_from_files(spark, tmp_path):
     (tmp_path / "a.jpg").write_bytes(b"\xff\xd8" + bytes(range(256)) * 2)
     parts = ["look", f"<|image|>{tmp_path}/a.jpg", "<image> " + f"{tmp_path}/a.jpg", "<image>no blank"]
