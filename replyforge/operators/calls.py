@@ -9,11 +9,13 @@ and keep speculative execution off.
 
 from __future__ import annotations
 
+import sys
 import time
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as LateError
+from types import ModuleType
 from weakref import WeakKeyDictionary
 
 import pyarrow as pa
@@ -25,10 +27,14 @@ from replyforge.operators.reply_text import find_json
 # Driver side: a name for each factory, so that a worker knows it again in later tasks and jobs.
 _NAMES: WeakKeyDictionary = WeakKeyDictionary()
 # Worker side: what the last few factories built.
-_BUILT: dict = {}
 _KEPT = 4
 
 
+def _built() -> dict:
+    """Store of the worker process. A module of its own, as code sent by value has new globals in every task."""
+    return sys.modules.setdefault("_replyforge_built", ModuleType("_replyforge_built")).__dict__.setdefault("built", {})
+
+
 def _name_of(factory: Callable) -> str:
     try:
         return _NAMES.setdefault(factory, uuid.uuid4().hex)
@@ -38,11 +44,12 @@ def _name_of(factory: Callable) -> str:
 
 def _build_once(name: str, factory: Callable):
     """The callable of a factory, built once per worker process."""
-    if name not in _BUILT:
-        while len(_BUILT) >= _KEPT:
-            _BUILT.pop(next(iter(_BUILT)))
-        _BUILT[name] = factory()
-    return _BUILT[name]
+    built = _built()
+    if name not in built:
+        while len(built) >= _KEPT:
+            built.pop(next(iter(built)))
+        built[name] = factory()
+    return built[name]
 
 
 def _with_columns(df: DataFrame, added: list[tuple[str, T.DataType]]) -> tuple[DataFrame, T.StructType]:
@@ -169,8 +176,9 @@ def fetch(
     """
     names = ["success", "skipped", "size", "error"]
     kinds = [T.BooleanType(), T.BooleanType(), T.LongType(), T.StringType()]
-    spread = plan.repartition(partitions, "target") if partitions else plan.repartition("target")
-    base, schema = _with_columns(spread, list(zip(names, kinds)))
+    # A stated number: adaptive execution would merge these short rows into few tasks, and few downloads at a time.
+    pieces = partitions or plan.sparkSession.sparkContext.defaultParallelism
+    base, schema = _with_columns(plan.repartition(pieces, "target"), list(zip(names, kinds)))
 
     def try_call(call: Callable[[str, str], int], url: str, target: str) -> int:
         for turn in range(tries - 1):

@@ -1,34 +1,16 @@
-"""Making this library importable in the Python workers of a cluster."""
+"""Running this library's Python steps on workers that do not have it installed."""
 
 from __future__ import annotations
 
 import importlib
-import os
-import tempfile
-import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark import cloudpickle
 
-_SHIPPED: set[tuple[str, str]] = set()
 
+def send_by_value(*packages: str) -> None:
+    """Send functions of these packages (this one by default) to the workers with their code.
 
-def ship(spark: SparkSession, *packages: str) -> None:
-    """Send Python packages (this one by default) to the workers, once per application.
-
-    The same as ``--py-files`` on submit, for sessions that were started without it.
+    For sessions that were started without ``--py-files``; needs no file on any machine.
     """
-    context = spark.sparkContext
     for package in packages or ("replyforge",):
-        key = (context.applicationId, package)
-        if key in _SHIPPED:
-            continue
-        root = os.path.dirname(os.path.abspath(importlib.import_module(package).__file__))
-        archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{package}.zip")
-        with zipfile.ZipFile(archive, "w") as packed:
-            for folder, _, names in os.walk(root):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        packed.write(path, os.path.relpath(path, os.path.dirname(root)))
-        context.addPyFile(archive)
-        _SHIPPED.add(key)
+        cloudpickle.register_pickle_by_value(importlib.import_module(package))

@@ -1,5 +1,6 @@
 """Registered queries, their inputs derived from the given tables, and their DuckDB twins."""
 
+from replyforge.shipping import send_by_value
 from suite.base import ORACLES, QUERIES
 from suite import (  # noqa: F401  (importing a module registers its queries)
     calls,
@@ -13,4 +14,6 @@ from suite import (  # noqa: F401  (importing a module registers its queries)
     tagging,
 )
 
+send_by_value("replyforge", "suite")
+
 __all__ = ["ORACLES", "QUERIES"]
