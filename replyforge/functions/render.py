@@ -153,7 +153,8 @@ def render_mode(df: DataFrame, mode: str, templates: dict) -> DataFrame:
     name = mode.removesuffix("-bon")
     if "robustness-exp" in name:
         return render_robustness(df, templates, name)
-    prompt = template_text(templates.get("user_prompt_format") or templates.get("prompt_format") or "")
+    key = "user_prompt_format" if name == "proof_kimina" else "prompt_format"
+    prompt = template_text(templates.get(key) or "")
     plain = {
         "proof_kimina": render_statement_and_code,
         "proof_cot_feedback": render_feedback,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyforge.functions.flags import is_complete
 from replyforge.functions.jsontext import is_json_object, strict_json
-from replyforge.functions.text import coalesce_falsy, is_blank, strip
+from replyforge.functions.text import is_blank, strip
 from replyforge.operators.checkpoints import last_wins
 from replyforge.operators.skew import lookup_join
 
@@ -144,7 +144,3 @@ def tagging_stats(total: int | Column, tagged: DataFrame) -> DataFrame:
         "success",
         F.coalesce(F.try_divide("success", "processed"), F.lit(0.0)).alias("success_rate"),
     )
-
-
-def prediction_error(error: Column | str = "error") -> Column:
-    return coalesce_falsy(error, default=FAILED)

@@ -4,7 +4,6 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from replyforge.operators.bestofn import best_of_n
 from replyforge.operators.calls import ask_for_json, fetch, infer_batch, verify

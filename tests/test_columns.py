@@ -256,3 +256,14 @@ def test_both_forms_agree_on_random_replies(spark):
 
     for keys in (KEYS, ()):
         assert column(spark, replies, extract_json("v", list(keys))) == [plain(r, keys) for r in replies]
+
+
+def test_templates_from_yaml(spark, tmp_path):
+    """A template stored as text and one stored as a list both give the whole text."""
+    path = tmp_path / "own.yaml"
+    path.write_text("prompt_format:\n  - |\n    Finish:\n    {}\nsystem_prompt_format: |\n  Be careful.\nuser_prompt_format: |\n  Solve {} with {}\n")
+    templates = R.load_template(str(path))
+    assert R.template_text(templates["prompt_format"]) == "Finish:\n{}\n"
+    frame = spark.createDataFrame([("p", "c")], "statement string, lean_code string")
+    assert R.render_mode(frame, "proof_kimina", templates).first()["prompt"] == "Solve p with c\n"
+    assert R.render_mode(frame, "proof", templates).first()["prompt"] == "Finish:\nc\n"

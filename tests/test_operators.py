@@ -313,6 +313,11 @@ def test_profile_is_one_pass(spark):
     assert profile.sample_rows(frame, rows=1).count() == 1
 
 
+def test_saved_sample(spark, tmp_path):
+    profile.save_sample(spark.range(20), str(tmp_path / "sample"))
+    assert spark.read.json(str(tmp_path / "sample")).count() == 5
+
+
 def test_hot_rows_too_large_to_copy_are_joined_by_shuffle(spark, monkeypatch):
     from replyforge.operators import skew
 
