@@ -15,12 +15,10 @@ K_VALUES = (1, 2, 4, 8, 16, 32)
 K_STEPS = ((1, 2), (2, 4), (4, 8), (8, 16), (16, 32))
 
 
-
 def _solved() -> Column:
     return F.coalesce(F.col("success"), F.lit(False))
 
 
-
 def rank_attempts(
     attempts: DataFrame,
     query: str = "query_id",

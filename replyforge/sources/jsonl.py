@@ -100,17 +100,19 @@ def read_json_table(
     schema: T.StructType | str | None = None,
     seq: str | None = None,
 ) -> DataFrame:
-    """Strict reader: one bad line fails the read.
+    """Strict reader: one bad line fails the job that reads it.
 
     ``.json`` holds one document, ``.jsonl`` one record per line. With ``key`` the last row per key is
     kept and rows without the key are dropped; ``seq`` names the column that tells which row is last,
     by default the file and the position in it.
     """
     found = resolve_json_path(spark, path)
-    reader = spark.read.option("mode", "FAILFAST")
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", found.endswith(".json"))
     if schema is not None:
         reader = reader.schema(schema)
-    table = reader.option("multiLine", found.endswith(".json")).json(found)
+    table = reader.json(found)
+    if found.endswith(".jsonl"):
+        table = _strict_lines(spark.read.text(found), table.schema)
     if key is None:
         return table
     keyed = table.where(F.col(key).isNotNull())
@@ -121,6 +123,13 @@ def read_json_table(
     return last_wins(numbered, [key], ["_seq"]).drop("_seq")
 
 
+def _strict_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of lines that must each be one JSON value; a blank line or text after the value fails the read."""
+    complaint = F.raise_error(F.concat(F.lit("not one JSON value: "), F.substring("value", 1, 200))).cast("string")
+    checked = F.when(strict_json("value").isNotNull(), F.col("value")).otherwise(complaint)
+    return lines.select(F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("record")).select("record.*")
+
+
 def join_base_dir(base_dir: str, name: str) -> str:
     """A name with a slash is a path of its own."""
     return name if "/" in name or not base_dir else f"{base_dir.rstrip('/')}/{name}"

@@ -36,6 +36,10 @@ def test_strict_reader(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text('{"k": "a"}\n{"k"\n')
     with pytest.raises(Exception):
         jsonl.read_json_table(spark, str(tmp_path / "bad"), schema="k string").collect()
+    for name, text in (("tail", '{"k": "a"}\n{"k": "b"} more\n'), ("blank", '{"k": "a"}\n\n{"k": "b"}\n')):
+        (tmp_path / f"{name}.jsonl").write_text(text)
+        with pytest.raises(Exception, match="not one JSON value"):
+            jsonl.read_json_table(spark, str(tmp_path / name)).collect()
     with pytest.raises(FileNotFoundError):
         jsonl.read_json_table(spark, str(tmp_path / "none"))
 
