@@ -91,7 +91,8 @@ def best_of_n(
         aggregates.append(F.transform(pairs, lambda p: p[response]).alias("response_n"))
     summary = steps.groupBy(id_col).agg(*aggregates)
     if max_rounds == -1:
-        summary = _add_unbounded_errors(attempts, steps, summary, n, id_col, order, failed)
+        have = F.col(start_ok) if start_ok else F.lit(0)
+        summary = _add_unbounded_errors(attempts, steps, summary, n, id_col, order, failed, have)
     status = (
         F.when(F.col("accepted") >= n, F.lit("completed"))
         .when(F.col("_gave_up"), F.lit("max_rounds"))
@@ -100,24 +101,27 @@ def best_of_n(
     return summary.withColumn("status", status).drop("_gave_up")
 
 
-def _add_unbounded_errors(attempts, steps, summary, n, id_col, order, failed) -> DataFrame:
+def _add_unbounded_errors(attempts, steps, summary, n, id_col, order, failed, have) -> DataFrame:
     """Count the errors before a sample's last accepted response, or all of them while it is open."""
     closed = (
         steps.where("accepted")
         .groupBy(id_col)
-        .agg(F.count("*").alias("_n"), F.max(F.struct(*order)).alias("_end"), F.max("prev_ok").alias("_ok"))
+        .agg(F.max(F.struct(*order)).alias("_end"), F.max("prev_ok").alias("_ok"))
         .where(F.col("_ok") + 1 >= n)
         .select(id_col, "_end")
     )
     # One marker per attempt travels, not the attempt.
-    marks = attempts.select(id_col, F.struct(*order).alias("_at"), failed.alias("_failed"))
+    marks = attempts.select(id_col, F.struct(*order).alias("_at"), (failed & (have < n)).alias("_failed"), have.alias("_have"))
     errors = (
         lookup_join(marks, closed, [id_col], "left")
         .groupBy(id_col)
-        .agg(F.count_if(F.col("_failed") & (F.col("_end").isNull() | (F.col("_at") < F.col("_end")))).alias("round"))
+        .agg(
+            F.count_if(F.col("_failed") & (F.col("_end").isNull() | (F.col("_at") < F.col("_end")))).alias("round"),
+            F.max("_have").alias("_have"),
+        )
     )
     joined = errors.join(summary.drop("round"), id_col, "left")
-    joined = joined.withColumn("accepted", F.coalesce("accepted", F.lit(0)))
+    joined = joined.withColumn("accepted", F.coalesce("accepted", "_have"))
     if "response_n" in joined.columns:
         none = F.array().cast(joined.schema["response_n"].dataType)
         joined = joined.withColumn("response_n", F.coalesce("response_n", none))

@@ -48,8 +48,8 @@ def run_inference(
     todo, empty = split_empty_prompts(todo)
     done.append(empty)
     todo = limit_inputs(todo, infer_limit, [id_col])
-    if checkpoints:
-        todo = spread(todo)
+    if checkpoints and not has_processor and infer_limit is None:
+        todo = spread(todo)  # a table as written above; the best-of-N loop does this for its own
     result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size)
     if not has_processor:
         result = materialize(result, "inference")

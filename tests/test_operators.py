@@ -164,6 +164,10 @@ def test_best_of_n_goes_on_from_kept_responses(spark):
     frame = spark.createDataFrame(data, "id string, attempt int, err boolean, have int")
     got = best_of_n(frame, 3, 5, start_ok="have")
     assert rows(got, "id", "accepted", "status") == [("a", 3, "completed"), ("b", 3, "completed"), ("c", 1, "processing")]
+    endless = best_of_n(frame.unionByName(spark.createDataFrame([("d", 1, True, 1)], frame.schema)), 3, -1, start_ok="have")
+    assert rows(endless, "id", "accepted", "round", "status") == [
+        ("a", 3, 0, "completed"), ("b", 3, 0, "completed"), ("c", 1, 0, "processing"), ("d", 1, 1, "processing"),
+    ]
 
 
 def test_still_open_and_rounds(spark):
