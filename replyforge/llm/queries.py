@@ -2,16 +2,74 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyforge.llm import license_scan, quality_rules
+from replyforge.llm import automaton, language, license_scan, quality_model, quality_rules, token_count, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document in the token files, read back from them."""
+    folder = token_files.folder_for(spark)
+    manifest = token_files.write(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder, end_id=2
+    )
+    return token_files.read(manifest, folder).withColumnRenamed("key", "doc_id")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and whether they are more than a context of 1024 holds."""
+    counted = token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    return automaton.encode_decode(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        outputs=("n_tokens", "ids_sha256", "decoded_sha256"),
+    )
+
+
+#: Least score of a document that counts as good.
+GOOD = 0.3
+
+
+def learnt_quality(spark: SparkSession, sf_dir: str) -> quality_model.Model:
+    """The model of the labelled documents that are not held out."""
+    return quality_model.learn(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        quality_model.remainder(F.col("doc_id"), 5) != 0,
+    )
+
+
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and class of every document."""
+    scored = quality_model.score(table(spark, sf_dir, "documents"), learnt_quality(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (quality_model.remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs, quality_model.remainder(F.col("doc_id"), 4) != 2)
+    return language.predict(docs, model).select(
+        "doc_id", (quality_model.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document: their number, names and the best containment."""
     docs = table(spark, sf_dir, "documents")
@@ -35,6 +93,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op9_license_scan, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op3_token_files, op4_token_counts, op5_bpe_codec, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}
