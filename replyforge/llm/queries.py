@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyforge.llm import automaton, language, license_scan, quality_model, quality_rules, token_count, token_files
+from replyforge.llm import automaton, jaccard_join, language, license_scan, quality_model, quality_rules, token_count, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document in the token files, read back from them."""
     folder = token_files.folder_for(spark)
@@ -93,6 +98,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op4_token_counts, op5_bpe_codec, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}
