@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyforge.llm import automaton, jaccard_join, language, license_scan, quality_model, quality_rules, token_count, token_files
+from replyforge.llm import automaton, decontaminate, jaccard_join, language, license_scan, quality_model, quality_rules, token_count, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,20 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words of every document."""
+    marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["first"])
+    return marked.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 #: Least score of a document that counts as good.
 GOOD = 0.3
 
@@ -98,6 +112,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}
