@@ -6,13 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyforge.llm import automaton, decontaminate, jaccard_join, language, license_scan, quality_model, quality_rules, token_count, token_files
+from replyforge.llm import automaton, decontaminate, jaccard_join, language, license_scan, quality_model, quality_rules, suffix_dedup, token_count, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when repeats of earlier documents are cut out."""
+    return suffix_dedup.remove_repeats(
+        table(spark, sf_dir, "documents"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    )
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return jaccard_join.join_components(table(spark, sf_dir, "documents"))
@@ -112,6 +119,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}

@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 
 
-def _ranges(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def ranges(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all ranges ``first .. first + size - 1``, one range after another."""
     ends = np.cumsum(sizes)
     return np.repeat(firsts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
@@ -34,11 +34,11 @@ def suffix_arrays(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     longest_first = np.argsort(-lengths, kind="stable")
     n = lengths[longest_first]
-    source = _ranges((np.cumsum(lengths) - lengths)[longest_first], n)
+    source = ranges((np.cumsum(lengths) - lengths)[longest_first], n)
     # Each string lies between a guard in front, lower than all groups, and an end mark, lower than all symbols.
     base = np.cumsum(n + 2) - (n + 2)
     total = int((n + 2).sum())
-    places = _ranges(base + 1, n)
+    places = ranges(base + 1, n)
     text = np.zeros(total, np.int64)
     text[places] = symbols[source]
     owner = np.repeat(np.arange(len(n)), n + 2)
@@ -72,7 +72,7 @@ def _group(at, place, group, group_size, low, high) -> np.ndarray:
     while len(low):
         first = group[at[high - 1]]
         size = high - first
-        members = at[_ranges(first, size)]
+        members = at[ranges(first, size)]
         own = np.repeat(first, size)
         left = members - 1
         walk = np.flatnonzero(group[left] >= own)
@@ -95,7 +95,7 @@ def _group(at, place, group, group_size, low, high) -> np.ndarray:
             heads = np.flatnonzero(np.append(True, old[1:] != old[:-1]))
             moved = np.diff(np.append(heads, len(left)))
             border = old[heads] + group_size[old[heads]] - moved
-            targets = _ranges(border, moved)
+            targets = ranges(border, moved)
             # Those that stand where others move to change places with them.
             moving[left] = True
             there = at[targets]
@@ -138,7 +138,7 @@ def _emit(group, previous, base, n, source, places, longest_first, lengths) -> n
             suffix = suffix[~emitted[suffix]]
     back = np.zeros(total, np.int64)
     back[places] = source
-    found = back[out[_ranges(base + 2, n)]]  # without the end marks
+    found = back[out[ranges(base + 2, n)]]  # without the end marks
     result = np.empty(len(found), np.int64)
-    result[_ranges((np.cumsum(lengths) - lengths)[longest_first], n)] = found
+    result[ranges((np.cumsum(lengths) - lengths)[longest_first], n)] = found
     return result
