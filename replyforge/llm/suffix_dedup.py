@@ -18,7 +18,8 @@ is a run of strings with one anchor, and holds their bytes.
 Rows with a null text have no bytes. Rows with a null key count as larger than all keys, and not against each other;
 neither do rows that repeat a key. Texts shorter than ``LENGTH`` lose nothing. Very long texts are worked on whole; a
 text is the largest thing that is held at once, besides buckets of bounded size. An empty table gives an empty table.
-Columns other than key and text are not read.
+Other columns are
+read only when they are to be carried along, under any name.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from replyforge.llm import packed
 from replyforge.llm.batches import groups, mixed, per_process, powers, span_hashes, utf8
@@ -92,13 +95,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     return row[heads], first[heads], count, place[heads], grams[place[heads]]
 
 
-def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _rows(docs: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
     key_column = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(int(LAST)))
-    return docs.select(key_column.alias("key"), F.col(f"`{text}`").alias("text"))
+    more = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
+    return docs.select(key_column.alias("key"), F.col(f"`{text}`").alias("text"), *more)
 
 
 def _texts(rows: DataFrame, n_buckets: int) -> DataFrame:
-    """Packed texts by document bucket."""
+    """Packed texts by document bucket, with the columns behind the text as Arrow streams."""
+    carried = rows.columns[2:]
 
     def run(batches):
         for batch in batches:
@@ -112,11 +117,20 @@ def _texts(rows: DataFrame, n_buckets: int) -> DataFrame:
             for b in np.flatnonzero(np.diff(cuts)):
                 own = order[cuts[b] : cuts[b + 1]]
                 body = b"".join([data[offsets[i] : offsets[i + 1]].tobytes() for i in own])
-                out.append((int(b), keys[own].tobytes(), names[own].tobytes(), np.diff(offsets)[own].tobytes(), zstandard.compress(body, 1)))
-            columns = [pa.array([r[k] for r in out], pa.int32() if not k else pa.binary()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "keys", "names", "sizes", "body"])
+                more = _stream(batch.select(carried).take(pa.array(own))) if carried else b""
+                sizes = np.diff(offsets)[own].tobytes()
+                out.append((int(b), keys[own].tobytes(), names[own].tobytes(), sizes, zstandard.compress(body, 1), more))
+            columns = [pa.array([r[k] for r in out], pa.int32() if not k else pa.binary()) for k in range(6)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "keys", "names", "sizes", "body", "more"])
 
-    return rows.mapInArrow(run, packed.schema(["keys", "names", "sizes", "body"]))
+    return rows.mapInArrow(run, packed.schema(["keys", "names", "sizes", "body", "more"]))
+
+
+def _stream(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return zstandard.compress(sink.getvalue().to_pybytes(), 1)
 
 
 def _unpacked_texts(table: pa.Table):
@@ -361,7 +375,7 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 OUTPUTS = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "kept_text": "string"}
 
 
-def _cut(texts: DataFrame, found: DataFrame, outputs: list[str]) -> DataFrame:
+def _cut(texts: DataFrame, found: DataFrame, outputs: list[str], carried: StructType) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"key": [], **{c: [] for c in outputs}}
         if left.num_rows:
@@ -397,20 +411,37 @@ def _cut(texts: DataFrame, found: DataFrame, outputs: list[str]) -> DataFrame:
                 for c in outputs:
                     out[c].append(made[c])
         kinds = [pa.int64(), *[pa.string() if OUTPUTS[c] == "string" else pa.int64() for c in outputs]]
-        return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
-
-    schema = ", ".join(["key long", *[f"{c} {OUTPUTS[c]}" for c in outputs]])
+        made = pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
+        if not len(carried):
+            return made
+        streams = [pa.ipc.open_stream(zstandard.decompress(m)).read_all() for m in left.column("more").to_pylist()]
+        more = pa.concat_tables(streams) if streams else to_arrow_schema(carried).empty_table()
+        return pa.table([*made.columns, *more.columns], names=[*made.schema.names, *carried.names])
+
+    schema = StructType([*StructType.fromDDL(", ".join(["key long", *[f"{c} {OUTPUTS[c]}" for c in outputs]])), *carried])
     return texts.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(run, schema)
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_text")
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_text"),
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """One row per input row: the key and the asked outputs; keys are long integers."""
-    rows = _rows(docs, key, text)
+    """One row per input row: the key, the asked outputs and the columns in ``carry``. Keys are long integers."""
+    carry = carry or []
+    rows = _rows(docs, key, text, carry)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(64, -(-total // (BUCKET_ANCHORS * WIDTH // 2)))
     texts = _texts(rows, n_buckets)
+    rows = rows.select("key", "text")
     shared = _shared(_anchor_rows(rows, n_buckets), n_buckets)
     found = _found(_segments(texts, shared, n_buckets), n_buckets)
-    return _cut(texts, found, [c for c in OUTPUTS if c in outputs]).withColumnRenamed("key", key)
+    kinds = {f.name: f for f in docs.schema.fields}
+    carried = StructType([StructField(f"c{i}", kinds[c].dataType) for i, c in enumerate(carry)])
+    names = [c for c in OUTPUTS if c in outputs]
+    cut = _cut(texts, found, names, carried)
+    return cut.select(
+        F.col("key").alias(key), *names, *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)]
+    )
