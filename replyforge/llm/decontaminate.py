@@ -16,7 +16,7 @@ never shuffled.
 
 Null and empty texts have no words; such documents have no hits, such items no windows. Repeated items and windows count
 for each item id once; a null item id is left out. Repeated document rows each get their result. Very long texts are
-one sequence of words. Columns of ``docs`` may have any name but those that are added.
+one sequence of words. Other columns may have any name but those that are added, which can be chosen.
 """
 
 from __future__ import annotations
@@ -32,12 +32,15 @@ from pyspark.sql import types as T
 
 from replyforge.llm.batches import mixed, utf8
 from replyforge.llm.words import shingles, words
+from replyforge.sources.storage import materialize
 
 WINDOW = 10
 SHINGLE = 3
 BLOCK_WORDS = 500_000
 FILTER_BITS = 20
-STATE = "`__words` long, `__hits` binary, `__items` array<string>"
+#: Blocks that go through one stage.
+PASSES = 4
+STATE = "words long, hits binary, items array<string>"
 
 
 @dataclass
@@ -167,8 +170,16 @@ def occurrences(hashes: np.ndarray, rows: np.ndarray, n: int, windows: Windows,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else tuple(np.zeros((3, 0), np.int64))
 
 
-def mark(docs: DataFrame, items: DataFrame, text: str = "text", carry: list[str] | None = None, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Columns ``carry`` of every row (default: all) with ``n_words``, ``hits`` and ``items``.
+def mark(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    carry: list[str] | None = None,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    names: tuple[str, str, str] = ("n_words", "hits", "items"),
+) -> DataFrame:
+    """Columns ``carry`` of every row (default: all) with ``n_words``, ``hits`` and ``items``, called ``names``.
 
     ``hits`` are the hit word ranges, as (first, end) counted from 0, in order and merged; ``items`` are the ids of the
     items with occurring windows, as sorted strings.
@@ -180,29 +191,32 @@ def mark(docs: DataFrame, items: DataFrame, text: str = "text", carry: list[str]
     n_blocks = max(1, -(-int(most) // BLOCK_WORDS))
     kept = docs.columns if carry is None else carry
     kinds = {f.name: f.dataType for f in docs.schema.fields}
-    extra = [] if text in kept else [F.col(f"`{text}`").alias("__text")]
+    extra = [] if text in kept else [F.col(f"`{text}`").alias("text")]
+    # Inside, columns go by number, so that none can clash.
     marked = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.lit(None).cast("long").alias("__words"),
-        F.lit(None).cast("binary").alias("__hits"),
-        F.array().cast("array<string>").alias("__items"),
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)],
+        F.lit(None).cast("long").alias("words"),
+        F.lit(None).cast("binary").alias("hits"),
+        F.array().cast("array<string>").alias("items"),
         *extra,
     )
     for block in range(n_blocks):
         chosen = named.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block) if n_blocks > 1 else named
         windows = item_windows([(r["id"], r["text"]) for r in chosen.collect()])  # one block
         indexes = prefix_index(windows, _shingle_counts(docs, text, windows)) if len(windows.lengths) else []
-        fields = [T.StructField(c, kinds[c]) for c in kept] + T.StructType.fromDDL(STATE).fields
+        fields = [T.StructField(f"c{i}", kinds[c]) for i, c in enumerate(kept)] + T.StructType.fromDDL(STATE).fields
         if extra and block < n_blocks - 1:  # the text goes on to the next pass
-            fields.append(T.StructField("__text", T.StringType()))
+            fields.append(T.StructField("text", T.StringType()))
         place = len(kept) + 3 if extra else kept.index(text)
         marked = _pass(spark, marked, len(kept), place, T.StructType(fields), windows, indexes)
-    hits = F.from_json(F.col("__hits").cast("string"), "array<struct<first:long,end:long>>")
+        if (block + 1) % PASSES == 0 and block < n_blocks - 1:
+            marked = materialize(marked, "decontaminate")
+    hits = F.from_json(F.col("hits").cast("string"), "array<struct<first:long,end:long>>")
     return marked.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.col("__words").alias("n_words"),
-        hits.alias("hits"),
-        F.col("__items").alias("items"),
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)],
+        F.col("words").alias(names[0]),
+        hits.alias(names[1]),
+        F.col("items").alias(names[2]),
     )
 
 
@@ -255,4 +269,5 @@ def _merged(old: bytes | None, new: list[tuple[int, int]]) -> bytes:
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a hit word, with their columns."""
-    return mark(docs, items, text).where(F.size("hits") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = ("__n_words", "__hits", "__items")
+    return mark(docs, items, text, names=own).where(F.size("__hits") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

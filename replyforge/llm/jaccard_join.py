@@ -18,7 +18,7 @@ documents link when ``100 * shared >= percent * union``.
 Tokens are 64-bit hashes, of which the bucket's number and 48 bits are kept.
 
 Null texts and texts without words have no tokens and link with nothing. Repeated rows count as copies; rows that
-repeat a key form a link through it. Very long texts are one set like any other. An empty table gives an empty table.
+repeat a key form a link through it. Rows with a null key get a null component, and link nothing. Very long texts are one set like any other. An empty table gives an empty table.
 Columns other than key and text are not read.
 """
 

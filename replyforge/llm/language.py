@@ -81,7 +81,8 @@ def build(counted: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int)
     """The cost table from the counts of each language."""
     languages = sorted(counted)
     both = np.concatenate([counted[name][0] for name in languages] or [np.zeros(0, np.uint64)])
-    seen = np.unique((both & np.uint64(255)).astype(np.int64))
+    # The newlines in front of texts are contexts, too; a byte never seen is in no context.
+    seen = np.unique(np.append((both & np.uint64(255)).astype(np.int64), 10))
     width = len(seen) + 1
     symbols = np.full(256, width - 1, np.int64)
     symbols[seen] = np.arange(len(seen))

@@ -95,14 +95,15 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     long = line_ends - line_starts > 1
     lines = np.maximum(np.bincount(line_row[long], minlength=n), 1)
     distinct_lines, _ = _share_distinct(line_row[long], span_hashes(data, line_starts[long], line_ends[long]), n, lines)
-    return np.stack(
+    columns = np.stack(
         [
             np.log1p(size), np.log1p(words), solid / some, upper / solid, digit / solid, mark / solid, symbol / solid,
             loud / solid, wide / solid, words / (newline + 1), distinct, top, same, distinct_pairs,
-            np.where(full, 1 - distinct_lines, 0), marked,
+            1 - distinct_lines, marked,
         ],
         axis=1,
     )
+    return columns * full[:, None]
 
 
 @dataclass

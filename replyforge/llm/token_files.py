@@ -13,7 +13,7 @@ enter the manifest, so an attempt that was lost leaves nothing but unused files.
 per shard, holds each shard's base: the prefix sum of the shards before it. ``read`` maps the files into memory.
 
 Null and empty texts hold the end id alone. Keys have to be long integers; rows that repeat a key stand next to each
-other, ordered by text. Null keys are refused. Texts of any length are encoded in parts at spaces. Columns other than
+other, ordered by text. Null keys are stored as the smallest number, stand first and are read back as null. Texts of any length are encoded in parts at spaces. Columns other than
 key and text are not read. An empty table gives an empty manifest and reads back as an empty table.
 """
 
@@ -35,6 +35,7 @@ from replyforge.llm.presplit import PieceTable, cut
 from replyforge.sources.storage import materialize, new_path
 
 MANIFEST = "shard int, stem string, width int, n_docs long, n_ids long"
+NULL_KEY = -(1 << 63)
 UNSURE_TEXT = re.compile("[^\\u0000-\\u024f\\u2010-\\u2027\\u2030-\\u205e\\u20ac]")
 
 
@@ -136,7 +137,7 @@ def write(
 
     ordered = (
         docs.select(
-            F.when(F.col(f"`{key}`").isNull(), F.raise_error(F.lit("null key"))).otherwise(F.col(f"`{key}`")).cast("long").alias("key"),
+            F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL_KEY)).alias("key"),
             F.col(f"`{text}`").alias("text"),
         )
         .repartitionByRange("key")
@@ -170,7 +171,8 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 columns = [np.array(keys), offsets[:-1] + row["base"], np.diff(offsets), np.array(sums, np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.repartition(F.col("shard")).mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+    found = manifest.repartition(F.col("shard")).mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+    return found.withColumn("key", F.when(F.col("key") != NULL_KEY, F.col("key")))
 
 
 def folder_for(spark: SparkSession) -> str:
