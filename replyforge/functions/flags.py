@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyforge.config import StatusSets
+from replyforge.functions.jsontext import json_path
 from replyforge.functions.text import _col, truthy_number, truthy_string
 
 STATUSES = StatusSets()
@@ -63,19 +64,19 @@ def variant_kind(value: Column) -> Column:
 
 
 def variant_field(record: Column | str, name: str) -> Column:
-    return F.try_variant_get(_col(record), f"$.{name}", "variant")
+    return F.try_variant_get(_col(record), json_path(name), "variant")
 
 
 def variant_string(record: Column | str, name: str) -> Column:
     """The field when it is a JSON string, else null; numbers are not turned into text."""
     value = variant_field(record, name)
-    return F.when(variant_kind(value) == "STRING", F.try_variant_get(_col(record), f"$.{name}", "string"))
+    return F.when(variant_kind(value) == "STRING", F.try_variant_get(_col(record), json_path(name), "string"))
 
 
 def variant_boolean(record: Column | str, name: str) -> Column:
     """The field when it is a JSON boolean, else null; the string "false" is not a boolean."""
     value = variant_field(record, name)
-    return F.when(variant_kind(value) == "BOOLEAN", F.try_variant_get(_col(record), f"$.{name}", "boolean"))
+    return F.when(variant_kind(value) == "BOOLEAN", F.try_variant_get(_col(record), json_path(name), "boolean"))
 
 
 def variant_has(record: Column | str, name: str) -> Column:
@@ -91,11 +92,11 @@ def split_response(df: DataFrame, record: str = "record", response: str = "respo
     """
     value = variant_field(record, response)
     is_object = variant_kind(value).startswith("OBJECT")
-    failed = F.try_variant_get(value, f"$.{error}", "variant").isNotNull()
+    failed = F.try_variant_get(value, json_path(error), "variant").isNotNull()
     as_text = F.try_variant_get(value, "$", "string")
     return df.withColumns(
         {
-            error: F.when(failed, F.coalesce(F.try_variant_get(value, f"$.{error}", "string"), F.lit("null"))),
+            error: F.when(failed, F.coalesce(F.try_variant_get(value, json_path(error), "string"), F.lit("null"))),
             response: F.when(variant_kind(value) == "STRING", as_text).when(
                 is_object & ~F.coalesce(failed, F.lit(False)), F.when(F.to_json(value) == "{}", "").otherwise(F.to_json(value))
             ),

@@ -11,6 +11,15 @@ from replyforge.functions.text import _col
 OBJECT_START = r"^[ \t\r\n]*\{"
 
 
+def json_path(name: str) -> str:
+    """Path of a top-level field, whatever its name holds; a name with both kinds of quotes cannot be written."""
+    if "'" not in name:
+        return f"$['{name}']"
+    if '"' not in name:
+        return f'$["{name}"]'
+    raise ValueError(f"field name with both kinds of quotes: {name}")
+
+
 def strict_json(text: Column | str) -> Column:
     """VARIANT of a text that is one JSON value and nothing else, or null.
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from replyforge.functions.flags import unsolved
 from replyforge.functions.ids import base_id
 from replyforge.functions.text import _col, coalesce_falsy, strip
-from replyforge.operators.skew import lookup_join
 
 # Stand-ins for empty feedback fields (fixed values).
 NO_ATTEMPT = "No previous attempt"
@@ -35,20 +34,32 @@ def template_text(value: str | Sequence[str]) -> str:
     return value if isinstance(value, str) else value[0]
 
 
-def render(template: str, *values: Column | str, null_text: str = "None") -> Column:
-    """Fill the ``{}`` slots left to right; ``{{`` and ``}}`` are literal braces, values are never expanded."""
+def render(template: str, *values: Column | str, null_text: str = "None", **named: Column | str) -> Column:
+    """Fill the slots: ``{}`` left to right, ``{0}`` by number, ``{name}`` by name.
+
+    ``{{`` and ``}}`` are literal braces, values are never expanded. A slot with a format or a conversion
+    (``{:.2f}``, ``{!r}``), or one that nothing is given for, is refused.
+    """
     pieces: list[Column] = []
     used = 0
-    for literal, name, _spec, _conversion in Formatter().parse(template):
+    for literal, name, spec, conversion in Formatter().parse(template):
         if literal:
             pieces.append(F.lit(literal))
         if name is None:
             continue
-        slot = int(name) if name else used
-        used += 1
-        if slot >= len(values):
-            raise ValueError(f"template needs more than {len(values)} values")
-        pieces.append(F.coalesce(_col(values[slot]).cast("string"), F.lit(null_text)))
+        if spec or conversion:
+            raise ValueError(f"slots with a format are not supported: {name}{conversion or ''}{spec or ''}")
+        if name and not name.isdigit():
+            if name not in named:
+                raise ValueError(f"template needs a value for {name}")
+            value = named[name]
+        else:
+            slot = int(name) if name else used
+            used += 1
+            if slot >= len(values):
+                raise ValueError(f"template needs more than {len(values)} values")
+            value = values[slot]
+        pieces.append(F.coalesce(_col(value).cast("string"), F.lit(null_text)))
     return F.concat(*pieces) if pieces else F.lit("")
 
 
@@ -106,7 +117,7 @@ def render_feedback(df: DataFrame, template: str, per_query: bool = False, solve
     if per_query:
         if solved is None:
             raise ValueError("per_query needs the solved base ids")
-        out = lookup_join(out, solved.select("id").distinct(), ["id"], "left_anti")
+        out = out.join(solved.select("id").distinct(), ["id"], "left_anti")
     return out.withColumn(
         "prompt",
         render(
@@ -144,8 +155,9 @@ def render_robustness(df: DataFrame, templates: dict[str, str], mode: str) -> Da
 
 
 def render_difficulty(df: DataFrame, template: str, statement: str = "formal_statement") -> DataFrame:
-    """One slot: the stripped statement."""
-    return df.withColumn("prompt", render(template, strip(F.coalesce(F.col(statement), F.lit("")))))
+    """One slot, or one called ``statement``: the stripped statement."""
+    stripped = strip(F.coalesce(F.col(statement), F.lit("")))
+    return df.withColumn("prompt", render(template, stripped, statement=stripped))
 
 
 def render_mode(df: DataFrame, mode: str, templates: dict) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from replyforge.functions.jsontext import OBJECT_START, is_json_object, strict_json
+from replyforge.functions.jsontext import OBJECT_START, is_json_object, json_path, strict_json
 from replyforge.functions.text import WHITESPACE, _col
 
 _SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*"
@@ -22,7 +22,7 @@ def has_keys(record: Column, keys: Sequence[str]) -> Column:
     """All ``keys`` are present in a VARIANT object."""
     found = F.lit(True)
     for key in keys:
-        found = found & F.try_variant_get(record, f"$['{key}']", "variant").isNotNull()
+        found = found & F.try_variant_get(record, json_path(key), "variant").isNotNull()
     return found
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import round_even
-from replyforge.operators.skew import HOT_ROWS, first_rows, lookup_join, with_running
+from replyforge.operators.skew import HOT_ROWS, first_rows, with_running
 
 # Tries scored and the steps compared (fixed values).
 K_VALUES = (1, 2, 4, 8, 16, 32)
@@ -178,7 +178,7 @@ def still_open(verdicts: DataFrame, id_col: str = "id", round_col: str = "round"
         verdicts.where(_solved()).groupBy(id_col).agg(F.min(round_col).alias("_solved_in"))
     )
     return (
-        lookup_join(verdicts, solved, [id_col], "left")
+        verdicts.join(solved, [id_col], "left")
         .where(F.col("_solved_in").isNull() | (F.col(round_col) <= F.col("_solved_in")))
         .select(verdicts.columns)
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from replyforge.operators.skew import first_rows, lookup_join
+from replyforge.operators.skew import first_rows
 
 MODES = (
     "BoN",
@@ -113,7 +113,7 @@ def _add_unbounded_errors(attempts, steps, summary, n, id_col, order, failed, ha
     # One marker per attempt travels, not the attempt.
     marks = attempts.select(id_col, F.struct(*order).alias("_at"), (failed & (have < n)).alias("_failed"), have.alias("_have"))
     errors = (
-        lookup_join(marks, closed, [id_col], "left")
+        marks.join(closed, [id_col], "left")
         .groupBy(id_col)
         .agg(
             F.count_if(F.col("_failed") & (F.col("_end").isNull() | (F.col("_at") < F.col("_end")))).alias("round"),

@@ -14,7 +14,8 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from concurrent.futures import TimeoutError as LateError
+from queue import Empty, SimpleQueue
+from threading import Thread
 from types import ModuleType
 from weakref import WeakKeyDictionary
 
@@ -63,9 +64,24 @@ def _append(batch: pa.RecordBatch, columns: list[pa.Array], names: list[str]) ->
 
 
 def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of exactly ``size`` rows and a last smaller one, however the rows arrive."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
     for batch in batches:
-        for start in range(0, batch.num_rows, size):
-            yield batch.slice(start, size)
+        while batch.num_rows:
+            part = batch.slice(0, size - rows)
+            held.append(part)
+            rows += part.num_rows
+            batch = batch.slice(part.num_rows)
+            if rows == size:
+                yield _joined(held)
+                held, rows = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
 def infer_batch(
@@ -171,7 +187,8 @@ def fetch(
     """Add ``success``, ``skipped``, ``size`` and ``error`` to a plan with ``url`` and ``target``.
 
     ``fetcher()`` returns ``call(url, target) -> size``. A row never raises; an item slower than
-    ``timeout`` seconds, all its tries together, counts as failed. Rows are spread by the hash of their target, so the files of
+    ``timeout`` seconds from its start, all its tries together, counts as failed; what its thread still does is not
+    seen, so a fetcher should write to a temporary name first. Rows are spread by the hash of their target, so the files of
     one large repository do not end up in one task.
     """
     names = ["success", "skipped", "size", "error"]
@@ -188,35 +205,49 @@ def fetch(
                 time.sleep(delay * backoff**turn)
         return call(url, target)
 
-    def outcome(waiting) -> tuple:
-        try:
-            return True, False, int(waiting.result(timeout=timeout)), None
-        except LateError:
-            waiting.cancel()
-            return False, False, 0, f"no answer within {timeout:g} s"
-        except Exception as failure:  # noqa: BLE001
-            return False, False, 0, str(failure)
+    def outcomes(call: Callable[[str, str], int], pairs: list[tuple[str, str]]) -> list[tuple]:
+        """One result per pair; ``threads`` items are under way at any time, each with its own deadline."""
+        results: list = [None] * len(pairs)
+        ready: SimpleQueue = SimpleQueue()
+        deadlines: dict[int, float] = {}
+        following = 0
+
+        def work(place: int) -> None:
+            try:
+                ready.put((place, (True, False, int(try_call(call, *pairs[place])), None)))
+            except Exception as failure:  # noqa: BLE001
+                ready.put((place, (False, False, 0, str(failure))))
+
+        while following < len(pairs) or deadlines:
+            while following < len(pairs) and len(deadlines) < threads:
+                deadlines[following] = time.monotonic() + timeout
+                # A thread of its own, so that one that hangs keeps no other item waiting.
+                Thread(target=work, args=(following,), daemon=True).start()
+                following += 1
+            try:
+                place, result = ready.get(timeout=max(0.0, min(deadlines.values()) - time.monotonic()))
+                if place in deadlines:  # else it is late and has been reported
+                    results[place] = result
+                    del deadlines[place]
+            except Empty:
+                now = time.monotonic()
+                for place in [p for p, end in deadlines.items() if end <= now]:
+                    results[place] = (False, False, 0, f"no answer within {timeout:g} s")
+                    del deadlines[place]
+        return results
 
     name = _name_of(fetcher)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = _build_once(name, fetcher)
-        pool = ThreadPoolExecutor(threads)
-        for batch in _slices(batches, threads):
-            # One wave holds at most as many items as there are threads, so waiting starts when work does.
-            pairs = zip(batch.column("url").to_pylist(), batch.column("target").to_pylist())
-            waiting = [pool.submit(try_call, call, url, target) for url, target in pairs]
-            results = [outcome(w) for w in waiting]
-            if any(r[3] and r[3].startswith("no answer") for r in results):
-                pool.shutdown(wait=False)
-                pool = ThreadPoolExecutor(threads)
-            cols = list(zip(*results))
+        for batch in _slices(batches, 1000):
+            pairs = list(zip(batch.column("url").to_pylist(), batch.column("target").to_pylist()))
+            cols = list(zip(*outcomes(call, pairs)))
             yield _append(
                 batch,
                 [pa.array(cols[0], pa.bool_()), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())],
                 names,
             )
-        pool.shutdown(wait=False)
 
     return base.mapInArrow(run, schema)
 

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from replyforge.config import StatusSets
 from replyforge.functions.flags import STATUSES, checkpoint_bucket, has_status, is_answered
-from replyforge.operators.skew import lookup_join, with_running
+from replyforge.operators.skew import with_running
 
 
 def last_wins(df: DataFrame, ids: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -50,22 +51,24 @@ def merge_checkpoints(
 def skip_done(df: DataFrame, done: DataFrame, id_col: str = "uuid", success: str = "success") -> DataFrame:
     """Rows whose id has no success in earlier output. Place it before any model call."""
     finished = done.where(F.coalesce(F.col(success), F.lit(False)) & F.col(id_col).isNotNull())
-    return lookup_join(df, finished.select(id_col).distinct(), [id_col], "left_anti")
+    return df.join(finished.select(id_col).distinct(), [id_col], "left_anti")
 
 
-def resume_inputs(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
+def resume_inputs(df: DataFrame, checkpoint: DataFrame, id_col: str = "id", prompt: str = "prompt") -> DataFrame:
     """Every input row with the saved record in its place where there is one, and the ``action`` to take.
 
     ``checkpoint`` is the result of :func:`merge_checkpoints`. ``reuse``: the id is completed. ``resume``: it is
-    unfinished, its record goes on with status ``resume``. ``fresh``: nothing is saved. A saved record
-    replaces the whole row, so input columns it does not have become null. One join serves all three.
+    unfinished, its record goes on with status ``resume``. ``fresh``: nothing is saved, or the input's prompt is empty
+    and needs no model. A saved record replaces the columns it has; the others keep the input's values. One join
+    serves all three.
     """
     columns = [c for c in checkpoint.columns if c not in (id_col, "bucket", "seq")]
     packed = checkpoint.select(id_col, F.struct("bucket", *columns).alias("_saved"))
-    joined = lookup_join(df, packed, [id_col], "left")
-    found = F.col("_saved").isNotNull()
-    done = F.col("_saved.bucket") == "completed"
-    out = {c: F.when(~found, F.col(c)) for c in df.columns if c != id_col and c not in columns}
+    joined = df.join(packed, [id_col], "left")
+    done = F.coalesce(F.col("_saved.bucket") == "completed", F.lit(False))
+    empty = F.coalesce(F.col(prompt) == "", F.lit(False)) if prompt in df.columns else F.lit(False)
+    found = F.col("_saved").isNotNull() & (done | ~empty)
+    out = {c: F.col(c) for c in df.columns if c != id_col and c not in columns}
     for c in columns:
         own = F.col(c) if c in df.columns else F.lit(None)
         out[c] = F.when(found, F.col("_saved")[c]).otherwise(own)
@@ -87,12 +90,12 @@ def reuse_completed(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") ->
 def requeue_processing(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
     """Saved records of the input's unfinished ids, with status ``resume``: to be sent again."""
     saved = checkpoint.where(F.col("bucket") == "processing").drop("bucket")
-    return lookup_join(df.select(id_col), saved, [id_col], "inner").withColumn("status", F.lit("resume"))
+    return df.select(id_col).join(saved, [id_col]).withColumn("status", F.lit("resume"))
 
 
 def fresh_rows(df: DataFrame, checkpoint: DataFrame, id_col: str = "id") -> DataFrame:
     """Input rows no usable checkpoint record exists for."""
-    return lookup_join(df, checkpoint.select(id_col), [id_col], "left_anti")
+    return df.join(checkpoint.select(id_col), [id_col], "left_anti")
 
 
 def finalize_output(df: DataFrame, has_processor: bool, sets: StatusSets = STATUSES) -> DataFrame:
@@ -114,17 +117,27 @@ def split_empty_prompts(df: DataFrame, prompt: str = "prompt") -> tuple[DataFram
 
 
 def limit_inputs(
-    df: DataFrame, n: int | None, order: Sequence[str], zero_means_all: bool = False, top_n: int = 100_000
+    df: DataFrame, n: int | None, order: Sequence[str], zero_means_all: bool = False
 ) -> DataFrame:
     """First ``n`` rows in a stated order, taken after finished rows were skipped.
 
-    A small limit is a top-n; a large one numbers the rows, as a top-n would bring them all into one task.
+    The order columns alone are counted, summed up in order and compared, so whole rows never come together: each
+    order value lets all, some or none of its rows through.
     """
     if n is None or (zero_means_all and n == 0):
         return df
-    if n <= top_n:
-        return df.orderBy(*order).limit(n)
-    return with_running(df, [], order, row_number="_n").where(F.col("_n") <= n).drop("_n")
+    order = list(order)
+    counts = df.groupBy(*order).agg(F.count("*").alias("_rows"))
+    upto = with_running(counts, [], order, {"_upto": "_rows"})
+    let = upto.where(F.col("_upto") - F.col("_rows") < n).select(
+        F.struct(*order).alias("_key"), F.least(F.col("_rows"), n - (F.col("_upto") - F.col("_rows"))).alias("_let"), "_rows"
+    )
+    chosen = df.withColumn("_key", F.struct(*order)).join(let, "_key")
+    whole = chosen.where(F.col("_let") == F.col("_rows")).select(*df.columns)
+    # At most one order value is cut; of its rows any may go, as they are equal in the order.
+    part = Window.partitionBy("_key").orderBy("_key")
+    cut = chosen.where(F.col("_let") < F.col("_rows")).withColumn("_n", F.row_number().over(part))
+    return whole.union(cut.where(F.col("_n") <= F.col("_let")).select(*df.columns))
 
 
 def shard(

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import _col, percent, round_even
-from replyforge.operators.skew import lookup_join, with_running
+from replyforge.operators.skew import with_running
+from replyforge.sources.storage import materialize
 
-# A weight table up to this many numbers is copied to the executors; above it tokens are shuffled to it.
-BROADCAST_WEIGHTS = 4_000_000
+# A weight table goes to the tasks in blocks of at most this many bytes; each block is one narrow step.
+BLOCK_BYTES = 64 * 1024 * 1024
+# Blocks that run inside one stage.
+BLOCKS_PER_STAGE = 2
+
+# What ends a word: NUL, tab to carriage return (newline included), blank (fixed values).
+WORD_END = b"\x00\t\n\x0b\x0c\r "
+_TO_BLANK = bytes.maketrans(WORD_END, b" " * len(WORD_END))
 
 
 def label_number(label: Column | str) -> Column:
@@ -19,67 +29,104 @@ def label_number(label: Column | str) -> Column:
     return F.replace(_col(label).cast("string"), F.lit("__label__")).try_cast("int")
 
 
-# What ends a word: NUL, tab to carriage return (newline included), blank (fixed values).
-WORD_END = r"[\x00\t-\r ]"
+def tokens(text: str | None, end: bytes | None = None, ngrams: int = 1) -> list[bytes]:
+    """Words of a text, then its end token if there is one, then word runs of up to ``ngrams`` words."""
+    words = (text or "").encode("utf-8").translate(_TO_BLANK).split(b" ")
+    words = [w for w in words if w]
+    if end is not None:
+        words.append(end)
+    runs = [b" ".join(words[i : i + n]) for n in range(2, ngrams + 1) for i in range(len(words) - n + 1)]
+    return words + runs
+
 
+def _weights(model: DataFrame, labels: list, n_blocks: int, block: int) -> tuple[dict[bytes, int], np.ndarray]:
+    """Token numbers and the (token, label) weights of one block."""
+    own = model.where(F.pmod(F.xxhash64("token"), F.lit(n_blocks)) == block)
+    rows = own.groupBy("token", "label").agg(F.sum("weight").cast("double").alias("weight")).toArrow()
+    number: dict[bytes, int] = {}
+    places = [number.setdefault(t.encode("utf-8"), len(number)) for t in rows["token"].to_pylist()]
+    column = {label: i for i, label in enumerate(labels)}
+    table = np.zeros((len(number), len(labels)))
+    table[places, [column[x] for x in rows["label"].to_pylist()]] = rows["weight"].to_numpy(zero_copy_only=False)
+    return number, table
 
-def explode_tokens(docs: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
-    """One row per word of the text."""
-    return docs.select(*ids, F.explode(F.split(F.col(text), WORD_END)).alias("token")).where(F.col("token") != "")
 
+def add_sums(
+    docs: DataFrame, model: DataFrame, text: str = "text", end: str | None = None, ngrams: int = 1, block_bytes: int = BLOCK_BYTES
+) -> tuple[DataFrame, list]:
+    """Every row of ``docs`` with ``_n`` (known tokens of its text) and ``_sums`` (their weights per label), and the labels.
 
-def label_scores(
-    docs: DataFrame,
-    model: DataFrame,
-    ids: Sequence[str],
-    text: str = "text",
-    broadcast_weights: int = BROADCAST_WEIGHTS,
+    ``model`` has ``label, token, weight``. It is cut into blocks by token hash, so that what a task holds is bounded
+    however large it is; each block adds its share to the sums carried along. No row is shuffled or joined.
+    """
+    labels = [r["label"] for r in model.select("label").distinct().orderBy("label").collect()]
+    if not labels:
+        raise ValueError("the model has no labels")
+    sizes = model.groupBy("token").agg(F.lit(1).alias("one")).agg(F.sum(F.octet_length("token") + 8 * len(labels) + 100)).first()[0]
+    n_blocks = max(1, -(-(sizes or 0) // block_bytes))
+    summed = docs.withColumns({"_n": F.lit(0).cast("bigint"), "_sums": F.array_repeat(F.lit(0.0), len(labels))})
+    mark = end.encode("utf-8") if end is not None else None
+    for block in range(n_blocks):
+        sent = docs.sparkSession.sparkContext.broadcast(_weights(model, labels, n_blocks, block))
+        summed = summed.mapInArrow(_adder(sent, text, mark, ngrams), summed.schema)
+        if (block + 1) % BLOCKS_PER_STAGE == 0 and block + 1 < n_blocks:
+            summed = materialize(summed, "scores")
+    return summed, labels
+
+
+def _adder(sent, text: str, end: bytes | None, ngrams: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, weights = sent.value
+        n_labels = weights.shape[1]
+        for batch in batches:
+            names = batch.schema.names
+            place, count, total = names.index(text), names.index("_n"), names.index("_sums")
+            found = [[number[w] for w in tokens(t, end, ngrams) if w in number] for t in batch.column(place).to_pylist()]
+            many = np.array([len(f) for f in found], np.int64)
+            sums = np.array([weights[f].sum(axis=0) for f in found]).reshape(len(found), n_labels)
+            sums += batch.column(total).flatten().to_numpy().reshape(len(found), n_labels)
+            columns = list(batch.columns)
+            columns[count] = pa.array(batch.column(count).to_numpy() + many)
+            columns[total] = pa.array(list(sums), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def add_confidence(
+    docs: DataFrame, model: DataFrame, text: str = "text", end: str | None = None, ngrams: int = 1, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Mean weight of the in-vocabulary tokens for each (document, label).
+    """Every row with ``label`` and ``confidence`` of its best label; both null without a known token.
 
-    ``model`` has ``label, token, weight``, one row per pair. Its labels are turned into columns, so a
-    token meets the table once; sums are combined in the task that exploded the text, hence one small row
-    per document is all that is shuffled.
+    Columns of these names are replaced. Equal probabilities go to the greater label.
     """
-    labels = sorted(r["label"] for r in model.select("label").distinct().limit(1001).collect())
-    if not labels or len(labels) > 1000:
-        raise ValueError("the model needs between 1 and 1000 labels")
-    wide = model.groupBy("token").agg(
-        *[F.coalesce(F.sum(F.when(F.col("label") == lab, F.col("weight"))), F.lit(0.0)).alias(f"_w{i}") for i, lab in enumerate(labels)]
-    )
-    words = explode_tokens(docs, ids, text)
-    # The table has at most one row per token, so this bounds what is copied without building it first.
-    if model.count() * len(labels) <= broadcast_weights:
-        # A number is looked up much faster than a word. Words that start with each other are equal; written like
-        # this, the check stays a check behind the lookup and does not become a second join key.
-        table = wide.withColumnRenamed("token", "_word").withColumn("_hash", F.xxhash64("_word"))
-        found = words.withColumn("_hash", F.xxhash64("token")).join(F.broadcast(table), "_hash")
-        hits = found.where(F.startswith("token", "_word") & F.startswith("_word", "token"))
-    else:
-        counted = words.groupBy(*ids, "token").agg(F.count("*").alias("_tf"))
-        hits = lookup_join(counted, wide, ["token"], "inner")
-    tf = F.col("_tf") if "_tf" in hits.columns else F.lit(1)
-    sums = hits.groupBy(*ids).agg(
-        F.sum(tf).alias("_n"), *[F.sum(F.col(f"_w{i}") * tf).alias(f"_s{i}") for i in range(len(labels))]
+    base = docs.drop("label", "confidence")
+    summed, labels = add_sums(base, model, text, end, ngrams, block_bytes)
+    names = F.from_json(F.lit(json.dumps([str(x) for x in labels])), "array<string>")
+    logits = F.transform("_sums", lambda s, i: F.struct((s / F.col("_n")).alias("z"), F.get(names, i).alias("label")))
+    top = F.array_max(logits)
+    scored = summed.withColumn("_top", F.when(F.col("_n") > 0, top))
+    total = F.aggregate("_sums", F.lit(0.0), lambda acc, s: acc + F.exp(s / F.col("_n") - F.col("_top")["z"]))
+    number = label_number(F.col("_top")["label"])
+    return scored.select(
+        *[F.col(f"`{c}`") for c in base.columns],
+        number.alias("label"),
+        F.when(number.isNotNull(), F.lit(1.0) / total).alias("confidence"),
     )
-    logits = [F.struct(F.lit(lab).alias("label"), (F.col(f"_s{i}") / F.col("_n")).alias("z")) for i, lab in enumerate(labels)]
-    return sums.select(*ids, F.array(*logits).alias("logits"))
 
 
-def classify_text(docs: DataFrame, model: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
-    """``label`` and ``confidence`` (softmax probability) of the best label per document.
+def classify_text(
+    docs: DataFrame, model: DataFrame, ids: Sequence[str], text: str = "text", end: str | None = None, ngrams: int = 1, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``label`` and ``confidence`` (softmax of the mean weights) of the best label per document.
 
-    Documents without text or without any known token get no row here; they still count in the
-    retention figures, which start from the raw lines. Equal probabilities go to the greater label.
+    Documents without text or without any known token get no row here; they still count in the retention figures,
+    which start from the raw lines. ``end`` is a token put behind every text, ``ngrams`` the longest run of words
+    that is looked up (its words joined by blanks).
     """
-    scored = label_scores(docs, model, ids, text)
-    top = F.array_max(F.transform("logits", lambda x: F.struct(x["z"].alias("z"), x["label"].alias("label"))))
-    total = F.aggregate("logits", F.lit(0.0), lambda acc, x: acc + F.exp(x["z"] - F.col("_top")["z"]))
-    return (
-        scored.withColumn("_top", top)
-        .select(*ids, label_number(F.col("_top")["label"]).alias("label"), (F.lit(1.0) / total).alias("confidence"))
-        .where(F.col("label").isNotNull())
-    )
+    narrow = docs.select(*ids, F.col(text).alias("_text"))
+    scored = add_confidence(narrow, model, "_text", end, ngrams, block_bytes)
+    return scored.where(F.col("label").isNotNull()).drop("_text")
 
 
 def keep_positive(df: DataFrame, label: int = 1, min_confidence: float = 0.0) -> DataFrame:
@@ -89,11 +136,10 @@ def keep_positive(df: DataFrame, label: int = 1, min_confidence: float = 0.0) ->
 
 
 def filter_documents(
-    docs: DataFrame, model: DataFrame, ids: Sequence[str], text: str = "text", label: int = 1, min_confidence: float = 0.0
+    docs: DataFrame, model: DataFrame, text: str = "text", label: int = 1, min_confidence: float = 0.0
 ) -> DataFrame:
-    """The documents that pass, with their ``score`` (an existing one is replaced)."""
-    scores = keep_positive(classify_text(docs, model, ids, text), label, min_confidence)
-    return docs.drop("score").join(scores, list(ids))
+    """The documents that pass, with their ``score`` (an existing one is replaced); nothing is shuffled."""
+    return keep_positive(add_confidence(docs.drop("score"), model, text), label, min_confidence)
 
 
 def retention_by_file(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyforge.functions.render import render
 from replyforge.functions.text import basename, dirname, stem
-from replyforge.operators.skew import lookup_join, with_running
+from replyforge.operators.skew import with_running
 
 RAW_URL = "https://raw.githubusercontent.com/{}/{}/{}"
 FILES_PER_GROUP = 50
@@ -34,7 +34,7 @@ def remaining_files(files: DataFrame, ledger: DataFrame, path: str = "file", don
     """Files whose base name the ledger does not list."""
     named = files.withColumn("_base", basename(path))
     listed = ledger.select(F.col(done).alias("_base")).distinct()
-    return lookup_join(named, listed, ["_base"], "left_anti").drop("_base")
+    return named.join(listed, ["_base"], "left_anti").drop("_base")
 
 
 def fetch_plan(manifest: DataFrame, root: str, url_template: str = RAW_URL, source: str = "manifest") -> DataFrame:
@@ -58,15 +58,16 @@ def skip_fetched(plan: DataFrame, existing: DataFrame, keys: Sequence[str] = KEY
 
     ``existing`` has one row per key with its ``size``.
     """
+    keys = list(keys)
     have = existing.select(*keys, "size")
-    there = lookup_join(plan, have, keys, "inner").select(
+    there = plan.join(have, keys).select(
         *plan.columns,
         F.lit(True).alias("success"),
         F.lit(True).alias("skipped"),
         "size",
         F.lit(None).cast("string").alias("error"),
     )
-    return lookup_join(plan, have.drop("size"), keys, "left_anti").select(plan.columns), there
+    return plan.join(have.drop("size"), keys, "left_anti").select(plan.columns), there
 
 
 def fetch_stats(outcomes: DataFrame, source: str = "manifest", manifests: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import _col
-from replyforge.operators.skew import lookup_join
 
 IMAGE_MARKS = ("<|image|>", "<image> ")
 ITEM = "struct<type:string,text:string,image:string,detail:string>"
@@ -43,7 +42,7 @@ def build_multimodal(df: DataFrame, images: DataFrame, parts: str = "parts") ->
         F.regexp_replace("path", "^file:/+", "/").alias("_path"),
         F.concat(F.lit("data:image/jpeg;base64,"), F.replace(F.base64("content"), F.lit("\r\n"), F.lit(""))).alias("_url"),
     )
-    shown = lookup_join(spread.where(F.col("_path").isNotNull()), urls, ["_path"], "left")
+    shown = spread.where(F.col("_path").isNotNull()).join(urls, ["_path"], "left")
     missing = F.raise_error(F.concat(F.lit("no image "), F.col("_path")))
     url = F.when(F.col("_url").isNull(), missing).otherwise(F.col("_url"))
     image_items = shown.select(*lists, "_pos", _item("image_url", image=url, detail=F.lit("low")).alias("_item"))
@@ -55,7 +54,7 @@ def build_multimodal(df: DataFrame, images: DataFrame, parts: str = "parts") ->
     built = image_items.unionByName(text_items).groupBy(*lists).agg(
         F.transform(ordered, lambda x: x["_item"]).alias("items")
     )
-    return lookup_join(keyed, built, lists, "left").select(*df.columns, "items")
+    return keyed.join(built, lists, "left").select(*df.columns, "items")
 
 
 def _item(kind: str, text: Column | None = None, image: Column | None = None, detail: Column | None = None) -> Column:

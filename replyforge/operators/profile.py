@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def column_profile(df: DataFrame, max_cols: int = 10) -> DataFrame:
-    """``column_name, non_null, total`` of the first columns, in one pass."""
+def column_profile(df: DataFrame, max_cols: int | None = None) -> DataFrame:
+    """``column_name, non_null, total`` of all columns, or of the first ``max_cols``, in one pass."""
     names = df.columns[:max_cols]
     counts = df.agg(F.count("*").alias("total"), *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(names)])
     rows = F.array(
@@ -16,15 +18,14 @@ def column_profile(df: DataFrame, max_cols: int = 10) -> DataFrame:
     return counts.select("total", F.inline(rows)).select("column_name", "non_null", "total")
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Any ``n`` rows; Spark stops reading once it has them."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows in a stated order; without one any ``n`` rows, and Spark stops reading once it has them."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
-def sample_rows(df: DataFrame, max_total: int = 10_000, rows: int = 1000) -> DataFrame | None:
-    """Up to ``rows`` rows of a small table, None for one of more than ``max_total`` rows."""
-    small = df.limit(max_total + 1).count() <= max_total
-    return df.limit(rows) if small else None
+def sample_rows(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Up to ``rows`` rows of a table of any size."""
+    return df.limit(rows)
 
 
 def save_sample(df: DataFrame, path: str, rows: int = 5) -> None:

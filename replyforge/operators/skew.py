@@ -1,4 +1,4 @@
-"""Joins and per-group orderings that hold when one key owns a large share of the rows."""
+"""Per-group orderings that hold when one key owns a large share of the rows."""
 
 from __future__ import annotations
 
@@ -15,8 +15,6 @@ from replyforge.sources.storage import materialize
 # outside the list owns less than 1/MAX_HOT of the rows.
 HOT_ROWS = 2_000_000
 MAX_HOT = 4096
-# Right-hand rows of hot keys are copied to the executors up to this many bytes.
-BROADCAST_BYTES = 256 * 1024 * 1024
 # Largest limit Spark applies before the shuffle (default of spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
 # Upper limit for the ranges a table is cut into.
@@ -33,53 +31,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return df.sparkSession.createDataFrame(top, counts.schema) if top else None
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Join a big side to a table with at most one row per key.
-
-    Rows of hot keys never travel: they meet the few matching right rows by broadcast, bounded in number by
-    ``MAX_HOT`` and in size by ``BROADCAST_BYTES``. All other rows take Spark's own join, where each key is
-    small. Null keys match nothing and skip the join once there are hot keys. ``how``: inner, left,
-    left_semi or left_anti.
-    """
-    keys = list(keys)
-    hot = hot_keys(left, keys, hot_rows)
-    if hot is None:
-        return left.join(right, keys, how)
-    hot = hot.dropna(subset=keys)
-    if how in ("inner", "left"):
-        hot = _within_budget(right, hot, keys)
-    hot = F.broadcast(hot.select(*keys))
-    hot_right = F.broadcast(right.join(hot, keys, "left_semi"))
-    hot_part = left.join(hot, keys, "left_semi").join(hot_right, keys, how)
-    has_null = F.lit(False)
-    for key in keys:
-        has_null = has_null | F.col(key).isNull()
-    cold_part = left.where(~has_null).join(hot, keys, "left_anti").join(right, keys, how)
-    joined = hot_part.unionByName(cold_part)
-    if how in ("inner", "left_semi"):
-        return joined
-    return joined.unionByName(left.where(has_null), allowMissingColumns=True).select(joined.columns)
-
-
-def _within_budget(right: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """The hottest keys whose right rows together fit into ``BROADCAST_BYTES``."""
-    size = F.octet_length(F.to_json(F.struct(*right.columns)))
-    sized = right.select(*keys, size.alias("_bytes")).join(F.broadcast(hot), keys)
-    fitting, used = [], 0
-    # One number per hot key comes to the driver.
-    for row in sized.orderBy(F.desc("_rows")).limit(MAX_HOT).collect():
-        used += row["_bytes"]
-        if used > BROADCAST_BYTES:
-            break
-        fitting.append(tuple(row[k] for k in keys))
-    # Hot keys without a right row cost nothing and stay hot.
-    absent = hot.join(sized.select(*keys), keys, "left_anti").select(*keys)
-    schema = hot.select(*keys).schema
-    return absent.unionByName(hot.sparkSession.createDataFrame(fitting, schema))
-
-
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group with their rank as ``rank``.
 

@@ -11,7 +11,6 @@ from replyforge.functions.flags import is_complete
 from replyforge.functions.jsontext import is_json_object, strict_json
 from replyforge.functions.text import is_blank, strip
 from replyforge.operators.checkpoints import last_wins
-from replyforge.operators.skew import lookup_join
 
 EMPTY_STATEMENT = "Empty formal statement"
 FAILED = "Prediction failed"
@@ -72,7 +71,7 @@ def apply_predictions(items: DataFrame, preds: DataFrame, keys: Sequence[str]) -
             F.col("response").alias("difficulty_response"),
         ).alias("_new"),
     )
-    joined = lookup_join(items, good, keys, "left")
+    joined = items.join(good, list(keys), "left")
     found = F.col("_new").isNotNull()
     fields = ["difficulty", "difficulty_rationale", "difficulty_response"]
     kinds = {"difficulty": "double"}

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.flags import variant_string
-from replyforge.functions.text import is_blank
-from replyforge.operators.classify import classify_text, keep_positive, retention_by_file, write_filter_report
-from replyforge.operators.skew import lookup_join
-from replyforge.sources.jsonl import list_files, parse_lines, scan_dir
+from replyforge.functions.jsontext import strict_json
+from replyforge.functions.text import is_blank, round_even
+from replyforge.operators.classify import add_confidence, retention_by_file, write_filter_report
+from replyforge.sources.jsonl import full_files, list_files, scan_dir
 from replyforge.sources.storage import materialize
 
 
@@ -19,32 +19,47 @@ def with_score(record: Column, score: Column) -> Column:
     return F.to_json(F.map_concat(fields, F.create_map(F.lit("score"), F.parse_json(score.cast("string")))))
 
 
+def mark_lines(lines: DataFrame, model: DataFrame, min_confidence: float = 0.0) -> DataFrame:
+    """Every line's ``source_file``, whether it is ``blank``, and its ``value`` with the new ``score`` if it is retained.
+
+    The value of other lines is null. One narrow pass: a line is parsed and scored where it is read.
+    """
+    parsed = lines.select("source_file", "value", F.explode(F.array(strict_json("value"))).alias("record"))
+    texts = parsed.select("source_file", "value", is_blank("value").alias("blank"), variant_string("record", "text").alias("text"))
+    scored = add_confidence(texts, model)
+    good = F.coalesce((F.col("label") == 1) & (F.col("confidence") >= min_confidence), F.lit(False))
+    written = with_score(F.parse_json("value"), round_even("confidence", 4))
+    return scored.select("source_file", "blank", F.when(good, written).alias("value"))
+
+
 def filter_lines(
     lines: DataFrame, model: DataFrame, min_confidence: float = 0.0, files: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Retained lines (``source_file``, ``value`` with its new ``score``) and retention per file.
 
-    ``lines`` has ``value`` and ``source_file``; ``files`` adds the files without lines to the figures. Equal lines get equal scores, so a line is known by a pair
-    of hashes. Copies need not be removed first: their words only repeat in a mean. The texts are not
-    shuffled for scoring, each line sends one small row.
+    ``lines`` has ``value`` and ``source_file``; ``files`` adds the files without lines to the figures.
     """
-    keyed = lines.where(~is_blank("value")).withColumns(
-        {"_h1": F.xxhash64("value"), "_h2": F.xxhash64(F.lit(1), "value")}
-    )
-    texts = parse_lines(keyed).withColumn("text", variant_string("record", "text"))
-    scores = keep_positive(classify_text(texts, model, ["_h1", "_h2"]), 1, min_confidence)
-    marked = lookup_join(keyed, scores, ["_h1", "_h2"], "left")
-    found = F.col("score").isNotNull()
-    kept = parse_lines(marked.where(found)).select(
-        "source_file", with_score(F.col("record"), F.col("score")).alias("value")
-    )
-    return kept, retention_by_file(marked, found, files=files)
+    return split_marked(mark_lines(lines, model, min_confidence), files)
+
+
+def split_marked(marked: DataFrame, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two results of :func:`filter_lines` from marked lines."""
+    found = F.col("value").isNotNull()
+    return marked.where(found).select("source_file", "value"), retention_by_file(marked.where("NOT blank"), found, files=files)
 
 
 def filter_folder(spark: SparkSession, src: str, out: str, model: DataFrame, min_confidence: float = 0.0) -> DataFrame:
-    """Filter every ``*.jsonl`` of a folder; write the lines by source and the report; return the figures."""
-    kept, per_file = filter_lines(scan_dir(spark, src), model, min_confidence, list_files(spark, src))
+    """Filter every ``*.jsonl`` of a folder; write the lines by source and the report; return the figures.
+
+    The input is read and scored once; records and figures come from what that pass has written. A file that has
+    bytes but could not be read at all is set apart as failed instead of ending the run.
+    """
+    lines = scan_dir(spark, src, skip_unreadable=True)
+    marked = materialize(mark_lines(lines, model, min_confidence), "filtered")
+    failed = full_files(spark, src).join(marked.select("source_file").distinct(), "source_file", "left_anti")
+    files = list_files(spark, src).join(failed, "source_file", "left_anti")
+    kept, per_file = split_marked(marked, files)
     kept.write.mode("overwrite").partitionBy("source_file").text(f"{out}/records")
     figures = materialize(per_file, "retention")
-    write_filter_report(figures, f"{out}/report")
+    write_filter_report(figures, f"{out}/report", failed)
     return figures

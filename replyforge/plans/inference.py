@@ -32,8 +32,8 @@ def run_inference(
 ) -> DataFrame:
     """``inputs`` has the id and ``prompt``; ``checkpoints`` come from lowest to highest precedence.
 
-    Completed ids give their saved record, unfinished ones go on from theirs, empty prompts are answered
-    with an empty response, and only the rest reaches the model. The limit counts model rows; finished
+    Completed ids give their saved record; of the others, empty prompts of the input are answered with an empty
+    response, unfinished ids go on from their record, and only the rest reaches the model afresh. The limit counts model rows; finished
     rows are always kept.
     """
     has_processor = mode in MODES
@@ -44,8 +44,12 @@ def run_inference(
         # Read once for the finished rows and once per model round, so the join runs only here.
         rows = materialize(resume_inputs(inputs, saved, id_col), "resume")
         done.append(rows.where(F.col("action") == "reuse").drop("action"))
-        todo = rows.where(F.col("action") != "reuse").drop("action")
-    todo, empty = split_empty_prompts(todo)
+        # Only a prompt of the input is answered when empty; an unfinished record goes on with what it has saved.
+        todo = rows.where(F.col("action") == "resume").drop("action")
+        fresh, empty = split_empty_prompts(rows.where(F.col("action") == "fresh").drop("action"))
+        todo = todo.unionByName(fresh)
+    else:
+        todo, empty = split_empty_prompts(todo)
     done.append(empty)
     todo = limit_inputs(todo, infer_limit, [id_col])
     if checkpoints and not has_processor and infer_limit is None:

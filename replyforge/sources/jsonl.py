@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from replyforge.functions.flags import variant_boolean, variant_string
 from replyforge.functions.ids import parse_attempt_id
-from replyforge.functions.jsontext import OBJECT_START, strict_json
+from replyforge.functions.jsontext import OBJECT_START, json_path, strict_json
 from replyforge.functions.text import is_blank
 from replyforge.operators.checkpoints import last_wins
 from replyforge.sources.storage import path_exists
@@ -43,7 +43,7 @@ def typed_field(record: Column, name: str, kind: T.DataType) -> Column:
         return variant_string(record, name)
     if isinstance(kind, T.BooleanType):
         return variant_boolean(record, name)
-    return F.try_variant_get(record, f"$.{name}", kind.simpleString())
+    return F.try_variant_get(record, json_path(name), kind.simpleString())
 
 
 def typed_rows(parsed: DataFrame, schema: T.StructType | str, keep: list[str] | None = None) -> DataFrame:
@@ -111,23 +111,29 @@ def read_json_table(
     if schema is not None:
         reader = reader.schema(schema)
     table = reader.json(found)
+    places = ["_file", "_block", "_row"]
     if found.endswith(".jsonl"):
-        table = _strict_lines(spark.read.text(found), table.schema)
+        lines = spark.read.text(found).select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        table = _strict_lines(lines, table.schema, places)
+    else:
+        table = table.withColumns({"_file": F.lit(""), "_block": F.lit(0), "_row": F.monotonically_increasing_id()})
     if key is None:
-        return table
+        return table.drop(*places)
     keyed = table.where(F.col(key).isNotNull())
-    if seq is not None:
-        return last_wins(keyed, [key], [seq])
-    # Text splits of one file are numbered in file order, and so are the rows inside a split.
-    numbered = keyed.withColumn("_seq", F.monotonically_increasing_id())
-    return last_wins(numbered, [key], ["_seq"]).drop("_seq")
+    # Splits of several files are dealt out by size, so file and place in it come first; rows of a split follow in order.
+    return last_wins(keyed, [key], places if seq is None else [seq]).drop(*places)
 
 
-def _strict_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def _strict_lines(lines: DataFrame, schema: T.StructType, carry: list[str]) -> DataFrame:
     """Records of lines that must each be one JSON value; a blank line or text after the value fails the read."""
     complaint = F.raise_error(F.concat(F.lit("not one JSON value: "), F.substring("value", 1, 200))).cast("string")
     checked = F.when(strict_json("value").isNotNull(), F.col("value")).otherwise(complaint)
-    return lines.select(F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("record")).select("record.*")
+    return lines.select(F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("record"), *carry).select("record.*", *carry)
 
 
 def join_base_dir(base_dir: str, name: str) -> str:
@@ -155,10 +161,18 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> Data
     return spark.createDataFrame([(unquote(f.rsplit("/", 1)[-1]),) for f in found], "source_file string")
 
 
-def scan_dir(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
+def full_files(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
+    """``source_file`` of every matching file that holds bytes, as a distributed listing; no content is read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return found.select(F.col("_metadata.file_name").alias("source_file"))
+
+
+def scan_dir(spark: SparkSession, path: str, pattern: str = "*.jsonl", skip_unreadable: bool = False) -> DataFrame:
     """Raw lines of every ``*.jsonl`` directly in a folder, with the file name of each line.
 
-    A folder without such files gives an empty table.
+    A folder without such files gives an empty table. ``skip_unreadable`` leaves out what cannot be read.
     """
-    lines = spark.read.option("pathGlobFilter", pattern).text(path)
-    return lines.select("value", F.col("_metadata.file_name").alias("source_file"))
+    reader = spark.read.option("pathGlobFilter", pattern)
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", "true")
+    return reader.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))

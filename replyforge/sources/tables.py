@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import basename
-from replyforge.operators.skew import lookup_join, with_running
+from replyforge.operators.skew import with_running
 
 
 def read_statements(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +62,7 @@ def _with_parquet_row_id(table: DataFrame) -> DataFrame:
     listing = with_running(files, [], ["_file"], row_number="_ordinal")
     marked = table.select("*", F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_path").alias("_file"))
     return (
-        lookup_join(marked, listing, ["_file"], "inner")
+        marked.join(listing, ["_file"])
         .withColumn("_rowid", F.shiftleft(F.col("_ordinal") - 1, 32) + F.col("_row"))
         .select(*table.columns, "_rowid")
     )
@@ -80,7 +80,7 @@ def with_position(table: DataFrame, name: str = "_position") -> DataFrame:
     before = upto.select("_file", (F.col("_upto") - F.col("_n")).alias("_before"))
     marked = table.select("*", F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_path").alias("_file"))
     return (
-        lookup_join(marked, before, ["_file"], "inner")
+        marked.join(before, ["_file"])
         .withColumn(name, F.col("_before") + F.col("_row"))
         .select(*table.columns, name)
     )

@@ -182,9 +182,9 @@ def feedback_summary(t):
 
 
 @query(
-    """SELECT w.id, CASE WHEN s.bucket = 'completed' THEN s.prompt WHEN s.bucket = 'processing' THEN s.prompt ELSE w.prompt END AS prompt,
+    """SELECT w.id, CASE WHEN s.bucket = 'completed' THEN s.prompt WHEN w.prompt = '' THEN '' WHEN s.bucket = 'processing' THEN s.prompt ELSE w.prompt END AS prompt,
               CASE WHEN s.bucket = 'completed' THEN s.response
-                   WHEN s.bucket IS DISTINCT FROM 'processing' AND w.prompt = '' THEN ''
+                   WHEN w.prompt = '' THEN ''
                    ELSE cast(length(CASE WHEN s.bucket = 'processing' THEN s.prompt ELSE w.prompt END) AS string) || ' chars' END AS response
        FROM {work_items} w LEFT JOIN (SELECT * FROM {saved_buckets} WHERE bucket IN ('completed', 'processing')) s ON w.id = s.id"""
 )
@@ -196,6 +196,18 @@ def run_inference(t):
     return out.select("id", "prompt", got.alias("response"))
 
 
+@query(
+    """SELECT w.id, w.prompt, CASE WHEN s.bucket = 'completed' THEN s.response WHEN w.prompt = '' THEN '' ELSE cast(length(w.prompt) AS string) || ' chars' END AS response
+       FROM {work_items} w LEFT JOIN (SELECT * FROM {saved_buckets} WHERE bucket IN ('completed', 'processing')) s ON w.id = s.id"""
+)
+def run_inference_without_saved_prompts(t):
+    """A checkpoint written without its prompt column: rows go on with the prompt of the input."""
+    saved = t["saved"].withColumn("response_n", F.array().cast("array<string>")).drop("prompt")
+    out = infer_run(t["work_items"], steady_model, "proof-bon", [saved], n=1, max_rounds=3)
+    got = F.coalesce(F.try_element_at("response_n", F.lit(1)), F.col("response"))
+    return out.select("id", "prompt", got.alias("response"))
+
+
 def steady_model():
     return lambda prompts, histories: ([f"{len(p)} chars" for p in prompts], [None] * len(prompts))
 

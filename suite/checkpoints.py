@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from replyforge.operators import checkpoints as C
-from replyforge.operators.skew import lookup_join
 from suite.base import query
 
 # Four checkpoint files from lowest to highest precedence; each holds a record for every document, of which
@@ -81,10 +80,9 @@ _HOT = "CASE WHEN o_custkey % 3 = 0 THEN '7' WHEN o_custkey % 3 = 1 THEN '-1' WH
         WHERE uuid IS NULL OR uuid NOT IN ({_DONE})"""
 )
 def skip_done_hot_ids(t):
-    """Two ids own a third of the rows each and take the broadcast path; null ids are never done."""
+    """Two ids own a third of the rows each; null ids are never done."""
     items = t["orders"].select("o_orderkey", F.expr(_HOT).alias("uuid"))
-    done = t["done_events"].where("success AND uuid IS NOT NULL").select("uuid").distinct()
-    return lookup_join(items, done, ["uuid"], "left_anti", hot_rows=100)
+    return C.skip_done(items, t["done_events"])
 
 
 @query(

@@ -32,19 +32,17 @@ def classify_text(t):
 
 @query(f"SELECT doc_id, CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS label, cast(printf('%.4f', greatest(p1, 1 - p1)) AS double) AS confidence FROM ({_DOCS})")
 def classify_text_large_model(t):
-    """The same scores when the weight table is too large to copy and hot words are split off."""
-    scored = K.label_scores(t["documents"], _model(t), ["doc_id"], broadcast_weights=0)
-    z = F.transform("logits", lambda x: x["z"])
-    p1 = 1 / (1 + F.exp(z[0] - z[1]))
-    return scored.select(
-        "doc_id", F.when(p1 >= 0.5, 1).otherwise(0).alias("label"), round_even(F.greatest(p1, 1 - p1), 4).alias("confidence")
-    )
+    """The same scores when the weight table goes out in several blocks."""
+    model = _model(t)
+    size = model.agg(F.sum(F.octet_length("token") + 116)).first()[0] // 2
+    out = K.classify_text(spread(t["documents"], "doc_id"), model, ["doc_id"], block_bytes=size // 3)
+    return out.withColumn("confidence", round_even("confidence", 4))
 
 
 @query(f"SELECT doc_id, lang, cast(printf('%.4f', p1) AS double) AS score FROM ({_DOCS}) JOIN {{documents}} USING (doc_id) WHERE p1 >= 0.5")
 def keep_positive(t):
     docs = spread(t["documents"], "doc_id").withColumn("score", F.lit(9.0))
-    return K.filter_documents(docs, _model(t), ["doc_id"]).select("doc_id", "lang", "score")
+    return K.filter_documents(docs, _model(t)).select("doc_id", "lang", "score")
 
 
 @query(f"SELECT doc_id, cast(printf('%.4f', p1) AS double) AS score FROM ({_DOCS}) WHERE p1 >= 0.6")
@@ -64,7 +62,7 @@ def _failed(t):
 
 
 def _per_file(t):
-    return filter_lines(t["raw_lines"].select("value", "source_file"), _model(t))[1]
+    return filter_lines(spread(t["raw_lines"].select("value", "source_file")), _model(t))[1]
 
 
 @query(f"SELECT source_file, md5(cast(doc_id AS string)) AS doc, cast(printf('%.4f', p1) AS double) AS score FROM {{line_facts}} JOIN ({_LINES}) USING (doc_id) WHERE p1 >= 0.5")

@@ -108,6 +108,12 @@ def render_robustness(t):
     return wide.select("doc_id", F.inline(rows))
 
 
+@query("SELECT doc_id, trim(natural_language_statement, ' ' || chr(10)) || ' {{x}} ' || trim(natural_language_statement, ' ' || chr(10)) AS prompt FROM {tag_items}")
+def render_difficulty_named(t):
+    """A template with a named slot."""
+    return R.render_difficulty(t["tag_items"], "{statement} {{x}} {statement}", "natural_language_statement").select("doc_id", "prompt")
+
+
 @query("SELECT doc_id, 'Rate <' || trim(natural_language_statement, ' ' || chr(10)) || '> now' AS prompt FROM {tag_items}")
 def render_difficulty(t):
     return R.render_difficulty(t["tag_items"], "Rate <{}> now", "natural_language_statement").select("doc_id", "prompt")

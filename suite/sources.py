@@ -1,13 +1,16 @@
 """Readers, writers and streaming ingest, each as a round trip through the shared folder."""
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replyforge.operators.profile import column_profile as profile
 from replyforge.operators.profile import preview as first_few
 from replyforge.sources import jsonl, sinks, tables
 from replyforge.sources.snapshots import latest_snapshot as newest
 from replyforge.sources.storage import materialize, new_path
-from replyforge.streaming.ingest import ingest_stream, jsonl_stream, open_stream
+from replyforge.streaming.ingest import appended_lines, ingest_appended, ingest_stream, jsonl_stream, open_stream
 from suite.base import query
 
 LINE = "doc_id bigint, text string, source string"
@@ -37,9 +40,20 @@ def read_jsonl_rejects(t):
 @query("SELECT source, max(doc_id) AS doc_id, arg_max(lang, doc_id) AS lang FROM {documents} GROUP BY source")
 def read_json_table(t):
     path = new_path(t.spark, "keyed") + ".jsonl"
-    sinks.write_jsonl(t["documents"].select("source", "doc_id", "lang"), path)
+    # Several files of unequal size, ordered by id from file to file and inside each.
+    docs = t["documents"].select("source", "doc_id", "lang", "text")
+    sinks.write_jsonl(docs.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id"), path)
     schema = "source string, doc_id bigint, lang string"
-    return jsonl.read_json_table(t.spark, path.removesuffix(".jsonl"), "source", schema, seq="doc_id").select("source", "doc_id", "lang")
+    return jsonl.read_json_table(t.spark, path.removesuffix(".jsonl"), "source", schema).select("source", "doc_id", "lang")
+
+
+@query("SELECT doc_id, source AS dotted, lang AS quoted FROM {documents}")
+def read_jsonl_dotted_names(t):
+    """Field names with dots and quotes."""
+    path = new_path(t.spark, "dotted")
+    t["documents"].select("doc_id", F.col("source").alias("a.b"), F.col("lang").alias("it's")).write.json(path)
+    rows = jsonl.read_jsonl(t.spark, path, T.StructType.fromDDL("doc_id bigint, `a.b` string, `it's` string")).rows
+    return rows.select("doc_id", F.col("`a.b`").alias("dotted"), F.col("`it's`").alias("quoted"))
 
 
 @query("SELECT idx, user_id, event_type FROM (SELECT *, event_id AS idx FROM {events}) WHERE idx = 7")
@@ -120,6 +134,34 @@ def ingest_stream_twice(t):
     return t.spark.read.parquet(f"{base}/sink").select("event_id", "user_id", "event_type", "value")
 
 
+def _append(folder: str):
+    """Task side: put each group's lines behind what its file holds."""
+
+    def run(table: pa.Table) -> pa.Table:
+        name = table.column("file")[0].as_py()
+        files, place = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        files.create_dir(place, recursive=True)
+        with files.open_append_stream(f"{place}/{name}") as out:
+            out.write("".join(f"{v}\n" for v in table.sort_by("event_id").column("value").to_pylist()).encode())
+        return table.select(["file"]).slice(0, 1)
+
+    return run
+
+
+@query("SELECT cast(user_id % 4 AS string) || '.jsonl' AS source_file, count(*) AS lines, cast(sum(event_id) AS bigint) AS ids FROM {events} GROUP BY 1")
+def ingest_growing_files(t):
+    """Four files in two helpings, looked at after each and once more."""
+    base = new_path(t.spark, "growing")
+    row = F.to_json(F.struct("event_id", "event_type"))
+    lines = t["events"].select("event_id", row.alias("value"), F.concat((F.col("user_id") % 4).cast("string"), F.lit(".jsonl")).alias("file"))
+    for part in (F.col("event_id") % 1000 < 400, F.col("event_id") % 1000 >= 400):
+        lines.where(part).groupBy("file").applyInArrow(_append(f"{base}/src"), "file string").collect()
+        ingest_appended(t.spark, f"{base}/src", f"{base}/sink")
+    ingest_appended(t.spark, f"{base}/src", f"{base}/sink")
+    ids = appended_lines(t.spark, f"{base}/sink").select("source_file", F.from_json("value", "event_id bigint")["event_id"].alias("id"))
+    return ids.groupBy("source_file").agg(F.count("*").alias("lines"), F.sum("id").alias("ids"))
+
+
 @query("SELECT doc_id, source, md5(text) AS text_md5 FROM {line_facts} WHERE is_object")
 def ingest_jsonl_stream(t):
     """Damaged lines through the tolerant parser on a stream."""
@@ -147,17 +189,20 @@ def latest_snapshot(t):
 @query(
     """SELECT 'doc_id' AS column_name, count(doc_id) AS non_null, count(*) AS total FROM {documents}
        UNION ALL SELECT 'text', count(text), count(*) FROM {documents}
+       UNION ALL SELECT 'lang', count(lang), count(*) FROM {documents}
+       UNION ALL SELECT 'source', count(source), count(*) FROM {documents}
+       UNION ALL SELECT 'n_chars', count(n_chars), count(*) FROM {documents}
        UNION ALL SELECT 'quality', count(quality), count(*) FROM {documents} LEFT JOIN {labels} USING (doc_id)
        UNION ALL SELECT 'toxic', count(toxic), count(*) FROM {documents} LEFT JOIN {labels} USING (doc_id)"""
 )
 def column_profile(t):
-    wide = t["documents"].select("doc_id", "text").join(t["labels"].select("doc_id", "quality", "toxic"), "doc_id", "left")
+    wide = t["documents"].join(t["labels"].select("doc_id", "quality", "toxic"), "doc_id", "left")
     return profile(wide)
 
 
-@query()
+@query("SELECT doc_id, lang, source FROM {documents} ORDER BY doc_id LIMIT 5")
 def preview(t):
-    return first_few(t["documents"], 5)
+    return first_few(t["documents"].select("doc_id", "lang", "source"), 5, ["doc_id"])
 
 
 @query("SELECT conv_id, turn, role, text FROM {turns}")

@@ -325,3 +325,35 @@ def test_image_positions(spark):
     assert kinds("after") == [("text", "see it"), *shown]
     assert kinds("none") == [("text", "see it")]
     assert frame.select(image_prompt("p")).first()[0][0]["text"] == "see <image> it"
+
+
+def test_batches_are_filled_however_wide_the_rows(spark):
+    """Long prompts arrive in small Arrow batches; the model still gets full calls, and a failed one marks just those."""
+
+    def model():
+        def call(prompts, histories):
+            if len(prompts) != 40:
+                raise ValueError(f"odd call of {len(prompts)}")
+            return [str(len(prompts))] * len(prompts), [None] * len(prompts)
+
+        return call
+
+    frame = spark.range(0, 130, 1, 1).selectExpr("id", "repeat('x', 300000) as prompt")
+    got = infer_batch(frame, model, batch_size=40).select("response", "error").groupBy("response", "error").count().collect()
+    assert sorted((r["response"], r["error"], r["count"]) for r in got if r["response"]) == [("40", None, 120)]
+    assert [(r["error"], r["count"]) for r in got if not r["response"]] == [("odd call of 10", 10)]
+
+
+def test_each_fetch_has_its_own_deadline(spark):
+    def fetcher():
+        import time
+
+        def call(url, target):
+            time.sleep(float(url))
+            return 1
+
+        return call
+
+    frame = spark.createDataFrame([(str(s), f"t{s}") for s in (0.1, 1.9, 2.8, 3.7)], "url string, target string").coalesce(1)
+    got = fetch(frame, fetcher, partitions=1, timeout=1.2, threads=4).collect()
+    assert sorted((r["url"], r["success"]) for r in got) == [("0.1", True), ("1.9", False), ("2.8", False), ("3.7", False)]

@@ -267,3 +267,15 @@ def test_templates_from_yaml(spark, tmp_path):
     frame = spark.createDataFrame([("p", "c")], "statement string, lean_code string")
     assert R.render_mode(frame, "proof_kimina", templates).first()["prompt"] == "Solve p with c\n"
     assert R.render_mode(frame, "proof", templates).first()["prompt"] == "Finish:\nc\n"
+
+
+def test_named_slots_and_formats(spark):
+    import pytest
+
+    from replyforge.functions.render import render
+
+    row = spark.range(1).select(render("{{a}} {b} {} {b}", F.lit("x"), b=F.lit("y")).alias("p")).first()
+    assert row["p"] == "{a} y x y"
+    for template in ("{:.2f}", "{!r}", "{c}"):
+        with pytest.raises(ValueError):
+            render(template, F.lit(1.0))
