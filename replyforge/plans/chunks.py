@@ -1,0 +1,29 @@
+"""Costly steps in pieces that are written one by one."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from replyforge.sources.storage import path_exists
+
+
+def in_chunks(
+    rows: DataFrame, step: Callable[[DataFrame], DataFrame], ids: Sequence[str], chunks: int, run_path: str
+) -> DataFrame:
+    """``step`` of the rows, chunk by chunk; a run that was cut off goes on after its last finished chunk.
+
+    Rows are dealt by the hash of ``ids``, so a row is in the same chunk at every start, and ``chunks`` has to stay the
+    same for a ``run_path``. A chunk counts when its folder is committed; a job that dies loses at most one chunk of
+    calls.
+    """
+    spark = rows.sparkSession
+    schema = step(rows).schema
+    place = F.pmod(F.xxhash64(*ids), F.lit(chunks))
+    targets = [f"{run_path}/chunk-{chunk:06d}" for chunk in range(chunks)]
+    for chunk, target in enumerate(targets):
+        if not path_exists(spark, f"{target}/_SUCCESS"):
+            step(rows.where(place == chunk)).write.mode("overwrite").parquet(target)
+    return spark.read.schema(schema).parquet(*targets)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from replyforge.operators.checkpoints import (
     resume_inputs,
     split_empty_prompts,
 )
+from replyforge.plans.chunks import in_chunks
 from replyforge.plans.collect import collect_responses
 from replyforge.sources.storage import materialize, spread
 
@@ -29,12 +31,15 @@ def run_inference(
     infer_limit: int | None = None,
     id_col: str = "id",
     batch_size: int = 1500,
+    run_path: str | None = None,
+    chunks: int = 100,
 ) -> DataFrame:
     """``inputs`` has the id and ``prompt``; ``checkpoints`` come from lowest to highest precedence.
 
     Completed ids give their saved record; of the others, empty prompts of the input are answered with an empty
     response, unfinished ids go on from their record, and only the rest reaches the model afresh. The limit counts model rows; finished
-    rows are always kept.
+    rows are always kept. With a ``run_path`` a run that was cut off goes on after what it has written there: a turn of
+    a best-of-N mode, or one of ``chunks`` pieces of the calls.
     """
     has_processor = mode in MODES
     done: list[DataFrame] = []
@@ -54,9 +59,13 @@ def run_inference(
     todo = limit_inputs(todo, infer_limit, [id_col])
     if checkpoints and not has_processor and infer_limit is None:
         todo = spread(todo)  # a table as written above; the best-of-N loop does this for its own
-    result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size)
-    if not has_processor:
-        result = materialize(result, "inference")
+    if has_processor:
+        result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size, run_path=run_path)
+    elif run_path is None:
+        result = materialize(collect_responses(todo, predictor, mode, batch_size=batch_size), "inference")
+    else:
+        call = partial(collect_responses, predictor=predictor, mode=mode, batch_size=batch_size)
+        result = in_chunks(todo, call, [id_col], chunks, run_path)
     for part in done:
         result = result.unionByName(part, allowMissingColumns=True)
     if "status" not in result.columns:

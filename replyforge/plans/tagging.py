@@ -12,6 +12,8 @@ from replyforge.functions.text import is_blank
 from replyforge.operators.calls import ask_for_json
 from replyforge.operators.checkpoints import limit_inputs, skip_done
 from replyforge.operators.tagging import prepare_statements, tag_rows
+from replyforge.plans.chunks import in_chunks
+from replyforge.sources.storage import materialize
 
 
 def tag_statements(
@@ -23,11 +25,14 @@ def tag_statements(
     tries: int = 3,
     delay: float = 1.5,
     threads: int = 8,
+    run_path: str | None = None,
+    chunks: int = 100,
 ) -> DataFrame:
     """Tagged rows of the statements that have no success in ``earlier``.
 
     Skipping and limiting happen before the model call. Append the result to the output and write it
-    once; the reader's view of that output is ``best_tag_per_uuid``.
+    once; the reader's view of that output is ``best_tag_per_uuid``. With a ``run_path`` the calls are made and written
+    in ``chunks`` pieces, and a run that was cut off goes on after its last finished piece.
     """
     todo = prepare_statements(statements)
     if earlier is not None:
@@ -36,4 +41,9 @@ def tag_statements(
     asked = render_difficulty(todo, template).withColumn(
         "prompt", F.when(~is_blank("formal_statement"), F.col("prompt"))
     )
-    return tag_rows(ask_for_json(asked, predictor, tries=tries, delay=delay, threads=threads))
+    def tag(rows: DataFrame) -> DataFrame:
+        return tag_rows(ask_for_json(rows, predictor, tries=tries, delay=delay, threads=threads))
+
+    if run_path is None:
+        return tag(asked)
+    return in_chunks(materialize(asked, "tagging"), tag, ["uuid"], chunks, run_path)

@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 def work_dir(spark: SparkSession) -> str:
     """Folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting (tests) gets a folder of its own.
+    A session without that setting, such as a test's, may name one with ``setCheckpointDir``. Only in local mode, where
+    driver and executors are one process on one machine, is a folder made when nothing is named.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="replyforge-"))
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="replyforge-"))
     return context.getCheckpointDir().rstrip("/")
 
 

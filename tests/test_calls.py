@@ -357,3 +357,36 @@ def test_each_fetch_has_its_own_deadline(spark):
     frame = spark.createDataFrame([(str(s), f"t{s}") for s in (0.1, 1.9, 2.8, 3.7)], "url string, target string").coalesce(1)
     got = fetch(frame, fetcher, partitions=1, timeout=1.2, threads=4).collect()
     assert sorted((r["url"], r["success"]) for r in got) == [("0.1", True), ("1.9", False), ("2.8", False), ("3.7", False)]
+
+
+def test_tagging_goes_on_after_a_broken_run(spark, tmp_path):
+    """A model that dies midway; over both runs each statement is asked for once, but for the piece that broke."""
+    log, broken = tmp_path / "calls", tmp_path / "broken"
+    log.mkdir()
+    broken.write_text("")
+
+    def model(calls=str(log), switch=str(broken)):
+        import os
+        import uuid
+
+        def call(prompt):
+            number = int(prompt.split()[-1])
+            if number == 17 and os.path.exists(switch):
+                os._exit(1)  # the worker is lost, not the call
+            open(f"{calls}/{number}-{uuid.uuid4().hex}", "w").close()
+            return '{"Difficulty": 3, "Rationale": "r"}'
+
+        return call
+
+    statements = spark.range(40).selectExpr("cast(id as string) as uuid", "concat('number ', id) as formal_statement")
+    run = lambda: tag_statements(statements, model, "rate {}", run_path=str(tmp_path / "run"), chunks=5).collect()
+    with pytest.raises(Exception):  # noqa: B017
+        run()
+    done = len(list((tmp_path / "run").glob("chunk-*/_SUCCESS")))
+    broken.unlink()
+    assert len(run()) == 40
+    calls = [int(p.name.split("-")[0]) for p in log.iterdir()]
+    assert set(calls) == set(range(40)) and done < 5
+    before = len(calls)
+    run()
+    assert len(list(log.iterdir())) == before
