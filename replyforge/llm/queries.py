@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.llm import automaton, decontaminate, jaccard_join, language, license_scan, quality_model, quality_rules, suffix_dedup, token_count, token_files
+from replyforge.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,5 +121,3 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
-
-ORACLES: dict[str, str] = {}
