@@ -56,10 +56,10 @@ def fetch_plan(manifest: DataFrame, root: str, url_template: str = RAW_URL, sour
 def skip_fetched(plan: DataFrame, existing: DataFrame, keys: Sequence[str] = KEYS) -> tuple[DataFrame, DataFrame]:
     """Rows still to fetch, and outcome rows (success, skipped, size) for targets that exist.
 
-    ``existing`` has one row per key with its ``size``.
+    ``existing`` has the keys and the ``size``; of several rows of a key the greatest size counts.
     """
     keys = list(keys)
-    have = existing.select(*keys, "size")
+    have = existing.groupBy(*keys).agg(F.max("size").alias("size"))
     there = plan.join(have, keys).select(
         *plan.columns,
         F.lit(True).alias("success"),

@@ -61,7 +61,7 @@ def best_tag_per_uuid(df: DataFrame, seq: str = "seq", id_col: str = "uuid") ->
 def apply_predictions(items: DataFrame, preds: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fill the three difficulty fields of the items whose prediction succeeded; leave the others alone.
 
-    ``preds`` has one row per key with ``status``, ``data`` and ``response``.
+    ``preds`` has ``status``, ``data`` and ``response``; of several successes of a key the greatest counts.
     """
     good = preds.where(has_data()).select(
         *keys,
@@ -70,7 +70,7 @@ def apply_predictions(items: DataFrame, preds: DataFrame, keys: Sequence[str]) -
             _data_field(F.col("data"), "Rationale", "string").alias("difficulty_rationale"),
             F.col("response").alias("difficulty_response"),
         ).alias("_new"),
-    )
+    ).groupBy(*keys).agg(F.max("_new").alias("_new"))
     joined = items.join(good, list(keys), "left")
     found = F.col("_new").isNotNull()
     fields = ["difficulty", "difficulty_rationale", "difficulty_response"]
