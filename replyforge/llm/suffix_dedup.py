@@ -7,7 +7,7 @@ Equal strings have to meet in one task. The anchor of a string is the leftmost o
 the smallest hash, so equal strings have equal anchors at equal places. Neighbouring strings mostly share one; a segment
 is a run of strings with one anchor, and holds their bytes.
 
-1. Anchors' hashes are exchanged, packed, and those that only one key has are dropped: their strings are nowhere else.
+1. Anchors' hashes are exchanged, packed, and those that only one row has are dropped: their strings are nowhere else.
 2. Documents take the shared anchors back and send the segments around them to the anchors' tasks.
 3. There equal segments become one, with the smallest key that has it. The segments of an anchor are put one behind
    the other, and the suffix array of that string is built by Lyndon grouping (``suffix_groups``). Suffixes that begin
@@ -43,9 +43,9 @@ GRAM = 24
 WIDTH = LENGTH - GRAM + 1  # places of a gram in a string
 SIDE = (LENGTH - GRAM) // 2
 #: Anchors of a bucket, segments of an anchor, symbols sorted at a time.
-BUCKET_ANCHORS = 1 << 19
+BUCKET_ANCHORS = 1 << 20
 SPLIT = 64
-SORT_SYMBOLS = 1 << 20
+SORT_SYMBOLS = 1 << 19
 LAST = np.iinfo(np.int64).max
 MASK48 = np.uint64((1 << 48) - 1)
 PLACE = np.uint64((1 << 30) - 1)
@@ -119,7 +119,7 @@ def _texts(rows: DataFrame, n_buckets: int) -> DataFrame:
                 body = b"".join([data[offsets[i] : offsets[i + 1]].tobytes() for i in own])
                 more = _stream(batch.select(carried).take(pa.array(own))) if carried else b""
                 sizes = np.diff(offsets)[own].tobytes()
-                out.append((int(b), keys[own].tobytes(), names[own].tobytes(), sizes, zstandard.compress(body, 1), more))
+                out.append((int(b), keys[own].tobytes(), names[own].tobytes(), sizes, zstandard.compress(body, 3), more))
             columns = [pa.array([r[k] for r in out], pa.int32() if not k else pa.binary()) for k in range(6)]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "keys", "names", "sizes", "body", "more"])
 
@@ -159,26 +159,26 @@ def _anchor_rows(rows: DataFrame, n_buckets: int) -> DataFrame:
             row, grams, bucket = row[order], grams[order], bucket[order]
             heads = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1]))) if len(row) else row
             counts = np.diff(np.append(heads, len(row))).astype(np.int32)
-            who = packed.split(bucket[heads], {"keys": keys[row[heads]], "names": names[row[heads]], "counts": counts}, n_buckets)
+            who = packed.split(bucket[heads], {"names": names[row[heads]], "counts": counts}, n_buckets)
             what = packed.split(bucket, {"grams": (grams & MASK48).view(np.uint8).reshape(-1, 8)[:, :6]}, n_buckets)
             yield pa.RecordBatch.from_arrays([*who.columns, what.column(1)], [*who.schema.names, "grams"])
 
-    return rows.mapInArrow(run, packed.schema(["keys", "names", "counts", "grams"]))
+    return rows.mapInArrow(run, packed.schema(["names", "counts", "grams"]))
 
 
 def _shared(anchor_rows: DataFrame, n_buckets: int) -> DataFrame:
-    """For each row the anchors that a row with another key has, packed by document bucket."""
+    """For each row the anchors that another row has, packed by document bucket."""
 
     def run(table: pa.Table) -> pa.Table:
         counts, raw = packed.gather(table, "counts", np.int32), packed.gather(table, "grams", np.uint8, 6)
         grams = np.zeros((len(raw), 8), np.uint8)
         grams[:, :6] = raw
         grams = grams.view(np.uint64).ravel()
-        keys, names = np.repeat(packed.gather(table, "keys", np.int64), counts), np.repeat(packed.gather(table, "names", np.uint64), counts)
+        names = np.repeat(packed.gather(table, "names", np.uint64), counts)
         order = np.argsort(grams)
-        grams, keys, names = grams[order], keys[order], names[order]
+        grams, names = grams[order], names[order]
         heads = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
-        several = np.minimum.reduceat(keys, heads) != np.maximum.reduceat(keys, heads) if len(heads) else np.zeros(0, bool)
+        several = np.minimum.reduceat(names, heads) != np.maximum.reduceat(names, heads) if len(heads) else np.zeros(0, bool)
         keep = np.repeat(several, np.diff(np.append(heads, len(grams))))
         marks = mixed(grams[keep] * np.uint64(3) + names[keep])
         return pa.Table.from_batches([packed.split(bucket_of(names[keep], n_buckets), {"marks": marks}, n_buckets)])
@@ -186,7 +186,7 @@ def _shared(anchor_rows: DataFrame, n_buckets: int) -> DataFrame:
     return anchor_rows.groupBy("bucket").applyInArrow(run, packed.schema(["marks"]))
 
 
-SEGMENT = ["grams", "keys", "names", "places", "counts", "offsets", "sizes", "body"]
+SEGMENT = ["grams", "keys", "names", "places", "counts", "offsets", "body"]
 
 
 def _segments(texts: DataFrame, shared: DataFrame, n_buckets: int) -> DataFrame:
@@ -226,10 +226,9 @@ def _packed_segments(part, row, first, count, place, grams, names, keys, starts,
         "grams": grams,
         "keys": keys,
         "names": names,
-        "places": (first - starts[row]).astype(np.int64),
+        "places": (first - starts[row]).astype(np.uint32),
         "counts": count.astype(np.uint8),
         "offsets": (place - first).astype(np.int8),
-        "sizes": size.astype(np.uint8),
     }
     rows = packed.split(bucket, columns, n_buckets)
     body = part[ranges(first[order], size[order])]
@@ -290,13 +289,19 @@ def _found(segments: DataFrame, n_buckets: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         grams, keys, names = (packed.gather(table, c, k) for c, k in (("grams", np.uint64), ("keys", np.int64), ("names", np.uint64)))
-        places, counts = packed.gather(table, "places", np.int64), packed.gather(table, "counts", np.uint8).astype(np.int64)
-        anchor, sizes = packed.gather(table, "offsets", np.int8).astype(np.int64), packed.gather(table, "sizes", np.uint8).astype(np.int64)
+        places, counts, anchor = (
+            packed.gather(table, c, k).astype(np.int64) for c, k in (("places", np.uint32), ("counts", np.uint8), ("offsets", np.int8))
+        )
+        sizes = counts + LENGTH - 1
         body = np.frombuffer(b"".join([zstandard.decompress(b) for b in table.column("body").to_pylist()]), np.uint8)
         offsets = np.append(0, np.cumsum(sizes))
 
         # Equal segments become one, with the smallest key.
-        content = mixed(span_hashes(body, offsets[:-1], offsets[1:]) ^ grams)
+        content = np.zeros(len(grams), np.uint64)
+        for low, high in groups(sizes):
+            local = offsets[low : high + 1] - offsets[low]
+            content[low:high] = span_hashes(body[offsets[low] : offsets[high]], local[:-1], local[1:])
+        content = mixed(content ^ grams)
         order = np.lexsort((keys, content, grams))
         fresh = np.append(True, (content[order][1:] != content[order][:-1]) | (grams[order][1:] != grams[order][:-1]))
         one = order[fresh]
