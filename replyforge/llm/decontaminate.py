@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replyforge.llm.batches import mixed, utf8
+from replyforge.llm.batches import utf8
 from replyforge.llm.words import shingles, words
 from replyforge.sources.storage import materialize
 

@@ -3,7 +3,6 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 
 from replyforge.llm import jaccard_join, suffix_dedup
 from replyforge.llm.suffix_groups import suffix_arrays
-from tests.llm.conftest import row
 
 ALL = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
