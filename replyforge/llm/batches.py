@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Characters or bytes worked on at a time; bounds the memory of the array steps.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def per_process(key, make: Callable):
@@ -54,16 +54,16 @@ BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``BASE`` and of its inverse modulo 2**64, at least ``n`` of them; kept up to a few chunks."""
+    """Powers of ``BASE`` and of its inverse modulo 2**64, at least ``n`` of them; kept up to two chunks."""
 
     def made(size: int):
         up, down = np.full(size, BASE, np.uint64), np.full(size, pow(BASE, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
-    if n > 4 * CHUNK:
+    if n > 2 * CHUNK:
         return made(n)
-    return per_process("powers", lambda: made(4 * CHUNK))
+    return per_process("powers", lambda: made(2 * CHUNK))
 
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -180,7 +180,7 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class PieceTable:
     """Values of pieces already seen by this process, found by hash; emptied when it is full."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 400_000):
         self.limit = limit
         self.clear()
 

@@ -53,7 +53,7 @@ class Encoder:
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends_word[number] = token.endswith("</w>")
-        self.seen = PieceTable(1_500_000)
+        self.seen = PieceTable(400_000)
 
     def ready(self, text: str) -> str:
         """The normalised text. Below U+0250 normalisation is lower case; white space only separates pieces."""
