@@ -104,9 +104,12 @@ INPUTS: dict[str, str | tuple[str, str]] = {
         "SELECT id, lean_code, statement, named_struct('lean_code', g_code, 'statement', g_statement) AS generated FROM {statements}",
         "SELECT * FROM {statements}",
     ),
+    # The nations of a region are the options of every question put to it.
     "choices": (
-        """SELECT doc_id, text AS question, source AS subfield, slice(split(text, ' '), 1, 6) AS options FROM {documents}""",
-        """SELECT doc_id, text AS question, source AS subfield, string_split(text, ' ')[1:6] AS options FROM {documents}""",
+        """SELECT doc_id, text AS question, source AS subfield, options
+           FROM {documents} JOIN (SELECT n_regionkey, array_sort(collect_list(n_name)) AS options FROM {nation} GROUP BY n_regionkey) o ON o.n_regionkey = doc_id % 5""",
+        """SELECT doc_id, text AS question, source AS subfield, options
+           FROM {documents} JOIN (SELECT n_regionkey, list(n_name ORDER BY n_name) AS options FROM {nation} GROUP BY n_regionkey) o ON o.n_regionkey = doc_id % 5""",
     ),
     # ---- model replies in every shape the extractor knows
     "replies": f"""
