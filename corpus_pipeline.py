@@ -41,7 +41,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return automaton.encode_decode(docs, path, outputs=("ids", "n_tokens", "decoded_sha256"))
+    return automaton.encode_decode(docs, path, outputs=("ids", "n_tokens", "decoded_sha256"), pieces=200_000, release=True)
 
 
 STAGES = [

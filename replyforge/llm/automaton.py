@@ -99,11 +99,16 @@ Coded = tuple[list[int], str, bytes]
 class Codec:
     """Encodes and decodes texts; equal pieces are encoded once per worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int = 600_000):
         self.vocabulary = read_vocabulary(path)
         self.machine = build(self.vocabulary)
         self.library = piece_cutter(path)
-        self.seen = PieceTable(600_000)
+        self.seen = PieceTable(pieces)
+
+    def forget(self) -> None:
+        """Let go of what was worked out."""
+        self.seen.clear()
+        self.machine.table.clear()
 
     def values(self, pieces: list[str]) -> list[Coded]:
         specials, labels, encode = self.vocabulary.specials, self.vocabulary.labels, self.machine.encode
@@ -160,18 +165,21 @@ def encode_decode(
     key: str = "doc_id",
     text: str = "text",
     outputs: tuple[str, ...] = ("ids", "decoded"),
+    pieces: int = 600_000,
+    release: bool = False,
 ) -> DataFrame:
     """Key and the asked outputs of every row: ids, their number and digest, the decoded text and its digest.
 
     Null and empty texts have no ids and decode to the empty text; ids are those of the library without added special
     tokens, special strings inside a text included. Rows are independent; an empty table gives an empty table, and
-    columns other than key and text are not read. ``path`` is the vocabulary file, there on every worker.
+    columns other than key and text are not read. A worker remembers up to about ``pieces`` pieces, and with ``release``
+    none beyond a task, which costs time and leaves memory to other steps of a job. ``path`` is the vocabulary file, there on every worker.
     """
     kind = docs.schema[key].dataType.simpleString()
     names = [n for n in OUTPUTS if n in outputs]
 
     def run(batches):
-        codec = per_process(("codec", path), lambda: Codec(path))
+        codec = per_process(("codec", path, pieces), lambda: Codec(path, pieces))
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.column(1).slice(low, 256).to_pylist()
@@ -185,6 +193,8 @@ def encode_decode(
                 }
                 columns = [batch.column(0).slice(low, 256), *[made[n]() for n in names]]
                 yield pa.RecordBatch.from_arrays(columns, ["key", *names])
+        if release:
+            codec.forget()
 
     return (
         docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
