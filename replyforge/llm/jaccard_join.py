@@ -38,7 +38,7 @@ from replyforge.sources.storage import materialize
 WORDS = 4
 #: Tokens of a bucket, of a task's packed rows, and classes in a tile; they bound the memory of a task.
 BUCKET_TOKENS = 1 << 21
-FLUSH_TOKENS = 1 << 21
+FLUSH_TOKENS = 1 << 20
 TILE = 1000
 #: Classes of a part that are compared first with other parts.
 HEADS = 8
