@@ -21,8 +21,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return jaccard_join.deduplicate(docs)
+    """One document of each group of near-duplicates: texts that share 80 % of their five-word shingles."""
+    return jaccard_join.deduplicate(docs, percent=80, size=5)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """N-gram Jaccard join: prefix filters under several global token orders, then exact verification.
 
-A document's tokens are its distinct shingles of ``WORDS`` lower-case words (fewer words: one shingle of all). Two
-documents link when ``100 * shared >= percent * union``.
+A document's tokens are its distinct shingles of ``size`` lower-case words (fewer words: one shingle of all). Two
+documents link when ``100 * shared >= percent * union``. Both numbers are arguments; ``WORDS`` is the default size.
 
 1. Documents with equal sets are one class, found by size and two 64-bit sums over the set; classes are what is joined.
 2. All classes' tokens are exchanged once, packed, by token bucket. There a token's document frequency is counted.
@@ -46,11 +46,11 @@ SEEDS = (0, 0x3C6EF372FE94F82B, 0x1B873593CC9E2D51)
 MASK48 = np.uint64((1 << 48) - 1)
 
 
-def token_sets(column: pa.Array):
+def token_sets(column: pa.Array, size: int):
     """The sorted distinct tokens of every text."""
     data, offsets = utf8(column)
     for _, n, rows, _, _, hashes, _ in words(data, offsets, solid=True):
-        found, places = shingles(hashes, rows, WORDS)
+        found, places = shingles(hashes, rows, size)
         cuts = np.searchsorted(rows[places], np.arange(n + 1))
         bounds = np.searchsorted(rows, np.arange(n + 1))
         for i in range(n):
@@ -68,10 +68,10 @@ def prefix_size(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            found = [(len(t), *signature(t)) for t in token_sets(batch.column(1))]
+            found = [(len(t), *signature(t)) for t in token_sets(batch.column(1), size)]
             columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["key", "n", "s1", "s2"])
 
@@ -80,7 +80,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, f"key {kind}, n long, s1 long, s2 long")
 
 
-def _postings(docs: DataFrame, text: str, n_buckets: int) -> DataFrame:
+def _postings(docs: DataFrame, text: str, n_buckets: int, size: int) -> DataFrame:
     """Packed tokens by token bucket; of equal sets in a task only the first is sent."""
 
     def run(batches):
@@ -103,7 +103,7 @@ def _postings(docs: DataFrame, text: str, n_buckets: int) -> DataFrame:
 
         total = 0
         for batch in batches:
-            for tokens in token_sets(batch.column(0)):
+            for tokens in token_sets(batch.column(0), size):
                 if not len(tokens):
                     continue
                 mark = signature(tokens)
@@ -300,16 +300,18 @@ def _parts(large: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(joined.select("name", "block", "cut", F.coalesce("label", "name").alias("part")), "jaccard-parts")
 
 
-def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+def join_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, size: int = WORDS
+) -> DataFrame:
     """One row per input row: key, ``n_shingles`` and ``component_id``, the smallest key reachable by links."""
-    signed = materialize(_signed(docs, key, text), "jaccard-sets")
+    signed = materialize(_signed(docs, key, text, size), "jaccard-sets")
     classes = materialize(
         signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("key").alias("least"), F.max("key").alias("last")),
         "jaccard-classes",
     )
     total = classes.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(64, -(-total // BUCKET_TOKENS))
-    shared = _shared(_postings(docs, text, n_buckets), n_buckets)
+    shared = _shared(_postings(docs, text, n_buckets, size), n_buckets)
     near = materialize(_near(shared, percent), "jaccard-near")
     names = classes.select("s1", F.col("least").alias("key"))
     links = _links(near, percent)
@@ -327,8 +329,10 @@ def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, size: int = WORDS
+) -> DataFrame:
     """The rows of ``docs`` with the smallest key of each component; rows with a null key stay."""
-    found = join_components(docs, key, text, percent)
+    found = join_components(docs, key, text, percent, size)
     gone = found.where(F.col("component_id") != F.col(key)).select(F.col(key).alias("__gone")).distinct()
     return docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")

@@ -23,7 +23,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
-    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"), percent=85, size=4)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
