@@ -8,7 +8,10 @@ the smallest hash, so equal strings have equal anchors at equal places. Neighbou
 is a run of strings with one anchor, and holds their bytes.
 
 1. Anchors' hashes are exchanged, packed, and those that only one row has are dropped: their strings are nowhere else.
-2. Documents take the shared anchors back and send the segments around them to the anchors' tasks.
+2. Documents take the shared anchors back and send the segments around them to the anchors' tasks. A task of documents
+   sends equal segments once, with their smallest key. Its documents with larger keys lose the segment in any case; those
+   with the same key take over what is found for the one that was sent. Around an anchor that more than ``HOT`` places
+   have, each string is a segment of its own and goes to the task of its hash, so that no task gets an entry per place.
 3. There equal segments become one, with the smallest key that has it. The segments of an anchor are put one behind
    the other, and the suffix array of that string is built by Lyndon grouping (``suffix_groups``). Suffixes that begin
    with the same ``LENGTH`` bytes are neighbours in it, and get the smallest key among their segments. An anchor with
@@ -42,13 +45,15 @@ LENGTH = 50
 GRAM = 24
 WIDTH = LENGTH - GRAM + 1  # places of a gram in a string
 SIDE = (LENGTH - GRAM) // 2
-#: Anchors of a bucket, segments of an anchor, symbols sorted at a time.
+#: Anchors of a bucket, segments of an anchor, places of an anchor, symbols sorted at a time.
 BUCKET_ANCHORS = 1 << 20
 SPLIT = 64
+HOT = 1 << 16
 SORT_SYMBOLS = 1 << 19
 LAST = np.iinfo(np.int64).max
 MASK48 = np.uint64((1 << 48) - 1)
 PLACE = np.uint64((1 << 30) - 1)
+ODD = np.uint64(1)
 
 
 def bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -167,7 +172,8 @@ def _anchor_rows(rows: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def _shared(anchor_rows: DataFrame, n_buckets: int) -> DataFrame:
-    """For each row the anchors that another row has, packed by document bucket."""
+    """For each row marks of the anchors that another row has, packed by document bucket; those of hot anchors are odd."""
+    hot = HOT
 
     def run(table: pa.Table) -> pa.Table:
         counts, raw = packed.gather(table, "counts", np.int32), packed.gather(table, "grams", np.uint8, 6)
@@ -179,37 +185,75 @@ def _shared(anchor_rows: DataFrame, n_buckets: int) -> DataFrame:
         grams, names = grams[order], names[order]
         heads = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
         several = np.minimum.reduceat(names, heads) != np.maximum.reduceat(names, heads) if len(heads) else np.zeros(0, bool)
-        keep = np.repeat(several, np.diff(np.append(heads, len(grams))))
-        marks = mixed(grams[keep] * np.uint64(3) + names[keep])
+        places = np.diff(np.append(heads, len(grams)))
+        keep = np.repeat(several, places)
+        marks = mark_of(grams[keep], names[keep]) | np.repeat(places > hot, places)[keep].astype(np.uint64)
         return pa.Table.from_batches([packed.split(bucket_of(names[keep], n_buckets), {"marks": marks}, n_buckets)])
 
     return anchor_rows.groupBy("bucket").applyInArrow(run, packed.schema(["marks"]))
 
 
-SEGMENT = ["grams", "keys", "names", "places", "counts", "offsets", "body"]
+def mark_of(grams: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Even marks of anchors in rows."""
+    return mixed((grams & MASK48) * np.uint64(3) + names) & ~ODD
+
+
+SEGMENT = ["grams", "keys", "names", "places", "counts", "offsets", "body", "starts", "ends", "copies"]
 
 
 def _segments(texts: DataFrame, shared: DataFrame, n_buckets: int) -> DataFrame:
-    """Segments around shared anchors, packed by anchor bucket."""
+    """Segments around shared anchors, packed by anchor bucket: of equal ones in a task one with the smallest key.
+
+    Buckets from ``n_buckets`` on are document buckets: ranges of bytes that are known to go (``starts``, ``ends``), and
+    ``copies`` of what was sent (name, place, then name, place and strings of the one sent).
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        batches = []
-        if left.num_rows and right.num_rows:
-            marks = np.sort(packed.gather(right, "marks", np.uint64))
-            keys, names, offsets, data = _unpacked_texts(left)
-            for low, high in groups(np.diff(offsets)):
-                start = offsets[low]
-                part = data[start : offsets[high]]
-                row, first, count, place, grams = anchors(part, offsets[low : high + 1] - start)
-                own = names[low + row]
-                mark = mixed((grams & MASK48) * np.uint64(3) + own)
-                at = np.searchsorted(marks, mark)
-                at[at == len(marks)] = 0
-                keep = np.flatnonzero(marks[at] == mark)
-                if not len(keep):
-                    continue
-                row, first, count, place, grams, own = (x[keep] for x in (row, first, count, place, grams, own))
-                batches.append(_packed_segments(part, row, first, count, place, grams, own, keys[low + row], offsets[low : high + 1] - start, n_buckets))
+        if not left.num_rows or not right.num_rows:
+            return SEGMENT_SCHEMA.empty_table()
+        marks = np.sort(packed.gather(right, "marks", np.uint64))
+        keys, names, offsets, data = _unpacked_texts(left)
+        found = []
+        for low, high in groups(np.diff(offsets)):
+            start = offsets[low]
+            part = data[start : offsets[high]]
+            row, first, count, place, grams = anchors(part, offsets[low : high + 1] - start)
+            mark = mark_of(grams, names[low + row])
+            at = np.searchsorted(marks, mark)
+            at[at == len(marks)] = 0
+            keep = np.flatnonzero((marks[at] & ~ODD) == mark)
+            if not len(keep):
+                continue
+            single = (marks[at[keep]] & ODD) == ODD
+            row, first, count, place, grams = (x[keep] for x in (row, first, count, place, grams))
+            # Strings around hot anchors one by one, under a name of their own.
+            times = np.where(single, count, 1)
+            first = ranges(first, times)
+            single = np.repeat(single, times)
+            row, place, grams, count = (np.repeat(x, times) for x in (row, place, grams, count))
+            count[single] = 1
+            content = span_hashes(part, first, first + count + LENGTH - 1)
+            grams = np.where(single, mixed(content ^ np.uint64(0x5851F42D4C957F2D)), grams)
+            found.append((low + row, first + start, count.astype(np.uint8), (place - first).astype(np.int8), grams, mixed(content ^ grams)))
+        if not found:
+            return SEGMENT_SCHEMA.empty_table()
+        row, first, count, anchor, grams, content = (np.concatenate(x) for x in zip(*found, strict=True))
+        del found
+        where = first - offsets[row]
+        order = np.lexsort((where, names[row], keys[row], content))
+        row, first, count, anchor, grams, content, where = (x[order] for x in (row, first, count, anchor, grams, content, where))
+        head = np.append(True, content[1:] != content[:-1])
+        one = np.flatnonzero(head)[np.cumsum(head) - 1]
+        sent = np.flatnonzero(head)
+        later = keys[row] > keys[row[one]]
+        again = ~later & ~head & ((names[row] != names[row[one]]) | (where != where[one]))
+        batches = [_known(names[row[later]], where[later], count[later], n_buckets)]
+        batches.append(_copies(names[row], where, count, one, np.flatnonzero(again), n_buckets))
+        sent = sent[np.argsort(first[sent], kind="stable")]
+        for low, high in groups(count[sent].astype(np.int64) + LENGTH - 1):
+            i = sent[low:high]
+            own = row[i]
+            batches.append(_packed_segments(data, first[i], where[i], count[i], anchor[i], grams[i], names[own], keys[own], n_buckets))
         return pa.Table.from_batches(batches, SEGMENT_SCHEMA)
 
     return texts.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(run, packed.schema(SEGMENT))
@@ -218,24 +262,48 @@ def _segments(texts: DataFrame, shared: DataFrame, n_buckets: int) -> DataFrame:
 SEGMENT_SCHEMA = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in SEGMENT]])
 
 
-def _packed_segments(part, row, first, count, place, grams, names, keys, starts, n_buckets: int) -> pa.RecordBatch:
+def _padded(rows: pa.RecordBatch, shift: int = 0) -> pa.RecordBatch:
+    """Packed rows with all columns of ``SEGMENT_SCHEMA``."""
+    columns = {c: rows.column(i) for i, c in enumerate(rows.schema.names)}
+    columns["bucket"] = pa.array(rows.column(0).to_numpy() + np.int32(shift), pa.int32())
+    empty = pa.array([b""] * rows.num_rows, pa.binary())
+    return pa.RecordBatch.from_arrays([columns.get(c, empty) for c in SEGMENT_SCHEMA.names], schema=SEGMENT_SCHEMA)
+
+
+def _known(names: np.ndarray, first: np.ndarray, count: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+    """Ranges of bytes of whole segments, by document bucket; neighbours become one."""
+    order = np.lexsort((first, names))
+    names, first, end = names[order], first[order], (first + count)[order]
+    head = np.flatnonzero(np.append(True, (names[1:] != names[:-1]) | (first[1:] > end[:-1]))) if len(names) else first
+    last = np.append(head[1:], len(names)) - 1 if len(names) else head
+    columns = {"names": names[head], "starts": first[head].astype(np.int64), "ends": (end[last] + LENGTH - 1).astype(np.int64)}
+    return _padded(packed.split(bucket_of(columns["names"], n_buckets), columns, n_buckets), n_buckets)
+
+
+def _copies(names, places, counts, one, again, n_buckets: int) -> pa.RecordBatch:
+    rep = one[again]
+    what = np.stack([names[again], places[again].astype(np.uint64), names[rep], places[rep].astype(np.uint64), counts[rep].astype(np.uint64)], 1)
+    return _padded(packed.split(bucket_of(names[again], n_buckets), {"copies": what}, n_buckets), n_buckets)
+
+
+def _packed_segments(data, first, places, counts, anchor, grams, names, keys, n_buckets: int) -> pa.RecordBatch:
     bucket = bucket_of(grams, n_buckets)
     order = np.argsort(bucket, kind="stable")
-    size = count + LENGTH - 1
+    size = counts.astype(np.int64) + LENGTH - 1
     columns = {
         "grams": grams,
         "keys": keys,
         "names": names,
-        "places": (first - starts[row]).astype(np.uint32),
-        "counts": count.astype(np.uint8),
-        "offsets": (place - first).astype(np.int8),
+        "places": places.astype(np.uint32),
+        "counts": counts,
+        "offsets": anchor,
     }
     rows = packed.split(bucket, columns, n_buckets)
-    body = part[ranges(first[order], size[order])]
+    body = data[ranges(first[order], size[order])]
     cuts = np.searchsorted(bucket[order], np.append(rows.column(0).to_numpy(), n_buckets))
     ends = np.append(0, np.cumsum(size[order]))[cuts]
     bodies = [zstandard.compress(body[a:b].tobytes(), 1) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(bodies, pa.binary())], SEGMENT_SCHEMA.names)
+    return _padded(pa.RecordBatch.from_arrays([*rows.columns, pa.array(bodies, pa.binary())], [*rows.schema.names, "body"]))
 
 
 def _equal_starts(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -285,9 +353,13 @@ def least_keys(body: np.ndarray, offsets: np.ndarray, counts: np.ndarray, grams:
 
 
 def _found(segments: DataFrame, n_buckets: int) -> DataFrame:
-    """Byte ranges to remove, packed by document bucket."""
+    """Byte ranges to remove and copies of what was sent, packed by document bucket."""
 
     def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        if bucket >= n_buckets:  # known already
+            back = pa.array([bucket - n_buckets] * table.num_rows, pa.int32())
+            return pa.table([back, *[table.column(c) for c in FOUND]], names=["bucket", *FOUND])
         grams, keys, names = (packed.gather(table, c, k) for c, k in (("grams", np.uint64), ("keys", np.int64), ("names", np.uint64)))
         places, counts, anchor = (
             packed.gather(table, c, k).astype(np.int64) for c, k in (("places", np.uint32), ("counts", np.uint8), ("offsets", np.int8))
@@ -319,9 +391,34 @@ def _found(segments: DataFrame, n_buckets: int) -> DataFrame:
         head = np.flatnonzero(np.append(True, (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + 1))) if len(at) else at
         last = np.append(head[1:], len(at)) - 1 if len(at) else at
         columns = {"names": names[segment[head]], "starts": at[head], "ends": at[last] + LENGTH}
-        return pa.Table.from_batches([packed.split(bucket_of(columns["names"], n_buckets), columns, n_buckets)])
-
-    return segments.groupBy("bucket").applyInArrow(run, packed.schema(["names", "starts", "ends"]))
+        rows = _padded(packed.split(bucket_of(columns["names"], n_buckets), columns, n_buckets))
+        return pa.Table.from_batches([rows]).select(["bucket", *FOUND])
+
+    return segments.groupBy("bucket").applyInArrow(run, packed.schema(FOUND))
+
+
+FOUND = ["names", "starts", "ends", "copies"]
+
+
+def _passed_on(names: np.ndarray, starts: np.ndarray, ends: np.ndarray, copies: np.ndarray):
+    """The ranges, in order of name and start, and those that copies take over from the segments that were sent."""
+    owner, source = copies[:, 0], copies[:, 2]
+    place, at, count = (copies[:, k].astype(np.int64) for k in (1, 3, 4))
+    known = np.unique(names)
+    if not len(known):
+        return names, starts, ends
+    number = np.searchsorted(known, source)
+    number[number == len(known)] = 0
+    there = known[number] == source
+    line = np.searchsorted(known, names).astype(np.int64) << 32 | starts
+    low, high = (np.searchsorted(line, number << 32 | to) for to in (at, at + count))
+    times = np.where(there, high - low, 0)
+    which, shift = ranges(low, times), np.repeat(place - at, times)
+    names, starts, ends = (
+        np.append(names, np.repeat(owner, times)), np.append(starts, starts[which] + shift), np.append(ends, ends[which] + shift)
+    )
+    order = np.lexsort((starts, names))
+    return names[order], starts[order], ends[order]
 
 
 def _split_and_sort(body, starts, sizes, counts, anchor, grams, keys) -> np.ndarray:
@@ -392,6 +489,8 @@ def _cut(texts: DataFrame, found: DataFrame, outputs: list[str], carried: Struct
             )
             order = np.lexsort((starts, who))
             who, starts, ends = who[order], starts[order], ends[order]
+            if right.num_rows:
+                who, starts, ends = _passed_on(who, starts, ends, packed.gather(right, "copies", np.uint64, 5))
             low, high = np.searchsorted(who, names, "left"), np.searchsorted(who, names, "right")
             for i in range(len(keys)):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
