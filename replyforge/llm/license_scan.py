@@ -33,26 +33,76 @@ BANDS = 8
 PIECE = 32
 BLOCK = 200
 
-#: Opening lines and notices of well-known licences.
+#: Lines, notices and passages of common licences, in several wordings. Relatives (GPL, LGPL and AGPL; versions; the
+#: Creative Commons family) share most of their words, so theirs are cut where less than ``similarity`` is shared: a
+#: word between "GNU" and "General", or another version, leaves at most 0.79 of them.
+_NAMED = [
+    ("apache-2.0", "the Apache License, Version 2.0"),
+    ("apache-2.0", "the Apache License 2.0"),
+    ("mit", "the MIT License"),
+    ("isc", "the ISC License"),
+    ("mpl-2.0", "the Mozilla Public License, version 2.0"),
+    ("mpl-2.0", "the Mozilla Public License 2.0"),
+    ("gpl-3.0", "the GNU General Public License v3.0"),
+    ("gpl-2.0", "the GNU General Public License v2.0"),
+    ("lgpl-3.0", "the GNU Lesser General Public License v3.0"),
+    ("lgpl-2.1", "the GNU Lesser General Public License v2.1"),
+    ("agpl-3.0", "the GNU Affero General Public License v3.0"),
+    ("cc-by-4.0", "CC BY 4.0"),
+    ("cc-by-sa-4.0", "CC BY-SA 4.0"),
+    ("cc-by-nc-4.0", "CC BY-NC 4.0"),
+    ("cc-by-4.0", "a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa-4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nc-4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License"),
+]
+_HEADER = "under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License"
+_SPDX = ["apache-2.0", "gpl-3.0", "gpl-2.0", "lgpl-3.0", "lgpl-2.1", "agpl-3.0", "mpl-2.0", "cc-by-4.0", "cc-by-sa-4.0", "cc-by-nc-4.0"]
 TEMPLATES = [
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("mit", "Released under the MIT License."),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    *[(name, f"{start} under {what}") for name, what in _NAMED for start in ("licensed", "released", "distributed", "available")],
+    *[(name, f"SPDX-License-Identifier: {name}") for name in _SPDX],
+    ("cc0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    # Four shingles each, so that another version at the end leaves three.
+    ("gpl-3.0", "under the GNU General Public License, version 3"),
+    ("gpl-2.0", "under the GNU General Public License, version 2"),
+    ("lgpl-3.0", "the GNU Lesser General Public License, version 3"),
+    ("lgpl-2.1", "the GNU Lesser General Public License, version 2.1"),
+    ("agpl-3.0", "the GNU Affero General Public License, version 3"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("cc0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("cc0-1.0", "has waived all copyright and related or neighboring rights to this work"),
+    (
+        "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction",
     ),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction",
+    ),
     (
         "apache-2.0",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     ),
+    ("gpl-3.0", _HEADER.format("General Public License", "3")),
+    ("gpl-2.0", _HEADER.format("General Public License", "2")),
+    ("lgpl-3.0", _HEADER.format("Lesser General Public License", "3")),
+    ("lgpl-2.1", _HEADER.format("Lesser General Public License", "2.1")),
+    ("agpl-3.0", _HEADER.format("Affero General Public License", "3")),
     (
         "gpl-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for "
+        "most software and other practical works are designed",
     ),
     (
         "bsd",
