@@ -3,8 +3,8 @@
 Texts are cut into lower-case words (runs of letters and digits) and five-word shingles. A template of ``m`` shingles
 is searched in windows of ``m + s - 1`` shingles that start at every ``s``-th shingle, ``s = max(1, m // 8)``; so an
 unbroken copy of it lies whole inside one window, wherever it starts. Templates above ``PIECE`` shingles are searched
-piece by piece. A window's signature has ``BANDS`` bands of one row: the minimum of the shingle hashes under
-``BANDS`` different orders. A window that contains 80 % of a template has a Jaccard similarity of at least 0.6 with
+piece by piece. A window's signature has ``BANDS`` bands of one row: the minimum of the shingle hashes,
+hashed anew with the band's number. A window that contains 80 % of a template has a Jaccard similarity of at least 0.6 with
 it, so the chance that no band collides is at most ``0.4 ** 8`` (7 in 10,000); a whole copy misses with less than
 ``0.12 ** 8``. What the bands retrieve is verified exactly: the share of the template's distinct shingles that the
 window holds has to reach ``similarity``.
@@ -20,7 +20,6 @@ Rows that repeat a key get the same result: what any of them holds.
 
 from __future__ import annotations
 
-import random
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -127,9 +126,9 @@ def shingle_hashes(words: Column) -> Column:
     )
 
 
-def _orders() -> list[int]:
-    numbers = random.Random(20)
-    return [numbers.getrandbits(63) for _ in range(BANDS)]
+def band(hashes: str, number: int) -> Column:
+    """The hashes hashed anew for a band."""
+    return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(number)))
 
 
 def step_of(m: int) -> int:
@@ -141,14 +140,18 @@ def template_pieces(spark, templates) -> list[dict]:
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     hashed = spark.createDataFrame(rows, "template int, license string, body string").select(
         "template", "license", shingle_hashes(words_of(F.col("body"))).alias("hashes")
-    )
+    ).withColumn("banded", F.array(*[band("hashes", b) for b in range(BANDS)]))
     pieces = []
     for row in hashed.collect():
         if not row["hashes"]:
             raise ValueError(f"template {row['template']} ({row['license']}) has fewer than {WORDS} words")
         for at in range(0, len(row["hashes"]), PIECE):
             own = row["hashes"][at : at + PIECE]
-            pieces.append({"license": row["license"], "template": row["template"], "m": len(own), "own": sorted(set(own))})
+            # Per band the smallest value, and the shingle that has it.
+            least = [min(zip(values[at : at + PIECE], own, strict=True)) for values in row["banded"]]
+            pieces.append(
+                {"license": row["license"], "template": row["template"], "m": len(own), "own": sorted(set(own)), "least": least}
+            )
     return pieces
 
 
@@ -174,8 +177,8 @@ def scan(
 
 
 def _search(base: DataFrame, pieces: list[dict], similarity: float) -> DataFrame:
-    spark, orders = base.sparkSession, _orders()
-    keys = {m: sorted({min(h ^ o for h in p["own"]) ^ o for p in pieces if p["m"] == m for o in orders}) for m in {p["m"] for p in pieces}}
+    spark = base.sparkSession
+    keys = {m: sorted({h for p in pieces if p["m"] == m for _, h in p["least"]}) for m in {p["m"] for p in pieces}}
     literal = F.array(*[F.lit(k) for k in sorted({k for own in keys.values() for k in own})])
     near = base.where(F.arrays_overlap("hashes", literal))
 
@@ -199,13 +202,13 @@ def _search(base: DataFrame, pieces: list[dict], similarity: float) -> DataFrame
         "bands",
         F.array(
             *[
-                F.struct(F.lit(b).alias("band"), F.array_min(F.transform("window", lambda h: h.bitwiseXOR(F.lit(o)))).alias("k"))
-                for b, o in enumerate(orders)
+                F.struct(F.lit(b).alias("band"), F.array_min(band("window", b)).alias("k"))
+                for b in range(BANDS)
             ]
         ),
     )
     rows = [
-        (p["license"], p["m"], p["own"], [(b, min(h ^ o for h in p["own"])) for b, o in enumerate(orders)])
+        (p["license"], p["m"], p["own"], [(b, k) for b, (k, _) in enumerate(p["least"])])
         for p in pieces
     ]
     table = spark.createDataFrame(
