@@ -99,13 +99,17 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document: their number, names and the best containment."""
-    docs = table(spark, sf_dir, "documents")
-    found = license_scan.scan(docs).groupBy("doc_id").agg(
+    return licenses(table(spark, sf_dir, "documents"))
+
+
+def licenses(docs: DataFrame) -> DataFrame:
+    """One row per document; rows with a null key share what any of them holds, like rows that repeat a key."""
+    found = license_scan.scan(docs).groupBy(F.col("doc_id").alias("found_id")).agg(
         F.count("*").alias("n_licenses"),
         F.array_join(F.array_sort(F.collect_list("license")), ",").alias("licenses"),
         F.max("containment").alias("containment"),
     )
-    return docs.select("doc_id").join(found, "doc_id", "left").select(
+    return docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select(
         "doc_id",
         F.coalesce("n_licenses", F.lit(0)).cast("long").alias("n_licenses"),
         F.coalesce("licenses", F.lit("")).alias("licenses"),

@@ -1,6 +1,6 @@
 """The registered licence list: what it finds, and that relatives are told apart."""
 
-from replyforge.llm import license_scan
+from replyforge.llm import license_scan, queries
 from tests.llm.conftest import sentence
 
 NOTICE = (
@@ -53,3 +53,10 @@ def test_misses_of_edited_short_templates(spark):
     found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), templates=templates, similarity=0.79)
     assert {(r["doc_id"], r["license"]) for r in found.collect()} <= {(i, f"l{i}") for i in sizes}
     assert len(rows) - found.count() <= 4  # 0.4 ** 8 of 800 would be one
+
+
+def test_rows_without_a_key(spark):
+    rows = [(None, "x Released under the MIT License. y"), (None, "nothing"), (1, "Licensed under CC BY 4.0."), (2, None)]
+    found = queries.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, 1, "mit", 1.0), (None, 1, "mit", 1.0), (1, 1, "cc-by-4.0", 1.0), (2, 0, "", 0.0)]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
