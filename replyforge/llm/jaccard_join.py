@@ -332,7 +332,16 @@ def join_components(
 def deduplicate(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, size: int = WORDS
 ) -> DataFrame:
-    """The rows of ``docs`` with the smallest key of each component; rows with a null key stay."""
+    """The rows of ``docs`` with the smallest key of each component; rows with a null key stay.
+
+    Of rows that repeat such a key, one stays for each text; different texts under one key are all kept.
+    """
     found = join_components(docs, key, text, percent, size)
     gone = found.where(F.col("component_id") != F.col(key)).select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+    left = docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+    kept = found.where(F.col("component_id") == F.col(key)).groupBy(F.col(key).alias("__kept")).count()
+    repeated = materialize(kept.where("count > 1").select("__kept"), "jaccard-repeated")
+    if repeated.isEmpty():
+        return left
+    several = docs[key] == repeated["__kept"]
+    return left.join(repeated, several, "left_anti").unionAll(left.join(repeated, several, "left_semi").dropDuplicates([key, text]))

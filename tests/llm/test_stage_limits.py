@@ -53,3 +53,13 @@ def test_the_limits_differ():
     rows = between()
     assert components(rows, 80, 5) != [(k, n, least) for k, n, least in components(rows, 85, 5)]
     assert sum(k == least for k, _, least in components(rows, 80, 5)) < sum(k == least for k, _, least in components(rows, 85, 4))
+
+
+def test_rows_that_repeat_a_kept_key(spark):
+    copy, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, copy), (1, copy), (1, other), (2, copy), (3, None), (3, None), (4, "c d"), (None, copy), (None, copy)]
+    docs = spark.createDataFrame([(k, t, "n") for k, t in rows], "doc_id long, text string, name string").repartition(3)
+    kept = jaccard_join.deduplicate(docs, percent=80, size=5)
+    want = [(1, copy), (1, other), (3, None), (4, "c d"), (None, copy), (None, copy)]
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
