@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyforge.llm import automaton, decontaminate, jaccard_join, language, license_scan, quality_model, quality_rules, suffix_dedup, token_count, token_files
+from replyforge.llm import automaton, decontaminate, jaccard_join, language, license_scan, packing, quality_model, quality_rules, suffix_dedup, token_count, token_files
 from replyforge.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
 
@@ -124,4 +124,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 2048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules, op11_packing)}
