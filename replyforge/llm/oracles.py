@@ -111,10 +111,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND clean >= word_chars * (1 - {r.max_lost_share}) AS kept FROM j"""
 
 
+# Weights from document counts, scores in whole numbers, the ten best of each item.
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+c AS (SELECT count(*) AS docs, sum(len(w)) AS terms FROM d WHERE len(w) > 0),
+tf AS (SELECT r, doc_id, t, cast(count(*) AS BIGINT) AS tf, any_value(n) AS n FROM (SELECT r, doc_id, unnest(w) AS t, cast(len(w) AS BIGINT) AS n FROM d) GROUP BY r, doc_id, t),
+df AS (SELECT t, cast(count(*) AS BIGINT) AS df FROM tf GROUP BY t),
+i AS (SELECT DISTINCT item_id, text FROM benchmark),
+q AS (SELECT item_id, i, t, cast(count(*) AS BIGINT) AS times
+      FROM (SELECT item_id, text AS i, unnest(regexp_extract_all({_LOWER}, '{_ALNUM}')) AS t FROM i) GROUP BY ALL),
+w AS (SELECT item_id, i, t, times * cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM q JOIN df USING (t), c),
+s AS (SELECT item_id, i, r, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * cast(docs AS BIGINT)) // cast(terms AS BIGINT))))) AS BIGINT) AS score
+      FROM w JOIN tf USING (t), c GROUP BY item_id, i, r, doc_id),
+o AS (SELECT item_id, doc_id, score, cast(row_number() OVER (PARTITION BY item_id, i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10"""
+
 ORACLES = {
     "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_jaccard_join": JACCARD_JOIN,
     "op6_decontaminate": DECONTAMINATE,
     "op9_license_scan": LICENSE_SCAN,
     "op10_quality_rules": _quality_rules(),
+    "op12_lexical_search": LEXICAL_SEARCH,
 }
