@@ -126,6 +126,18 @@ s AS (SELECT item_id, i, r, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * t
 o AS (SELECT item_id, doc_id, score, cast(row_number() OVER (PARTITION BY item_id, i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10"""
 
+# Every anchor against every row; best rows of its label, and for each the best of other labels in its window.
+HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS v
+           FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, e.vec_id AS b, a.label = e.label AS same, cast(list_inner_product(a.v, e.v) AS BIGINT) AS score
+      FROM e a, e WHERE a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS p, s.b AS n, p.score AS ps, s.score AS ns, cast(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INTEGER) AS rank
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT a AS anchor_id, p AS positive_id, rank, n AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE rank <= 5"""
+
 ORACLES = {
     "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_jaccard_join": JACCARD_JOIN,
@@ -133,4 +145,5 @@ ORACLES = {
     "op9_license_scan": LICENSE_SCAN,
     "op10_quality_rules": _quality_rules(),
     "op12_lexical_search": LEXICAL_SEARCH,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyforge.llm import automaton, decontaminate, jaccard_join, language, lexical_search, license_scan, packing, quality_model, quality_rules, suffix_dedup, token_count, token_files
+from replyforge.llm import automaton, decontaminate, hard_negatives, jaccard_join, language, lexical_search, license_scan, packing, quality_model, quality_rules, suffix_dedup, token_count, token_files
 from replyforge.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
 
@@ -138,4 +138,15 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules, op11_packing, op12_lexical_search)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hardest negatives of every hundredth vector's positives."""
+    key, label = F.col("vec_id"), F.col("label")
+    blocks = hard_negatives.store(
+        table(spark, sf_dir, "embeddings"),
+        anchor=key % 100 == 0,
+        label=F.when(key % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+    return hard_negatives.mine(blocks)
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_token_files, op4_token_counts, op5_bpe_codec, op6_decontaminate, op7_quality_model, op8_language, op9_license_scan, op10_quality_rules, op11_packing, op12_lexical_search, op13_hard_negatives)}
