@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from replyforge.operators.call_log import CallLog, Sample, ask_until_decided
 from replyforge.operators.reply_text import find_json
 
 # Driver side: a name for each factory, so that a worker knows it again in later tasks and jobs.
@@ -84,6 +85,18 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
+def _answers(call: Callable, prompts: list, past: list) -> tuple[list, list, list]:
+    """Responses, errors and meta answers of one model call; a call that fails is an error on each of its rows."""
+    try:
+        answers, metas = call(prompts, [h or [] for h in past])
+        if not len(answers) == len(metas) == len(prompts):
+            raise ValueError(f"{len(answers)} responses for {len(prompts)} prompts")
+    except Exception as failure:  # noqa: BLE001 - a failed call is data, not a failed job
+        return [None] * len(prompts), [str(failure)] * len(prompts), [None] * len(prompts)
+    errors = [a.get("error") if isinstance(a, dict) else None for a in answers]
+    return [None if isinstance(a, dict) else a for a in answers], errors, [m or None for m in metas]
+
+
 def infer_batch(
     df: DataFrame,
     predictor: Callable[[], Callable],
@@ -109,25 +122,49 @@ def infer_batch(
         for batch in _slices(batches, batch_size):
             prompts = batch.column(prompt).to_pylist()
             past = batch.column(history).to_pylist() if has_history else [None] * len(prompts)
-            answers, metas, problem = [], [], None
-            try:
-                answers, metas = call(prompts, [h or [] for h in past])
-                if not len(answers) == len(metas) == len(prompts):
-                    problem = f"{len(answers)} responses for {len(prompts)} prompts"
-            except Exception as failure:  # noqa: BLE001 - a failed call is data, not a failed job
-                problem = str(failure)
-            if problem is not None:
-                texts, errors, metas = [None] * len(prompts), [problem] * len(prompts), [None] * len(prompts)
-            else:
-                failed = [a.get("error") if isinstance(a, dict) else None for a in answers]
-                texts = [None if isinstance(a, dict) else a for a in answers]
-                errors, metas = failed, [m or None for m in metas]
+            texts, errors, metas = _answers(call, prompts, past)
             added = [pa.array(v, pa.string()) for v in (texts, errors, metas)]
             yield _append(batch, added, ["response", "error", "meta_response"])
 
     return base.mapInArrow(run, schema)
 
 
+def ask_repeatedly(
+    texts: DataFrame,
+    predictor: Callable[[], Callable],
+    log: str,
+    n: int,
+    max_rounds: int,
+    batch_size: int = 1500,
+    prompt: str = "prompt",
+    history: str = "history",
+) -> DataFrame:
+    """Call the model for every sample until it has ``n`` responses or ``max_rounds`` errors; answers go to ``log``.
+
+    ``texts`` has ``_sample`` (a number whose upper bits tell the part of the table it was written to), ``_ok`` and
+    ``round`` (accepted answers and errors it starts with). A narrow step that has to run once, as an action: its rows
+    say how many rows were asked and decided in each call.
+    """
+    has_history = history in texts.columns
+    narrow = texts.select("_sample", "_ok", "round", prompt, *([history] if has_history else []))
+    name = _name_of(predictor)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = _build_once(name, predictor)
+
+        def samples() -> Iterator[Sample]:
+            for batch in batches:
+                past = batch.column(history).to_pylist() if has_history else [None] * batch.num_rows
+                columns = [batch.column(c).to_pylist() for c in ("_sample", prompt, "_ok", "round")]
+                for number, text, ok, failed, before in zip(*columns, past, strict=True):
+                    yield Sample(number, text, before, ok, failed)
+
+        for asked, decided in ask_until_decided(samples(), lambda p, h: _answers(call, p, h)[:2], CallLog(log), n, max_rounds, batch_size):
+            yield pa.RecordBatch.from_arrays([pa.array([asked], pa.int64()), pa.array([decided], pa.int64())], ["asked", "decided"])
+
+    return narrow.mapInArrow(run, "asked long, decided long")
+
+
 def ask_for_json(
     df: DataFrame,
     predictor: Callable[[], Callable[[str], str]],

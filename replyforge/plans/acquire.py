@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from replyforge.operators.fetching import (
     remaining_files,
     skip_fetched,
 )
+from replyforge.plans.ledger import Ledger
 from replyforge.sources.storage import materialize
 from replyforge.sources.tables import read_manifest
 
@@ -35,13 +37,25 @@ def acquire(
     existing: DataFrame | None = None,
     partitions: int | None = None,
     manifests: DataFrame | None = None,
+    run_path: str | None = None,
+    chunks: int = 100,
+    parallel: int = 4,
+    **limits,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Outcome rows, figures per manifest and the ledger entries of the manifests that are done."""
+    """Outcome rows, figures per manifest and the ledger entries of the manifests that are done.
+
+    With a ``run_path`` the plan is written there in ``chunks`` pieces, fetched ``parallel`` at a time, and a run that was
+    cut off goes on with the pieces that are not done. ``limits`` are those of ``operators.calls.fetch``.
+    """
     plan = fetch_plan(manifest, root)
     there = None
     if existing is not None:
         plan, there = skip_fetched(plan, existing)
-    fetched = fetch(plan, fetcher, partitions)
+    if run_path is None:
+        fetched = fetch(plan, fetcher, partitions, **limits)
+    else:
+        tasks = -(-(partitions or plan.sparkSession.sparkContext.defaultParallelism) // parallel)
+        fetched = Ledger(plan, run_path, chunks, parallel).run(partial(fetch, fetcher=fetcher, partitions=tasks, **limits))
     outcomes = materialize(fetched if there is None else fetched.unionByName(there), "fetched")
     stats = fetch_stats(outcomes, manifests=manifests)
     return outcomes, stats, ledger_entries(stats)

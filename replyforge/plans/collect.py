@@ -1,16 +1,18 @@
-"""Best-of-N against a live model, one written table per round."""
+"""Best-of-N against a live model: one table of texts, and a log of answers that grows by one row per call."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyforge.operators.bestofn import MODES
-from replyforge.operators.calls import infer_batch
-from replyforge.sources.storage import new_path, path_exists, spread
+from replyforge.operators.calls import ask_repeatedly, infer_batch
+from replyforge.sources.storage import new_path, path_exists
+
+LOG = "_sample long, turn int, response string, error string, part long"
 
 
 def best_of_n_loop(
@@ -20,6 +22,7 @@ def best_of_n_loop(
     max_rounds: int,
     batch_size: int = 1500,
     run_path: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Call the model until every sample has ``n`` responses or gives up.
 
@@ -27,36 +30,27 @@ def best_of_n_loop(
     missing status or ``resume`` starts the error count at 0, kept responses stay.
     Result: every sample row with ``response_n``, ``round`` and ``status``.
 
-    The samples are written once as turn 0, which gives each row a number; rows need no id of their own. Each turn
-    is a narrow job over the open rows only: it reads the turn before, calls the model, and writes its rows
-    once. Nothing is shuffled until the end, when the at most ``n`` responses of a sample meet its last row.
-    The extra call whose answer the rules would throw away in any case is not made. With a ``run_path`` of its
-    own a run that was cut off goes on after its last complete turn.
+    Below the run's folder, ``texts`` holds the sample rows, written once in ``tasks`` parts (by default one per core),
+    which number them; rows need no id of their own. One narrow job reads ``prompt`` and ``history`` once: a task
+    asks for its samples until they are decided, and each call's answers are in ``log`` before the next one is made.
+    A task that is run again, or a run that goes on in a ``run_path`` of its own, reads the log and makes no call
+    twice but the one that was under way. Prompts are never written again and nothing is shuffled until the end,
+    when the at most ``n`` responses of a sample meet its row. The extra call whose answer the rules would throw away
+    in any case is not made.
     """
     spark = samples.sparkSession
     path = run_path or new_path(spark, "bestofn")
     carried = [c for c in samples.columns if c not in ("response_n", "round", "status", "response", "error", "meta_response")]
-    state = [*carried, "_sample", "_kept", "_ok", "round"]
-    none = F.lit(None).cast("string")
-    start = _starting_state(samples).withColumn("_sample", F.monotonically_increasing_id()).select(*state)
-    rows = _with_status(start.withColumns({"response": none, "error": none}), n, max_rounds)
-    turn = 0
-    while True:
-        written = _write_turn(rows, path, turn)
-        pending = written.where(F.col("status") == "processing").select(*state)
-        if pending.isEmpty():
-            return _summarise(spark, path, rows.schema, carried)
-        turn += 1
-        called = infer_batch(spread(pending), predictor, batch_size)
-        rows = _with_status(_step(called.select(*state, "response", "error")), n, max_rounds)
-
-
-def _write_turn(rows: DataFrame, path: str, turn: int) -> DataFrame:
-    """Write a turn unless it is there already, and read it back."""
-    spark, target = rows.sparkSession, f"{path}/turn={turn}"
-    if not path_exists(spark, f"{target}/_SUCCESS"):
-        rows.write.mode("overwrite").parquet(target)
-    return spark.read.schema(rows.schema).parquet(target)
+    start = _starting_state(samples).select(*carried, "_kept", "_ok", "round")
+    schema = T.StructType([*start.schema.fields, T.StructField("_sample", T.LongType())])
+    if not path_exists(spark, f"{path}/texts/_SUCCESS"):
+        dealt = start.repartition(tasks or spark.sparkContext.defaultParallelism)
+        dealt.withColumn("_sample", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}/texts")
+    texts = spark.read.schema(schema).parquet(f"{path}/texts")
+    if not path_exists(spark, f"{path}/calls/_SUCCESS"):
+        asked = ask_repeatedly(texts, predictor, f"{path}/log", n, max_rounds, batch_size)
+        asked.write.mode("overwrite").parquet(f"{path}/calls")
+    return _summarise(spark, texts, f"{path}/log", n, max_rounds, carried)
 
 
 def _starting_state(samples: DataFrame) -> DataFrame:
@@ -68,31 +62,27 @@ def _starting_state(samples: DataFrame) -> DataFrame:
     return samples.withColumn("_kept", kept).withColumn("_ok", F.size("_kept")).withColumn("round", rounds.cast("int"))
 
 
-def _step(called: DataFrame) -> DataFrame:
-    failed = F.col("error").isNotNull()
-    return called.withColumns(
-        {"_ok": F.col("_ok") + F.when(failed, 0).otherwise(1), "round": F.col("round") + F.when(failed, 1).otherwise(0)}
-    )
-
-
-def _with_status(df: DataFrame, n: int, max_rounds: int) -> DataFrame:
-    gave_up = F.lit(max_rounds != -1) & (F.col("round") >= max_rounds)
-    return df.withColumn(
-        "status",
-        F.when(F.col("_ok") >= n, F.lit("completed")).when(gave_up, F.lit("max_rounds")).otherwise(F.lit("processing")),
-    )
-
-
-def _summarise(spark: SparkSession, path: str, schema: T.StructType, carried: list[str]) -> DataFrame:
-    """The row in which a sample stopped being open, with the responses of all its turns."""
-    log = spark.read.schema(T.StructType([*schema.fields, T.StructField("turn", T.IntegerType())])).parquet(path)
-    last = log.where(F.col("status") != "processing").select(*carried, "_sample", "_kept", "round", "status")
-    answers = log.where((F.col("turn") > 0) & F.col("error").isNull()).groupBy("_sample").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "response"))).alias("_new")
-    )
-    new = F.transform(F.coalesce("_new", F.array().cast("array<struct<turn:int,response:string>>")), lambda g: g["response"])
-    return last.join(answers, "_sample", "left").select(
-        *carried, F.concat("_kept", new).alias("response_n"), "round", "status"
+def _status(accepted: Column, failed: Column, n: int, max_rounds: int) -> Column:
+    gave_up = F.lit(max_rounds != -1) & (failed >= max_rounds)
+    return F.when(accepted >= n, F.lit("completed")).when(gave_up, F.lit("max_rounds")).otherwise(F.lit("processing"))
+
+
+def _summarise(spark: SparkSession, texts: DataFrame, log: str, n: int, max_rounds: int, carried: list[str]) -> DataFrame:
+    """Every sample with the answers of its turns and the state they leave it in."""
+    rows = spark.read.schema(LOG).parquet(log) if path_exists(spark, log) else spark.createDataFrame([], LOG)
+    turns = rows.groupBy("_sample").agg(F.array_sort(F.collect_list(F.struct("turn", "response", "error"))).alias("_turns"))
+    # A turn that two attempts of a task have logged counts once.
+    once = F.filter("_turns", lambda t, i: (i == 0) | (t["turn"] != F.get("_turns", i - 1)["turn"]))
+    asked = texts.select(*carried, "_sample", "_kept", "_ok", "round").join(turns.select("_sample", once.alias("_turns")), "_sample", "left")
+    good = F.filter("_turns", lambda t: t["error"].isNull())
+    none = F.array().cast("array<string>")
+    new = F.coalesce(F.transform(good, lambda t: t["response"]), none)
+    failed = F.col("round") + F.coalesce(F.size("_turns") - F.size(good), F.lit(0))
+    return asked.select(
+        *carried,
+        F.concat("_kept", new).alias("response_n"),
+        failed.alias("round"),
+        _status(F.col("_ok") + F.size(new), failed, n, max_rounds).alias("status"),
     )
 
 

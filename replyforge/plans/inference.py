@@ -16,8 +16,8 @@ from replyforge.operators.checkpoints import (
     resume_inputs,
     split_empty_prompts,
 )
-from replyforge.plans.chunks import in_chunks
 from replyforge.plans.collect import collect_responses
+from replyforge.plans.ledger import Ledger
 from replyforge.sources.storage import materialize, spread
 
 
@@ -33,13 +33,14 @@ def run_inference(
     batch_size: int = 1500,
     run_path: str | None = None,
     chunks: int = 100,
+    parallel: int = 4,
 ) -> DataFrame:
     """``inputs`` has the id and ``prompt``; ``checkpoints`` come from lowest to highest precedence.
 
     Completed ids give their saved record; of the others, empty prompts of the input are answered with an empty
     response, unfinished ids go on from their record, and only the rest reaches the model afresh. The limit counts model rows; finished
-    rows are always kept. With a ``run_path`` a run that was cut off goes on after what it has written there: a turn of
-    a best-of-N mode, or one of ``chunks`` pieces of the calls.
+    rows are always kept. With a ``run_path`` a run that was cut off goes on after what it has written there: the answers
+    of a best-of-N mode, or those of ``chunks`` pieces of the calls that are done; ``parallel`` are under way at a time.
     """
     has_processor = mode in MODES
     done: list[DataFrame] = []
@@ -65,7 +66,7 @@ def run_inference(
         result = materialize(collect_responses(todo, predictor, mode, batch_size=batch_size), "inference")
     else:
         call = partial(collect_responses, predictor=predictor, mode=mode, batch_size=batch_size)
-        result = in_chunks(todo, call, [id_col], chunks, run_path)
+        result = Ledger(todo, run_path, chunks, parallel).run(call)
     for part in done:
         result = result.unionByName(part, allowMissingColumns=True)
     if "status" not in result.columns:

@@ -12,8 +12,7 @@ from replyforge.functions.text import is_blank
 from replyforge.operators.calls import ask_for_json
 from replyforge.operators.checkpoints import limit_inputs, skip_done
 from replyforge.operators.tagging import prepare_statements, tag_rows
-from replyforge.plans.chunks import in_chunks
-from replyforge.sources.storage import materialize
+from replyforge.plans.ledger import Ledger
 
 
 def tag_statements(
@@ -27,12 +26,13 @@ def tag_statements(
     threads: int = 8,
     run_path: str | None = None,
     chunks: int = 100,
+    parallel: int = 4,
 ) -> DataFrame:
     """Tagged rows of the statements that have no success in ``earlier``.
 
     Skipping and limiting happen before the model call. Append the result to the output and write it
     once; the reader's view of that output is ``best_tag_per_uuid``. With a ``run_path`` the calls are made and written
-    in ``chunks`` pieces, and a run that was cut off goes on after its last finished piece.
+    in ``chunks`` pieces, ``parallel`` at a time, and a run that was cut off goes on with the pieces that are not done.
     """
     todo = prepare_statements(statements)
     if earlier is not None:
@@ -46,4 +46,4 @@ def tag_statements(
 
     if run_path is None:
         return tag(asked)
-    return in_chunks(materialize(asked, "tagging"), tag, ["uuid"], chunks, run_path)
+    return Ledger(asked, run_path, chunks, parallel).run(tag)

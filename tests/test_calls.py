@@ -61,15 +61,16 @@ def test_factory_runs_once_per_worker(spark, tmp_path):
 
     def factory():
         with open(mark, "a") as handle:
-            handle.write("x")
+            handle.write(f"{os.getpid()}\n")
         return lambda texts, _: (texts, [None] * len(texts))
 
     infer_batch(prompts(spark, 40, 1), factory, batch_size=1).collect()
-    assert os.path.getsize(mark) == 1
-    # More tasks and a second job over the same factory reuse what the (at most eight) workers built.
+    assert len(open(mark).read().split()) == 1
+    # More tasks and a second job over the same factory reuse what their workers built. Spark may replace workers.
     for _ in range(2):
         infer_batch(prompts(spark, 200, 50), factory, batch_size=1).collect()
-    assert os.path.getsize(mark) <= 9
+    built = open(mark).read().split()
+    assert len(built) == len(set(built))
 
 
 def test_reply_is_asked_again(spark, tmp_path):
@@ -382,7 +383,7 @@ def test_tagging_goes_on_after_a_broken_run(spark, tmp_path):
     run = lambda: tag_statements(statements, model, "rate {}", run_path=str(tmp_path / "run"), chunks=5).collect()
     with pytest.raises(Exception):  # noqa: B017
         run()
-    done = len(list((tmp_path / "run").glob("chunk-*/_SUCCESS")))
+    done = len(list((tmp_path / "run").glob("commits/chunk=*/_SUCCESS")))
     broken.unlink()
     assert len(run()) == 40
     calls = [int(p.name.split("-")[0]) for p in log.iterdir()]
