@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from replyforge.functions.jsontext import strict_json
-from replyforge.operators.skew import with_running
+from replyforge.sources.growing import SCHEMA, GrowingFiles
 from replyforge.sources.jsonl import parse_lines, typed_rows
-from replyforge.sources.storage import materialize, path_exists
 
-# Pause between looks at the source folder (fixed value).
+# Pause between looks at the source folder, and new lines from which on a look takes them (fixed values).
 INTERVAL = "300 seconds"
+SNAPSHOT_LINES = 1000
 
 
 def open_stream(
@@ -51,63 +49,35 @@ def ingest_stream(
     return writer.start(sink)
 
 
-def ingest_appended(spark: SparkSession, src: str, sink: str, pattern: str = "*.jsonl") -> int:
+def growing_stream(spark: SparkSession, src: str, pattern: str = "*.jsonl", min_lines: int = 1, checkpoint: str | None = None, **options) -> DataFrame:
+    """The lines appended to the files of a folder as a stream: ``source_file``, ``start`` (first byte), ``value``."""
+    spark.dataSource.register(GrowingFiles)
+    reader = spark.readStream.format(GrowingFiles.name()).options(pattern=pattern, min_lines=min_lines, path=src, **options)
+    return (reader.option("checkpoint", checkpoint) if checkpoint else reader).load()
+
+
+def ingest_appended(spark: SparkSession, src: str, sink: str, pattern: str = "*.jsonl", min_lines: int = 1) -> int:
     """Take the lines that were appended to the files of ``src`` since the last look; answers their number.
 
-    For result files that grow while they are looked at, which the file stream would count once only. Below ``sink``,
-    ``state`` holds one table per look: how many lines of each file were taken, and its size then. ``lines`` holds the
-    lines taken (``source_file``, ``line`` from 1, ``value``), one folder per look. The state is written last, and a
-    look that was cut off is repeated under the same number, so each line counts once. Only files whose size has
-    changed are read. A last line that is no JSON value yet may still be being written and waits for the next look.
-    Files must only grow; their names tell them apart.
+    For result files that grow while they are looked at, which the file stream would count once only. A look reads the
+    appended bytes alone, up to the last newline, and takes nothing while there are fewer than ``min_lines`` new lines.
+    ``sink/checkpoint`` is the stream's checkpoint, ``sink/lines`` its file sink, whose log makes a batch that was cut
+    off count once; the next look repeats that batch alone. Files must only grow; their names tell them apart.
+    :func:`watch_appended` looks at intervals.
     """
-    looks = _looks(spark, sink)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(src)
-    found = files.select(F.col("_metadata.file_name").alias("source_file"), F.col("length").alias("size"))
-    taken = spark.read.schema(STATE).parquet(f"{sink}/state/{looks - 1:08d}") if looks else spark.createDataFrame([], STATE)
-    known = taken.withColumnsRenamed({"size": "old_size"})
-    changed = found.join(known, "source_file", "left").where("old_size IS NULL OR size > old_size")
-    open_files = materialize(changed.select("source_file", "size", F.coalesce("lines", F.lit(0)).alias("lines")), "open-files")
-
-    lines = spark.read.option("pathGlobFilter", pattern).text(src).select(
-        "value",
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    there = lines.join(open_files.select("source_file"), "source_file", "left_semi")
-    numbered = with_running(there, ["source_file"], ["block", "row"], row_number="line")
-    new = numbered.join(open_files, "source_file").where("line > lines")
-    last = numbered.groupBy("source_file").agg(F.max("line").alias("last"))
-    torn = (F.col("line") == F.col("last")) & strict_json("value").isNull()
-    whole = new.join(last, "source_file").where(~torn).select("source_file", "line", "value")
-    whole.write.mode("overwrite").parquet(f"{sink}/lines/{looks:08d}")
-    written = spark.read.schema(TAKEN).parquet(f"{sink}/lines/{looks:08d}")
-    more = written.groupBy("source_file").agg(F.max("line").alias("upto"))
-    now = open_files.join(more, "source_file", "left").select("source_file", F.coalesce("upto", "lines").alias("lines"), "size")
-    # A file with a waiting line is looked at again even if it does not grow.
-    waiting = last.join(now, "source_file").where("last > lines").select("source_file")
-    now = now.join(waiting.withColumn("again", F.lit(True)), "source_file", "left").select(
-        "source_file", "lines", F.when(F.col("again"), F.lit(-1)).otherwise(F.col("size")).cast("long").alias("size")
-    )
-    kept = taken.join(open_files.select("source_file"), "source_file", "left_anti")
-    kept.select("source_file", "lines", "size").union(now).write.mode("overwrite").parquet(f"{sink}/state/{looks:08d}")
-    return written.count()
-
-
-STATE = "source_file string, lines long, size long"
-TAKEN = "source_file string, line long, value string"
-
-
-def _looks(spark: SparkSession, sink: str) -> int:
-    """Number of finished looks: those whose state was committed."""
-    done = 0
-    while path_exists(spark, f"{sink}/state/{done:08d}/_SUCCESS"):
-        done += 1
-    return done
+    query = ingest_stream(growing_stream(spark, src, pattern, min_lines, f"{sink}/checkpoint"), f"{sink}/lines", f"{sink}/checkpoint")
+    query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def watch_appended(
+    spark: SparkSession, src: str, sink: str, pattern: str = "*.jsonl", min_lines: int = SNAPSHOT_LINES, interval: str = INTERVAL
+) -> StreamingQuery:
+    """:func:`ingest_appended` at every ``interval``, until the query is stopped."""
+    rows = growing_stream(spark, src, pattern, min_lines, f"{sink}/checkpoint")
+    return ingest_stream(rows, f"{sink}/lines", f"{sink}/checkpoint", once=False, interval=interval)
 
 
 def appended_lines(spark: SparkSession, sink: str) -> DataFrame:
     """All lines that finished looks have taken."""
-    paths = [f"{sink}/lines/{look:08d}" for look in range(_looks(spark, sink))]
-    return spark.read.schema(TAKEN).parquet(*paths) if paths else spark.createDataFrame([], TAKEN)
+    return spark.read.schema(SCHEMA).parquet(f"{sink}/lines")

@@ -185,28 +185,6 @@ def test_stateless_operators_run_on_a_stream(spark, tmp_path):
     assert rows(spark.read.parquet(sink), "id", "prompt", "json") == [("1", "do c", '{"n": 4}'), ("2", "do None", '{"n": 7}')]
 
 
-def test_appended_lines_are_taken_once(spark, tmp_path):
-    """A growing file, a line cut in the middle, a new file, and a look that was cut off before its state was written."""
-    import shutil
-
-    from replyforge.streaming.ingest import appended_lines, ingest_appended
-
-    src, sink = tmp_path / "src", str(tmp_path / "sink")
-    src.mkdir()
-    look = lambda: ingest_appended(spark, str(src), sink)
-    lines = lambda: rows(appended_lines(spark, sink), "source_file", "line", "value")
-    (src / "a.jsonl").write_text('{"x": 1}\n{"x": 2}\n{"x"')
-    assert look() == 2 and lines() == [("a.jsonl", 1, '{"x": 1}'), ("a.jsonl", 2, '{"x": 2}')]
-    assert look() == 0
-    with (src / "a.jsonl").open("a") as file:
-        file.write(': 3}\n{"x": 4}\n')
-    (src / "b.jsonl").write_text('{"y": 1}\n')
-    assert look() == 3
-    shutil.rmtree(f"{sink}/state/00000002")
-    assert look() == 3 and look() == 0
-    assert lines() == [*[("a.jsonl", i, f'{{"x": {i}}}') for i in range(1, 5)], ("b.jsonl", 1, '{"y": 1}')]
-
-
 def test_last_row_over_several_files(spark, tmp_path):
     """Larger files are read first, but the name says which is last."""
     folder = tmp_path / "t.jsonl"
