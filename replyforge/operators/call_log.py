@@ -22,6 +22,37 @@ LOG = pa.schema([("_sample", pa.int64()), ("turn", pa.int32()), ("response", pa.
 PART_BITS = 33
 
 
+def split_parts(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+    """Rows by the part of the texts they belong to."""
+    parts = [n >> PART_BITS for n in table["_sample"].to_pylist()]
+    for part in sorted(set(parts)):
+        yield part, table.filter(pa.array([p == part for p in parts]))
+
+
+class RowLog:
+    """The results of a step that is made once per row, below ``folder``, one sub-folder per part of the texts."""
+
+    def __init__(self, folder: str):
+        self.files, self.place = open_folder(folder)
+        self.parts: dict[int, set[int]] = {}
+
+    def _known(self, part: int) -> set[int]:
+        if part not in self.parts:
+            found = listing(self.files, f"{self.place}/part={part}", ".parquet")
+            tables = [pq.read_table(f.path, filesystem=self.files, columns=["_sample"], partitioning=None) for f in found]
+            self.parts[part] = {n for t in tables for n in t["_sample"].to_pylist()}
+        return self.parts[part]
+
+    def missing(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows of a batch that no task has logged."""
+        numbers = batch.column("_sample").to_pylist()
+        return batch.filter(pa.array([n not in self._known(n >> PART_BITS) for n in numbers], pa.bool_()))
+
+    def append(self, table: pa.Table) -> None:
+        for part, own in split_parts(table):
+            write_table(self.files, f"{self.place}/part={part}", f"{uuid.uuid4().hex}.parquet", own)
+
+
 @dataclass
 class Sample:
     number: int
@@ -67,12 +98,10 @@ class CallLog:
 
     def append(self, samples: list[Sample], responses: list[str | None], errors: list[str | None]) -> None:
         """The answers of one call, a file for each part that has samples in it."""
-        rows = [(s.number, s.turn, r, e) for s, r, e in zip(samples, responses, errors, strict=True)]
-        for part in sorted({s.number >> PART_BITS for s in samples}):
-            own = [r for r in rows if r[0] >> PART_BITS == part]
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*own, strict=True), LOG, strict=True)]
-            table = pa.Table.from_arrays(columns, schema=LOG)
-            write_table(self.files, f"{self.place}/part={part}", f"{uuid.uuid4().hex}.parquet", table)
+        columns = [[s.number for s in samples], [s.turn for s in samples], responses, errors]
+        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, LOG, strict=True)], schema=LOG)
+        for part, own in split_parts(table):
+            write_table(self.files, f"{self.place}/part={part}", f"{uuid.uuid4().hex}.parquet", own)
 
 
 def ask_until_decided(

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from replyforge.operators.call_log import CallLog, Sample, ask_until_decided
+from replyforge.operators.call_log import CallLog, RowLog, Sample, ask_until_decided
 from replyforge.operators.reply_text import find_json
 
 # Driver side: a name for each factory, so that a worker knows it again in later tasks and jobs.
@@ -85,6 +85,21 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
+def _logged(run: Callable, log: str, size: int, names: list[str]) -> Callable:
+    """A step's task that leaves out rows which are in ``log``, and writes what it adds to the others there at once."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = RowLog(log)
+        for batch in _slices(batches, size):
+            missing = rows.missing(batch)
+            if missing.num_rows:
+                made = pa.Table.from_batches(list(run(iter([missing]))))
+                rows.append(made.select(["_sample", *names]))
+            yield pa.RecordBatch.from_arrays([pa.array([missing.num_rows], pa.int64())], ["asked"])
+
+    return work
+
+
 def _answers(call: Callable, prompts: list, past: list) -> tuple[list, list, list]:
     """Responses, errors and meta answers of one model call; a call that fails is an error on each of its rows."""
     try:
@@ -103,17 +118,17 @@ def infer_batch(
     batch_size: int = 1500,
     prompt: str = "prompt",
     history: str = "history",
+    log: str | None = None,
 ) -> DataFrame:
     """Add ``response``, ``error`` and ``meta_response``.
 
     ``predictor()`` returns ``call(prompts, histories) -> (responses, metas)``. When the call raises, or
     answers with another number of rows, every row of that batch gets the error text and no
-    response. A response may also be ``{"error": text}`` for a row of its own.
+    response. A response may also be ``{"error": text}`` for a row of its own. ``log`` is for :mod:`replyforge.plans.once`.
     """
     has_history = history in df.columns
-    base, schema = _with_columns(
-        df, [("response", T.StringType()), ("error", T.StringType()), ("meta_response", T.StringType())]
-    )
+    names = ["response", "error", "meta_response"]
+    base, schema = _with_columns(df, [(n, T.StringType()) for n in names])
 
     name = _name_of(predictor)
 
@@ -124,8 +139,11 @@ def infer_batch(
             past = batch.column(history).to_pylist() if has_history else [None] * len(prompts)
             texts, errors, metas = _answers(call, prompts, past)
             added = [pa.array(v, pa.string()) for v in (texts, errors, metas)]
-            yield _append(batch, added, ["response", "error", "meta_response"])
+            yield _append(batch, added, names)
 
+    if log is not None:
+        narrow = base.select("_sample", prompt, *([history] if has_history else []))
+        return narrow.mapInArrow(_logged(run, log, batch_size, names), "asked long")
     return base.mapInArrow(run, schema)
 
 
@@ -174,12 +192,13 @@ def ask_for_json(
     delay: float = 1.5,
     threads: int = 8,
     prompt: str = "prompt",
+    log: str | None = None,
 ) -> DataFrame:
     """Add ``status``, ``data`` (JSON text), ``response`` and ``error``: call, dig out the JSON, check it.
 
     A call that fails and a reply without usable JSON are both tried again after ``delay`` seconds. After
     the last try the status is ``failed`` with no data and no response. Rows without a prompt are not
-    sent and stay without a status.
+    sent and stay without a status. ``log`` is for :mod:`replyforge.plans.once`.
     """
     names = ["status", "data", "response", "error"]
     base, schema = _with_columns(df, [(n, T.StringType()) for n in names])
@@ -208,6 +227,8 @@ def ask_for_json(
                 results = list(pool.map(lambda text: attempt(call, text), batch.column(prompt).to_pylist()))
                 yield _append(batch, [pa.array(c, pa.string()) for c in zip(*results)], names)
 
+    if log is not None:
+        return base.select("_sample", prompt).mapInArrow(_logged(run, log, 10 * threads, names), "asked long")
     return base.mapInArrow(run, schema)
 
 

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from replyforge.operators.bestofn import MODES
 from replyforge.operators.calls import ask_repeatedly, infer_batch
+from replyforge.plans.once import write_texts
 from replyforge.sources.storage import new_path, path_exists
 
 LOG = "_sample long, turn int, response string, error string, part long"
@@ -42,11 +42,7 @@ def best_of_n_loop(
     path = run_path or new_path(spark, "bestofn")
     carried = [c for c in samples.columns if c not in ("response_n", "round", "status", "response", "error", "meta_response")]
     start = _starting_state(samples).select(*carried, "_kept", "_ok", "round")
-    schema = T.StructType([*start.schema.fields, T.StructField("_sample", T.LongType())])
-    if not path_exists(spark, f"{path}/texts/_SUCCESS"):
-        dealt = start.repartition(tasks or spark.sparkContext.defaultParallelism)
-        dealt.withColumn("_sample", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}/texts")
-    texts = spark.read.schema(schema).parquet(f"{path}/texts")
+    texts = write_texts(start, f"{path}/texts", tasks)
     if not path_exists(spark, f"{path}/calls/_SUCCESS"):
         asked = ask_repeatedly(texts, predictor, f"{path}/log", n, max_rounds, batch_size)
         asked.write.mode("overwrite").parquet(f"{path}/calls")
