@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replyforge.functions.spans import WordTable, distinct_words, fnv_hashes, gathered, run_buckets, runs, text_bytes
 from replyforge.functions.text import _col, percent, round_even
 from replyforge.operators.skew import with_running
+from replyforge.shipping import broadcast, opened
 from replyforge.sources.storage import materialize
 
 # A weight table goes to the tasks in blocks of at most this many bytes; each block is one narrow step.
@@ -21,7 +23,8 @@ BLOCKS_PER_STAGE = 2
 
 # What ends a word: NUL, tab to carriage return (newline included), blank (fixed values).
 WORD_END = b"\x00\t\n\x0b\x0c\r "
-_TO_BLANK = bytes.maketrans(WORD_END, b" " * len(WORD_END))
+# Words that begin like this are labels and no part of a text's runs (fixed value).
+LABEL_MARK = b"__label__"
 
 
 def label_number(label: Column | str) -> Column:
@@ -29,79 +32,183 @@ def label_number(label: Column | str) -> Column:
     return F.replace(_col(label).cast("string"), F.lit("__label__")).try_cast("int")
 
 
-def tokens(text: str | None, end: bytes | None = None, ngrams: int = 1) -> list[bytes]:
-    """Words of a text, then its end token if there is one, then word runs of up to ``ngrams`` words."""
-    words = (text or "").encode("utf-8").translate(_TO_BLANK).split(b" ")
-    words = [w for w in words if w]
-    if end is not None:
-        words.append(end)
-    runs = [b" ".join(words[i : i + n]) for n in range(2, ngrams + 1) for i in range(len(words) - n + 1)]
-    return words + runs
-
-
-def _weights(model: DataFrame, labels: list, n_blocks: int, block: int) -> tuple[dict[bytes, int], np.ndarray]:
-    """Token numbers and the (token, label) weights of one block."""
-    own = model.where(F.pmod(F.xxhash64("token"), F.lit(n_blocks)) == block)
-    rows = own.groupBy("token", "label").agg(F.sum("weight").cast("double").alias("weight")).toArrow()
-    number: dict[bytes, int] = {}
-    places = [number.setdefault(t.encode("utf-8"), len(number)) for t in rows["token"].to_pylist()]
+def _in_blocks(model: DataFrame, key: str, labels: list, n_blocks: int, block: int) -> tuple[list, np.ndarray]:
+    """The keys of one block of a weight table and their (key, label) weights."""
+    own = model.where(F.pmod(F.xxhash64(key), F.lit(n_blocks)) == block)
+    rows = own.groupBy(key, "label").agg(F.sum("weight").cast("double").alias("weight")).toArrow()
+    number: dict = {}
+    places = [number.setdefault(k, len(number)) for k in rows[key].to_pylist()]
     column = {label: i for i, label in enumerate(labels)}
     table = np.zeros((len(number), len(labels)))
     table[places, [column[x] for x in rows["label"].to_pylist()]] = rows["weight"].to_numpy(zero_copy_only=False)
-    return number, table
+    return list(number), table
+
+
+def _count_blocks(model: DataFrame, key: str, size: Column, block_bytes: int) -> int:
+    total = model.groupBy(key).agg(F.lit(1).alias("one")).agg(F.sum(size)).first()[0]
+    return max(1, -(-(total or 0) // block_bytes))
 
 
 def add_sums(
-    docs: DataFrame, model: DataFrame, text: str = "text", end: str | None = None, ngrams: int = 1, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    model: DataFrame,
+    text: str = "text",
+    end: str | None = None,
+    ngrams: int = 1,
+    block_bytes: int = BLOCK_BYTES,
+    buckets: DataFrame | None = None,
+    n_buckets: int = 2_000_000,
 ) -> tuple[DataFrame, list]:
     """Every row of ``docs`` with ``_n`` (known tokens of its text) and ``_sums`` (their weights per label), and the labels.
 
-    ``model`` has ``label, token, weight``. It is cut into blocks by token hash, so that what a task holds is bounded
-    however large it is; each block adds its share to the sums carried along. No row is shuffled or joined.
+    ``model`` has ``label, token, weight``. Without ``buckets`` a token may be a run of up to ``ngrams`` words joined by
+    blanks. With them, runs are known by the bucket their rolling hash falls into, ``n_buckets`` in number, and ``buckets``
+    has ``label, bucket, weight``; a bucket without weights counts as one with zeros. A table is cut into blocks by hash,
+    so that what a task holds is bounded however large it is; each block adds its share to the sums carried along. No
+    row is shuffled or joined. On a stream all blocks are one stage.
     """
     labels = [r["label"] for r in model.select("label").distinct().orderBy("label").collect()]
     if not labels:
         raise ValueError("the model has no labels")
-    sizes = model.groupBy("token").agg(F.lit(1).alias("one")).agg(F.sum(F.octet_length("token") + 8 * len(labels) + 100)).first()[0]
-    n_blocks = max(1, -(-(sizes or 0) // block_bytes))
+    n_blocks = _count_blocks(model, "token", F.octet_length("token") + 8 * len(labels) + 100, block_bytes)
     summed = docs.withColumns({"_n": F.lit(0).cast("bigint"), "_sums": F.array_repeat(F.lit(0.0), len(labels))})
-    mark = end.encode("utf-8") if end is not None else None
+    split = Splitter(text, end.encode("utf-8") if end is not None else None, ngrams)
+    steps = []
     for block in range(n_blocks):
-        sent = docs.sparkSession.sparkContext.broadcast(_weights(model, labels, n_blocks, block))
-        summed = summed.mapInArrow(_adder(sent, text, mark, ngrams), summed.schema)
-        if (block + 1) % BLOCKS_PER_STAGE == 0 and block + 1 < n_blocks:
-            summed = materialize(summed, "scores")
+        words, weights = _in_blocks(model, "token", labels, n_blocks, block)
+        steps.append((_find_words, (WordTable([w.encode("utf-8") for w in words]), weights, buckets is None)))
+        summed = _stage(summed, steps, split, docs, last=buckets is None and block + 1 == n_blocks)
+    if buckets is not None and ngrams > 1:
+        n_parts = _count_blocks(buckets, "bucket", F.lit(8 * len(labels) + 100), block_bytes)
+        for block in range(n_parts):
+            numbers, weights = _in_blocks(buckets, "bucket", labels, n_parts, block)
+            order = np.argsort(np.array(numbers, np.int64))
+            table = (np.array(numbers, np.int64)[order], weights[order], n_buckets, block == 0)
+            steps.append((_find_buckets, table))
+            summed = _stage(summed, steps, split, docs, last=block + 1 == n_parts)
     return summed, labels
 
 
-def _adder(sent, text: str, end: bytes | None, ngrams: int):
+def _stage(summed: DataFrame, steps: list, split: Splitter, docs: DataFrame, last: bool) -> DataFrame:
+    """Run the steps that have gathered, as soon as there are enough for a stage or no more follow."""
+    if not last and (len(steps) < BLOCKS_PER_STAGE or docs.isStreaming):
+        return summed
+    sent = broadcast(docs.sparkSession, list(steps))
+    steps.clear()
+    added = summed.mapInArrow(_adder(sent, split), summed.schema)
+    return added if last else materialize(added, "scores")
+
+
+class Splitter:
+    """Cuts the texts of a batch into words."""
+
+    def __init__(self, text: str, end: bytes | None, ngrams: int):
+        self.text, self.end, self.ngrams = text, end, ngrams
+
+    def words(self, column: pa.Array) -> Words:
+        content, offsets = text_bytes(column)
+        solid = np.ones(256, bool)
+        solid[list(WORD_END)] = False
+        starts, ends, rows = runs(solid[content], offsets)
+        if self.end is not None:
+            # The end token stands behind the words of each text.
+            content = np.concatenate([content, np.frombuffer(self.end, np.uint8)])
+            n, own = len(column), np.arange(len(column))
+            order = np.argsort(np.concatenate([rows, own]), kind="stable")
+            starts = np.concatenate([starts, np.full(n, len(content) - len(self.end))])[order]
+            ends = np.concatenate([ends, np.full(n, len(content))])[order]
+            rows = np.concatenate([rows, own])[order]
+        return Words(content, starts, ends, rows, len(column))
+
+
+class Words:
+    """Words of a batch: numbers that are equal for equal words, and the distinct words."""
+
+    def __init__(self, content: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, n_rows: int):
+        self.rows, self.n_rows = rows, n_rows
+        self.codes, self.content, self.offsets = distinct_words(content, starts, ends)
+
+    def joined(self, n: int) -> Words:
+        """Runs of ``n`` words of one text, joined by blanks."""
+        count = max(0, len(self.codes) - n + 1)
+        whole = np.flatnonzero(self.rows[:count] == self.rows[n - 1 :]) if count else np.zeros(0, np.int64)
+        codes = self.codes[whole[:, None] + np.arange(n)].ravel()
+        # Each word with a blank behind it, so that a run's words and blanks lie next to each other.
+        spaced, cuts = gathered(np.append(self.content, np.uint8(32)), *self._spaced(codes))
+        return Words(spaced, cuts[:-1:2][::n], cuts[1::2][n - 1 :: n], self.rows[whole], self.n_rows)
+
+    def _spaced(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends = np.empty(2 * len(codes), np.int64), np.empty(2 * len(codes), np.int64)
+        starts[::2], ends[::2] = self.offsets[codes], self.offsets[codes + 1]
+        starts[1::2], ends[1::2] = len(self.content), len(self.content) + 1
+        return starts, ends
+
+
+def _find_words(words: Words, ngrams: int, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Rows and weights of the words, and of the runs if they are known by their text, that the block has; all count."""
+    known, weights, by_text = table
+    rows, places = [], []
+    for n in range(1, ngrams + 1 if by_text else 2):
+        own = words if n == 1 else words.joined(n)
+        found = known.find(own.content, own.offsets)[own.codes] if len(own.codes) else np.zeros(0, np.int64)
+        rows.append(own.rows[found >= 0])
+        places.append(found[found >= 0])
+    return np.concatenate(rows), np.concatenate(places), weights, True
+
+
+def _find_buckets(words: Words, ngrams: int, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Rows and weights of the runs whose buckets the block has; the first block has all runs, and counts them."""
+    numbers, weights, n_buckets, first = table
+    lengths = np.diff(words.offsets)
+    marked = np.zeros(len(lengths), bool)
+    for i in np.flatnonzero(lengths >= len(LABEL_MARK)).tolist():
+        marked[i] = words.content[words.offsets[i] : words.offsets[i] + len(LABEL_MARK)].tobytes() == LABEL_MARK
+    keep = ~marked[words.codes] if len(words.codes) else np.zeros(0, bool)
+    hashes = fnv_hashes(words.content, words.offsets)[words.codes[keep]] if keep.any() else np.zeros(0, np.int32)
+    rows, found = run_buckets(hashes, words.rows[keep], ngrams, n_buckets)
+    place = np.minimum(np.searchsorted(numbers, found), max(0, len(numbers) - 1))
+    has = numbers[place] == found if len(numbers) else np.zeros(len(found), bool)
+    if first:
+        # The run counts whether its bucket has weights in this block, in another one, or nowhere.
+        place = np.where(has, place, len(numbers))
+        return rows, place, np.vstack([weights, np.zeros(weights.shape[1])]), True
+    return rows[has], place[has], weights, False
+
+
+def _adder(sent, split: Splitter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, weights = sent.value
-        n_labels = weights.shape[1]
+        steps = opened(sent)
         for batch in batches:
             names = batch.schema.names
-            place, count, total = names.index(text), names.index("_n"), names.index("_sums")
-            found = [[number[w] for w in tokens(t, end, ngrams) if w in number] for t in batch.column(place).to_pylist()]
-            many = np.array([len(f) for f in found], np.int64)
-            sums = np.array([weights[f].sum(axis=0) for f in found]).reshape(len(found), n_labels)
-            sums += batch.column(total).flatten().to_numpy().reshape(len(found), n_labels)
+            count, total = names.index("_n"), names.index("_sums")
+            n_rows = batch.num_rows
+            many = batch.column(count).to_numpy().copy()
+            sums = batch.column(total).flatten().to_numpy().reshape(n_rows, -1).copy()
+            words = split.words(batch.column(names.index(split.text)))
+            for find, table in steps:
+                row, place, weights, counted = find(words, split.ngrams, table)
+                if counted:
+                    many += np.bincount(row, minlength=n_rows)
+                for label in range(weights.shape[1]):
+                    sums[:, label] += np.bincount(row, weights[place, label], minlength=n_rows)
             columns = list(batch.columns)
-            columns[count] = pa.array(batch.column(count).to_numpy() + many)
-            columns[total] = pa.array(list(sums), pa.list_(pa.float64()))
+            columns[count] = pa.array(many)
+            columns[total] = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, sums.shape[1], dtype=np.int32), sums.ravel())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
 def add_confidence(
-    docs: DataFrame, model: DataFrame, text: str = "text", end: str | None = None, ngrams: int = 1, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, model: DataFrame, text: str = "text", **options
 ) -> DataFrame:
     """Every row with ``label`` and ``confidence`` of its best label; both null without a known token.
 
-    Columns of these names are replaced. Equal probabilities go to the greater label.
+    Columns of these names are replaced. Equal probabilities go to the greater label. ``options`` are those of
+    :func:`add_sums`.
     """
     base = docs.drop("label", "confidence")
-    summed, labels = add_sums(base, model, text, end, ngrams, block_bytes)
+    summed, labels = add_sums(base, model, text, **options)
     names = F.from_json(F.lit(json.dumps([str(x) for x in labels])), "array<string>")
     logits = F.transform("_sums", lambda s, i: F.struct((s / F.col("_n")).alias("z"), F.get(names, i).alias("label")))
     top = F.array_max(logits)
@@ -116,16 +223,16 @@ def add_confidence(
 
 
 def classify_text(
-    docs: DataFrame, model: DataFrame, ids: Sequence[str], text: str = "text", end: str | None = None, ngrams: int = 1, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, model: DataFrame, ids: Sequence[str], text: str = "text", **options
 ) -> DataFrame:
     """``label`` and ``confidence`` (softmax of the mean weights) of the best label per document.
 
     Documents without text or without any known token get no row here; they still count in the retention figures,
-    which start from the raw lines. ``end`` is a token put behind every text, ``ngrams`` the longest run of words
-    that is looked up (its words joined by blanks).
+    which start from the raw lines. ``options`` are those of :func:`add_sums`: ``end``, a token put behind every text,
+    ``ngrams``, the longest run of words that is looked up, ``buckets`` for models that know runs by their hash.
     """
     narrow = docs.select(*ids, F.col(text).alias("_text"))
-    scored = add_confidence(narrow, model, "_text", end, ngrams, block_bytes)
+    scored = add_confidence(narrow, model, "_text", **options)
     return scored.where(F.col("label").isNotNull()).drop("_text")
 
 
