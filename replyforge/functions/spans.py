@@ -87,15 +87,17 @@ def distinct_words(content: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
 class WordTable:
     """Numbers of a fixed set of words: a sorted array of hashes, with the words' bytes to compare."""
 
-    def __init__(self, words: list[bytes]):
-        offsets = np.zeros(len(words) + 1, np.int64)
-        np.cumsum([len(w) for w in words], out=offsets[1:])
-        content = np.frombuffer(b"".join(words), np.uint8)
+    @classmethod
+    def of(cls, words: pa.Array) -> WordTable:
+        """The table of a column of distinct texts."""
+        return cls(*text_bytes(words))
+
+    def __init__(self, content: np.ndarray, offsets: np.ndarray):
         hashes = hash_spans(content, offsets[:-1], offsets[1:])
         self.numbers = np.argsort(hashes, kind="stable")
         self.hashes = hashes[self.numbers]
         self.content, self.starts, self.ends = content, offsets[:-1][self.numbers], offsets[1:][self.numbers]
-        same = np.append(np.flatnonzero(np.append(True, self.hashes[1:] != self.hashes[:-1])), len(words))
+        same = np.append(np.flatnonzero(np.append(len(hashes) > 0, self.hashes[1:] != self.hashes[:-1])), len(hashes))
         #: Words that share a hash with others, at most.
         self.most = int(np.diff(same).max(initial=0))
 

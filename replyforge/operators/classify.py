@@ -32,21 +32,19 @@ def label_number(label: Column | str) -> Column:
     return F.replace(_col(label).cast("string"), F.lit("__label__")).try_cast("int")
 
 
-def _in_blocks(model: DataFrame, key: str, labels: list, n_blocks: int, block: int) -> tuple[list, np.ndarray]:
-    """The keys of one block of a weight table and their (key, label) weights."""
-    own = model.where(F.pmod(F.xxhash64(key), F.lit(n_blocks)) == block)
-    rows = own.groupBy(key, "label").agg(F.sum("weight").cast("double").alias("weight")).toArrow()
-    number: dict = {}
-    places = [number.setdefault(k, len(number)) for k in rows[key].to_pylist()]
+def _block(model: DataFrame, key: str, labels: list, n_blocks: int, block: int) -> tuple[pa.Array, np.ndarray]:
+    """The keys of one block of a weight table and their (key, label) weights; repeated entries add up."""
+    own = model if n_blocks == 1 else model.where(F.pmod(F.xxhash64(key), F.lit(n_blocks)) == block)
+    rows = own.select(key, "label", F.col("weight").cast("double").alias("weight")).where(f"{key} IS NOT NULL").toArrow()
+    keys = rows[key].combine_chunks().dictionary_encode()
     column = {label: i for i, label in enumerate(labels)}
-    table = np.zeros((len(number), len(labels)))
-    table[places, [column[x] for x in rows["label"].to_pylist()]] = rows["weight"].to_numpy(zero_copy_only=False)
-    return list(number), table
-
-
-def _count_blocks(model: DataFrame, key: str, size: Column, block_bytes: int) -> int:
-    total = model.groupBy(key).agg(F.lit(1).alias("one")).agg(F.sum(size)).first()[0]
-    return max(1, -(-(total or 0) // block_bytes))
+    columns = rows["label"].combine_chunks().dictionary_encode()
+    numbers = np.array([column[x] for x in columns.dictionary.to_pylist()], np.int64)
+    table = np.zeros((len(keys.dictionary), len(labels)))
+    if len(rows):
+        places = (keys.indices.to_numpy(), numbers[columns.indices.to_numpy()])
+        np.add.at(table, places, rows["weight"].to_numpy())
+    return keys.dictionary, table
 
 
 def add_sums(
@@ -67,24 +65,26 @@ def add_sums(
     so that what a task holds is bounded however large it is; each block adds its share to the sums carried along. No
     row is shuffled or joined. On a stream all blocks are one stage.
     """
-    labels = [r["label"] for r in model.select("label").distinct().orderBy("label").collect()]
+    found = model.agg(F.collect_set("label").alias("labels"), F.sum(F.octet_length("token") + 100).alias("bytes"), F.count("*").alias("rows")).first()
+    labels = sorted(found["labels"])
     if not labels:
         raise ValueError("the model has no labels")
-    n_blocks = _count_blocks(model, "token", F.octet_length("token") + 8 * len(labels) + 100, block_bytes)
+    # Rows of a token are as many as it has labels, at most.
+    n_blocks = max(1, -(-((found["bytes"] or 0) // len(labels) + 8 * found["rows"]) // block_bytes))
     summed = docs.withColumns({"_n": F.lit(0).cast("bigint"), "_sums": F.array_repeat(F.lit(0.0), len(labels))})
     split = Splitter(text, end.encode("utf-8") if end is not None else None, ngrams)
     steps = []
     for block in range(n_blocks):
-        words, weights = _in_blocks(model, "token", labels, n_blocks, block)
-        steps.append((_find_words, (WordTable([w.encode("utf-8") for w in words]), weights, buckets is None)))
+        words, weights = _block(model, "token", labels, n_blocks, block)
+        steps.append((_find_words, (WordTable.of(words), weights, buckets is None)))
         summed = _stage(summed, steps, split, docs, last=buckets is None and block + 1 == n_blocks)
-    if buckets is not None and ngrams > 1:
-        n_parts = _count_blocks(buckets, "bucket", F.lit(8 * len(labels) + 100), block_bytes)
+    if buckets is not None:
+        n_parts = max(1, -(-buckets.count() * (8 + 100 // len(labels)) // block_bytes))
         for block in range(n_parts):
-            numbers, weights = _in_blocks(buckets, "bucket", labels, n_parts, block)
-            order = np.argsort(np.array(numbers, np.int64))
-            table = (np.array(numbers, np.int64)[order], weights[order], n_buckets, block == 0)
-            steps.append((_find_buckets, table))
+            keys, weights = _block(buckets, "bucket", labels, n_parts, block)
+            numbers = keys.to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.argsort(numbers)
+            steps.append((_find_buckets, (numbers[order], weights[order], n_buckets, block == 0)))
             summed = _stage(summed, steps, split, docs, last=block + 1 == n_parts)
     return summed, labels
 

@@ -19,9 +19,14 @@ _LINES = _SCORED.format(key="doc_id", src="(SELECT doc_id, text FROM {line_facts
 
 
 def _model(t):
-    """The weight table, its word counts and itself written once because they are read several times."""
-    t.written["token_counts"] = materialize(t["token_counts"], "counts")
-    return materialize(t["class_model"], "model")
+    """The weight table: the words of labelled texts are counted once, its weights follow from their counts."""
+    docs = spread(t["documents"].select("doc_id", "text"), "doc_id")  # one row group as given, so one task
+    words = F.explode(F.split(F.translate("text", "\n", " "), " "))
+    tokens = docs.join(t["labels"], "doc_id").select("quality", words.alias("token")).where("token <> ''")
+    counts = materialize(tokens.groupBy("token").agg(*[F.count_if(F.col("quality") == q).alias(f"n{q}") for q in (0, 1)]), "counts")
+    sums = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("v")).first()
+    rows = [F.struct(F.lit(f"__label__{q}").alias("label"), F.ln((F.col(f"n{q}") + 1.0) / (sums[f"n{q}"] + sums["v"])).alias("weight")) for q in (0, 1)]
+    return counts.select("token", F.inline(F.array(*rows)))
 
 
 @query(f"SELECT doc_id, CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS label, cast(printf('%.4f', greatest(p1, 1 - p1)) AS double) AS confidence FROM ({_DOCS})")

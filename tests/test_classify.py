@@ -117,12 +117,15 @@ def test_scoring_on_a_stream(spark, tmp_path):
     assert got == {(label, round(c, 9)) for label, c in want}
 
 
+def joined(words):
+    return np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)])
+
+
 def test_numbers_of_words():
     numbers = random.Random(7)
     words = list({bytes(numbers.choices(range(256), k=numbers.randint(0, 600 if i % 20 == 0 else 20))) for i in range(3000)})
-    table = WordTable(words[:2000])
-    content = np.frombuffer(b"".join(words), np.uint8)
-    offsets = np.cumsum([0, *map(len, words)])
+    content, offsets = joined(words)
+    table = WordTable(*joined(words[:2000]))
     assert table.find(content, offsets).tolist() == [*range(2000), *[-1] * (len(words) - 2000)]
     codes, held, places = distinct_words(content, offsets[:-1], offsets[1:])
     assert [held[places[c] : places[c + 1]].tobytes() for c in codes] == words
@@ -130,16 +133,15 @@ def test_numbers_of_words():
     # Known values of the public hash for ASCII words.
     known = np.frombuffer(b"afoobar", np.uint8)
     assert [int(x) & 0xFFFFFFFF for x in fnv_hashes(known, np.array([0, 1, 7]))] == [0xE40C292C, 0xBF9CF968]
-    assert WordTable([]).find(content, offsets).tolist() == [-1] * len(words)
+    assert WordTable(*joined([])).find(content, offsets).tolist() == [-1] * len(words)
 
 
 def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
     monkeypatch.setattr(spans, "hash_spans", lambda content, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(2))
     words = [b"a", b"b", b"cc", b"dd", b"", b"ccc"]
-    table = WordTable(words)
+    table = WordTable(*joined(words))
     asked = [b"b", b"x", b"dd", b"cc", b"a", b"", b"ccc", b"ccd"]
-    content = np.frombuffer(b"".join(asked), np.uint8)
-    assert table.find(content, np.cumsum([0, *map(len, asked)])).tolist() == [1, -1, 3, 2, 0, 4, 5, -1]
+    assert table.find(*joined(asked)).tolist() == [1, -1, 3, 2, 0, 4, 5, -1]
 
 
 def test_hashes_of_regular_words_differ():
