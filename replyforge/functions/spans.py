@@ -73,9 +73,9 @@ def gathered(content: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
 
 
 def distinct_words(content: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A number for each span, equal for equal bytes, and the bytes and offsets of the distinct ones."""
+    """A number for each span, equal for equal content, and the bytes of the distinct ones with their offsets."""
     data, offsets = gathered(content, starts, ends)
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    buffers = [None, pa.py_buffer(offsets * content.itemsize), pa.py_buffer(np.ascontiguousarray(data))]
     coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
     words = coded.dictionary
     places = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
