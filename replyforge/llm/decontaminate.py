@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from replyforge.functions.spans import gathered
 from replyforge.llm.batches import utf8
 from replyforge.llm.words import shingles, words
+from replyforge.shipping import broadcast, opened
 from replyforge.sources.storage import materialize
 
 WINDOW = 10
@@ -45,11 +47,17 @@ STATE = "words long, hits binary, items array<string>"
 
 @dataclass
 class Windows:
-    """Distinct windows of a block of items. Rows of ``content`` are word hashes, filled up with zeros."""
+    """Distinct windows of a block of items. Rows of ``content`` are word hashes, filled up with zeros.
+
+    ``text`` has the windows' words one after another; rows of ``starts`` and ``ends`` tell where.
+    """
 
     content: np.ndarray
     lengths: np.ndarray
     items: list[list[str]]
+    text: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
 
     def shingle_size(self) -> np.ndarray:
         return np.minimum(self.lengths, SHINGLE)
@@ -69,17 +77,23 @@ class Windows:
 def item_windows(items: list[tuple[str, str | None]]) -> Windows:
     """The windows of a block of (id, text)."""
     texts = pa.array([text for _, text in items], pa.string())
-    by_content: dict[tuple, set[str]] = {}
-    for low, n, rows, _, _, hashes, _ in words(*utf8(texts), solid=False):
+    by_words: dict[tuple[bytes, ...], tuple[list[int], set[str]]] = {}
+    for low, n, rows, starts, ends, hashes, text in words(*utf8(texts), solid=False):
         cuts = np.searchsorted(rows, np.arange(n + 1))
+        spelt = [text[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         for i in range(n):
-            own = hashes[cuts[i] : cuts[i + 1]].tolist()
+            own, shown = hashes[cuts[i] : cuts[i + 1]].tolist(), spelt[cuts[i] : cuts[i + 1]]
             for at in range(max(1, len(own) - WINDOW + 1) if own else 0):
-                by_content.setdefault(tuple(own[at : at + WINDOW]), set()).add(items[low + i][0])
-    content = np.zeros((len(by_content), WINDOW), np.uint64)
-    for row, window in zip(content, by_content, strict=True):
-        row[: len(window)] = window
-    return Windows(content, np.array([len(w) for w in by_content], np.int64), [sorted(v) for v in by_content.values()])
+                window = by_words.setdefault(tuple(shown[at : at + WINDOW]), (own[at : at + WINDOW], set()))
+                window[1].add(items[low + i][0])
+    shape = (len(by_words), WINDOW)
+    content, sizes = np.zeros(shape, np.uint64), np.zeros(shape, np.int64)
+    for i, (window, (own, _)) in enumerate(by_words.items()):
+        content[i, : len(own)], sizes[i, : len(own)] = own, [len(w) for w in window]
+    ends = np.cumsum(sizes).reshape(shape)
+    text = np.frombuffer(b"".join([w for window in by_words for w in window]), np.uint8)
+    lengths = np.array([len(w) for w in by_words], np.int64)
+    return Windows(content, lengths, [sorted(ids) for _, ids in by_words.values()], text, ends - sizes, ends)
 
 
 @dataclass
@@ -146,8 +160,25 @@ def _shingle_counts(docs: DataFrame, text: str, windows: Windows) -> dict[int, i
     return dict(zip(found["shingle"].to_numpy().astype(np.uint64).tolist(), found["n"].to_numpy().tolist(), strict=True))
 
 
-def occurrences(hashes: np.ndarray, rows: np.ndarray, n: int, windows: Windows, indexes: list[Index]):
-    """Verified (row, first word, window), word places counted over the group."""
+def _spelt_alike(text, starts, ends, place, windows: Windows, window, k: int) -> np.ndarray:
+    """Whether words are the ``k``-th ones of windows, byte for byte."""
+    ours, cuts = gathered(text, starts[place], ends[place])
+    theirs, other = gathered(windows.text, windows.starts[window, k], windows.ends[window, k])
+    same = np.diff(cuts) == np.diff(other)
+    if not same.all():
+        ours, cuts = gathered(text, starts[place[same]], ends[place[same]])
+        theirs, _ = gathered(windows.text, windows.starts[window[same], k], windows.ends[window[same], k])
+    wrong = np.append(0, np.cumsum(ours != theirs))
+    same[same] = wrong[cuts[1:]] == wrong[cuts[:-1]]
+    return same
+
+
+def occurrences(group: tuple, windows: Windows, indexes: list[Index]):
+    """Verified (row, first word, window) of a group of :func:`words`, word places counted over the group.
+
+    Words are compared by hash first, and those that agree byte for byte.
+    """
+    _, n, rows, starts, ends, hashes, text = group
     cuts = np.searchsorted(rows, np.arange(n + 1))
     found = []
     for index in indexes:
@@ -164,7 +195,10 @@ def occurrences(hashes: np.ndarray, rows: np.ndarray, n: int, windows: Windows,
         for k in range(WINDOW):
             if not len(start):
                 break
-            same = (k >= length) | (hashes[np.minimum(start + k, len(hashes) - 1)] == windows.content[window, k])
+            place = np.minimum(start + k, len(hashes) - 1)
+            same = (k >= length) | (hashes[place] == windows.content[window, k])
+            own = np.flatnonzero(same & (k < length))
+            same[own] = _spelt_alike(text, starts, ends, place[own], windows, window[own], k)
             start, row, window, length = start[same], row[same], window[same], length[same]
         found.append((row, start, window))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else tuple(np.zeros((3, 0), np.int64))
@@ -224,18 +258,19 @@ def _pass(
     spark: SparkSession, marked: DataFrame, n_kept: int, place: int, schema: T.StructType, windows: Windows, indexes: list[Index]
 ) -> DataFrame:
     """Add the hits of one block of items to those carried along."""
-    sent = spark.sparkContext.broadcast((windows, indexes))
+    sent = broadcast(spark, (windows, indexes))
     names = schema.fieldNames()
 
     def run(batches):
-        block, found = sent.value
+        block, found = opened(sent)
         for batch in batches:
             old_hits, old_items = batch.column(n_kept + 1).to_pylist(), batch.column(n_kept + 2).to_pylist()
             n_words, all_hits, all_items = [], [], []
-            for low, n, rows, _, _, hashes, _ in words(*utf8(batch.column(place)), solid=False):
+            for group in words(*utf8(batch.column(place)), solid=False):
+                low, n, rows = group[:3]
                 cuts = np.searchsorted(rows, np.arange(n + 1))
                 n_words.extend(np.diff(cuts).tolist())
-                row, start, window = occurrences(hashes, rows, n, block, found)
+                row, start, window = occurrences(group, block, found)
                 order = np.lexsort((start, row))
                 row, start, window = row[order], start[order], window[order]
                 bounds = np.searchsorted(row, np.arange(n + 1))

@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replyforge.shipping import broadcast, opened
 from replyforge.sources.storage import materialize
 
 #: Segments of a vector from the coarsest to the stored level; fewer where it has fewer components.
@@ -271,7 +272,7 @@ def _scan(blocks: DataFrame, sent, work, k: int, targets: int) -> DataFrame:
     """The best ``k`` rows of ``targets`` targets per anchor in each task; ``work`` adds a block's to ``Best``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = sent.value
+        groups = opened(sent)
         best = [Best(len(g[0].uids) * targets, k) for g in groups]
         for batch in batches:
             for row in batch.to_pylist():
@@ -358,7 +359,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 def _mine_block(blocks: DataFrame, anchors: list[Vectors], positives: int, negatives: int, percent: int) -> DataFrame:
     spark = blocks.sparkSession
-    sent = spark.sparkContext.broadcast([(group,) for group in anchors])
+    sent = broadcast(spark, [(group,) for group in anchors])
     # At most ``positives`` rows for each anchor of the block.
     best = _ranked(_scan(blocks, sent, _add_positives, positives, 1), positives)
     table = best.select("anchor", "rank", "score", "key").toArrow()
@@ -373,7 +374,7 @@ def _mine_block(blocks: DataFrame, anchors: list[Vectors], positives: int, negat
             groups[g][1][i, rank - 1], groups[g][2][i, rank - 1] = -(-percent * score // 100), score
         rows.append((uid, rank - 1, int(anchors[g].keys[i]), key, score))
     known = spark.createDataFrame(rows, "anchor long, target long, anchor_id long, positive_id long, positive_score long")
-    windows = spark.sparkContext.broadcast(groups)
+    windows = broadcast(spark, groups)
     hard = _ranked(_scan(blocks, windows, _add_negatives, negatives, positives), negatives)
 
     def shown(name: str) -> Column:

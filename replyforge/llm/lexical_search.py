@@ -51,6 +51,8 @@ BLOCK = 64
 QUERY_TERMS = 1 << 19
 #: Documents looked at before the first look at the k-th best score, and at most between two.
 STRETCH = (512, 16_384)
+#: Tasks that the shards are dealt to, at most.
+MAX_TASKS = 20_000
 NULL_KEY = -(1 << 63)
 
 #: One row per term of a shard, and one without a term that has its documents: keys as ``gaps``, lengths as ``tfs``.
@@ -310,7 +312,7 @@ def search(
 ) -> DataFrame:
     """``item``, ``rank``, ``key`` and ``score`` of the ``k`` best documents of every query."""
     spark = index.sparkSession
-    n_docs, n_terms = index.where("term IS NULL").agg(F.sum("df"), F.sum("n_terms")).first()
+    n_docs, n_terms, n_shards = index.where("term IS NULL").agg(F.sum("df"), F.sum("n_terms"), F.count("*")).first()
     named = queries.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).distinct()
     asked = materialize(named.withColumn("query", F.monotonically_increasing_id()), "lexical-queries")
     terms = materialize(query_terms(asked), "lexical-terms")
@@ -318,7 +320,7 @@ def search(
     found = None
     for block in range(n_blocks if n_docs else 0):
         part = terms.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == block)
-        answered = materialize(_answer(index, part, n_docs, n_terms, k), "lexical-shards")
+        answered = materialize(_answer(index, part, n_docs, n_terms, min(n_shards, MAX_TASKS), k), "lexical-shards")
         found = answered if found is None else found.unionByName(answered)
     if found is None:
         found = spark.createDataFrame([], FOUND)
@@ -332,7 +334,7 @@ def search(
 FOUND = "query long, score long, key long"
 
 
-def _answer(index: DataFrame, terms: DataFrame, n_docs: int, n_terms: int, k: int) -> DataFrame:
+def _answer(index: DataFrame, terms: DataFrame, n_docs: int, n_terms: int, tasks: int, k: int) -> DataFrame:
     """The ``k`` best documents of each shard for a block of queries."""
     spark = index.sparkSession
     wanted = F.broadcast(terms.select("term").distinct())  # at most the terms of a block
@@ -356,4 +358,5 @@ def _answer(index: DataFrame, terms: DataFrame, n_docs: int, n_terms: int, k: in
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["query", "score", "key"])
 
     lists = index.join(wanted, "term", "left_semi").unionByName(index.where("term IS NULL"))
-    return lists.groupBy("shard").applyInArrow(run, FOUND)
+    # A stated number: by their bytes, shards of short lists would be merged into few tasks.
+    return lists.repartition(tasks, "shard").groupBy("shard").applyInArrow(run, FOUND)

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from replyforge.llm.batches import CHUNK, groups, per_process, span_hashes
+from replyforge.functions.spans import distinct_words, gathered, hash_spans
+from replyforge.llm.batches import CHUNK, groups, per_process
 
 LETTER, NUMBER, OTHER, SPACE, EDGE, UNSURE = range(6)
 #: The characters of the white space property below the limit.
@@ -33,16 +34,12 @@ def _classes() -> np.ndarray:
 
 @dataclass
 class Pieces:
-    """Pieces of a group of texts: owner row, hash, place in ``text``."""
+    """Pieces of a group of texts: the texts' characters, and each piece's owner row and place."""
 
-    text: str
+    codes: np.ndarray
     rows: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
-    hashes: np.ndarray
-
-    def string(self, i: int) -> str:
-        return self.text[self.starts[i] : self.ends[i]]
 
 
 def word_starts(codes: np.ndarray, kind: np.ndarray, join_space: bool) -> np.ndarray:
@@ -163,22 +160,11 @@ def _cut_group(parts, rows, whole, join_space, library, ready, table) -> Pieces:
         order = np.argsort(firsts, kind="stable")
         firsts, lasts = firsts[order], lasts[order]
     owner = np.asarray(rows)[np.searchsorted(ends, firsts, "left")]
-    return Pieces(text, owner, firsts, lasts, span_hashes(codes, firsts, lasts))
-
-
-def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct values, a place of each, and for every value its place among them."""
-    order = np.argsort(values)
-    ordered = values[order]
-    fresh = np.ones(len(values), bool)
-    fresh[1:] = ordered[1:] != ordered[:-1]
-    inverse = np.empty(len(values), np.int64)
-    inverse[order] = np.cumsum(fresh) - 1
-    return ordered[fresh], order[fresh], inverse
+    return Pieces(codes, owner, firsts, lasts)
 
 
 class PieceTable:
-    """Values of pieces already seen by this process, found by hash; emptied when it is full."""
+    """Values of pieces already seen by this process, found by hash and compared as text; emptied when it is full."""
 
     def __init__(self, limit: int = 400_000):
         self.limit = limit
@@ -187,24 +173,52 @@ class PieceTable:
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.slots = np.zeros(0, np.int64)
+        self.starts, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.content, self.used = np.zeros(1 << 16, np.uint8), 0
+        #: Pieces with the same hash, at most.
+        self.most = 1
         self.values: list = []
 
     def slots_of(self, pieces: Pieces, value: Callable[[list[str]], list]) -> np.ndarray:
         """For each piece the place of its value in ``values``; unknown pieces are worked out once."""
         if len(self.keys) > self.limit:
             self.clear()
-        unique, first, inverse = distinct(pieces.hashes)
-        at = np.searchsorted(self.keys, unique)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == unique[known]
-        new = np.flatnonzero(~known)
-        found = np.empty(len(unique), np.int64)
-        found[known] = self.slots[at[known]]
+        which, content, offsets = distinct_words(pieces.codes, pieces.starts, pieces.ends)
+        hashes = hash_spans(content, offsets[:-1], offsets[1:])
+        found = self._known(hashes, content, offsets)
+        new = np.flatnonzero(found < 0)
         if len(new):
             found[new] = len(self.values) + np.arange(len(new))
-            self.values.extend(value([pieces.string(i) for i in first[new]]))
-            keys = np.concatenate([self.keys, unique[new]])
-            slots = np.concatenate([self.slots, found[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.slots = keys[order], slots[order]
-        return found[inverse]
+            self.values.extend(value([content[offsets[i] : offsets[i + 1]].tobytes().decode("utf-32-le", "surrogatepass") for i in new.tolist()]))
+            self._add(hashes[new], found[new], *gathered(content, offsets[new], offsets[new + 1]))
+        return found[which]
+
+    def _known(self, hashes: np.ndarray, content: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The slots of pieces, -1 for unknown ones."""
+        found = np.full(len(hashes), -1, np.int64)
+        if not len(self.keys):
+            return found
+        sizes, first = np.diff(offsets), np.searchsorted(self.keys, hashes)
+        for step in range(self.most):
+            place = np.minimum(first + step, len(self.keys) - 1)
+            slot = self.slots[place]
+            maybe = np.flatnonzero((found < 0) & (self.keys[place] == hashes) & (self.ends[slot] - self.starts[slot] == sizes))
+            ours, cuts = gathered(content, offsets[maybe], offsets[maybe + 1])
+            theirs, _ = gathered(self.content, self.starts[slot[maybe]], self.ends[slot[maybe]])
+            wrong = np.append(0, np.cumsum(ours != theirs))
+            equal = maybe[wrong[cuts[1:]] == wrong[cuts[:-1]]]
+            found[equal] = slot[equal]
+        return found
+
+    def _add(self, hashes: np.ndarray, slots: np.ndarray, content: np.ndarray, offsets: np.ndarray) -> None:
+        while self.used + len(content) > len(self.content):
+            self.content = np.concatenate([self.content, np.zeros(len(self.content), np.uint8)])
+        self.content[self.used : self.used + len(content)] = content
+        self.starts = np.concatenate([self.starts, self.used + offsets[:-1]])
+        self.ends = np.concatenate([self.ends, self.used + offsets[1:]])
+        self.used += len(content)
+        keys = np.concatenate([self.keys, hashes])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.slots = keys[order], np.concatenate([self.slots, slots])[order]
+        same = np.flatnonzero(np.append(True, self.keys[1:] != self.keys[:-1]))
+        self.most = int(np.diff(np.append(same, len(self.keys))).max())

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-from replyforge.llm.batches import groups, mixed, per_process, span_hashes
+from replyforge.functions.spans import hash_spans
+from replyforge.llm.batches import groups, mixed, per_process
 
 
 def _lower() -> np.ndarray:
@@ -51,7 +52,7 @@ def words(data: np.ndarray, offsets: np.ndarray, solid: bool):
         local = offsets[low : high + 1] - offsets[low]
         text = lower[data[offsets[low] : offsets[high]]]
         starts, ends, rows = spans(inside[text], local)
-        yield low, high - low, rows, starts, ends, span_hashes(text, starts, ends), text
+        yield low, high - low, rows, starts, ends, hash_spans(text, starts, ends), text
 
 
 def shingles(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
