@@ -6,7 +6,7 @@ A byte seen in a context costs ``-log2(count / (total + distinct))`` bits there;
 any context. Counts are frozen after learning. The language with the shortest code of the whole text wins, and the
 score is its share when code lengths are read as probabilities.
 
-Learning counts at most ``per_language`` documents of each language (those with the smallest hash of the key) and keeps
+Learning counts at most ``per_language`` documents of each language (those with the smallest hash of key and text) and keeps
 the ``max_contexts`` most frequent contexts. From the counts one table is made: the cost of every symbol after every
 context, for all languages side by side; the context of a position is the longest one in the tree. Three newlines stand
 in front of each text as its first context.
@@ -147,11 +147,13 @@ def learn(
     known = docs.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{key}`").isNotNull() & learnable).select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")
     )
-    sizes = known.groupBy("lang").count()
-    # A hash threshold lets about twice the wanted rows through, so that the exact choice below sees few rows.
-    place = F.xxhash64("key").bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
-    few = known.join(F.broadcast(sizes), "lang").where(place * F.col("count") <= 2.0 * per_language + 20)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text"))
+    # Rows are drawn by the hash of all they hold, so one key that many rows share draws no more and no fewer of them.
+    drawn = known.withColumn("place", F.xxhash64("key", "text"))
+    share = F.col("place").bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
+    sizes = drawn.groupBy("lang").agg(F.count("*").alias("count"), F.min(share).alias("least"))
+    # One row per language, as in the model itself. A threshold lets about twice the wanted rows through, and at least one, so that the exact choice below sees few.
+    few = drawn.join(F.broadcast(sizes), "lang").where(share <= F.greatest((2.0 * per_language + 20) / F.col("count"), F.col("least")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "key", "text"))
     sample = few.withColumn("n", rank).where(F.col("n") <= per_language).select("lang", "text")
 
     def run(batches):

@@ -2,8 +2,7 @@
 
 Texts are cut into lower-case words (runs of letters and digits) and five-word shingles. A template of ``m`` shingles
 is searched in windows of ``m + s - 1`` shingles that start at every ``s``-th shingle, ``s = max(1, m // 8)``; so an
-unbroken copy of it lies whole inside one window, wherever it starts. Templates above ``PIECE`` shingles are searched
-piece by piece. A window's signature has ``BANDS`` bands of one row: the minimum of the shingle hashes,
+unbroken copy of it lies whole inside one window, wherever it starts. A window's signature has ``BANDS`` bands of one row: the minimum of the shingle hashes,
 hashed anew with the band's number. A window that contains 80 % of a template has a Jaccard similarity of at least 0.6 with
 it, so the chance that no band collides is at most ``0.4 ** 8`` (7 in 10,000); a whole copy misses with less than
 ``0.12 ** 8``. What the bands retrieve is verified exactly: the share of the template's distinct shingles that the
@@ -11,8 +10,9 @@ window holds has to reach ``similarity``.
 
 A band key is the hash of one shingle. So a window can only collide with a template when it holds a shingle that is
 one of the template's keys: signatures are computed for the windows around such shingles, and every other window is
-known not to collide. Templates are taken in blocks of ``BLOCK`` pieces, so a plan holds, and a broadcast sends, a
-bounded number of keys however many templates there are; each block is one more pass.
+known not to collide. Templates are taken in blocks of at most ``BLOCK`` templates and ``BLOCK_SHINGLES`` shingles (or one
+template), so a plan holds, and a broadcast sends, a bounded number of them however many there are; each block is one
+more pass. Containment is always that of the whole template.
 
 Null, empty and shorter texts have no shingles and match nothing. Templates of fewer than five words are refused.
 Rows that repeat a key get the same result: what any of them holds.
@@ -29,8 +29,8 @@ from replyforge.llm.quality_rules import let
 
 WORDS = 5
 BANDS = 8
-PIECE = 32
 BLOCK = 200
+BLOCK_SHINGLES = 200_000
 
 #: Lines, notices and passages of common licences, in several wordings. Relatives (GPL, LGPL and AGPL; versions; the
 #: Creative Commons family) share most of their words, so theirs are cut where less than ``similarity`` is shared: a
@@ -135,24 +135,33 @@ def step_of(m: int) -> int:
     return max(1, m // 8)
 
 
-def template_pieces(spark, templates) -> list[dict]:
-    """Pieces of the templates with their distinct shingle hashes and band keys; one small Spark job."""
+def template_keys(spark, templates) -> list[dict]:
+    """The templates with their distinct shingle hashes and band keys; one small Spark job."""
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     hashed = spark.createDataFrame(rows, "template int, license string, body string").select(
         "template", "license", shingle_hashes(words_of(F.col("body"))).alias("hashes")
     ).withColumn("banded", F.array(*[band("hashes", b) for b in range(BANDS)]))
-    pieces = []
+    found = []
     for row in hashed.collect():
-        if not row["hashes"]:
+        own = row["hashes"]
+        if not own:
             raise ValueError(f"template {row['template']} ({row['license']}) has fewer than {WORDS} words")
-        for at in range(0, len(row["hashes"]), PIECE):
-            own = row["hashes"][at : at + PIECE]
-            # Per band the smallest value, and the shingle that has it.
-            least = [min(zip(values[at : at + PIECE], own, strict=True)) for values in row["banded"]]
-            pieces.append(
-                {"license": row["license"], "template": row["template"], "m": len(own), "own": sorted(set(own)), "least": least}
-            )
-    return pieces
+        # Per band the smallest value, and the shingle that has it.
+        least = [min(zip(values, own, strict=True)) for values in row["banded"]]
+        found.append({"license": row["license"], "template": row["template"], "m": len(own), "own": sorted(set(own)), "least": least})
+    return found
+
+
+def in_blocks(templates: list[dict]) -> list[list[dict]]:
+    """Templates in blocks of bounded size."""
+    blocks, size = [], 0
+    for template in templates:
+        if not blocks or len(blocks[-1]) == BLOCK or size + template["m"] > BLOCK_SHINGLES:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(template)
+        size += template["m"]
+    return blocks
 
 
 def scan(
@@ -162,11 +171,11 @@ def scan(
     templates: list[tuple[str, str]] | None = None,
     similarity: float = 0.8,
 ) -> DataFrame:
-    """Verified matches: one row per key and licence with the best ``containment`` of one of its template pieces."""
+    """Verified matches: one row per key and licence with the best ``containment`` of one of its templates."""
     spark = docs.sparkSession
-    pieces = template_pieces(spark, TEMPLATES if templates is None else templates)
+    known = template_keys(spark, TEMPLATES if templates is None else templates)
     base = docs.select(F.col(f"`{key}`").alias("key"), shingle_hashes(words_of(F.col(f"`{text}`"))).alias("hashes"))
-    found = [_search(base, pieces[at : at + BLOCK], similarity) for at in range(0, len(pieces), BLOCK)]
+    found = [_search(base, block, similarity) for block in in_blocks(known)]
     if not found:
         raise ValueError("no templates")
     return (

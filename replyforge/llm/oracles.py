@@ -55,23 +55,20 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
 
-def _pieces() -> str:
-    """(piece, licence, shingles, place, shingle) rows of the templates."""
-    rows, piece = [], 0
-    for name, text in license_scan.TEMPLATES:
+def _templates() -> str:
+    """(template, licence, shingles, step, window, shingle) rows of the templates."""
+    rows = []
+    for number, (name, text) in enumerate(license_scan.TEMPLATES):
         words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
-        found = [" ".join(words[i : i + license_scan.WORDS]) for i in range(len(words) - license_scan.WORDS + 1)]
-        for at in range(0, len(found), license_scan.PIECE):
-            own = found[at : at + license_scan.PIECE]
-            s = license_scan.step_of(len(own))
-            rows += [f"({piece}, '{name}', {len(set(own))}, {s}, {len(own) + s - 1}, '{x}')" for x in sorted(set(own))]
-            piece += 1
+        own = [" ".join(words[i : i + license_scan.WORDS]) for i in range(len(words) - license_scan.WORDS + 1)]
+        s = license_scan.step_of(len(own))
+        rows += [f"({number}, '{name}', {len(set(own))}, {s}, {len(own) + s - 1}, '{x}')" for x in sorted(set(own))]
     return ", ".join(rows)
 
 
-# Windows of a piece start at every s-th shingle; the best share of the piece's shingles in one of them counts.
+# Windows of a template start at every s-th shingle; the best share of its shingles in one of them counts.
 LICENSE_SCAN = rf"""
-WITH t(piece, license, size, s, width, x) AS (VALUES {_pieces()}),
+WITH t(piece, license, size, s, width, x) AS (VALUES {_templates()}),
 d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM documents),
 word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS p FROM d),
 sh AS (SELECT doc_id, p, array_to_string(list(x) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING), ' ') AS x FROM word),

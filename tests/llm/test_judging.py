@@ -153,6 +153,18 @@ def test_code_lengths():
     assert np.allclose(model.code_lengths(*pack(asked))[:, 0], want, rtol=1e-5)
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_language_whose_rows_share_a_key(spark, same_text):
+    """Thousands of rows of one language under one key, or even all alike, next to another language."""
+    french = [(7, "le chat est sur la table " + ("" if same_text else f"et la maison {i}"), "fr") for i in range(3000)]
+    english = [(100 + i, f"the cat is on the table and in the house {i}", "en") for i in range(500)]
+    docs = spark.createDataFrame(french + english, "doc_id long, text string, lang string").repartition(4)
+    model = language.learn(docs, F.lit(True))
+    assert model.languages == ["en", "fr"]
+    asked = spark.createDataFrame([(1, "la table est dans la maison"), (2, "the house is on the table")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language.predict(asked, model).collect()} == {1: "fr", 2: "en"}
+
+
 def test_language_of_odd_rows(odd_docs, no_docs):
     model = language.learn(odd_docs, F.lit(True))
     assert model.languages == ["en"]

@@ -1,5 +1,7 @@
 """The registered licence list: what it finds, and that relatives are told apart."""
 
+import pytest
+
 from replyforge.llm import license_scan, queries
 from tests.llm.conftest import sentence
 
@@ -55,6 +57,26 @@ def test_misses_of_edited_short_templates(spark):
     assert len(rows) - found.count() <= 4  # 0.4 ** 8 of 800 would be one
 
 
+@pytest.mark.parametrize("n", [37, 300])
+def test_long_templates_are_judged_whole(spark, n):
+    """A part of a template is not the template; 85 % of it in one place is."""
+    words = [f"w{i}" for i in range(n)]
+    around = sentence(1, 20).split()
+    texts = {
+        "tail": [*around, *words[-5:]],
+        "half": [*around, *words[: n // 2], *around],
+        "most": [*around, *words[: n * 9 // 10], *around],
+        "whole": [*around, *words, *around],
+        "cut": [*words[: n // 2], "x", *words[n // 2 :]],
+        "apart": [*words[: n // 2], *[f"y{i}" for i in range(2 * n)], *words[n // 2 :]],
+    }
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    found = {list(texts)[r["doc_id"]]: r["containment"] for r in license_scan.scan(docs, templates=[("long", " ".join(words))]).collect()}
+    shingles = n - 4
+    want = {"most": (n * 9 // 10 - 4) / shingles, "whole": 1.0, "cut": (shingles - 4) / shingles}
+    assert found == pytest.approx(want)
+
+
 def test_rows_without_a_key(spark):
     rows = [(None, "x Released under the MIT License. y"), (None, "nothing"), (1, "Licensed under CC BY 4.0."), (2, None)]
     found = queries.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
