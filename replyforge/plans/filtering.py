@@ -9,7 +9,7 @@ from replyforge.functions.flags import variant_string
 from replyforge.functions.jsontext import strict_json
 from replyforge.functions.text import is_blank, round_even
 from replyforge.operators.classify import add_confidence, retention_by_file, write_filter_report
-from replyforge.sources.jsonl import full_files, list_files, scan_dir
+from replyforge.sources.jsonl import list_files, part_failed, scan_files
 from replyforge.sources.storage import materialize
 
 
@@ -22,14 +22,16 @@ def with_score(record: Column, score: Column) -> Column:
 def mark_lines(lines: DataFrame, model: DataFrame, min_confidence: float = 0.0) -> DataFrame:
     """Every line's ``source_file``, whether it is ``blank``, and its ``value`` with the new ``score`` if it is retained.
 
-    The value of other lines is null. One narrow pass: a line is parsed and scored where it is read.
+    The value of other lines is null; an ``error`` of the lines stays. One narrow pass: a line is parsed and scored
+    where it is read.
     """
-    parsed = lines.select("source_file", "value", F.explode(F.array(strict_json("value"))).alias("record"))
-    texts = parsed.select("source_file", "value", is_blank("value").alias("blank"), variant_string("record", "text").alias("text"))
+    carried = ["source_file", *[c for c in lines.columns if c == "error"]]
+    parsed = lines.select(*carried, "value", F.explode(F.array(strict_json("value"))).alias("record"))
+    texts = parsed.select(*carried, "value", is_blank("value").alias("blank"), variant_string("record", "text").alias("text"))
     scored = add_confidence(texts, model)
     good = F.coalesce((F.col("label") == 1) & (F.col("confidence") >= min_confidence), F.lit(False))
     written = with_score(F.parse_json("value"), round_even("confidence", 4))
-    return scored.select("source_file", "blank", F.when(good, written).alias("value"))
+    return scored.select(*carried, "blank", F.when(good, written).alias("value"))
 
 
 def filter_lines(
@@ -48,16 +50,17 @@ def split_marked(marked: DataFrame, files: DataFrame | None = None) -> tuple[Dat
     return marked.where(found).select("source_file", "value"), retention_by_file(marked.where("NOT blank"), found, files=files)
 
 
-def filter_folder(spark: SparkSession, src: str, out: str, model: DataFrame, min_confidence: float = 0.0) -> DataFrame:
-    """Filter every ``*.jsonl`` of a folder; write the lines by source and the report; return the figures.
+def filter_folder(
+    spark: SparkSession, src: str, out: str, model: DataFrame, min_confidence: float = 0.0, pattern: str = "*.jsonl"
+) -> DataFrame:
+    """Filter the ``*.jsonl`` files of a folder; write the lines by source and the report; return the figures.
 
-    The input is read and scored once; records and figures come from what that pass has written. A file that has
-    bytes but could not be read at all is set apart as failed instead of ending the run.
+    The input is read and scored once; records and figures come from what that pass has written. A file that could not
+    be read to its end is set apart as failed: it gives no record and no figure, however much of it was read.
     """
-    lines = scan_dir(spark, src, skip_unreadable=True)
-    marked = materialize(mark_lines(lines, model, min_confidence), "filtered")
-    failed = full_files(spark, src).join(marked.select("source_file").distinct(), "source_file", "left_anti")
-    files = list_files(spark, src).join(failed, "source_file", "left_anti")
+    lines = scan_files(spark, src, pattern)
+    marked, failed = part_failed(materialize(mark_lines(lines, model, min_confidence), "filtered"))
+    files = list_files(spark, src, pattern).join(failed.select("source_file"), "source_file", "left_anti")
     kept, per_file = split_marked(marked, files)
     kept.write.mode("overwrite").partitionBy("source_file").text(f"{out}/records")
     figures = materialize(per_file, "retention")

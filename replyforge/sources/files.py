@@ -8,6 +8,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from replyforge.sources.storage import materialize
 
 
 def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
@@ -24,6 +28,50 @@ def listing(files: fs.FileSystem, folder: str, suffix: str = "") -> list[fs.File
     return sorted(shown, key=lambda f: f.base_name)
 
 
+LISTED = "path string, name string, size long, modified timestamp, folder boolean"
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies directly in each folder."""
+    for batch in batches:
+        for folder in batch.column("path").to_pylist():
+            files, place = open_folder(folder)
+            found = files.get_file_info(fs.FileSelector(place))
+            shown = [f for f in found if f.base_name[0] not in "._" and f.type in (fs.FileType.File, fs.FileType.Directory)]
+            base = folder.rstrip("/")
+            columns = [
+                pa.array([f"{base}/{f.base_name}" for f in shown], pa.string()),
+                pa.array([f.base_name for f in shown], pa.string()),
+                pa.array([f.size or 0 for f in shown], pa.int64()),
+                pa.array([f.mtime for f in shown], pa.timestamp("us", "UTC")),
+                pa.array([f.type == fs.FileType.Directory for f in shown], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "name", "size", "modified", "folder"])
+
+
+def list_folder(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
+    """``path, name, size, modified`` of the files of a folder whose names match, hidden ones left out.
+
+    Folders are listed in tasks, each level of folders by as many as there are cores; no path passes the driver. A
+    folder that is not there fails the job. The listing is made anew whenever the table is read.
+    """
+    glob = "^" + "".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in pattern) + "$"
+    level = spark.createDataFrame([(folder,)], "path string")
+    found = None
+    while True:
+        entries = level.mapInArrow(_entries, LISTED)
+        if recursive:
+            entries = materialize(entries, "listing")  # read for its files and for its folders
+        files = entries.where(~F.col("folder") & F.regexp_like("name", F.lit(glob))).drop("folder")
+        found = files if found is None else found.unionAll(files)
+        if not recursive:
+            return found
+        level = entries.where("folder").select("path")
+        if level.isEmpty():
+            return found
+        level = level.repartition(spark.sparkContext.defaultParallelism)
+
+
 def write_table(files: fs.FileSystem, folder: str, name: str, table: pa.Table) -> None:
     """A Parquet file that appears whole or not at all."""
     files.create_dir(folder, recursive=True)

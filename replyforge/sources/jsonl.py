@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
-from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from replyforge.functions.ids import parse_attempt_id
 from replyforge.functions.jsontext import OBJECT_START, json_path, strict_json
 from replyforge.functions.text import is_blank
 from replyforge.operators.checkpoints import last_wins
+from replyforge.sources.files import PACKED, PART_BYTES, lines_of, list_folder, open_folder
 from replyforge.sources.storage import path_exists
 
 
@@ -153,26 +156,58 @@ def lookup_idx(df: DataFrame, idx=None, order: str | None = None) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
-    """``source_file`` of every matching file directly in a folder, files of no bytes included.
+    """``source_file`` of every matching file directly in a folder, files of no bytes included; nothing is read."""
+    return list_folder(spark, path, pattern).select(F.col("name").alias("source_file"))
 
-    The names come from the listing Spark's driver makes for any read of the folder; nothing is read.
+
+def scan_dir(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
+    """Raw lines of every ``*.jsonl`` directly in a folder, with the file name of each line.
+
+    A folder without such files gives an empty table. A file that cannot be read ends the job; :func:`scan_files` sets
+    it apart.
     """
-    found = spark.read.option("pathGlobFilter", pattern).text(path).inputFiles()
-    return spark.createDataFrame([(unquote(f.rsplit("/", 1)[-1]),) for f in found], "source_file string")
+    return spark.read.option("pathGlobFilter", pattern).text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
 
 
-def full_files(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
-    """``source_file`` of every matching file that holds bytes, as a distributed listing; no content is read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return found.select(F.col("_metadata.file_name").alias("source_file"))
+def scan_files(spark: SparkSession, path: str, pattern: str = "*.jsonl", part_bytes: int = PART_BYTES) -> DataFrame:
+    """:func:`scan_dir` with each file's failure as a row of its own: ``source_file``, ``value``, ``error``.
 
+    Rows with an ``error`` say that a file, or a part of it, could not be read; lines of the same file that were read before
+    may be there, too. Large files are read in parts by several tasks, packed ones (``.gz`` and the like) from their start.
+    Write the rows once and part them with :func:`part_failed`.
+    """
+    known = list_folder(spark, path, pattern)
+    whole = reduce(lambda a, b: a | b, [F.endswith("name", F.lit(e)) for e in PACKED])
+    begins = F.when(whole | (F.col("size") <= part_bytes), F.array(F.lit(0).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(part_bytes).cast("long"))
+    )
+    parts = known.select("path", "name", "size", whole.alias("whole"), F.explode(begins).alias("begin"))
+    cores = spark.sparkContext.defaultParallelism
 
-def scan_dir(spark: SparkSession, path: str, pattern: str = "*.jsonl", skip_unreadable: bool = False) -> DataFrame:
-    """Raw lines of every ``*.jsonl`` directly in a folder, with the file name of each line.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.to_pylist():
+                end = None if part["whole"] else min(part["begin"] + part_bytes, part["size"])
+                try:
+                    files, place = open_folder(part["path"])
+                    for _, texts in lines_of(files, place, part["begin"], end, part["begin"] == 0):
+                        yield _rows(part["name"], texts, None)
+                except Exception as failure:  # noqa: BLE001 - a file that cannot be read is data, not a failed job
+                    yield _rows(part["name"], [None], str(failure) or type(failure).__name__)
+
+    return parts.repartition(4 * cores).mapInArrow(run, "source_file string, value string, error string")
+
+
+def _rows(name: str, texts: list, error: str | None) -> pa.RecordBatch:
+    columns = [[name] * len(texts), texts, [error] * len(texts)]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["source_file", "value", "error"])
+
+
+def part_failed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that were read to their end, and ``source_file, error`` of the others.
 
-    A folder without such files gives an empty table. ``skip_unreadable`` leaves out what cannot be read.
+    ``rows`` are those of :func:`scan_files`, written once, with ``error`` among their columns.
     """
-    reader = spark.read.option("pathGlobFilter", pattern)
-    if skip_unreadable:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    return reader.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
+    failed = rows.where(F.col("error").isNotNull()).groupBy("source_file").agg(F.min("error").alias("error"))
+    good = rows.where(F.col("error").isNull()).join(failed.select("source_file"), "source_file", "left_anti")
+    return good.drop("error"), failed
