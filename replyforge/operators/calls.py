@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from replyforge.operators.call_log import CallLog, RowLog, Sample, ask_until_decided
+from replyforge.operators.isolation import CallLost, CallTimeout, Isolated
 from replyforge.operators.reply_text import find_json
 
 # Driver side: a name for each factory, so that a worker knows it again in later tasks and jobs.
 _NAMES: WeakKeyDictionary = WeakKeyDictionary()
-# Worker side: what the last few factories built.
-_KEPT = 4
+# Worker side: how many factories' callables a worker keeps, the last ones used.
+KEPT = 4
 
 
 def _built() -> dict:
@@ -44,13 +45,18 @@ def _name_of(factory: Callable) -> str:
         return uuid.uuid4().hex
 
 
-def _build_once(name: str, factory: Callable):
-    """The callable of a factory, built once per worker process."""
+def _build_once(name: str, factory: Callable, kept: int = KEPT, timeout: float | None = None):
+    """The callable of a factory, built once per worker process; with a ``timeout`` in a process of its own."""
     built = _built()
-    if name not in built:
-        while len(built) >= _KEPT:
-            built.pop(next(iter(built)))
-        built[name] = factory()
+    name = name if timeout is None else f"{name} {timeout}"
+    if name in built:
+        built[name] = built.pop(name)  # the last one used
+        return built[name]
+    while len(built) >= kept:
+        old = built.pop(next(iter(built)))
+        if isinstance(old, Isolated):
+            old.close()
+    built[name] = factory() if timeout is None else Isolated(factory, timeout)
     return built[name]
 
 
@@ -119,12 +125,17 @@ def infer_batch(
     prompt: str = "prompt",
     history: str = "history",
     log: str | None = None,
+    timeout: float | None = None,
+    kept: int = KEPT,
 ) -> DataFrame:
     """Add ``response``, ``error`` and ``meta_response``.
 
     ``predictor()`` returns ``call(prompts, histories) -> (responses, metas)``. When the call raises, or
     answers with another number of rows, every row of that batch gets the error text and no
     response. A response may also be ``{"error": text}`` for a row of its own. ``log`` is for :mod:`replyforge.plans.once`.
+    With a ``timeout`` the model lives in a process of its own, one per worker: a batch that takes more seconds, or whose
+    call ends the process, gets the error on its rows, and the next batch a new process. A worker keeps the models of the
+    ``kept`` factories it has used last.
     """
     has_history = history in df.columns
     names = ["response", "error", "meta_response"]
@@ -133,7 +144,7 @@ def infer_batch(
     name = _name_of(predictor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(name, predictor)
+        call = _build_once(name, predictor, kept, timeout)
         for batch in _slices(batches, batch_size):
             prompts = batch.column(prompt).to_pylist()
             past = batch.column(history).to_pylist() if has_history else [None] * len(prompts)
@@ -156,19 +167,21 @@ def ask_repeatedly(
     batch_size: int = 1500,
     prompt: str = "prompt",
     history: str = "history",
+    timeout: float | None = None,
+    kept: int = KEPT,
 ) -> DataFrame:
     """Call the model for every sample until it has ``n`` responses or ``max_rounds`` errors; answers go to ``log``.
 
     ``texts`` has ``_sample`` (a number whose upper bits tell the part of the table it was written to), ``_ok`` and
     ``round`` (accepted answers and errors it starts with). A narrow step that has to run once, as an action: its rows
-    say how many rows were asked and decided in each call.
+    say how many rows were asked and decided in each call. ``timeout`` and ``kept`` are those of :func:`infer_batch`.
     """
     has_history = history in texts.columns
     narrow = texts.select("_sample", "_ok", "round", prompt, *([history] if has_history else []))
     name = _name_of(predictor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(name, predictor)
+        call = _build_once(name, predictor, kept, timeout)
 
         def samples() -> Iterator[Sample]:
             for batch in batches:
@@ -193,6 +206,7 @@ def ask_for_json(
     threads: int = 8,
     prompt: str = "prompt",
     log: str | None = None,
+    kept: int = KEPT,
 ) -> DataFrame:
     """Add ``status``, ``data`` (JSON text), ``response`` and ``error``: call, dig out the JSON, check it.
 
@@ -221,7 +235,7 @@ def ask_for_json(
     name = _name_of(predictor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(name, predictor)
+        call = _build_once(name, predictor, kept)
         with ThreadPoolExecutor(threads) as pool:
             for batch in _slices(batches, 1000):
                 results = list(pool.map(lambda text: attempt(call, text), batch.column(prompt).to_pylist()))
@@ -241,18 +255,21 @@ def fetch(
     tries: int = 1,
     delay: float = 1.5,
     backoff: float = 1.5,
+    rows_per_task: int = 2_000,
+    kept: int = KEPT,
 ) -> DataFrame:
     """Add ``success``, ``skipped``, ``size`` and ``error`` to a plan with ``url`` and ``target``.
 
     ``fetcher()`` returns ``call(url, target) -> size``. A row never raises; an item slower than
     ``timeout`` seconds from its start, all its tries together, counts as failed; what its thread still does is not
     seen, so a fetcher should write to a temporary name first. Rows are spread by the hash of their target, so the files of
-    one large repository do not end up in one task.
+    one large repository do not end up in one task. Without ``partitions`` the plan's rows are counted first, and
+    there is a task for every ``rows_per_task`` of them, at least one per core.
     """
     names = ["success", "skipped", "size", "error"]
     kinds = [T.BooleanType(), T.BooleanType(), T.LongType(), T.StringType()]
     # A stated number: adaptive execution would merge these short rows into few tasks, and few downloads at a time.
-    pieces = partitions or plan.sparkSession.sparkContext.defaultParallelism
+    pieces = partitions or max(plan.sparkSession.sparkContext.defaultParallelism, -(-plan.count() // rows_per_task))
     base, schema = _with_columns(plan.repartition(pieces, "target"), list(zip(names, kinds)))
 
     def try_call(call: Callable[[str, str], int], url: str, target: str) -> int:
@@ -297,7 +314,7 @@ def fetch(
     name = _name_of(fetcher)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(name, fetcher)
+        call = _build_once(name, fetcher, kept)
         for batch in _slices(batches, 1000):
             pairs = list(zip(batch.column("url").to_pylist(), batch.column("target").to_pylist()))
             cols = list(zip(*outcomes(call, pairs)))
@@ -310,17 +327,36 @@ def fetch(
     return base.mapInArrow(run, schema)
 
 
+def _verdicts(call: Callable, codes: list, proofs: list) -> list[tuple[bool, str | None]]:
+    """One verdict per proof; a proof that the verifier does not survive has failed."""
+    try:
+        found = call(codes, proofs)
+    except (CallTimeout, CallLost) as problem:
+        if len(codes) <= 1:
+            return [(False, str(problem))] * len(codes)
+        half = len(codes) // 2
+        return _verdicts(call, codes[:half], proofs[:half]) + _verdicts(call, codes[half:], proofs[half:])
+    if len(found) != len(codes):
+        raise ValueError(f"{len(found)} verdicts for {len(codes)} rows")
+    return list(found)
+
+
 def verify(
     df: DataFrame,
     verifier: Callable[[], Callable[[list[str], list[str]], list[tuple[bool, str | None]]]],
     batch_size: int = 256,
     code: str = "lean_code",
     proof: str = "response",
+    timeout: float | None = None,
+    kept: int = KEPT,
 ) -> DataFrame:
     """Add ``success`` and ``error_messages``.
 
     ``verifier()`` returns ``call(codes, proofs) -> [(success, messages), ...]``. A raising verifier, or one
-    that answers with another number of rows, fails the job: missing verdicts must not pass for failures.
+    that answers with another number of rows, fails the job: missing verdicts must not pass for failures. With a
+    ``timeout`` the verifier lives in a process of its own, as in :func:`infer_batch`; a batch that takes more seconds, or
+    whose call ends the process, is cut into halves until the proofs that do so are found. These have failed, with
+    the reason as their message.
     """
     names = ["success", "error_messages"]
     base, schema = _with_columns(df, [("success", T.BooleanType()), ("error_messages", T.StringType())])
@@ -328,11 +364,9 @@ def verify(
     name = _name_of(verifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = _build_once(name, verifier)
+        call = _build_once(name, verifier, kept, timeout)
         for batch in _slices(batches, batch_size):
-            verdicts = call(batch.column(code).to_pylist(), batch.column(proof).to_pylist())
-            if len(verdicts) != batch.num_rows:
-                raise ValueError(f"{len(verdicts)} verdicts for {batch.num_rows} rows")
+            verdicts = _verdicts(call, batch.column(code).to_pylist(), batch.column(proof).to_pylist())
             added = [pa.array([v[0] for v in verdicts], pa.bool_()), pa.array([v[1] for v in verdicts], pa.string())]
             yield _append(batch, added, names)
 

@@ -23,6 +23,7 @@ def best_of_n_loop(
     batch_size: int = 1500,
     run_path: str | None = None,
     tasks: int | None = None,
+    **limits,
 ) -> DataFrame:
     """Call the model until every sample has ``n`` responses or gives up.
 
@@ -36,7 +37,7 @@ def best_of_n_loop(
     A task that is run again, or a run that goes on in a ``run_path`` of its own, reads the log and makes no call
     twice but the one that was under way. Prompts are never written again and nothing is shuffled until the end,
     when the at most ``n`` responses of a sample meet its row. The extra call whose answer the rules would throw away
-    in any case is not made.
+    in any case is not made. ``limits`` are ``timeout`` and ``kept`` of ``operators.calls.infer_batch``.
     """
     spark = samples.sparkSession
     path = run_path or new_path(spark, "bestofn")
@@ -44,7 +45,7 @@ def best_of_n_loop(
     start = _starting_state(samples).select(*carried, "_kept", "_ok", "round")
     texts = write_texts(start, f"{path}/texts", tasks)
     if not path_exists(spark, f"{path}/calls/_SUCCESS"):
-        asked = ask_repeatedly(texts, predictor, f"{path}/log", n, max_rounds, batch_size)
+        asked = ask_repeatedly(texts, predictor, f"{path}/log", n, max_rounds, batch_size, **limits)
         asked.write.mode("overwrite").parquet(f"{path}/calls")
     return _summarise(spark, texts, f"{path}/log", n, max_rounds, carried)
 

@@ -28,6 +28,8 @@ def feedback_rounds(
     n: int = 1,
     max_errors: int = 30,
     run_path: str | None = None,
+    timeout: float | None = None,
+    verify_timeout: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All verdicts, partitioned by ``round``, and the per-round figures.
 
@@ -35,7 +37,8 @@ def feedback_rounds(
     when none is left. Every round is one written folder, which is also the input of the next.
     A statement the model gave no response for stays open as a failed verdict without a proof.
     The accuracy of a round is over the rows that were still open. With a ``run_path`` of its own a run that was cut
-    off goes on after its last complete step.
+    off makes no model call again and goes on after its last complete step. ``timeout`` limits the seconds of a model
+    call, ``verify_timeout`` those of a verifier's.
     """
     spark = statements.sparkSession
     path = run_path or new_path(spark, "feedback")
@@ -52,9 +55,9 @@ def feedback_rounds(
     for turn in range(1, max_rounds + 1):
         target = f"{path}/round={turn}"
         asked = render_feedback(current, template).select("sample", "id", "lean_code", "prompt")
-        answered = best_of_n_loop(asked, predictor, n, max_errors, run_path=f"{path}-calls/round={turn}")
+        answered = best_of_n_loop(asked, predictor, n, max_errors, run_path=f"{path}-calls/round={turn}", timeout=timeout)
         tried = answered.select("id", "sample", "lean_code", F.posexplode("response_n").alias("_pos", "response"))
-        verdicts = verify(tried, verifier).withColumnRenamed("response", "proof_of_last_round")
+        verdicts = verify(tried, verifier, timeout=verify_timeout).withColumnRenamed("response", "proof_of_last_round")
         silent = answered.where(F.size("response_n") == 0).select(
             "id",
             "sample",

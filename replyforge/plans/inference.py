@@ -34,6 +34,7 @@ def run_inference(
     run_path: str | None = None,
     chunks: int = 100,
     parallel: int = 4,
+    **limits,
 ) -> DataFrame:
     """``inputs`` has the id and ``prompt``; ``checkpoints`` come from lowest to highest precedence.
 
@@ -41,6 +42,7 @@ def run_inference(
     response, unfinished ids go on from their record, and only the rest reaches the model afresh. The limit counts model rows; finished
     rows are always kept. With a ``run_path`` a run that was cut off goes on after what it has written there: the answers
     of a best-of-N mode, or those of ``chunks`` pieces of the calls that are done; ``parallel`` are under way at a time.
+    ``limits`` are ``timeout`` and ``kept`` of ``operators.calls.infer_batch``.
     """
     has_processor = mode in MODES
     done: list[DataFrame] = []
@@ -61,11 +63,11 @@ def run_inference(
     if checkpoints and not has_processor and infer_limit is None:
         todo = spread(todo)  # a table as written above; the best-of-N loop does this for its own
     if has_processor:
-        result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size, run_path=run_path)
+        result = collect_responses(todo, predictor, mode, n, max_rounds, batch_size=batch_size, run_path=run_path, **limits)
     elif run_path is None:
-        result = materialize(collect_responses(todo, predictor, mode, batch_size=batch_size), "inference")
+        result = materialize(collect_responses(todo, predictor, mode, batch_size=batch_size, **limits), "inference")
     else:
-        call = partial(collect_responses, predictor=predictor, mode=mode, batch_size=batch_size)
+        call = partial(collect_responses, predictor=predictor, mode=mode, batch_size=batch_size, **limits)
         result = Ledger(todo, run_path, chunks, parallel).run(call)
     for part in done:
         result = result.unionByName(part, allowMissingColumns=True)
