@@ -292,10 +292,10 @@ def retention_summary(per_file: DataFrame, failed: DataFrame | None = None, sour
     )
 
 
-def cumulative_retention(per_file: DataFrame, source: str = "source_file", max_group: int = 1_000_000) -> DataFrame:
+def cumulative_retention(per_file: DataFrame, source: str = "source_file") -> DataFrame:
     """Running lines, retained lines and rate, in the order of the file names."""
     sums = {"processed": "total", "kept": "retained"}
-    running = with_running(per_file, [], [source], sums, max_group=max_group)
+    running = with_running(per_file, [], [source], sums)
     return running.select(
         source, "processed", "kept", percent(F.col("kept"), F.col("processed")).alias("cumulative_rate")
     )

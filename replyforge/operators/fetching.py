@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from replyforge.functions.render import render
 from replyforge.functions.text import basename, dirname, stem
 from replyforge.operators.skew import with_running
+from replyforge.sources.files import list_folder
 
 RAW_URL = "https://raw.githubusercontent.com/{}/{}/{}"
 FILES_PER_GROUP = 50
 KEYS = ("repo", "commit_id", "rel_path")
 
 
-def file_groups(files: DataFrame, per_group: int = FILES_PER_GROUP, path: str = "file", max_group: int = 1_000_000) -> DataFrame:
+def file_groups(files: DataFrame, per_group: int = FILES_PER_GROUP, path: str = "file") -> DataFrame:
     """Sorted file list cut into groups of ``per_group``, numbered from 0."""
-    numbered = with_running(files.select(path).distinct(), [], [path], row_number="_n", max_group=max_group)
+    numbered = with_running(files.select(path).distinct(), [], [path], row_number="_n")
     return numbered.select(path, F.floor((F.col("_n") - 1) / per_group).alias("group_id"))
 
 
@@ -53,11 +54,15 @@ def fetch_plan(manifest: DataFrame, root: str, url_template: str = RAW_URL, sour
     )
 
 
-def skip_fetched(plan: DataFrame, existing: DataFrame, keys: Sequence[str] = KEYS) -> tuple[DataFrame, DataFrame]:
+def skip_fetched(plan: DataFrame, existing: DataFrame | str, keys: Sequence[str] = KEYS) -> tuple[DataFrame, DataFrame]:
     """Rows still to fetch, and outcome rows (success, skipped, size) for targets that exist.
 
-    ``existing`` has the keys and the ``size``; of several rows of a key the greatest size counts.
+    ``existing`` has the keys and the ``size``; of several rows of a key the greatest size counts. It may also be the
+    folder the targets lie in, which is then listed in tasks, level by level, and compared with the targets' paths.
     """
+    if isinstance(existing, str):
+        found = list_folder(plan.sparkSession, existing, recursive=True)
+        existing, keys = found.select(F.col("path").alias("target"), "size"), ["target"]
     keys = list(keys)
     have = existing.groupBy(*keys).agg(F.max("size").alias("size"))
     there = plan.join(have, keys).select(

@@ -54,9 +54,10 @@ def with_running(
 ) -> DataFrame:
     """Exact running sums (current row included) and row numbers per group, in the order of ``order``.
 
-    Groups up to ``max_group`` rows use a plain window. The rows of larger groups are cut into ranges of the
-    whole order, each range is numbered on its own, and the totals of the ranges before it are added,
-    so that no task holds a whole large group. Without ``keys`` the table is one group.
+    Groups up to ``max_group`` rows use a plain window, as one task holds many of them. The rows of larger groups, and
+    those of a table without ``keys`` at any size, are cut into ranges of the whole order; each range is numbered on its
+    own, and the totals of the ranges before it are added, so that no task holds a whole large group. Rows that are equal
+    in the order stand as they come; they are cut into ranges like any others.
     """
     keys, order = list(keys), list(order)
     columns = {name: F.col(c) if isinstance(c, str) else c for name, c in (sums or {}).items()}
@@ -64,31 +65,40 @@ def with_running(
         columns[row_number] = F.lit(1)
     # A struct compares its nulls as equal, so a group with a null key is a group like any other.
     grouped = df.withColumn("_group", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    if not keys:
+        return _running_in_ranges(grouped, order, columns).drop("_group")
     hot = hot_keys(grouped, ["_group"], max_group + 1)
     if hot is None:
-        return _running(df, [F.col(k) for k in keys] or [F.lit(0)], order, columns)
-
+        return _running(df, [F.col(k) for k in keys], order, columns)
     total = hot.agg(F.sum("_rows")).first()[0]
     hot = F.broadcast(hot.select("_group"))
-    large = _running_in_ranges(grouped.join(hot, ["_group"], "left_semi"), order, columns, total, max_group)
-    if not keys:
-        return large.drop("_group")
+    parts = min(math.ceil(total / max_group) + 1, MAX_RANGES)
+    large = _running_in_ranges(grouped.join(hot, ["_group"], "left_semi"), order, columns, parts)
     others = _running(grouped.join(hot, ["_group"], "left_anti"), [F.col("_group")], order, columns)
     return large.unionByName(others).drop("_group")
 
 
-def _running_in_ranges(df: DataFrame, order: list[str], columns: dict[str, Column], total: int, width: int) -> DataFrame:
-    parts = min(math.ceil(total / width) + 1, MAX_RANGES)
-    # The range number is part of the data from here on, so it must not change when a task is run again.
-    cut = materialize(
-        df.repartitionByRange(parts, "_group", *order).withColumn("_part", F.spark_partition_id()), "ranges"
-    )
+def cut_ranges(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Rows of every ``_group`` in ranges of their order, numbered ``_part``; ``_tie`` tells rows of equal order apart.
+
+    Without a number of ``parts`` the session says how many, and small ones are merged. The table is written, as the
+    numbers are part of the data from here on and must not change when a task is run again.
+    """
+    told_apart = df.withColumn("_tie", F.monotonically_increasing_id())
+    places = [F.col(c) for c in ("_group", *order, "_tie")]
+    ranges = told_apart.repartitionByRange(*([parts] if parts else []), *places)
+    return materialize(ranges.withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def _running_in_ranges(df: DataFrame, order: list[str], columns: dict[str, Column], parts: int | None = None) -> DataFrame:
+    cut = cut_ranges(df, order, parts)
     totals = cut.groupBy("_group", "_part").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in columns.items()])
+    # One row per range and group: at most the number of ranges, however many rows there are.
     before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_group", "_part", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in columns]
     )
-    local = _running(cut, [F.col("_group"), F.col("_part")], order, columns)
+    local = _running(cut, [F.col("_group"), F.col("_part")], [*order, "_tie"], columns)
     return local.join(offsets, ["_group", "_part"]).select(
         *df.columns, *[(F.col(n) + F.col(f"_b_{n}")).alias(n) for n in columns]
     )

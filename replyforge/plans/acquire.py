@@ -20,21 +20,21 @@ from replyforge.operators.fetching import (
     skip_fetched,
 )
 from replyforge.plans.ledger import Ledger
+from replyforge.sources.files import list_folder
 from replyforge.sources.storage import materialize
 from replyforge.sources.tables import read_manifest
 
 
 def list_manifests(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of the Parquet manifests of a folder; contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-    return listing.select(F.col("path").alias("file"))
+    """Paths of the Parquet manifests of a folder; listed in a task, contents are not read."""
+    return list_folder(spark, folder, "*.parquet").select(F.col("path").alias("file"))
 
 
 def acquire(
     manifest: DataFrame,
     root: str,
     fetcher: Callable[[], Callable[[str, str], int]],
-    existing: DataFrame | None = None,
+    existing: DataFrame | str | None = None,
     partitions: int | None = None,
     manifests: DataFrame | None = None,
     run_path: str | None = None,
@@ -44,7 +44,7 @@ def acquire(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Outcome rows, figures per manifest and the ledger entries of the manifests that are done.
 
-    With a ``run_path`` the plan is written there in ``chunks`` pieces, fetched ``parallel`` at a time, and a run that was
+    ``existing`` tells what need not be fetched, as a table or as the folder to look in. With a ``run_path`` the plan is written there in ``chunks`` pieces, fetched ``parallel`` at a time, and a run that was
     cut off goes on with the pieces that are not done. ``limits`` are those of ``operators.calls.fetch``.
     """
     plan = fetch_plan(manifest, root)

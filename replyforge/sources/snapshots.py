@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyforge.functions.text import dirname
+from replyforge.sources.files import list_folder
 from replyforge.sources.jsonl import Lines, read_jsonl
 
 
 def snapshot_files(spark: SparkSession, folder: str, pattern: str = "snapshot_*.jsonl") -> DataFrame:
-    """Path, part folder and modification time of every snapshot; contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return listing.select("path", dirname("path").alias("part"), "modificationTime")
+    """Path, part folder and modification time of every snapshot below a folder; listed in tasks, contents are not read."""
+    listing = list_folder(spark, folder, pattern, recursive=True)
+    return listing.select("path", dirname("path").alias("part"), F.col("modified").alias("modificationTime"))
 
 
 def latest_snapshot(files: DataFrame) -> DataFrame:

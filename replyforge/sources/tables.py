@@ -55,8 +55,6 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", name_col:
 
 
 def _with_parquet_row_id(table: DataFrame) -> DataFrame:
-    if len(table.inputFiles()) <= 1:
-        return table.withColumn("_rowid", F.col("_metadata.row_index"))
     # One row per file; no data column is read for it, and Spark decides whether to broadcast it.
     files = table.select(F.col("_metadata.file_path").alias("_file")).distinct()
     listing = with_running(files, [], ["_file"], row_number="_ordinal")
@@ -73,8 +71,6 @@ def with_position(table: DataFrame, name: str = "_position") -> DataFrame:
 
     Counting the rows of each file reads no data column; the rows themselves are not shuffled to be numbered.
     """
-    if len(table.inputFiles()) <= 1:
-        return table.withColumn(name, F.col("_metadata.row_index"))
     sizes = table.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count("*").alias("_n"))
     upto = with_running(sizes, [], ["_file"], {"_upto": "_n"})
     before = upto.select("_file", (F.col("_upto") - F.col("_n")).alias("_before"))

@@ -1,14 +1,18 @@
 """Readers, writers and streaming ingest, each as a round trip through the shared folder."""
 
+import time
+
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyforge.operators.profile import column_profile as profile
 from replyforge.operators.profile import preview as first_few
 from replyforge.sources import jsonl, sinks, tables
+from replyforge.functions.text import basename, dirname
+from replyforge.sources.files import open_folder
 from replyforge.sources.snapshots import latest_snapshot as newest
+from replyforge.sources.snapshots import snapshot_files
 from replyforge.sources.storage import materialize, new_path
 from replyforge.streaming.ingest import appended_lines, ingest_appended, ingest_stream, jsonl_stream, open_stream
 from suite.base import query
@@ -80,14 +84,13 @@ def read_dataset(t):
     return tables.read_dataset(t.spark, t.path("documents")).select("doc_id", "_rowid", "lance_dataset")
 
 
-@query("SELECT count(*) AS rows, count(*) AS distinct_ids, min(doc_id) AS lo FROM {documents}")
+@query("SELECT doc_id, (doc_id % 4) * 4294967296 + row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) - 1 AS _rowid FROM {documents}")
 def read_dataset_many_files(t):
+    """Four files, in the order of their paths; every row's number is its file's place and its own in it."""
     path = new_path(t.spark, "dataset")
-    t["documents"].repartition(7, "doc_id").write.parquet(path)
-    rows = tables.read_dataset(t.spark, path)
-    return rows.groupBy("_rowid").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo")).agg(
-        F.sum("n").alias("rows"), F.count("*").alias("distinct_ids"), F.min("lo").alias("lo")
-    )
+    docs = t["documents"].select("doc_id", (F.col("doc_id") % 4).alias("part"))
+    docs.repartition(4, "part").sortWithinPartitions("part", "doc_id").write.partitionBy("part").parquet(path)
+    return tables.read_dataset(t.spark, path).select("doc_id", "_rowid")
 
 
 @query("SELECT md5(value) AS line, count(*) AS n FROM {raw_lines} GROUP BY 1")
@@ -139,7 +142,7 @@ def _append(folder: str):
 
     def run(table: pa.Table) -> pa.Table:
         name = table.column("file")[0].as_py()
-        files, place = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        files, place = open_folder(folder)
         files.create_dir(place, recursive=True)
         with files.open_append_stream(f"{place}/{name}") as out:
             out.write("".join(f"{v}\n" for v in table.sort_by("event_id").column("value").to_pylist()).encode())
@@ -171,19 +174,42 @@ def ingest_jsonl_stream(t):
     return t.spark.read.parquet(f"{base}/sink").select("doc_id", "source", F.md5("text").alias("text_md5"))
 
 
+def _snapshots(folder: str):
+    """Task side: a file per row, its line in it."""
+
+    def run(batches):
+        for batch in batches:
+            files, place = open_folder(folder)
+            for name, line in zip(batch.column("name").to_pylist(), batch.column("line").to_pylist()):
+                files.create_dir(f"{place}/{name.rsplit('/', 1)[0]}", recursive=True)
+                with files.open_output_stream(f"{place}/{name}") as out:
+                    out.write(f"{line}\n".encode())
+            yield batch
+
+    return run
+
+
 @query(
-    """SELECT 'part' || cast(user_id AS string) AS part, max(ts) AS "modificationTime",
-              arg_max('part' || cast(user_id AS string) || '/snapshot_' || cast(event_id AS string) || '.jsonl', (ts, 'part' || cast(user_id AS string) || '/snapshot_' || cast(event_id AS string) || '.jsonl')) AS path
-       FROM {events} GROUP BY user_id"""
+    """SELECT 'part' || cast(user_id % 8 AS string) AS part, 'snapshot_' || cast(min(event_id) AS string) || '.jsonl' AS name, min(event_id) AS event_id
+       FROM {events} GROUP BY 1"""
 )
 def latest_snapshot(t):
-    part = F.concat(F.lit("part"), F.col("user_id").cast("string"))
-    files = t["events"].select(
-        part.alias("part"),
-        F.concat(part, F.lit("/snapshot_"), F.col("event_id").cast("string"), F.lit(".jsonl")).alias("path"),
-        F.col("ts").alias("modificationTime"),
+    """Two snapshots of each part, the later one with the smaller number; their folders are listed, the newest are read."""
+    base = new_path(t.spark, "snapshots")
+    part = F.concat(F.lit("part"), (F.col("user_id") % 8).cast("string")).alias("part")
+    ends = t["events"].groupBy(part).agg(F.max("event_id").alias("first"), F.min("event_id").alias("second"))
+    for wave in ("first", "second"):
+        rows = ends.select(
+            F.concat("part", F.lit("/snapshot_"), F.col(wave).cast("string"), F.lit(".jsonl")).alias("name"),
+            F.to_json(F.struct(F.col(wave).alias("event_id"))).alias("line"),
+        )
+        rows.mapInArrow(_snapshots(base), "name string, line string").collect()
+        time.sleep(0.05)  # file times of the two waves must differ
+    found = newest(snapshot_files(t.spark, base)).select(basename("part").alias("part"), basename("path").alias("name"), "path")
+    lines = t.spark.read.option("recursiveFileLookup", "true").text(base).select(
+        F.concat_ws("/", basename(dirname("_metadata.file_path")), basename("_metadata.file_path")).alias("at"), F.from_json("value", "event_id bigint")["event_id"].alias("event_id")
     )
-    return newest(files).select("part", "modificationTime", "path")
+    return found.join(lines, F.concat_ws("/", "part", "name") == F.col("at")).select("part", "name", "event_id")
 
 
 @query(

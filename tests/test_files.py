@@ -6,6 +6,8 @@ import os
 
 import pytest
 
+from replyforge.operators.fetching import fetch_plan, skip_fetched
+from replyforge.plans.acquire import acquire
 from replyforge.plans.filtering import filter_folder
 from replyforge.sources.files import list_folder
 from replyforge.sources.jsonl import list_files, part_failed, scan_files
@@ -62,3 +64,16 @@ def test_half_read_file_gives_no_line_and_no_figure(spark, tmp_path):
     failures = spark.read.json(f"{out}/report/failed_files").collect()
     assert [r["source_file"] for r in failures] == ["torn.jsonl.gz"] and failures[0]["error"]
     assert {r["source_file"] for r in list_files(spark, str(src)).collect()} == {"a.jsonl", "none.jsonl"}
+
+
+def test_fetched_files_are_found_in_their_folder(spark, tmp_path):
+    manifest = spark.createDataFrame([("m.parquet", "o/r", "c", f"d/{i}.lean") for i in range(6)], "manifest string, repo string, commit_id string, rel_path string")
+    plan = fetch_plan(manifest, str(tmp_path))
+    for r in plan.collect()[:2]:
+        os.makedirs(os.path.dirname(r["target"]), exist_ok=True)
+        with open(r["target"], "w") as file:
+            file.write("x" * 5)
+    left, there = skip_fetched(plan, str(tmp_path))
+    assert left.count() == 4 and [(r["success"], r["skipped"], r["size"]) for r in there.collect()] == [(True, True, 5)] * 2
+    outcomes, stats, _ = acquire(manifest, str(tmp_path), lambda: lambda url, target: 1, existing=str(tmp_path))
+    assert tuple(stats.select("total_files", "new_files", "skipped_files", "total_size").first()) == (6, 4, 2, 14)

@@ -12,7 +12,7 @@ from replyforge.operators import classify as K
 from replyforge.operators import fetching as X
 from replyforge.operators import profile, tagging
 from replyforge.operators.bestofn import accepted_attempts, best_of_n
-from replyforge.operators.skew import first_rows, hot_keys, with_running
+from replyforge.operators.skew import cut_ranges, first_rows, hot_keys, with_running
 
 
 def rows(df, *names):
@@ -41,11 +41,24 @@ def test_with_running_is_exact_on_hot_groups(spark, max_group):
     assert rows(out, "query_id", "seq", "rank", "total") == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("max_group", [100, 10**6])
-def test_with_running_over_the_whole_table(spark, max_group):
+def test_with_running_over_the_whole_table(spark):
     _, frame = skewed(spark)
-    out = with_running(frame, [], ["seq"], {"total": "seq"}, "n", max_group=max_group)
+    out = with_running(frame, [], ["seq"], {"total": "seq"}, "n")
     assert rows(out, "seq", "n", "total") == sorted([(i, i + 1, i * (i + 1) // 2) for i in range(3000)], key=str)
+    assert with_running(frame.limit(0), [], ["seq"], {"total": "seq"}, "n").collect() == []
+
+
+def test_rows_of_equal_order_are_dealt_over_ranges(spark):
+    """One group whose rows are all alike in the order: numbered by several tasks, each number once."""
+    frame = spark.range(20_000).selectExpr("'hot' as k", "7 as at", "id as v").repartition(4)
+    cut = cut_ranges(frame.withColumn("_group", F.struct("k")), ["at"], 10)
+    sizes = [r["count"] for r in cut.groupBy("_part").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 4 * 20_000 / 10
+    out = with_running(frame, ["k"], ["at"], {"total": F.lit(2)}, "n", max_group=1000)
+    numbers = out.agg(F.count_distinct("n"), F.min("n"), F.max("n"), F.count_if(F.col("total") != 2 * F.col("n"))).first()
+    assert tuple(numbers) == (20_000, 1, 20_000, 0)
+    whole = with_running(frame, [], ["at"], row_number="n").agg(F.count_distinct("n"), F.max("n")).first()
+    assert tuple(whole) == (20_000, 20_000)
 
 
 @pytest.mark.parametrize("parts", [1, 7, 50])
@@ -274,7 +287,7 @@ def test_retention_of_nothing(spark):
 def test_cumulative_retention_in_ranges(spark):
     files = spark.createDataFrame([(f"f{i:03d}", 10, i % 4) for i in range(200)], "source_file string, total bigint, retained bigint")
     small = rows(K.cumulative_retention(files), "source_file", "processed", "kept", "cumulative_rate")
-    assert small == rows(K.cumulative_retention(files, max_group=20), "source_file", "processed", "kept", "cumulative_rate")
+    assert small == rows(K.cumulative_retention(files.repartition(7)), "source_file", "processed", "kept", "cumulative_rate")
     assert small[-1][1] == 2000
 
 
