@@ -316,6 +316,26 @@ def test_images_from_files(spark, tmp_path):
         build_multimodal(missing, read_images(spark, str(tmp_path))).collect()
 
 
+def test_no_exchange_holds_an_image(spark, tmp_path):
+    """Equal images are kept once; what goes through exchanges are texts and addresses; small batches of shown rows."""
+    from pyspark.sql import functions as F
+
+    from replyforge.operators import multimodal as M
+
+    for name in "abc":
+        (tmp_path / f"{name}.jpg").write_bytes((b"same" if name < "c" else b"other") * 1000)
+    frame = spark.range(30).select("id", F.array(F.lit("see"), F.concat(F.lit(f"<|image|>{tmp_path}/"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")), F.lit(".jpg"))).alias("parts"))
+    store = str(tmp_path / "store")
+    built = M.build_multimodal(frame, M.read_images(spark, str(tmp_path / "*.jpg")), store=store)
+    assert len([f for _, _, files in os.walk(store) for f in files if not f.startswith(".")]) == 2
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    # The step that makes data URLs stands above everything, and the image contents are nowhere below it.
+    assert plan.lstrip().startswith("MapInArrow") and plan.count("MapInArrow") == 1
+    assert "content" not in plan and "base64" not in plan
+    rows_ = built.collect()
+    assert len(rows_) == 30 and {len(r["items"][1]["image"]) for r in rows_} == {len("data:image/jpeg;base64,") + 4 * -(-n // 3) for n in (4000, 5000)}
+
+
 def test_image_positions(spark):
     frame = spark.createDataFrame([("see <image> it", ["a", "b"])], "p string, i array<string>")
     def kinds(position):
