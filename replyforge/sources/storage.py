@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +29,34 @@ def work_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+# Sub-folder of the run under way, by session.
+_RUNS: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder."""
-    return f"{work_dir(spark)}/replyforge/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/replyforge/{_RUNS.get(spark, '')}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A run whose intermediate tables go when the block ends; answers their folder.
+
+    What is to stay has to be written elsewhere, and DataFrames over such tables read inside the block. Without such a block
+    intermediate tables stay, as a lazy result may still need them.
+    """
+    from replyforge.sources.files import open_folder  # files are written with this module's help, too
+
+    outer = _RUNS.get(spark, "")
+    _RUNS[spark] = f"{outer}run-{uuid.uuid4().hex}/"
+    folder = f"{work_dir(spark)}/replyforge/{_RUNS[spark]}".rstrip("/")
+    try:
+        yield folder
+    finally:
+        _RUNS[spark] = outer
+        files, place = open_folder(folder)
+        if files.get_file_info(place).type == fs.FileType.Directory:
+            files.delete_dir(place)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

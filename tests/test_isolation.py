@@ -5,7 +5,7 @@ import time
 
 import pytest
 
-from replyforge.operators.calls import fetch, infer_batch, verify
+from replyforge.operators.calls import _build_once, fetch, infer_batch, verify
 from replyforge.operators.isolation import CallLost, CallTimeout, Isolated
 from replyforge.plans.collect import best_of_n_loop
 
@@ -90,27 +90,32 @@ def test_verifier_that_hangs_or_dies(spark):
 
 
 def test_as_many_models_are_kept_as_asked_for(spark, tmp_path):
-    """Six models in turn over one worker: each is built once when six are kept."""
-
+    """Six models in turn: each is built once per process when six are kept."""
     frame = spark.createDataFrame([("p",)], "prompt string").coalesce(1)
-    built = {}
-    for kept in (6, 2):
-        factories = []
-        for number in range(6):
-            mark = str(tmp_path / f"{kept}-{number}")
-
-            def factory(mark=mark):
-                with open(mark, "a") as handle:
-                    handle.write(f"{os.getpid()}\n")
-                return lambda texts, _: (texts, [None] * len(texts))
-
-            factories.append(factory)
-        for _ in range(2):
-            for factory in factories:
-                infer_batch(frame, factory, kept=kept).collect()
-        built[kept] = [open(str(tmp_path / f"{kept}-{n}")).read().split() for n in range(6)]
-    assert all(len(pids) == len(set(pids)) for pids in built[6])
-    assert sum(map(len, built[2])) > sum(map(len, built[6]))
+    factories = []
+    for number in range(6):
+
+        def factory(mark=str(tmp_path / str(number))):
+            with open(mark, "a") as handle:
+                handle.write(f"{os.getpid()}\n")
+            return lambda texts, _: (texts, [None] * len(texts))
+
+        factories.append(factory)
+    for _ in range(2):
+        for factory in factories:
+            infer_batch(frame, factory, kept=6).collect()
+    built = [open(tmp_path / str(n)).read().split() for n in range(6)]
+    assert all(len(pids) == len(set(pids)) for pids in built)
+
+
+def test_the_last_models_used_are_kept():
+    made = []
+    use = lambda name, kept: _build_once(name, lambda: made.append(name) or name, kept)
+    for name in "abcabc":
+        assert use(f"kept-{name}", 3) == f"kept-{name}"
+    assert made == ["kept-a", "kept-b", "kept-c"]
+    use("kept-a", 3), use("kept-d", 3), use("kept-a", 3), use("kept-b", 3)
+    assert made[3:] == ["kept-d", "kept-b"]
 
 
 def test_tasks_follow_the_plan(spark):

@@ -192,3 +192,25 @@ def test_last_row_over_several_files(spark, tmp_path):
     (folder / "part-0.json").write_text('{"k": "a", "v": "old"}\n')
     (folder / "part-1.json").write_text('{"k": "b", "v": "x"}\n' * 50 + '{"k": "a", "v": "new"}\n')
     assert rows(jsonl.read_json_table(spark, str(tmp_path / "t"), "k"), "k", "v") == [("a", "new"), ("b", "x")]
+
+
+def test_intermediate_tables_go_with_their_run(spark, tmp_path):
+    from replyforge.sources.storage import materialize, new_path, scratch
+
+    with scratch(spark) as folder:
+        table = materialize(spark.range(5), "numbers")
+        assert table.count() == 5
+        place = folder.removeprefix("file://")
+        assert len(os.listdir(place)) == 1 and new_path(spark, "x").startswith(folder + "/")
+        with scratch(spark) as inner:
+            assert inner.startswith(folder)
+            materialize(spark.range(2), "more")
+            assert os.path.isdir(inner.removeprefix("file://"))
+        assert not os.path.exists(inner.removeprefix("file://")) and table.count() == 5
+    assert not os.path.exists(place) and not new_path(spark, "x").startswith(folder)
+    with pytest.raises(ValueError), scratch(spark) as folder:
+        materialize(spark.range(1), "numbers")
+        raise ValueError
+    assert not os.path.exists(folder.removeprefix("file://"))
+    with scratch(spark):
+        pass
