@@ -1,5 +1,7 @@
 """Operators that call user code, with test callables whose answers SQL can repeat."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from replyforge.operators import calls
@@ -11,7 +13,9 @@ from replyforge.plans.collect import best_of_n_loop as collect
 from replyforge.plans.feedback import feedback_rounds as run_feedback
 from replyforge.plans.inference import run_inference as infer_run
 from replyforge.plans.tagging import tag_statements as run_tagging
-from replyforge.sources.storage import materialize
+from replyforge.sources.storage import materialize, new_path
+from replyforge.streaming.calls import answered, call_stream
+from replyforge.streaming.ingest import open_stream
 from suite.base import query
 
 
@@ -25,16 +29,45 @@ def echo_model():
     return call
 
 
-@query(
-    """SELECT doc_id, CASE WHEN length(text) % 10 <> 3 THEN cast(length(text) AS string) || ' chars' END AS response,
+_ECHOED = """SELECT doc_id, CASE WHEN length(text) % 10 <> 3 THEN cast(length(text) AS string) || ' chars' END AS response,
               CASE WHEN length(text) % 10 = 3 THEN 'refused ' || cast(length(text) AS string) END AS error,
               CASE WHEN length(text) % 2 = 1 THEN 'm0' END AS meta_response FROM {documents}"""
-)
+
+
+@query(_ECHOED)
 def infer_batch(t):
     asked = t["documents"].select("doc_id", F.col("text").alias("prompt"))
     return calls.infer_batch(asked, echo_model, 64).select("doc_id", "response", "error", "meta_response")
 
 
+@query(_ECHOED)
+def infer_with_time_limit(t):
+    """The model in a process of its own."""
+    asked = t["documents"].select("doc_id", F.col("text").alias("prompt"))
+    return calls.infer_batch(asked, echo_model, 64, timeout=300.0).select("doc_id", "response", "error", "meta_response")
+
+
+@query(_ECHOED)
+def infer_on_a_stream(t):
+    """Prompts in three files that follow each other, a third of them in two: each is asked for once."""
+    base = new_path(t.spark, "prompts")
+    asked = t["documents"].select("doc_id", F.col("text").alias("prompt"))
+    for part in range(3):
+        asked.where((F.col("doc_id") % 3 == part) | (F.lit(part == 2) & (F.col("doc_id") % 3 == 1))).write.mode("append").parquet(f"{base}/src")
+        rows = open_stream(t.spark, f"{base}/src", "parquet", asked.schema, "*.parquet")
+        call_stream(rows, partial(calls.infer_batch, predictor=echo_model, batch_size=64), f"{base}/sink", ["doc_id"]).awaitTermination()
+    return answered(t.spark, f"{base}/sink", asked.schema).select("doc_id", "response", "error", "meta_response")
+
+
+@query("""SELECT id, CASE WHEN prompt = '' THEN '' ELSE cast(length(prompt) AS string) || ' chars' END AS response FROM {work_items}""")
+def infer_in_chunks(t):
+    """A run in pieces that are committed one by one, taken up a second time."""
+    path = new_path(t.spark, "run")
+    for _ in range(2):
+        out = infer_run(t["work_items"], steady_model, "proof", run_path=path, chunks=3, batch_size=64)
+    return out.select("id", "response")
+
+
 @query(
     """SELECT id, CASE WHEN prompt = '' THEN '' WHEN length(prompt) % 10 <> 3 THEN cast(length(prompt) AS string) || ' chars' END AS response FROM {work_items}"""
 )
@@ -55,12 +88,13 @@ def difficulty_model():
     return call
 
 
-@query(
-    """SELECT uuid, formal_statement, cast(CASE WHEN n % 5 < 3 THEN n % 10 + 0.5 END AS double) AS difficulty_score, coalesce(n % 5 < 3, false) AS success,
+_TAGGED = """SELECT uuid, formal_statement, cast(CASE WHEN n % 5 < 3 THEN n % 10 + 0.5 END AS double) AS difficulty_score, coalesce(n % 5 < 3, false) AS success,
               CASE WHEN n IS NULL THEN 'Empty formal statement' WHEN n % 5 = 3 THEN 'No valid JSON found in response' WHEN n % 5 = 4 THEN 'Missing expected key: Difficulty' END AS error
        FROM (SELECT cast(doc_id AS string) AS uuid, CASE WHEN doc_id % 9 = 0 THEN '' ELSE trim(text, ' ' || chr(10)) END AS formal_statement,
                     CASE WHEN doc_id % 9 <> 0 THEN length('Rate: ' || trim(text, ' ' || chr(10))) END AS n FROM {documents})"""
-)
+
+
+@query(_TAGGED)
 def tag_with_model(t):
     statements = t["documents"].select(
         F.col("doc_id").cast("string").alias("uuid"),
@@ -70,6 +104,19 @@ def tag_with_model(t):
     return tagged.select("uuid", "formal_statement", "difficulty_score", "success", "error")
 
 
+@query(_TAGGED)
+def tag_in_chunks(t):
+    """The same in pieces that are committed one by one, taken up a second time."""
+    statements = t["documents"].select(
+        F.col("doc_id").cast("string").alias("uuid"),
+        F.when(F.col("doc_id") % 9 == 0, F.lit(" \n")).otherwise(F.col("text")).alias("formal_statement"),
+    )
+    path = new_path(t.spark, "run")
+    for _ in range(2):
+        tagged = run_tagging(statements, difficulty_model, "Rate: {}", tries=2, delay=0.0, run_path=path, chunks=3)
+    return tagged.select("uuid", "formal_statement", "difficulty_score", "success", "error")
+
+
 def size_fetcher():
     """A stand-in for a download: the size is the length of the target, some hosts are down."""
 
@@ -95,6 +142,14 @@ def fetch(t):
     return outcomes.select("manifest", "repo", "commit_id", "rel_path", "success", "skipped", "size", "error")
 
 
+@query(_FETCHED)
+def fetch_in_chunks(t):
+    path = new_path(t.spark, "run")
+    for _ in range(2):
+        outcomes, _, _ = run_acquire(t["manifest"], "store", size_fetcher, t["existing_files"], run_path=path, chunks=3)
+    return outcomes.select("manifest", "repo", "commit_id", "rel_path", "success", "skipped", "size", "error")
+
+
 @query(f"SELECT manifest AS parquet_filename FROM ({_FETCHED}) GROUP BY manifest HAVING count(*) FILTER (WHERE NOT success) = 0")
 def acquire(t):
     return run_acquire(t["manifest"], "store", size_fetcher, t["existing_files"])[2]

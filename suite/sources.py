@@ -1,5 +1,6 @@
 """Readers, writers and streaming ingest, each as a round trip through the shared folder."""
 
+import gzip
 import time
 
 import pyarrow as pa
@@ -99,6 +100,35 @@ def scan_dir(t):
     return lines.where(F.col("source_file").endswith(".txt")).groupBy(F.md5("value").alias("line")).agg(F.count("*").alias("n"))
 
 
+def _torn(folder: str):
+    """Task side: a packed file whose end is missing."""
+
+    def run(batches):
+        for batch in batches:
+            files, place = open_folder(folder)
+            whole = gzip.compress("\n".join(batch.column("value").to_pylist()).encode(), compresslevel=0)
+            with files.open_output_stream(f"{place}/torn.txt.gz", compression=None) as out:
+                out.write(whole[: len(whole) // 2])
+            yield batch
+
+    return run
+
+
+@query(
+    """SELECT md5(value) AS line, count(*) AS n, false AS failed FROM {raw_lines} WHERE value <> '' GROUP BY 1
+       UNION ALL SELECT 'torn.txt.gz', 1, true"""
+)
+def scan_files(t):
+    """Packed files, one of which cannot be read to its end: it gives no line, and is named."""
+    path = new_path(t.spark, "packed")
+    t["raw_lines"].select("value").write.option("compression", "gzip").text(path)
+    t["region"].select(F.col("r_name").alias("value")).coalesce(1).mapInArrow(_torn(path), "value string").collect()
+    good, failed = jsonl.part_failed(materialize(jsonl.scan_files(t.spark, path, "*.txt.gz"), "lines"))
+    lines = good.where("value <> ''").groupBy(F.md5("value").alias("line")).agg(F.count("*").alias("n"))
+    named = failed.groupBy(F.col("source_file").alias("line")).agg(F.count("*").alias("n"))
+    return lines.withColumn("failed", F.lit(False)).unionByName(named.withColumn("failed", F.lit(True)))
+
+
 @query(
     """SELECT doc_id, lang, md5(text) AS text_md5, CASE WHEN doc_id % 2 = 0 THEN source END AS maybe FROM {documents}"""
 )
