@@ -3,6 +3,10 @@
 Documents that the quality classifier rejects go; of each group of near-duplicates the smallest id stays; passages that
 an earlier document has, too, are cut out of the later ones; documents with benchmark words go; what is left is encoded.
 Between stages the documents are written to the shared folder, so nothing is computed twice or lost with an executor.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, empty tables and further columns, which all
+but the last hand on. Null and empty texts are scored like any other; they are linked with nothing, hold no passage
+and no benchmark word, and have no ids. Of rows that repeat a key and its text one is kept; rows with a null key all are.
 """
 
 from __future__ import annotations
