@@ -304,5 +304,7 @@ def _merged(old: bytes | None, new: list[tuple[int, int]]) -> bytes:
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a hit word, with their columns."""
-    own = ("__n_words", "__hits", "__items")
-    return mark(docs, items, text, names=own).where(F.size("__hits") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, taken = ("__n_words", "__hits", "__items"), {c.lower() for c in docs.columns}
+    while taken & set(own):
+        own = tuple(f"_{name}" for name in own)
+    return mark(docs, items, text, names=own).where(F.size(own[1]) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

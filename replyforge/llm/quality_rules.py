@@ -142,12 +142,14 @@ def judge(docs, rules: LineRules = LineRules(), text: str = "text", prefix: str
     lines = F.filter(F.split(raw, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     kept_lines = F.filter(lines, lambda x: ~line_fails(x, rules))
     t = "__rules_"
+    while any(c.lower().startswith(t) for c in docs.columns):
+        t = "_" + t
     first = docs.withColumns(
         {
             t + "words": words_of(raw),
             t + "lines": lines,
             t + "kept": kept_lines,
-                        t + "symbols": (len(SYMBOLS) * F.length(raw) - sum((F.length(F.replace(raw, F.lit(s), F.lit(""))) for s in SYMBOLS), F.lit(0))).cast("long"),
+            t + "symbols": (len(SYMBOLS) * F.length(raw) - sum((F.length(F.replace(raw, F.lit(s), F.lit(""))) for s in SYMBOLS), F.lit(0))).cast("long"),
         }
     )
     second = first.withColumns(

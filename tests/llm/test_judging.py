@@ -246,3 +246,11 @@ def test_rules_stay_in_the_jvm(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_columns_named_like_inner_ones(spark):
+    docs = spark.createDataFrame([(1, "good words here " * 10, "a", "b", "c")], "doc_id long, text string, __hits string, __Rules_words string, ___items string")
+    items = spark.createDataFrame([(1, "other")], "item_id long, text string")
+    assert [tuple(r)[2:] for r in decontaminate.clean(docs, items).collect()] == [("a", "b", "c")]
+    judged = quality_rules.judge(docs)
+    assert judged.columns[:5] == docs.columns and tuple(judged.first())[2:5] == ("a", "b", "c")
