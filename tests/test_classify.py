@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -163,3 +164,61 @@ def test_runs_and_buckets_of_rows():
     assert [(content[a:b].tobytes(), r) for a, b, r in zip(starts, ends, rows, strict=True)] == [(b"c", 2), (b"d", 3), (b"e", 3)]
     rows, found = run_buckets(fnv_hashes(content[[0, 2, 4]] if len(content) > 4 else content, np.array([0, 1, 2, 3])), np.array([0, 0, 0]), 3, 1000)
     assert len(found) == 3 and rows.tolist() == [0, 0, 0]
+
+
+def test_rows_are_written_once_however_many_blocks(spark, monkeypatch):
+    """What is written for a row must not grow with the weight table."""
+    written, write = [], K.materialize
+    monkeypatch.setattr(K, "materialize", lambda df, name: written.append(name) or write(df, name))
+    for block_bytes, most in ((100, 1), (10, 1), (K.BLOCK_BYTES, 0)):
+        written.clear()
+        check(spark, texts(4, 40), weights(TOKENS, 6), block_bytes=block_bytes)
+        assert len(written) <= most
+
+
+def test_a_table_of_blocks_gives_every_row_as_a_whole_one_does(spark):
+    """Columns of names used inside and of any type, rows that come twice, entries that come twice or lack a token."""
+    docs = spark.createDataFrame([(i % 7, t) for i, t in enumerate([*texts(5, 50), "a bb", "a bb"])], "_chunk int, text string")
+    docs = docs.selectExpr("*", "timestamp_seconds(_chunk) AS t", "named_struct('x', array(_chunk, null)) AS _asks", "map('k', _chunk) AS `a b`")
+    rows = [("__label__0", "a", 0.5), ("__label__0", "a", 0.25), ("__label__1", "a", 0.6), ("__label__1", "bb", 0.3), ("__label__1", None, 9.0)]
+    model = spark.createDataFrame(rows, "label string, token string, weight double")
+    whole, blocks = (K.add_confidence(docs, model, block_bytes=b) for b in (K.BLOCK_BYTES, 50))
+    assert whole.schema == blocks.schema
+    assert sorted(map(str, whole.collect())) == sorted(map(str, blocks.collect())) and whole.count() == docs.count()
+
+
+def test_chunks_ask_for_the_words_of_their_rows(monkeypatch):
+    monkeypatch.setattr(K, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(K, "PIECE_BYTES", 500)
+    monkeypatch.setattr(K, "TaskContext", type("Here", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})())}))
+    all_texts = texts(6, 300)
+    table = pa.table({"text": all_texts, "_n": pa.array([0] * len(all_texts), pa.int64()), "_sums": [[0.0, 0.0]] * len(all_texts)})
+    split = K.Splitter("text", b"</s>", 2, 2)
+    made = pa.Table.from_batches(K._chunker(split, True, 97, [*table.schema.names, "c", "asks", "words", "runs"])(iter(table.to_batches(120)))).to_pylist()
+    rows = [r for r in made if not r["asks"]]
+    assert [r["text"] for r in rows] == all_texts and len({r["c"] for r in rows}) > 3
+    asked = {r["c"]: r for r in made if r["asks"]}
+    assert asked.keys() == {r["c"] for r in rows} and len(asked) == sum(r["asks"] for r in made)
+    for chunk, own in asked.items():
+        words, runs_ = set(), set()
+        for text in (r["text"] for r in rows if r["c"] == chunk):
+            data = (text or "").encode().translate(bytes.maketrans(K.WORD_END, b" " * len(K.WORD_END)))
+            cut = [w for w in data.split(b" ") if w] + [b"</s>"]
+            words |= {w.decode() for w in cut} | {b" ".join(p).decode() for p in zip(cut, cut[1:], strict=False)}
+            runs_ |= set(buckets_by_hand(cut, 2, 97))
+        assert len(own["words"]) == len(words) and set(own["words"]) == words and own["runs"] == sorted(runs_)
+
+
+def test_memory_for_a_large_batch():
+    """A batch of 24 MB of text is scored in pieces."""
+    words = [f"word{i}" for i in range(2000)]
+    text = " ".join(words * 5)
+    n = 24_000_000 // len(text)
+    batch = pa.record_batch({"text": [text] * n, "_n": pa.array([0] * n, pa.int64()), "_sums": [[0.0, 0.0]] * n})
+    sent = type("Sent", (), {})()
+    sent._opened = [(K._find_words, (WordTable.of(pa.array(words)), np.ones((2000, 2)), True))]
+    tracemalloc.start()
+    many = [x for b in K._adder(sent, K.Splitter("text", None, 1, 2))(iter([batch])) for x in b.column(1).to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert many == [10_000] * n and peak < 150_000_000
