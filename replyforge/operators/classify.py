@@ -114,7 +114,7 @@ def _met(summed: DataFrame, model: DataFrame, buckets: DataFrame | None, labels:
     fields = [StructField(f.name, f.dataType, True, f.metadata) for f in summed.schema]
     schema = StructType([*fields, *StructType.fromDDL(own)])
     by_text, hashed = buckets is None, n_buckets if buckets is not None else 0
-    chunks = materialize(summed.mapInArrow(_chunker(split, by_text, hashed, schema.names), schema), "chunks")
+    chunks = materialize(summed.mapInArrow(_chunker(split, by_text, hashed, schema.names), schema), "chunks", compression="zstd")
     rows, asked = chunks.where(~F.col(asks)).drop(asks, words, runs_), chunks.where(asks)
     none = {"_word": F.lit(None).cast("string"), "_run": F.lit(None).cast("bigint")}
     found = []

@@ -59,14 +59,14 @@ def scratch(spark: SparkSession) -> Iterator[str]:
             files.delete_dir(place)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet and read it back.
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once as Parquet and read it back; ``options`` are those of the writer.
 
     Cuts the lineage, and a lost executor never makes a costly or order-dependent plan run again
     for rows that later steps have already used.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -169,7 +169,7 @@ def test_runs_and_buckets_of_rows():
 def test_rows_are_written_once_however_many_blocks(spark, monkeypatch):
     """What is written for a row must not grow with the weight table."""
     written, write = [], K.materialize
-    monkeypatch.setattr(K, "materialize", lambda df, name: written.append(name) or write(df, name))
+    monkeypatch.setattr(K, "materialize", lambda df, name, **options: written.append(name) or write(df, name, **options))
     for block_bytes, most in ((100, 1), (10, 1), (K.BLOCK_BYTES, 0)):
         written.clear()
         check(spark, texts(4, 40), weights(TOKENS, 6), block_bytes=block_bytes)
